@@ -1,0 +1,55 @@
+"""End-to-end panel builds on the driver tables (both dialects)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from paneldeck.functions.dictionaries import PART_KEYWORDS
+from paneldeck.operators import assemble, keywords, panel, rollup
+from paneldeck.plans import bindings as B
+
+
+def kw_daily(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
+    rows = rows if rows is not None else B.food_rows(spark, d)
+    rows = rows.filter(F.col("date").isNotNull() & F.col("subject_id").isNotNull())
+    return keywords.keyword_flags(rows, ["subject_id", "date"], "food", PART_KEYWORDS, prefix="kw_")
+
+
+def daily_with_flags(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = B.food_rows(spark, d)
+    daily = B.daily_long(spark, d, rows)
+    flags = kw_daily(spark, d, rows)
+    return assemble.prepare_daily(daily, flags, B.KW_FLAGS), daily
+
+
+def weekly_long(spark: SparkSession, d: str) -> DataFrame:
+    dflags, _ = daily_with_flags(spark, d)
+    dflags = rollup.add_week_index(dflags, out="week_index")
+    return rollup.weekly_rollup_long(dflags, B.DAILY_NUTRIENTS, B.KW_FLAGS)
+
+
+def trajectories_long(spark: SparkSession, d: str) -> DataFrame:
+    m = B.measures_long(spark, d)
+    return panel.weight_trajectories_long(m)
+
+
+def analysis_long(spark: SparkSession, d: str) -> DataFrame:
+    return assemble.align_long(trajectories_long(spark, d), weekly_long(spark, d))
+
+
+def trajectories_wide(spark: SparkSession, d: str) -> DataFrame:
+    return panel.weight_trajectories_wide(B.measures_wide(spark, d))
+
+
+def weekly_wide(spark: SparkSession, d: str) -> DataFrame:
+    return rollup.weekly_rollup_wide(B.daily_wide(spark, d))
+
+
+def keywords_wide(spark: SparkSession, d: str) -> DataFrame:
+    return keywords.weekly_keywords_wide(B.food_rows_wide(spark, d), PART_KEYWORDS)
+
+
+def analysis_wide(spark: SparkSession, d: str, fill: str = "flags_only") -> DataFrame:
+    return assemble.merge_wide(trajectories_wide(spark, d), weekly_wide(spark, d), keywords_wide(spark, d),
+                               list(PART_KEYWORDS), fill=fill)
