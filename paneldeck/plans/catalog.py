@@ -205,3 +205,206 @@ def q_calendar_spine(spark, d):
     subjects = P.trajectories_wide(spark, d).select("subject_id")
     s = panel.calendar_spine(subjects, daily, ev)
     return finalize(s.select("subject_id", "date", "total_calories", "total_fiber_g"), default=4)
+
+
+# ------------------------------------------------------------------ statistics
+
+from paneldeck.operators import mixed, ranks, regress  # noqa: E402
+
+LONG_Y = "delta_kg_next"
+LONG_X = ["fiber_g_total_week_mean", "calories_kcal_total_week_mean", "any_kw_widget", "any_kw_gear"]
+WIDE_X = ["fiber_g_week", "calories_week", "widget_week", "gear_week"]
+
+
+def model_panel_long(spark, d):
+    return P.analysis_long(spark, d)
+
+
+def model_panel_wide(spark, d):
+    return P.analysis_wide(spark, d, fill="reference")
+
+
+def _py(v):
+    if v is None:
+        return None
+    if isinstance(v, int):
+        return v
+    v = float(v)
+    return v if v == v and v not in (float("inf"), float("-inf")) else None
+
+
+def _coef_frame(spark, res: regress.ModelResult, stat_name: str = "t_stat", fit_cols: dict | None = None):
+    rows = []
+    for (_m, term, coef, se, stat, _p, _lo, _hi) in res.coefficient_rows():
+        extra = tuple(_py(fit_cols[k](res)) for k in fit_cols) if fit_cols else ()
+        rows.append((term, coef, se, stat, *extra))
+    from pyspark.sql import types as T
+    fields = [T.StructField("term", T.StringType()), T.StructField("coef", T.DoubleType()),
+              T.StructField("se", T.DoubleType()), T.StructField(stat_name, T.DoubleType())]
+    for k in (fit_cols or {}):
+        fields.append(T.StructField(k, T.LongType() if k in ("n_obs", "df_resid", "n_clusters") else T.DoubleType()))
+    return spark.createDataFrame(rows, T.StructType(fields))
+
+
+_FIT_OLS = {"r_squared": lambda r: r.fit["r_squared"], "n_obs": lambda r: int(r.fit["observations"]),
+            "df_resid": lambda r: int(r.fit["df_resid"])}
+
+
+
+
+def _with(base: str, tail: str) -> str:
+    # base ends with the last CTE; tail starts with ", name AS (...)" and a final SELECT
+    return base.rstrip() + "\n" + tail
+
+
+@register("q_ols1", _with(O.model_wide(), O.ols1_sql("merged", LONG_Y, "fiber_g_week")))
+def q_ols1(spark, d):
+    """ST3 with one predictor on the wide panel (oracle by regr_* in SQL)."""
+    res = regress.ols(model_panel_wide(spark, d), LONG_Y, ["fiber_g_week"])
+    return finalize(_coef_frame(spark, res, fit_cols=_FIT_OLS))
+
+
+@register("q_ols2", _with(O.model_wide(), O.ols2_sql("merged", LONG_Y, "fiber_g_week", "calories_week")))
+def q_ols2(spark, d):
+    """ST3 with two predictors (oracle by Cramer's rule in SQL)."""
+    res = regress.ols(model_panel_wide(spark, d), LONG_Y, ["fiber_g_week", "calories_week"])
+    return finalize(_coef_frame(spark, res, fit_cols=_FIT_OLS))
+
+
+@register("q_ols", None)
+def q_ols(spark, d):
+    """ST3 + ST12: the reference's pooled OLS, four predictors, t-based p-values."""
+    res = regress.ols(model_panel_wide(spark, d), LONG_Y, WIDE_X)
+    return res.coefficients(spark)
+
+
+@register("q_fe_within", _with(O.model_wide(), O.fe1_sql("merged", LONG_Y, "fiber_g_week")))
+def q_fe_within(spark, d):
+    """ST5 + W9 with one predictor, naive dof (Q6)."""
+    res = regress.fe_within(model_panel_wide(spark, d), LONG_Y, ["fiber_g_week"], "subject_id")
+    fit = {"r_squared_within": lambda r: r.fit["r_squared_within"], "n_obs": lambda r: int(r.fit["observations"]),
+           "df_resid": lambda r: int(r.fit["df_resid"])}
+    return finalize(_coef_frame(spark, res, fit_cols=fit))
+
+
+@register("q_fe", None)
+def q_fe(spark, d):
+    """ST5 + ST12: within-subject FE model with the reference's four predictors."""
+    res = regress.fe_within(model_panel_wide(spark, d), LONG_Y, WIDE_X, "subject_id")
+    return res.coefficients(spark)
+
+
+@register("q_cluster_se", _with(O.model_long(), O.cluster1_sql("al", LONG_Y, "fiber_g_total_week_mean")))
+def q_cluster_se(spark, d):
+    """ST4: subject dummies + cluster-robust SE, one predictor (oracle in SQL)."""
+    res = regress.cluster_ols(model_panel_long(spark, d), LONG_Y, ["fiber_g_total_week_mean"], "subject_id")
+    fit = {"r_squared": lambda r: r.fit["r_squared"], "n_obs": lambda r: int(r.fit["observations"]),
+           "n_clusters": lambda r: int(r.fit["n_clusters"])}
+    return finalize(_coef_frame(spark, res, "z_stat", fit), {"coef": 4, "se": 4, "z_stat": 4})
+
+
+@register("q_cluster", None)
+def q_cluster(spark, d):
+    """ST4 + ST12: the reference's clustered model (fiber, calories, two flags)."""
+    res = regress.cluster_ols(model_panel_long(spark, d), LONG_Y, LONG_X, "subject_id")
+    return res.coefficients(spark)
+
+
+@register("q_within_slopes", _with(O.model_long(), O.within_slopes_sql("al", LONG_Y, LONG_X[0], LONG_X[1])))
+def q_within_slopes(spark, d):
+    """ST6: distribution of per-subject within slopes (n >= 3)."""
+    s = regress.within_slopes(model_panel_long(spark, d), LONG_Y, LONG_X[0], LONG_X[1], "subject_id")
+    return finalize(regress.summarize_within(s), {"within_subject_mean": 4, "within_subject_std": 4})
+
+
+@register("q_spearman", _with(O.model_long(), O.spearman_sql("al", LONG_X[0], LONG_Y)))
+def q_spearman(spark, d):
+    """ST7 + W10: Spearman rho from scalable average ranks."""
+    return finalize(ranks.spearman(model_panel_long(spark, d), LONG_X[0], LONG_Y))
+
+
+@register("q_pearson", _with(O.model_long(), O.pearson_sql("al", LONG_X[0], LONG_Y)))
+def q_pearson(spark, d):
+    """ST8: Pearson r (R7-safe) and its t statistic."""
+    return finalize(regress.pearson(model_panel_long(spark, d), LONG_X[0], LONG_Y))
+
+
+@register("q_mannwhitney", O.model_long() + "\n" + "\nUNION ALL\n".join(
+    O.mann_whitney_sql("al", LONG_Y, f) for f in ("any_kw_widget", "any_kw_gear")))
+def q_mannwhitney(spark, d):
+    """ST9 + A17: Mann–Whitney U statistic, tie term, group sizes and medians."""
+    panel_df = model_panel_long(spark, d).persist()
+    try:
+        outs = [ranks.mann_whitney(panel_df, LONG_Y, f).select(F.lit(f).alias("flag"), "*")
+                for f in ("any_kw_widget", "any_kw_gear")]
+        res = outs[0].unionByName(outs[1])
+        return finalize(res)
+    finally:
+        pass
+
+
+@register("q_group_tests", None)
+def q_group_tests(spark, d):
+    """ST9 + ST12: Mann–Whitney two-sided p-values (exact for small untied samples)."""
+    from pyspark.sql import types as T
+    stats = q_mannwhitney(spark, d).collect()
+    rows = [(r["flag"], r["n1"], r["n0"], r["median_1"], r["median_0"], r["u_stat"],
+             ranks.mann_whitney_p(r["n1"], r["n0"], r["u_stat"], r["tie_term"])) for r in stats]
+    schema = T.StructType([T.StructField("flag", T.StringType()), T.StructField("n1", T.LongType()),
+                           T.StructField("n0", T.LongType()), T.StructField("median_1", T.DoubleType()),
+                           T.StructField("median_0", T.DoubleType()), T.StructField("u_stat", T.DoubleType()),
+                           T.StructField("p_value", T.DoubleType())])
+    return spark.createDataFrame(rows, schema)
+
+
+@register("q_corr_tests", None)
+def q_corr_tests(spark, d):
+    """ST7 + ST8 + ST12: Spearman and Pearson with two-sided t p-values."""
+    from paneldeck.functions.dist import t_pvalue_udf
+    pnl = model_panel_long(spark, d)
+    sp = ranks.spearman(pnl, LONG_X[0], LONG_Y).select(F.lit("spearman").alias("method"), "n",
+                                                        F.col("rho").alias("estimate"), "t_stat")
+    pe = regress.pearson(pnl, LONG_X[0], LONG_Y).select(F.lit("pearson").alias("method"), "n",
+                                                         F.col("r").alias("estimate"), "t_stat")
+    both = sp.unionByName(pe)
+    return both.withColumn("p_value", t_pvalue_udf(F.col("t_stat"), (F.col("n") - 2).cast("double")))
+
+
+@register("q_mixed_ml", None)
+def q_mixed_ml(spark, d):
+    """ST10 (ML, long panel, two predictors as in the clustered pipeline)."""
+    res = mixed.random_intercept(model_panel_long(spark, d), LONG_Y, LONG_X[:2], "subject_id", reml=False)
+    return res.coefficients(spark)
+
+
+@register("q_mixed_reml", None)
+def q_mixed_reml(spark, d):
+    """ST10 (REML, wide panel, the four reference predictors)."""
+    res = mixed.random_intercept(model_panel_wide(spark, d), LONG_Y, WIDE_X, "subject_id", reml=True)
+    return res.coefficients(spark)
+
+
+@register("q_model_fit", None)
+def q_model_fit(spark, d):
+    """ST13: one fit-metrics table for every model (union of results)."""
+    wide = model_panel_wide(spark, d).persist()
+    long = model_panel_long(spark, d).persist()
+    try:
+        results = [regress.ols(wide, LONG_Y, WIDE_X), regress.fe_within(wide, LONG_Y, WIDE_X, "subject_id"),
+                   regress.cluster_ols(long, LONG_Y, LONG_X, "subject_id"),
+                   mixed.random_intercept(long, LONG_Y, LONG_X[:2], "subject_id"),
+                   mixed.random_intercept(wide, LONG_Y, WIDE_X, "subject_id", reml=True)]
+        out = results[0].model_fit(spark)
+        for r in results[1:]:
+            out = out.unionByName(r.model_fit(spark))
+        return out
+    finally:
+        wide.unpersist()
+        long.unpersist()
+
+
+@register("q_trend_grid", _with(O.model_long(), O.trend_sql("al", LONG_X[0], LONG_Y)))
+def q_trend_grid(spark, d):
+    """ST11: fitted line on a 100-point grid with the standard error of the mean."""
+    g = regress.trend_grid(model_panel_long(spark, d), None, LONG_X[0], LONG_Y)
+    return finalize(g.select(F.col("i").cast("int"), "x", "yhat", "se_mean"), default=4)

@@ -220,3 +220,125 @@ merged AS (
 def wide_base(*extra: str) -> str:
     ctes = [FOOD_ROWS, EVENTS, MEAS_WIDE, TRAJ_WIDE, DAILY_WIDE, kw_wide_cte(), *extra]
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+# ---------------------------------------------------------------- model panels
+ANALYSIS_LONG = """al AS (
+  SELECT t.subject_id, t.week, t.tp_index, t.value, t.delta_kg,
+         lead(t.delta_kg) OVER (PARTITION BY t.subject_id ORDER BY t.week, t.tp_index) AS delta_kg_next,
+         w.* EXCLUDE (subject_id, week_index)
+  FROM traj t LEFT JOIN weekly w ON t.subject_id = w.subject_id AND t.week = w.week_index)"""
+
+
+def model_long(*extra: str) -> str:
+    return long_base(ANALYSIS_LONG, *extra)
+
+
+def model_wide(*extra: str) -> str:
+    return wide_base(merge_wide_cte("reference"), *extra)
+
+
+def ols1_sql(panel: str, y: str, x: str) -> str:
+    return f""", d AS (SELECT {y} AS y, {x} AS x FROM {panel} WHERE {y} IS NOT NULL AND {x} IS NOT NULL),
+s AS (SELECT count(*) AS n, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx,
+             regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, avg(x) AS mx FROM d),
+f AS (SELECT *, greatest(syy - b * sxy, 0) AS rss, greatest(syy - b * sxy, 0) / (n - 2) AS mse FROM s)
+SELECT 'intercept' AS term, {r('a')} AS coef, {r('sqrt(mse * (1.0 / n + mx * mx / sxx))')} AS se,
+       {r('a / sqrt(mse * (1.0 / n + mx * mx / sxx))')} AS t_stat, {r('1 - rss / syy')} AS r_squared,
+       CAST(n AS BIGINT) AS n_obs, CAST(n - 2 AS BIGINT) AS df_resid FROM f
+UNION ALL
+SELECT '{x}', {r('b')}, {r('sqrt(mse / sxx)')}, {r('b / sqrt(mse / sxx)')}, {r('1 - rss / syy')},
+       CAST(n AS BIGINT), CAST(n - 2 AS BIGINT) FROM f"""
+
+
+def ols2_sql(panel: str, y: str, x1: str, x2: str) -> str:
+    return f""", d AS (SELECT {y} AS y, {x1} AS x1, {x2} AS x2 FROM {panel}
+           WHERE {y} IS NOT NULL AND {x1} IS NOT NULL AND {x2} IS NOT NULL),
+s AS (SELECT count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my,
+             var_pop(x1) * count(*) AS s11, var_pop(x2) * count(*) AS s22, covar_pop(x1, x2) * count(*) AS s12,
+             covar_pop(x1, y) * count(*) AS s1y, covar_pop(x2, y) * count(*) AS s2y, var_pop(y) * count(*) AS syy FROM d),
+c AS (SELECT *, s11 * s22 - s12 * s12 AS det FROM s),
+b AS (SELECT *, (s22 * s1y - s12 * s2y) / det AS b1, (s11 * s2y - s12 * s1y) / det AS b2 FROM c),
+f AS (SELECT *, my - b1 * m1 - b2 * m2 AS b0, greatest(syy - b1 * s1y - b2 * s2y, 0) AS rss,
+             greatest(syy - b1 * s1y - b2 * s2y, 0) / (n - 3) AS mse FROM b),
+g AS (SELECT *, sqrt(mse * (1.0 / n + (m1 * m1 * s22 - 2 * m1 * m2 * s12 + m2 * m2 * s11) / det)) AS se0,
+             sqrt(mse * s22 / det) AS se1, sqrt(mse * s11 / det) AS se2 FROM f)
+SELECT 'intercept' AS term, {r('b0')} AS coef, {r('se0')} AS se, {r('b0 / se0')} AS t_stat,
+       {r('1 - rss / syy')} AS r_squared, CAST(n AS BIGINT) AS n_obs, CAST(n - 3 AS BIGINT) AS df_resid FROM g
+UNION ALL SELECT '{x1}', {r('b1')}, {r('se1')}, {r('b1 / se1')}, {r('1 - rss / syy')}, CAST(n AS BIGINT), CAST(n - 3 AS BIGINT) FROM g
+UNION ALL SELECT '{x2}', {r('b2')}, {r('se2')}, {r('b2 / se2')}, {r('1 - rss / syy')}, CAST(n AS BIGINT), CAST(n - 3 AS BIGINT) FROM g"""
+
+
+def fe1_sql(panel: str, y: str, x: str, group: str = "subject_id") -> str:
+    return f""", d AS (SELECT {group} AS g, {y} AS y, {x} AS x FROM {panel} WHERE {y} IS NOT NULL AND {x} IS NOT NULL AND {group} IS NOT NULL),
+dm AS (SELECT g, x - avg(x) OVER (PARTITION BY g) AS xt, y - avg(y) OVER (PARTITION BY g) AS yt FROM d),
+s AS (SELECT count(*) AS n, sum(xt * xt) AS sxx, sum(xt * yt) AS sxy, sum(yt * yt) AS syy FROM dm),
+f AS (SELECT *, sxy / sxx AS b, greatest(syy - sxy * sxy / sxx, 0) AS rss FROM s)
+SELECT '{x}' AS term, {r('b')} AS coef, {r('sqrt(rss / (n - 1) / sxx)')} AS se, {r('b / sqrt(rss / (n - 1) / sxx)')} AS t_stat,
+       {r('1 - rss / syy')} AS r_squared_within, CAST(n AS BIGINT) AS n_obs, CAST(n - 1 AS BIGINT) AS df_resid FROM f"""
+
+
+def cluster1_sql(panel: str, y: str, x: str, group: str = "subject_id") -> str:
+    return f""", d AS (SELECT {group} AS g, {y} AS y, {x} AS x FROM {panel} WHERE {y} IS NOT NULL AND {x} IS NOT NULL AND {group} IS NOT NULL),
+dm AS (SELECT g, y, x - avg(x) OVER (PARTITION BY g) AS xt, y - avg(y) OVER (PARTITION BY g) AS yt FROM d),
+s AS (SELECT count(*) AS n, count(DISTINCT g) AS gg, sum(xt * xt) AS sxx, sum(xt * yt) AS sxy, sum(yt * yt) AS wyy,
+             var_pop(y) * count(*) AS tss FROM dm),
+b AS (SELECT *, sxy / sxx AS beta FROM s),
+sc AS (SELECT dm.g, sum(dm.xt * (dm.yt - b.beta * dm.xt)) AS sg FROM dm, b GROUP BY dm.g),
+m AS (SELECT sum(sg * sg) AS meat FROM sc),
+f AS (SELECT b.*, m.meat, sqrt(gg / (gg - 1.0) * (n - 1.0) / (n - 1.0 - gg) * meat / (sxx * sxx)) AS se,
+             greatest(wyy - beta * sxy, 0) AS rss FROM b, m)
+SELECT '{x}' AS term, {r('beta', 4)} AS coef, {r('se', 4)} AS se, {r('beta / se', 4)} AS z_stat,
+       {r('1 - rss / tss')} AS r_squared, CAST(n AS BIGINT) AS n_obs, CAST(gg AS BIGINT) AS n_clusters FROM f"""
+
+
+def within_slopes_sql(panel: str, y: str, x1: str, x2: str, group: str = "subject_id") -> str:
+    return f""", d AS (SELECT {group} AS g, {y} AS y, {x1} AS x1, {x2} AS x2 FROM {panel}
+           WHERE {y} IS NOT NULL AND {x1} IS NOT NULL AND {x2} IS NOT NULL AND {group} IS NOT NULL),
+s AS (SELECT g, count(*) AS n, var_pop(x1) * count(*) AS w11, var_pop(x2) * count(*) AS w22,
+             covar_pop(x1, x2) * count(*) AS w12, covar_pop(x1, y) * count(*) AS w1y, covar_pop(x2, y) * count(*) AS w2y
+      FROM d GROUP BY g HAVING count(*) >= 3),
+c AS (SELECT *, w11 * w22 - w12 * w12 AS det, w11 + w22 AS tr FROM s),
+b AS (SELECT g, CASE WHEN abs(det) > 1e-9 * tr * tr THEN (w22 * w1y - w12 * w2y) / det
+                     WHEN tr = 0 THEN 0.0
+                     ELSE (w11 * w1y + w12 * w2y) / (tr * tr) END AS b1 FROM c)
+SELECT {r('avg(b1)', 4)} AS within_subject_mean, {r('stddev_pop(b1)', 4)} AS within_subject_std,
+       CAST(count(b1) AS BIGINT) AS within_subject_n FROM b"""
+
+
+def _avg_rank(col: str, src: str) -> str:
+    return f"(rank() OVER (ORDER BY {col}) + (count(*) OVER (PARTITION BY {col}) - 1) / 2.0)"
+
+
+def spearman_sql(panel: str, x: str, y: str) -> str:
+    return f""", d AS (SELECT {x} AS x, {y} AS y FROM {panel} WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
+rk AS (SELECT {_avg_rank('x', 'd')} AS rx, {_avg_rank('y', 'd')} AS ry FROM d),
+s AS (SELECT count(*) AS n, CASE WHEN count(*) >= 10 AND var_pop(rx) > 0 AND var_pop(ry) > 0
+                                 THEN covar_pop(rx, ry) / sqrt(var_pop(rx) * var_pop(ry)) END AS rho FROM rk)
+SELECT CAST(n AS BIGINT) AS n, {r('rho')} AS rho,
+       {r('CASE WHEN rho * rho < 1 THEN rho * sqrt((n - 2) / (1 - rho * rho)) END')} AS t_stat FROM s"""
+
+
+def pearson_sql(panel: str, x: str, y: str) -> str:
+    return f""", d AS (SELECT CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM {panel} WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
+s AS (SELECT count(*) AS n, CASE WHEN var_pop(x) * var_pop(y) > 0 THEN covar_pop(x, y) / sqrt(var_pop(x) * var_pop(y)) END AS r FROM d)
+SELECT CAST(n AS BIGINT) AS n, {r('r')} AS r,
+       {r('CASE WHEN r * r < 1 THEN r * sqrt((n - 2) / (1 - r * r)) END')} AS t_stat FROM s"""
+
+
+def mann_whitney_sql(panel: str, y: str, flag: str) -> str:
+    return f"""SELECT '{flag}' AS flag, CAST(count(*) FILTER (WHERE f = 1) AS BIGINT) AS n1,
+       CAST(count(*) FILTER (WHERE f = 0) AS BIGINT) AS n0,
+       {r('median(v) FILTER (WHERE f = 1)')} AS median_1, {r('median(v) FILTER (WHERE f = 0)')} AS median_0,
+       {r('sum(rk) FILTER (WHERE f = 1) - count(*) FILTER (WHERE f = 1) * (count(*) FILTER (WHERE f = 1) + 1) / 2.0')} AS u_stat,
+       {r('(SELECT sum(c * c * c - c) FROM (SELECT count(*) AS c FROM ' + panel + ' WHERE ' + y + ' IS NOT NULL AND ' + flag + ' IS NOT NULL GROUP BY ' + y + '))')} AS tie_term
+FROM (SELECT {y} AS v, {flag} AS f, {_avg_rank(y, panel)} AS rk FROM {panel} WHERE {y} IS NOT NULL AND {flag} IS NOT NULL)"""
+
+
+def trend_sql(panel: str, x: str, y: str, points: int = 100) -> str:
+    return f""", d AS (SELECT CAST({x} AS DOUBLE) AS x, CAST({y} AS DOUBLE) AS y FROM {panel} WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
+s AS (SELECT regr_count(y, x) AS n, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx,
+             regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, min(x) AS lo, max(x) AS hi, avg(x) AS xb FROM d),
+g AS (SELECT s.*, i, lo + (hi - lo) * i / {points - 1}.0 AS gx FROM s, range(0, {points}) t(i) WHERE b IS NOT NULL)
+SELECT CAST(i AS INTEGER) AS i, {r('gx', 4)} AS x, {r('a + b * gx', 4)} AS yhat,
+       {r('sqrt(greatest(syy - b * sxy, 0) / (n - 2)) * sqrt(1.0 / n + (gx - xb) * (gx - xb) / sxx)', 4)} AS se_mean FROM g"""
