@@ -408,3 +408,214 @@ def q_trend_grid(spark, d):
     """ST11: fitted line on a 100-point grid with the standard error of the mean."""
     g = regress.trend_grid(model_panel_long(spark, d), None, LONG_X[0], LONG_Y)
     return finalize(g.select(F.col("i").cast("int"), "x", "yhat", "se_mean"), default=4)
+
+
+# ------------------------------------------------------------------ descriptive
+
+from paneldeck.operators import describe as D  # noqa: E402
+
+PIVOT_WEEKS = [4, 8, 12, 60]
+PIVOT_COLS = [f"{v}_week_{w}" for w in PIVOT_WEEKS for v in ("delta_kg", "pct_change")]
+
+
+def _pivot_sql_cols() -> str:
+    parts = []
+    for w in PIVOT_WEEKS:
+        parts.append(f"arg_min(delta_kg, tp_index) FILTER (WHERE week = {w}) AS delta_kg_week_{w}")
+        parts.append(f"arg_min(pct_change, tp_index) FILTER (WHERE week = {w}) AS pct_change_week_{w}")
+    return ", ".join(parts)
+
+
+PIVOT_CTE = f"pv AS (SELECT subject_id, {_pivot_sql_cols()} FROM al GROUP BY subject_id)"
+
+
+def _pivot(spark, d):
+    return D.pivot_weeks(P.analysis_long(spark, d), "subject_id", "week", ["delta_kg", "pct_change"],
+                         PIVOT_WEEKS, tie="tp_index")
+
+
+@register("q_pivot_weeks", O.model_long(PIVOT_CTE) + "SELECT subject_id, " + ", ".join(
+    O.r(c, 2 if c.startswith("delta") else 6) + f" AS {c}" for c in PIVOT_COLS) + " FROM pv")
+def q_pivot_weeks(spark, d):
+    """A13 + U5: per-subject change at weeks 4, 8, 12 and 60 (pivot, fixed values)."""
+    return finalize(_pivot(spark, d), {c: 2 for c in PIVOT_COLS if c.startswith("delta")})
+
+
+def _describe_sql() -> str:
+    stats = [("count", "CAST(count({c}) AS DOUBLE)"), ("mean", "avg({c})"), ("std", "stddev_samp({c})"),
+             ("min", "min({c})"), ("25%", "quantile_cont({c}, 0.25)"), ("50%", "quantile_cont({c}, 0.5)"),
+             ("75%", "quantile_cont({c}, 0.75)"), ("max", "max({c})")]
+    sel = []
+    for name, f in stats:
+        cols = ", ".join(O.r(f.format(c=c), 4) + f' AS "{c}"' for c in PIVOT_COLS)
+        sel.append(f"SELECT '{name}' AS statistic, {cols} FROM pv")
+    return O.model_long(PIVOT_CTE) + "\nUNION ALL\n".join(sel)
+
+
+@register("q_describe", _describe_sql())
+def q_describe(spark, d):
+    """describe() of the per-subject change table with a statistic column (Q14)."""
+    return finalize(D.describe(_pivot(spark, d), PIVOT_COLS), default=4)
+
+
+@register("q_early_late", O.model_long() + f"""
+SELECT subject_id, {O.r('avg(fiber_g_total_week_mean) FILTER (WHERE week <= 3)')} AS fiber_g_early_mean,
+       {O.r('avg(fiber_g_total_week_mean) FILTER (WHERE week >= 4)')} AS fiber_g_later_mean,
+       {O.r('avg(calories_kcal_total_week_mean) FILTER (WHERE week <= 3)')} AS calories_early_mean,
+       {O.r('avg(calories_kcal_total_week_mean) FILTER (WHERE week >= 4)')} AS calories_later_mean,
+       count(*) FILTER (WHERE week <= 3) AS n_early_weeks, count(*) FILTER (WHERE week >= 4) AS n_later_weeks
+FROM al GROUP BY subject_id""")
+def q_early_late(spark, d):
+    """A15 + P18: early (weeks 0-3) vs later (4+) nutrition means per subject."""
+    return finalize(D.early_late(P.analysis_long(spark, d), "subject_id", "week",
+                                 {"fiber_g_total_week_mean": "fiber_g", "calories_kcal_total_week_mean": "calories"}))
+
+
+@register("q_crosstab", O.model_long() + "\nUNION ALL\n".join(f"""
+SELECT '{k}' AS keyword, count(*) FILTER (WHERE any_kw_{k} = 1) AS n_weeks_with_keyword,
+       count(*) FILTER (WHERE any_kw_{k} = 0) AS n_weeks_without_keyword,
+       {O.r(f'median(delta_kg) FILTER (WHERE any_kw_{k} = 1)', 2)} AS median_delta_with_keyword,
+       {O.r(f'median(delta_kg) FILTER (WHERE any_kw_{k} = 0)', 2)} AS median_delta_without_keyword,
+       {O.r('median(delta_kg)', 2)} AS overall_median_delta
+FROM al WHERE delta_kg IS NOT NULL""" for k in ("widget", "gear")))
+def q_crosstab(spark, d):
+    """Keyword × outcome table (n and median with / without, overall median)."""
+    t = D.keyword_crosstab(P.analysis_long(spark, d), "delta_kg", {"widget": "any_kw_widget", "gear": "any_kw_gear"})
+    return finalize(t, default=2)
+
+
+def participants(spark, d):
+    o = B.read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    c = B.read_table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    j = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    return D.participant_changes(j, "o_custkey", ["o_orderdate", "o_orderkey"], "o_totalprice",
+                                 category="c_mktsegment").withColumnRenamed("o_custkey", "subject_id")
+
+
+PART_COLS = ["subject_id", "category", "starting_weight", "ending_weight", "weight_change", "weight_change_percent",
+             "num_measurements"]
+
+
+@register("q_participants", O.participants_base() + "SELECT subject_id, category, " + ", ".join(
+    [O.r("starting_weight", 2) + " AS starting_weight", O.r("ending_weight", 2) + " AS ending_weight",
+     O.r("weight_change", 2) + " AS weight_change", O.r("weight_change_percent") + " AS weight_change_percent"])
+          + ", num_measurements FROM pp")
+def q_participants(spark, d):
+    """A10: first / last measurement, change and percent per participant."""
+    return finalize(participants(spark, d).select(*PART_COLS),
+                    {"starting_weight": 2, "ending_weight": 2, "weight_change": 2})
+
+
+@register("q_cohort", O.participants_base() + f"""
+SELECT count(*) AS total_participants, {O.r('avg(weight_change)', 4)} AS avg_change,
+       {O.r('median(weight_change)', 4)} AS median_change, {O.r('stddev_pop(weight_change)', 4)} AS std_change,
+       count(*) FILTER (WHERE weight_change < 0) AS successful,
+       {O.r('count(*) FILTER (WHERE weight_change < 0) * 100.0 / count(*)')} AS success_rate,
+       {O.r('avg(starting_weight)', 4)} AS avg_starting_weight, {O.r('avg(num_measurements)')} AS avg_duration FROM pp""")
+def q_cohort(spark, d):
+    """Cohort summary over participants."""
+    return finalize(D.cohort_summary(participants(spark, d)),
+                    {"avg_change": 4, "median_change": 4, "std_change": 4, "avg_starting_weight": 4})
+
+
+@register("q_duration_bucket", O.participants_base() + f"""
+SELECT {O.duration_case('num_measurements')} AS duration_category, count(*) AS n_participants,
+       {O.r('avg(weight_change)', 4)} AS mean_change FROM pp GROUP BY 1""")
+def q_duration_bucket(spark, d):
+    """Participants by duration bucket (28 / 14 / 7 measurements)."""
+    p = participants(spark, d).withColumn("duration_category", D.duration_bucket("num_measurements"))
+    g = p.groupBy("duration_category").agg(F.count(F.lit(1)).alias("n_participants"),
+                                           F.avg("weight_change").alias("mean_change"))
+    return finalize(g, {"mean_change": 4})
+
+
+@register("q_category_mean", O.participants_base() + f"""
+SELECT category, {O.r('avg(weight_change)', 4)} AS mean, count(weight_change) AS count FROM pp GROUP BY category""")
+def q_category_mean(spark, d):
+    """Mean change and count by category (market segment)."""
+    return finalize(D.category_mean(participants(spark, d), "category", "weight_change"), {"mean": 4})
+
+
+@register("q_range_summary", O.participants_base() + f"""
+SELECT {O.r('min(weight_change)', 2)} AS weight_change_min, {O.r('min(starting_weight)', 2)} AS starting_weight_min,
+       min(num_measurements) AS num_measurements_min, {O.r('max(weight_change)', 2)} AS weight_change_max,
+       {O.r('max(starting_weight)', 2)} AS starting_weight_max, max(num_measurements) AS num_measurements_max FROM pp""")
+def q_range_summary(spark, d):
+    """Ranges of change, starting weight and duration."""
+    return finalize(D.range_summary(participants(spark, d), ["weight_change", "starting_weight", "num_measurements"]),
+                    default=2)
+
+
+@register("q_hist", O.participants_base("""st AS (SELECT min(weight_change) AS lo, max(weight_change) AS hi, count(*) AS n,
+       CAST(greatest(1, least(15, count(*) // 2)) AS INTEGER) AS nb FROM pp)""", """bins AS (
+  SELECT CAST(b AS INTEGER) AS bin, lo + b * (hi - lo) / nb AS bin_lower, lo + (b + 1) * (hi - lo) / nb AS bin_upper
+  FROM st, range(0, nb) t(b))""", """cnt AS (
+  SELECT CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((weight_change - lo) / ((hi - lo) / nb)), nb - 1) END AS INTEGER) AS bin,
+         count(*) AS c FROM pp, st GROUP BY 1)""") + f"""
+SELECT b.bin, {O.r('b.bin_lower', 2)} AS bin_lower, {O.r('b.bin_upper', 2)} AS bin_upper,
+       CAST(coalesce(c.c, 0) AS BIGINT) AS count FROM bins b LEFT JOIN cnt c ON b.bin = c.bin""")
+def q_hist(spark, d):
+    """RP5: histogram of participant change, bins = min(15, n // 2)."""
+    return finalize(D.histogram(participants(spark, d), "weight_change"), default=2)
+
+
+@register("q_weekly_mean_sd", O.model_wide() + f"""
+SELECT week, {O.r('avg(fiber_g_week)', 4)} AS mean, {O.r('stddev_samp(fiber_g_week)', 4)} AS std,
+       count(fiber_g_week) AS n FROM merged GROUP BY week""")
+def q_weekly_mean_sd(spark, d):
+    """Weekly mean ± sd of fiber across subjects."""
+    return finalize(D.weekly_mean_sd(model_panel_wide(spark, d), "week", "fiber_g_week"), default=4)
+
+
+@register("q_weekly_prevalence", O.model_wide() + f"""
+SELECT week, {O.r('avg(CAST(widget_week AS DOUBLE))')} AS widget_week_share,
+       {O.r('avg(CAST(gear_week AS DOUBLE))')} AS gear_week_share FROM merged GROUP BY week""")
+def q_weekly_prevalence(spark, d):
+    """Weekly prevalence of two keyword flags."""
+    return finalize(D.weekly_prevalence(model_panel_wide(spark, d), "week", ["widget_week", "gear_week"]))
+
+
+@register("q_outcome_summary", O.wide_base() + f"""
+, fin AS (SELECT max(week) AS fw FROM traj_w),
+lastw AS (SELECT t.* FROM traj_w t, fin WHERE t.week = fin.fw AND t.delta_from_baseline_kg IS NOT NULL)
+SELECT (SELECT fw FROM fin) AS final_week, count(DISTINCT subject_id) AS n_subjects,
+       {O.r('avg(delta_from_baseline_kg)', 4)} AS mean_change, {O.r('stddev_samp(delta_from_baseline_kg)', 4)} AS sd_change,
+       count(*) FILTER (WHERE delta_from_baseline_kg < 0) AS n_losing,
+       {O.r('avg(CASE WHEN delta_from_baseline_kg < 0 THEN 1.0 ELSE 0.0 END)')} AS share_losing,
+       {O.r('min(delta_from_baseline_kg)', 4)} AS min_change, {O.r('max(delta_from_baseline_kg)', 4)} AS max_change
+FROM lastw""")
+def q_outcome_summary(spark, d):
+    """A24 + J7: outcome at the final study week (mean ± sd, share losing, range)."""
+    s = D.outcome_summary(P.trajectories_wide(spark, d), "subject_id", "week", "delta_from_baseline_kg")
+    return finalize(s, {"share_losing": 6}, default=4)
+
+
+@register("q_points_class", O.model_long() + f"""
+SELECT subject_id, week, tp_index, {O.r('fiber_g_total_week_mean')} AS x, {O.r('delta_kg_next', 2)} AS y,
+       CAST(any_kw_widget = 0 AND any_kw_gear = 0 AS INTEGER) AS is_other,
+       CAST(any_kw_widget = 1 AS INTEGER) AS is_widget, CAST(any_kw_gear = 1 AS INTEGER) AS is_gear
+FROM al WHERE fiber_g_total_week_mean IS NOT NULL AND delta_kg_next IS NOT NULL""")
+def q_points_class(spark, d):
+    """RP1 + P16: scatter points with their (overlapping) classes."""
+    a = P.analysis_long(spark, d).filter(F.col("fiber_g_total_week_mean").isNotNull() & F.col("delta_kg_next").isNotNull())
+    out = a.select("subject_id", "week", "tp_index", F.col("fiber_g_total_week_mean").alias("x"),
+                   F.col("delta_kg_next").alias("y"),
+                   ((F.col("any_kw_widget") == 0) & (F.col("any_kw_gear") == 0)).cast("int").alias("is_other"),
+                   (F.col("any_kw_widget") == 1).cast("int").alias("is_widget"),
+                   (F.col("any_kw_gear") == 1).cast("int").alias("is_gear"))
+    return finalize(out, {"y": 2})
+
+
+@register("q_small_multiples", O.model_long("""firstn AS (SELECT DISTINCT subject_id FROM al ORDER BY subject_id LIMIT 12)""") + f"""
+SELECT a.subject_id, CAST(regr_count(calories_kcal_total_week_mean, CAST(week AS DOUBLE)) AS BIGINT) AS n_points,
+       {O.r('CASE WHEN regr_count(calories_kcal_total_week_mean, CAST(week AS DOUBLE)) >= 3 THEN regr_slope(calories_kcal_total_week_mean, CAST(week AS DOUBLE)) END', 4)} AS slope,
+       {O.r('CASE WHEN regr_count(calories_kcal_total_week_mean, CAST(week AS DOUBLE)) >= 3 THEN regr_intercept(calories_kcal_total_week_mean, CAST(week AS DOUBLE)) END', 4)} AS intercept
+FROM al a WHERE a.subject_id IN (SELECT subject_id FROM firstn) GROUP BY a.subject_id""")
+def q_small_multiples(spark, d):
+    """RP3 + O3 + ST11: calories trend per subject for the first 12 subjects
+    (deterministic top-k by id, semi-joined back); a line needs n >= 3."""
+    a = P.analysis_long(spark, d)
+    first = a.select("subject_id").distinct().orderBy("subject_id").limit(12)
+    sub = a.join(F.broadcast(first), "subject_id", "left_semi")
+    s = regress.group_slopes(sub, "subject_id", "week", "calories_kcal_total_week_mean", min_points=3)
+    return finalize(s.select("subject_id", F.col("n_points").cast("bigint"), "slope", "intercept"), default=4)

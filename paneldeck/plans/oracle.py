@@ -224,7 +224,7 @@ def wide_base(*extra: str) -> str:
 
 # ---------------------------------------------------------------- model panels
 ANALYSIS_LONG = """al AS (
-  SELECT t.subject_id, t.week, t.tp_index, t.value, t.delta_kg,
+  SELECT t.subject_id, t.week, t.tp_index, t.value, t.delta_kg, t.pct_change,
          lead(t.delta_kg) OVER (PARTITION BY t.subject_id ORDER BY t.week, t.tp_index) AS delta_kg_next,
          w.* EXCLUDE (subject_id, week_index)
   FROM traj t LEFT JOIN weekly w ON t.subject_id = w.subject_id AND t.week = w.week_index)"""
@@ -342,3 +342,24 @@ s AS (SELECT regr_count(y, x) AS n, regr_slope(y, x) AS b, regr_intercept(y, x)
 g AS (SELECT s.*, i, lo + (hi - lo) * i / {points - 1}.0 AS gx FROM s, range(0, {points}) t(i) WHERE b IS NOT NULL)
 SELECT CAST(i AS INTEGER) AS i, {r('gx', 4)} AS x, {r('a + b * gx', 4)} AS yhat,
        {r('sqrt(greatest(syy - b * sxy, 0) / (n - 2)) * sqrt(1.0 / n + (gx - xb) * (gx - xb) / sxx)', 4)} AS se_mean FROM g"""
+
+
+# ---------------------------------------------------------------- descriptive
+PARTICIPANTS = """pp0 AS (
+  SELECT o.o_custkey AS subject_id, first(c.c_mktsegment ORDER BY o.o_orderdate, o.o_orderkey) AS category,
+         first(o.o_totalprice ORDER BY o.o_orderdate, o.o_orderkey) AS starting_weight,
+         last(o.o_totalprice ORDER BY o.o_orderdate, o.o_orderkey) AS ending_weight,
+         count(*) AS num_measurements
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  WHERE o.o_totalprice IS NOT NULL GROUP BY o.o_custkey HAVING count(*) >= 2),
+pp AS (SELECT *, ending_weight - starting_weight AS weight_change,
+              (ending_weight - starting_weight) / starting_weight * 100 AS weight_change_percent FROM pp0)"""
+
+
+def duration_case(col: str) -> str:
+    return (f"CASE WHEN {col} >= 28 THEN '4+ Weeks' WHEN {col} >= 14 THEN '2-4 Weeks' "
+            f"WHEN {col} >= 7 THEN '1-2 Weeks' ELSE '< 1 Week' END")
+
+
+def participants_base(*extra: str) -> str:
+    return "WITH " + ",\n".join([PARTICIPANTS, *extra]) + "\n"
