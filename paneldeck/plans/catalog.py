@@ -619,3 +619,93 @@ def q_small_multiples(spark, d):
     sub = a.join(F.broadcast(first), "subject_id", "left_semi")
     s = regress.group_slopes(sub, "subject_id", "week", "calories_kcal_total_week_mean", min_points=3)
     return finalize(s.select("subject_id", F.col("n_points").cast("bigint"), "slope", "intercept"), default=4)
+
+
+# ------------------------------------------------------------------ data quality
+
+from paneldeck.operators import quality as Q  # noqa: E402
+from paneldeck.plans.contracts import ORDERS_MODEL, SUITES  # noqa: E402
+
+ROW_MODEL = [Q.Rule("between", "o_totalprice", min_value=1000, max_value=400000),
+             Q.Rule("in_set", "o_orderpriority", values=["1-URGENT", "2-HIGH", "3-MEDIUM"]),
+             Q.Rule("regex", "o_orderstatus", pattern="^[FO]$")]
+
+
+def _data_rules(rules):
+    return [r for r in rules if r.kind not in Q.META_KINDS]
+
+
+def _quality_results(spark, d, data_only=True):
+    out = None
+    for t, rules in SUITES.items():
+        rs = _data_rules(rules) if data_only else rules
+        e = Q.evaluate(B.read_table(spark, d, t), t, rs)
+        out = e if out is None else out.unionByName(e)
+    return out
+
+
+def _quality_sql_union() -> str:
+    return "\nUNION ALL\n".join(O.rule_sql(r, t) for t, rules in SUITES.items() for r in _data_rules(rules))
+
+
+@register("q_quality_rules", _quality_sql_union())
+def q_quality_rules(spark, d):
+    """DQ4-DQ15: every data rule of the three suites, one aggregate pass per table."""
+    return finalize(_quality_results(spark, d))
+
+
+@register("q_quality_schema", None)
+def q_quality_schema(spark, d):
+    """DQ1-DQ3 + DQ17: metadata rules and the exact-schema diff of orders."""
+    from pyspark.sql import types as T
+    meta = []
+    for t, rules in SUITES.items():
+        m = [r for r in rules if r.kind in Q.META_KINDS]
+        if m:
+            meta += Q.check_metadata(B.read_table(spark, d, t), t, m)
+    diff = Q.schema_diff(B.read_table(spark, d, "orders"), ORDERS_MODEL)
+    rows = [(t, rule, c, ok, None, None) for (t, rule, c, _n, _f, _r, _o, _m, ok) in meta]
+    rows += [("orders", "exact_schema", c, False, exp, act) for (c, _p, exp, act) in diff]
+    schema = T.StructType([T.StructField("table_name", T.StringType()), T.StructField("rule", T.StringType()),
+                           T.StructField("column_name", T.StringType()), T.StructField("success", T.BooleanType()),
+                           T.StructField("expected", T.StringType()), T.StructField("actual", T.StringType())])
+    return spark.createDataFrame(rows, schema)
+
+
+@register("q_quality_coerce", None)
+def q_quality_coerce(spark, d):
+    """DQ18: coerce orders to the declared row model; values lost per column."""
+    _out, lost = Q.coerce(B.read_table(spark, d, "orders"), ORDERS_MODEL)
+    return lost
+
+
+@register("q_quality_rows", "SELECT row_key, rule, column_name, value FROM (\n" + "\nUNION ALL\n".join(
+    f"""SELECT o_orderkey AS row_key, '{r.name}' AS rule, '{r.column}' AS column_name, CAST({r.column} AS VARCHAR) AS value,
+       row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders
+    WHERE {O.rule_predicates_sql(r)[0]} AND NOT coalesce({O.rule_predicates_sql(r)[1]}, false)"""
+    for r in ROW_MODEL) + "\n) WHERE rn <= 10")
+def q_quality_rows(spark, d):
+    """DQ16 + O5: row-model failures per rule, first 10 rows per rule by key."""
+    errs = Q.row_errors(B.read_table(spark, d, "orders"), "o_orderkey", ROW_MODEL)
+    return Q.capped_errors(errs, 10)
+
+
+@register("q_quality_summary", "WITH res AS (\n" + _quality_sql_union() + """
+)
+SELECT table_name, count(*) FILTER (WHERE success) AS expectations_met, count(*) AS total_expectations,
+       coalesce(string_agg(CASE WHEN NOT success THEN rule END, ',' ORDER BY rule), '') AS failures,
+       bool_and(success) AS success, 'validated' AS status FROM res GROUP BY table_name
+UNION ALL SELECT 'silver_features', CAST(0 AS BIGINT), CAST(0 AS BIGINT), '', false, 'missing'
+  FROM (SELECT 1 FROM orders LIMIT 1)""")
+def q_quality_summary(spark, d):
+    """DQ19 + DQ20: per-table suite summary plus a missing contract table,
+    which counts as a failure."""
+    s = Q.suite_summary(_quality_results(spark, d))
+    s = s.select("table_name", "expectations_met", "total_expectations",
+                 F.array_join(F.col("failures"), ",").alias("failures"), "success",
+                 F.lit("validated").alias("status"))
+    probe = B.read_table(spark, d, "orders").limit(1).select(
+        F.lit("silver_features").alias("table_name"), F.lit(0).cast("bigint").alias("expectations_met"),
+        F.lit(0).cast("bigint").alias("total_expectations"), F.lit("").alias("failures"),
+        F.lit(False).alias("success"), F.lit("missing").alias("status"))
+    return s.unionByName(probe)

@@ -363,3 +363,70 @@ def duration_case(col: str) -> str:
 
 def participants_base(*extra: str) -> str:
     return "WITH " + ",\n".join([PARTICIPANTS, *extra]) + "\n"
+
+
+# ---------------------------------------------------------------- data quality
+def _sql_lit(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else repr(v)
+
+
+def rule_sql(rule, table: str) -> str:
+    """The same evaluation as operators.quality.evaluate, as one SQL SELECT."""
+    c, k = rule.column, rule.kind
+    head = f"SELECT '{table}' AS table_name, '{rule.name}' AS rule, {('' + repr(c)) if c else 'NULL'} AS column_name"
+    head = head.replace('"', "'")
+    if k in ("row_count_between", "max_between", "mean_between", "stdev_between", "quantile_between"):
+        obs = {"row_count_between": "CAST(count(*) AS DOUBLE)",
+               "max_between": (f"CAST(date_diff('day', DATE '1970-01-01', CAST(max({c}) AS DATE)) AS DOUBLE)"
+                               if rule.is_date else f"CAST(max({c}) AS DOUBLE)"),
+               "mean_between": f"avg({c})", "stdev_between": f"stddev_samp({c})",
+               "quantile_between": f"quantile_cont({c}, {rule.quantile})"}[k]
+        conds = [f"({obs}) IS NOT NULL"]
+        if rule.min_value is not None:
+            conds.append(f"({obs}) >= {rule.bound(rule.min_value)!r}")
+        if rule.max_value is not None:
+            conds.append(f"({obs}) <= {rule.bound(rule.max_value)!r}")
+        return (f"{head}, CAST(count(*) AS BIGINT) AS n, CAST(NULL AS BIGINT) AS n_fail, CAST(NULL AS DOUBLE) AS ratio, "
+                f"{r(obs)} AS observed, CAST(NULL AS DOUBLE) AS mostly, coalesce({' AND '.join(conds)}, false) AS success "
+                f"FROM {table}")
+    evaluated, passes = rule_predicates_sql(rule)
+    n = f"count(*) FILTER (WHERE {evaluated})"
+    nf = f"count(*) FILTER (WHERE ({evaluated}) AND NOT coalesce({passes}, false))"
+    ratio = f"CASE WHEN {n} > 0 THEN CAST({n} - {nf} AS DOUBLE) / {n} END"
+    return (f"{head}, CAST({n} AS BIGINT) AS n, CAST({nf} AS BIGINT) AS n_fail, {r(ratio)} AS ratio, "
+            f"CAST(NULL AS DOUBLE) AS observed, {r(repr(float(rule.mostly)))} AS mostly, "
+            f"coalesce({ratio} >= {float(rule.mostly)!r}, true) AS success FROM {table}")
+
+
+def rule_predicates_sql(rule) -> tuple[str, str]:
+    """(evaluated-row predicate, passing predicate) of a row rule in SQL."""
+    c, k = rule.column, rule.kind
+    evaluated = {"not_null": "true"}.get(k, f"{c} IS NOT NULL")
+    if k in ("pair_ge", "pair_equal", "pair_not_equal"):
+        evaluated = f"{c} IS NOT NULL AND {rule.other} IS NOT NULL"
+    if k == "not_null":
+        passes = f"{c} IS NOT NULL"
+    elif k == "between":
+        parts = ["true"]
+        if rule.min_value is not None:
+            parts.append(f"{c} >= {rule.min_value!r}")
+        if rule.max_value is not None:
+            parts.append(f"{c} <= {rule.max_value!r}")
+        passes = " AND ".join(parts)
+    elif k == "in_set":
+        passes = f"{c} IN ({', '.join(_sql_lit(v) for v in rule.values)})"
+    elif k == "regex":
+        passes = f"regexp_matches(CAST({c} AS VARCHAR), '{rule.pattern}')"
+    elif k == "length_between":
+        passes = f"length({c}) BETWEEN {rule.min_value} AND {rule.max_value}"
+    elif k == "pair_ge":
+        passes = f"{c} >= {rule.other}"
+    elif k == "pair_equal":
+        passes = f"{c} = {rule.other}"
+    elif k == "pair_not_equal":
+        passes = f"{c} <> {rule.other}"
+    elif k == "castable":
+        passes = f"TRY_CAST(CAST({c} AS VARCHAR) AS {rule.type_name.upper()}) IS NOT NULL"
+    else:
+        raise ValueError(k)
+    return evaluated, passes
