@@ -17,6 +17,7 @@ from paneldeck.plans import bindings as B
 from paneldeck.plans import oracle as O
 from paneldeck.plans import pipelines as P
 from paneldeck.plans.finalize import finalize
+from paneldeck.session import cut_lineage
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 CATS = list(PART_KEYWORDS)
@@ -709,3 +710,209 @@ def q_quality_summary(spark, d):
         F.lit(0).cast("bigint").alias("total_expectations"), F.lit("").alias("failures"),
         F.lit(False).alias("success"), F.lit("missing").alias("status"))
     return s.unionByName(probe)
+
+
+# ------------------------------------------------------------------ ingest
+
+from paneldeck.functions import clean as C  # noqa: E402
+from paneldeck.operators import sheets as S  # noqa: E402
+from paneldeck.plans import sheet_bindings as SB  # noqa: E402
+
+
+@register("q_parse_number", f"""SELECT event_id, props, {O._parse_num('props')} AS k_value FROM events""")
+def q_parse_number(spark, d):
+    """Messy-number parse of every event's props text ('{{"k": 69}}' -> 69)."""
+    e = B.read_table(spark, d, "events").select("event_id", "props")
+    return e.withColumn("k_value", C.parse_number("props"))
+
+
+@register("q_trailing_int", """SELECT p_partkey, p_brand,
+  CASE WHEN regexp_extract(trim(p_brand), '(\\d+)$', 1) = '' THEN NULL
+       ELSE TRY_CAST(regexp_extract(trim(p_brand), '(\\d+)$', 1) AS BIGINT) END AS brand_no FROM part""")
+def q_trailing_int(spark, d):
+    """Trailing integer of every part brand ('Brand#17' -> 17)."""
+    p = B.read_table(spark, d, "part").select("p_partkey", "p_brand")
+    return p.withColumn("brand_no", C.trailing_int("p_brand"))
+
+
+@register("q_norm_text", f"""SELECT doc_id, {O._norm('text')} AS norm_text FROM documents WHERE lang = 'en'""")
+def q_norm_text(spark, d):
+    """Normalised text (lower, trimmed, single spaces) of every English document."""
+    doc = B.read_table(spark, d, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+    return doc.select("doc_id", C.norm_text("text").alias("norm_text"))
+
+
+@register("q_serial_date", f"""SELECT p_partkey,
+  {O._mixed_date("CAST(44000 + p_size AS VARCHAR)")} AS serial_date,
+  {O._mixed_date("strftime(DATE '1899-12-30' + (44000 + p_size), '%Y-%m-%d')")} AS text_date FROM part""")
+def q_serial_date(spark, d):
+    """Spreadsheet serial numbers and ISO text parse to the same date."""
+    p = B.read_table(spark, d, "part").select("p_partkey", "p_size")
+    serial = (F.lit(44000) + F.col("p_size")).cast("string")
+    text = F.date_format(F.date_add(F.lit("1899-12-30").cast("date"), F.lit(44000) + F.col("p_size")), "yyyy-MM-dd")
+    return p.select("p_partkey", C.parse_mixed_date(serial).alias("serial_date"), C.parse_mixed_date(text).alias("text_date"))
+
+
+def _food_cells_sql(*extra):
+    return "WITH " + ",\n".join([FOOD_SQL_CELLS, *O.header_ctes("cells_f", "f_"), *extra]) + "\n"
+
+
+FOOD_SQL_CELLS = O.FOOD_CELLS
+
+
+@register("q_header_detect", _food_cells_sql() + "SELECT source_path, sheet_name, header_row, header_inferred FROM f_hr")
+def q_header_detect(spark, d):
+    """I4 + I7: header row per sheet (row 0, or sniffed when row 0 looks wrong)."""
+    return S.choose_header_row(cut_lineage(SB.food_log_cells(spark, d)))
+
+
+def _both_cells_sql(*extra):
+    ctes = [O.FOOD_ROWS, O.DAILY, O.MEASURES, O.FOOD_CELLS, O.LABEL_CELLS,
+            "cells_all AS (SELECT * FROM cells_f UNION ALL SELECT * FROM cells_l)",
+            *O.header_ctes("cells_all", "a_"), *O.kind_ctes("cells_all", "a_"), *extra]
+    return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def _all_cells(spark, d):
+    # stage boundary: the cell table feeds many self-joins downstream; a
+    # reliable checkpoint keeps plans small and survives executor loss
+    return cut_lineage(SB.food_log_cells(spark, d).unionByName(SB.label_cells(spark, d)))
+
+
+def _sheet_stage(spark, d, cells=None):
+    """cells -> (cells, header rows, normalised headers), each materialised."""
+    cells = cells if cells is not None else _all_cells(spark, d)
+    hr = cut_lineage(S.choose_header_row(cells))
+    h = cut_lineage(S.normalized_headers(cells, hr))
+    return cells, hr, h
+
+
+@register("q_sheet_kind", _both_cells_sql() + """SELECT n.source_path, n.sheet_name, n.is_nutrition, l.is_label,
+  (SELECT string_agg(name, ',' ORDER BY col_no) FROM a_hd h WHERE h.source_path = n.source_path AND h.sheet_name = n.sheet_name) AS headers
+FROM a_nut n JOIN a_lab l ON n.source_path = l.source_path AND n.sheet_name = l.sheet_name""")
+def q_sheet_kind(spark, d):
+    """I5 + I6 + I8: per sheet the nutrition / label-style classification and
+    its normalised, de-duplicated header names."""
+    cells, hr, h = _sheet_stage(spark, d)
+    names = h.groupBy(*S.SHEET).agg(F.array_join(F.sort_array(F.collect_list(F.struct("col_no", "name"))).getField("name"), ",")
+                                    .alias("headers"))
+    return S.nutrition_sheets(h).join(S.label_sheets(cells, hr), S.SHEET).join(names, S.SHEET)
+
+
+def _tidy_labels(spark, d, stage=None):
+    cells, hr, h = stage if stage is not None else _sheet_stage(spark, d)
+    lab = S.label_sheets(cells, hr).filter("is_label").select(*S.SHEET)
+    lc = cells.join(lab, S.SHEET, "left_semi")
+    return S.tidy_label_sheets(lc, hr, h)
+
+
+LABEL_COLS = ["subject_id", "metric", "phase", "week", "value", "tp_index", "timepoint", "note", "sheet_name",
+              "source_path", "row_no", "col_no"]
+
+
+@register("q_label_parse", _both_cells_sql(
+    "lcells AS (SELECT c.* FROM cells_all c JOIN a_lab l ON c.source_path = l.source_path AND c.sheet_name = l.sheet_name WHERE l.is_label)",
+    *O.header_ctes("lcells", "l_"), *O.kind_ctes("lcells", "l_")[1:2], *O.label_parse_ctes("l_"))
+          + "SELECT " + ", ".join(O.r('value', 2) + " AS value" if c == "value" else c for c in LABEL_COLS) + " FROM l_tidy")
+def q_label_parse(spark, d):
+    """Label-style sheets unpivoted and parsed into tidy measures."""
+    return finalize(_tidy_labels(spark, d).select(*LABEL_COLS), {"value": 2})
+
+
+STD_COLS = ["source_path", "sheet_name", "row_no", "date", "food", "fiber_g", "calories_kcal", "protein_g", "carb_g",
+            "subject_id"]
+
+
+def _std_sql() -> str:
+    from paneldeck.operators.sheets import FIELD_TERMS, GENERIC_FIBER_TERMS
+
+    def any_of(terms):
+        return "(" + " OR ".join(f"contains(name, '{t}')" for t in terms) + ")"
+    specs = {f: any_of(t) for f, t in FIELD_TERMS.items()}
+    specs["insoluble"] = "contains(name, 'insoluble')"
+    specs["soluble"] = "(contains(name, 'soluble') AND NOT contains(name, 'insoluble'))"
+    specs["fiber"] = f"({any_of(GENERIC_FIBER_TERMS)} AND NOT contains(name, 'soluble'))"
+    specs["subject"] = "(contains(name, 'subject') AND contains(name, 'id'))"
+    res = ", ".join(f"min(col_no) FILTER (WHERE {c}) AS c_{f}" for f, c in specs.items())
+    raw = ", ".join(f"max(CASE WHEN d.col_no = r.c_{f} THEN d.value END) AS raw_{f}" for f in specs)
+    return _both_cells_sql(
+        "lcells AS (SELECT c.* FROM cells_all c JOIN a_lab l ON c.source_path = l.source_path AND c.sheet_name = l.sheet_name WHERE l.is_label)",
+        *O.header_ctes("lcells", "l_"), *O.kind_ctes("lcells", "l_")[1:2], *O.label_parse_ctes("l_"),
+        "ncells AS (SELECT c.* FROM cells_all c JOIN a_nut n ON c.source_path = n.source_path AND c.sheet_name = n.sheet_name WHERE n.is_nutrition)",
+        f"res AS (SELECT source_path, sheet_name, {res} FROM a_hd GROUP BY source_path, sheet_name)",
+        f"""rows AS (SELECT d.source_path, d.sheet_name, d.row_no, {raw}
+   FROM a_data d JOIN ncells n ON d.source_path = n.source_path AND d.sheet_name = n.sheet_name AND d.row_no = n.row_no AND d.col_no = n.col_no
+   JOIN res r ON d.source_path = r.source_path AND d.sheet_name = r.sheet_name
+   GROUP BY d.source_path, d.sheet_name, d.row_no)""") + f"""
+SELECT x.source_path, x.sheet_name, x.row_no, {O._mixed_date('raw_date')} AS date, raw_food AS food,
+       {O.r(f"CASE WHEN {O._parse_num('raw_insoluble')} IS NOT NULL AND {O._parse_num('raw_soluble')} IS NOT NULL THEN {O._parse_num('raw_insoluble')} + {O._parse_num('raw_soluble')} ELSE {O._parse_num('raw_fiber')} * CASE WHEN contains(lower(raw_fiber), 'mg') THEN 0.001 ELSE 1.0 END END", 4)} AS fiber_g,
+       {O.r(O._parse_num('raw_calories_kcal'), 4)} AS calories_kcal, {O.r(O._parse_num('raw_protein_g'), 4)} AS protein_g,
+       {O.r(O._parse_num('raw_carb_g'), 4)} AS carb_g, coalesce(raw_subject, w.workbook_subject_id) AS subject_id
+FROM rows x LEFT JOIN l_wb w ON x.source_path = w.source_path"""
+
+
+@register("q_standardize", _std_sql())
+def q_standardize(spark, d):
+    """I13-I16 + I11/J8: nutrition sheets standardised to food rows (dates,
+    nutrients, fiber resolution), subject from the row or the workbook."""
+    cells, hr, h = _sheet_stage(spark, d)
+    nut = S.nutrition_sheets(h).filter("is_nutrition").select(*S.SHEET)
+    res = S.resolve_columns(h.join(nut, S.SHEET, "left_semi"))
+    wb = S.workbook_subject(_tidy_labels(spark, d, (cells, hr, h)))
+    out = S.standardize_nutrition(cells.join(nut, S.SHEET, "left_semi"), hr, res, wb)
+    return finalize(out.select(*STD_COLS), default=4)
+
+
+DAY_SQL = f"""WITH {O.EVENTS},
+dd AS (SELECT subject_id, date, avg(CASE WHEN event_type = 'purchase' THEN value END) AS w FROM ev GROUP BY subject_id, date),
+sp AS (SELECT subject_id, min(date) AS d0, max(date) AS d1 FROM dd GROUP BY subject_id),
+cells_d AS (
+  SELECT 'daily/' || CAST(dd.subject_id AS VARCHAR) || '_Sheet1.csv' AS source_path, 'Sheet1' AS sheet_name, 2 AS row_no,
+         CAST(4 + datediff('day', sp.d0, dd.date) AS INTEGER) AS col_no, CAST(CAST(floor(w) AS BIGINT) AS VARCHAR) AS value
+  FROM dd JOIN sp ON dd.subject_id = sp.subject_id
+  UNION ALL SELECT 'daily/' || CAST(subject_id AS VARCHAR) || '_Sheet1.csv', 'Sheet1', 2, 0, 'Weight in the Morning' FROM sp
+  UNION ALL SELECT 'daily/' || CAST(subject_id AS VARCHAR) || '_Sheet1.csv', 'Sheet1', 2, 1, 'lbs' FROM sp
+  UNION ALL SELECT 'daily/' || CAST(subject_id AS VARCHAR) || '_Sheet1.csv', 'Sheet1', 0, c, v
+    FROM sp, (VALUES (0, 'Day'), (1, 'Unit'), (2, 'Goal'), (3, 'Notes')) t(c, v)
+  UNION ALL SELECT 'daily/' || CAST(subject_id AS VARCHAR) || '_Sheet1.csv', 'Sheet1', 0,
+         CAST(4 + datediff('day', d0, d1) + 1 + k AS INTEGER), v
+    FROM sp, (VALUES (0, 'participant_id'), (1, 'category'), (2, 'notes')) t(k, v)),
+hit AS (SELECT source_path, sheet_name, min(row_no) AS r FROM cells_d WHERE contains(value, 'Weight in the Morning') GROUP BY ALL),
+wid AS (SELECT source_path, sheet_name, max(col_no) + 1 AS w FROM cells_d GROUP BY ALL),
+wt AS (SELECT c.source_path, c.sheet_name, c.col_no, c.value, TRY_CAST(c.value AS DOUBLE) AS v FROM cells_d c
+       JOIN hit h ON c.source_path = h.source_path AND c.sheet_name = h.sheet_name
+       JOIN wid x ON c.source_path = x.source_path AND c.sheet_name = x.sheet_name
+       WHERE c.row_no = h.r AND c.col_no >= 4 AND c.col_no < x.w - 3),
+pre AS (SELECT * FROM (SELECT *, sum(CASE WHEN v IS NULL OR v < 80 OR v > 400 THEN 1 ELSE 0 END)
+          OVER (PARTITION BY source_path, sheet_name ORDER BY col_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bad
+        FROM wt WHERE value IS NOT NULL) WHERE bad = 0),
+rng AS (SELECT * FROM wt WHERE v BETWEEN 50 AND 500)
+SELECT s.source_path, s.sheet_name, CAST(coalesce(p.n_prefix, 0) AS BIGINT) AS n_prefix, p.first_prefix, p.last_prefix,
+       CAST(coalesce(g.n_range, 0) AS BIGINT) AS n_range, g.mean_range
+FROM (SELECT DISTINCT source_path, sheet_name FROM wt) s
+LEFT JOIN (SELECT source_path, sheet_name, count(*) AS n_prefix, arg_min(v, col_no) AS first_prefix, arg_max(v, col_no) AS last_prefix
+           FROM pre GROUP BY ALL) p ON s.source_path = p.source_path AND s.sheet_name = p.sheet_name
+LEFT JOIN (SELECT source_path, sheet_name, count(*) AS n_range, {O.r('avg(v)', 4)} AS mean_range FROM rng GROUP BY ALL) g
+  ON s.source_path = g.source_path AND s.sheet_name = g.sheet_name"""
+
+
+@register("q_day_sheet", DAY_SQL)
+def q_day_sheet(spark, d):
+    """I17 + I19 + I20: weights from each day sheet's 'Weight in the Morning'
+    row: the valid prefix (80-400, stop at first invalid) and the 50-500
+    range filter with day numbers."""
+    w = S.day_sheet_weights(SB.day_sheet_cells(spark, d)).cache()
+    pre = S.valid_prefix(w).groupBy(*S.SHEET).agg(
+        F.count(F.lit(1)).alias("n_prefix"), F.min_by("v", "col_no").alias("first_prefix"),
+        F.max_by("v", "col_no").alias("last_prefix"))
+    rng = S.valid_range_filter(w).groupBy(*S.SHEET).agg(F.max("day").alias("n_range"), F.avg("v").alias("mean_range"))
+    out = w.select(*S.SHEET).distinct().join(pre, S.SHEET, "left").join(rng, S.SHEET, "left")
+    out = out.select(*S.SHEET, F.coalesce("n_prefix", F.lit(0)).cast("bigint").alias("n_prefix"), "first_prefix",
+                     "last_prefix", F.coalesce("n_range", F.lit(0)).cast("bigint").alias("n_range"), "mean_range")
+    return finalize(out, {"mean_range": 4})
+
+
+@register("q_summary_sheet", None)
+def q_summary_sheet(spark, d):
+    """key/value summary sheets -> subject, starting and final weight."""
+    return S.summary_values(SB.summary_cells(spark, d))

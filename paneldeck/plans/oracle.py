@@ -430,3 +430,172 @@ def rule_predicates_sql(rule) -> tuple[str, str]:
     else:
         raise ValueError(k)
     return evaluated, passes
+
+
+# ---------------------------------------------------------------- cell tables
+def _parse_num(v: str) -> str:
+    s = f"trim({v})"
+    cleaned = f"regexp_replace(regexp_replace({s}, '[^0-9.,+\\-]', '', 'g'), ',', '', 'g')"
+    return (f"(CASE WHEN {s} IS NULL OR lower({s}) IN ('', 'nan', 'none', 'null') THEN NULL "
+            f"WHEN {cleaned} = '' THEN NULL ELSE TRY_CAST({cleaned} AS DOUBLE) END)")
+
+
+def _mixed_date(v: str) -> str:
+    s = f"trim({v})"
+    return (f"(CASE WHEN TRY_CAST({s} AS DOUBLE) IS NOT NULL "
+            f"THEN DATE '1899-12-30' + CAST(floor(TRY_CAST({s} AS DOUBLE)) AS INTEGER) "
+            f"ELSE CAST(coalesce(try_strptime({s}, '%Y-%m-%d'), try_strptime({s}, '%Y-%m-%d %H:%M:%S'), "
+            f"try_strptime({s}, '%m/%d/%Y'), try_strptime({s}, '%Y/%m/%d')) AS DATE) END)")
+
+
+def _norm(v: str) -> str:
+    return f"regexp_replace(lower(trim(coalesce(CAST({v} AS VARCHAR), ''))), '\\s+', ' ', 'g')"
+
+
+FOOD_CELLS = """fl AS (
+  SELECT 'logs/customer_' || CAST(o.o_custkey AS VARCHAR) || '.xlsx' AS source_path,
+         'order_' || CAST(o.o_orderkey AS VARCHAR) AS sheet_name,
+         CASE WHEN o.o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS off,
+         row_number() OVER (PARTITION BY l.l_orderkey ORDER BY l.l_linenumber, l.l_partkey, l.l_quantity,
+                            l.l_extendedprice, l.l_tax, l.l_returnflag) AS rn,
+         CAST(o.o_orderdate AS DATE) AS day, l.l_returnflag, p.p_name, l.l_quantity, l.l_extendedprice, l.l_tax,
+         o.o_custkey
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey),
+fsheets AS (SELECT DISTINCT source_path, sheet_name, off FROM fl),
+cells_f AS (
+  SELECT source_path, sheet_name, CAST(rn + off AS INTEGER) AS row_no, 0 AS col_no,
+         CASE WHEN l_returnflag = 'R' THEN CAST(datediff('day', DATE '1899-12-30', day) AS VARCHAR)
+              ELSE strftime(day, '%Y-%m-%d') END AS value FROM fl
+  UNION ALL SELECT source_path, sheet_name, CAST(rn + off AS INTEGER), 1, p_name FROM fl
+  UNION ALL SELECT source_path, sheet_name, CAST(rn + off AS INTEGER), 2, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ' g' FROM fl
+  UNION ALL SELECT source_path, sheet_name, CAST(rn + off AS INTEGER), 3, '~' || CAST(CAST(floor(l_extendedprice) AS BIGINT) AS VARCHAR) FROM fl
+  UNION ALL SELECT source_path, sheet_name, CAST(rn + off AS INTEGER), 4, CAST(CAST(floor(l_tax * 100) AS BIGINT) AS VARCHAR) || 'g/day' FROM fl
+  UNION ALL SELECT source_path, sheet_name, CAST(rn + off AS INTEGER), 5, CASE WHEN rn = 1 THEN CAST(o_custkey AS VARCHAR) END FROM fl
+  UNION ALL SELECT source_path, sheet_name, off, 0, 'Date' FROM fsheets
+  UNION ALL SELECT source_path, sheet_name, off, 1, 'Food Item' FROM fsheets
+  UNION ALL SELECT source_path, sheet_name, off, 2, 'Dietary Fiber (g)' FROM fsheets
+  UNION ALL SELECT source_path, sheet_name, off, 3, 'Calories' FROM fsheets
+  UNION ALL SELECT source_path, sheet_name, off, 4, 'Protein (g)' FROM fsheets
+  UNION ALL SELECT source_path, sheet_name, off, 5, 'Subject ID' FROM fsheets
+  UNION ALL SELECT source_path, sheet_name, 0, 0, 'Daily food log' FROM fsheets WHERE off = 1)"""
+
+LABEL_CELLS = """lw AS (
+  SELECT m.subject_id, m.week, arg_min(m.value, m.tp_index) AS weight, count(*) AS energy,
+         count(*) FILTER (WHERE o.o_orderstatus = 'F') AS mood
+  FROM meas m JOIN orders o ON m.tp_index = o.o_orderkey WHERE m.week >= 0 GROUP BY m.subject_id, m.week),
+lw2 AS (SELECT *, 'logs/customer_' || CAST(subject_id AS VARCHAR) || '.xlsx' AS source_path, 'measures' AS sheet_name,
+               row_number() OVER (PARTITION BY subject_id ORDER BY week) AS k FROM lw),
+cells_l AS (
+  SELECT source_path, sheet_name, CAST(2 + (k - 1) * 3 + 0 AS INTEGER) AS row_no, 0 AS col_no,
+         CASE WHEN week = 0 THEN 'Starting Weight' ELSE 'Weight End Week ' || CAST(week AS VARCHAR) END AS value FROM lw2
+  UNION ALL SELECT source_path, sheet_name, CAST(2 + (k - 1) * 3 AS INTEGER), 1, CAST(weight AS VARCHAR) FROM lw2
+  UNION ALL SELECT source_path, sheet_name, CAST(2 + (k - 1) * 3 + 1 AS INTEGER), 0,
+         CASE WHEN week = 0 THEN 'Starting Energy' ELSE 'Energy End Week ' || CAST(week AS VARCHAR) END FROM lw2
+  UNION ALL SELECT source_path, sheet_name, CAST(2 + (k - 1) * 3 + 1 AS INTEGER), 1, CAST(energy AS VARCHAR) FROM lw2
+  UNION ALL SELECT source_path, sheet_name, CAST(2 + (k - 1) * 3 + 2 AS INTEGER), 0,
+         CASE WHEN week = 0 THEN 'Starting Mood' ELSE 'Mood End Week ' || CAST(week AS VARCHAR) END FROM lw2
+  UNION ALL SELECT source_path, sheet_name, CAST(2 + (k - 1) * 3 + 2 AS INTEGER), 1, CAST(mood AS VARCHAR) FROM lw2
+  UNION ALL SELECT DISTINCT source_path, sheet_name, 0, 0, 'Label' FROM lw2
+  UNION ALL SELECT DISTINCT source_path, sheet_name, 0, 1, 'Timepoint 1' FROM lw2
+  UNION ALL SELECT DISTINCT source_path, sheet_name, 1, 0, 'Subject ID' FROM lw2
+  UNION ALL SELECT DISTINCT source_path, sheet_name, 1, 1, CAST(subject_id AS VARCHAR) FROM lw2)"""
+
+
+def header_ctes(src: str, p: str) -> list[str]:
+    """I4 + I7 + I8 over cell CTE ``src``; CTE names prefixed by ``p``."""
+    return [f"""{p}rows AS (
+  SELECT source_path, sheet_name, row_no, count(value) AS nn, count(DISTINCT value) AS nd,
+         max(CASE WHEN value IS NOT NULL AND TRY_CAST(value AS DOUBLE) IS NULL THEN 1 ELSE 0 END) AS has_text
+  FROM {src} GROUP BY source_path, sheet_name, row_no)""",
+            f"""{p}sn AS (
+  SELECT s.source_path, s.sheet_name,
+         coalesce(min(r.row_no) FILTER (WHERE r.nn >= 2 AND r.nd >= 2 AND r.has_text = 1), 0) AS sniffed_row
+  FROM (SELECT DISTINCT source_path, sheet_name FROM {src}) s
+  LEFT JOIN {p}rows r ON s.source_path = r.source_path AND s.sheet_name = r.sheet_name
+  GROUP BY s.source_path, s.sheet_name)""",
+            f"""{p}st AS (
+  SELECT source_path, sheet_name, max(col_no) + 1 AS ncols,
+         count(DISTINCT CASE WHEN row_no > 0 THEN row_no END) AS nrows,
+         count(*) FILTER (WHERE row_no = 0 AND value IS NOT NULL AND trim(value) <> '') AS named,
+         count(*) FILTER (WHERE row_no > 0 AND col_no = 0 AND value IS NOT NULL) AS col0_filled
+  FROM {src} GROUP BY source_path, sheet_name)""",
+            f"""{p}hr AS (
+  SELECT st.source_path, st.sheet_name,
+         (nrows = 0 OR (nrows - col0_filled) > nrows * 0.8 OR (ncols - named) > ncols * 0.5) AS header_inferred,
+         CASE WHEN (nrows = 0 OR (nrows - col0_filled) > nrows * 0.8 OR (ncols - named) > ncols * 0.5)
+              THEN sn.sniffed_row ELSE 0 END AS header_row
+  FROM {p}st st JOIN {p}sn sn ON st.source_path = sn.source_path AND st.sheet_name = sn.sheet_name)""",
+            f"""{p}pos AS (
+  SELECT c.source_path, c.sheet_name, unnest(generate_series(0, max(c.col_no))) AS col_no
+  FROM {src} c JOIN {p}hr h ON c.source_path = h.source_path AND c.sheet_name = h.sheet_name
+  WHERE c.row_no >= h.header_row GROUP BY c.source_path, c.sheet_name)""",
+            f"""{p}h0 AS (
+  SELECT q.source_path, q.sheet_name, q.col_no, {_norm('c.value')} AS raw_name
+  FROM {p}pos q JOIN {p}hr h ON q.source_path = h.source_path AND q.sheet_name = h.sheet_name
+  LEFT JOIN {src} c ON c.source_path = q.source_path AND c.sheet_name = q.sheet_name AND c.col_no = q.col_no
+                    AND c.row_no = h.header_row)""",
+            f"""{p}h1 AS (
+  SELECT *, regexp_replace(regexp_replace(raw_name, '[ \\-.]', '_', 'g'), '[()]', '', 'g') AS n FROM {p}h0)""",
+            f"""{p}hd AS (
+  SELECT source_path, sheet_name, col_no, raw_name,
+         CASE WHEN n = '' OR row_number() OVER (PARTITION BY source_path, sheet_name, n ORDER BY col_no) > 1
+              THEN 'unnamed_' || CAST(col_no AS VARCHAR) ELSE n END AS name
+  FROM {p}h1)"""]
+
+
+def kind_ctes(src: str, p: str) -> list[str]:
+    """I5 + I6 on top of header_ctes(src, p)."""
+    from paneldeck.operators.sheets import FIBER_TERMS, LABEL_PATTERNS, NUTRITION_HINTS
+    fib = " OR ".join(f"contains(text, '{t}')" for t in FIBER_TERMS)
+    hint = " OR ".join(f"contains(text, '{t}')" for t in NUTRITION_HINTS)
+    pats = " + ".join(f"coalesce(max(CASE WHEN regexp_matches(t, '{x}') THEN 1 ELSE 0 END), 0)" for x in LABEL_PATTERNS)
+    return [f"""{p}nut AS (
+  SELECT source_path, sheet_name, ({fib}) OR (({hint}) AND has_g = 1) AS is_nutrition
+  FROM (SELECT source_path, sheet_name, string_agg(raw_name, ' ' ORDER BY col_no) AS text,
+               max(CASE WHEN contains(raw_name, 'g') THEN 1 ELSE 0 END) AS has_g
+        FROM {p}hd GROUP BY source_path, sheet_name))""",
+            f"""{p}data AS (
+  SELECT c.* FROM {src} c JOIN {p}hr h ON c.source_path = h.source_path AND c.sheet_name = h.sheet_name
+  WHERE c.row_no > h.header_row)""",
+            f"""{p}lab AS (
+  SELECT n.source_path, n.sheet_name, n.nrows >= 6 AND coalesce(k.score, 0) >= 3 AS is_label
+  FROM (SELECT source_path, sheet_name, count(DISTINCT row_no) AS nrows FROM {p}data GROUP BY ALL) n
+  LEFT JOIN (SELECT source_path, sheet_name, {pats} AS score
+             FROM (SELECT source_path, sheet_name, lower(trim(coalesce(value, 'nan'))) AS t FROM {p}data WHERE col_no = 0)
+             GROUP BY source_path, sheet_name) k
+  ON n.source_path = k.source_path AND n.sheet_name = k.sheet_name)"""]
+
+
+def label_parse_ctes(p: str) -> list[str]:
+    """I9-I12 + I11 on label cells with header_ctes(..., p)."""
+    from paneldeck.operators.sheets import END_60_RE, END_WEEK_RE, START_RE, SUBJECT_RE
+    return [f"""{p}lv AS (
+  SELECT d.source_path, d.sheet_name, d.row_no, d.col_no, d.value, l.label,
+         CASE WHEN hd.raw_name IS NULL OR hd.raw_name = '' THEN 'timepoint_' || CAST(d.col_no AS VARCHAR) ELSE hd.raw_name END AS timepoint
+  FROM {p}data d
+  JOIN (SELECT source_path, sheet_name, row_no, {_norm('value')} AS label FROM {p}data WHERE col_no = 0) l
+    ON d.source_path = l.source_path AND d.sheet_name = l.sheet_name AND d.row_no = l.row_no
+  LEFT JOIN {p}hd hd ON d.source_path = hd.source_path AND d.sheet_name = hd.sheet_name AND d.col_no = hd.col_no
+  WHERE d.col_no >= 1)""",
+            f"""{p}subj AS (
+  SELECT source_path, sheet_name, arg_min(value, col_no * 1000000 + row_no) AS subject_id FROM {p}lv
+  WHERE regexp_matches(label, '{SUBJECT_RE}') AND value IS NOT NULL GROUP BY source_path, sheet_name)""",
+            f"""{p}lp AS (
+  SELECT *, regexp_extract(label, '{START_RE}', 1) AS s, regexp_extract(label, '{END_WEEK_RE}', 1) AS e,
+         regexp_extract(label, '{END_WEEK_RE}', 2) AS ew, regexp_extract(label, '{END_60_RE}', 1) AS s60
+  FROM {p}lv WHERE NOT regexp_matches(label, '{SUBJECT_RE}'))""",
+            f"""{p}tidy AS (
+  SELECT j.subject_id,
+         CASE WHEN s60 <> '' THEN s60 WHEN e <> '' THEN e WHEN s <> '' THEN s END AS metric,
+         CASE WHEN s60 <> '' OR e <> '' THEN 'end' WHEN s <> '' THEN 'start' END AS phase,
+         CAST(CASE WHEN s60 <> '' THEN 60 WHEN e <> '' THEN TRY_CAST(ew AS INTEGER) WHEN s <> '' THEN 0 END AS INTEGER) AS week,
+         CASE WHEN (s60 <> '' OR e <> '') AND {_parse_num('lp.value')} = 0 THEN NULL ELSE {_parse_num('lp.value')} END AS value,
+         CASE WHEN regexp_extract(trim(timepoint), '(\\d+)$', 1) = '' THEN NULL
+              ELSE TRY_CAST(regexp_extract(trim(timepoint), '(\\d+)$', 1) AS BIGINT) END AS tp_index,
+         timepoint, CASE WHEN s60 <> '' THEN '60d' END AS note, lp.sheet_name, lp.source_path, lp.row_no, lp.col_no
+  FROM {p}lp lp LEFT JOIN {p}subj j ON lp.source_path = j.source_path AND lp.sheet_name = j.sheet_name
+  WHERE s60 <> '' OR e <> '' OR s <> '')""",
+            f"""{p}wb AS (
+  SELECT source_path, arg_min(subject_id, sheet_name || '|' || lpad(CAST(col_no AS VARCHAR), 9, '0') || '|' ||
+                                          lpad(CAST(row_no AS VARCHAR), 9, '0')) AS workbook_subject_id
+  FROM {p}tidy WHERE subject_id IS NOT NULL GROUP BY source_path)"""]
