@@ -916,3 +916,135 @@ def q_day_sheet(spark, d):
 def q_summary_sheet(spark, d):
     """key/value summary sheets -> subject, starting and final weight."""
     return S.summary_values(SB.summary_cells(spark, d))
+
+
+# ------------------------------------------------------------------ sources, sinks, reshape, run log
+
+import os  # noqa: E402
+
+from paneldeck import schemas as SC  # noqa: E402
+from paneldeck.operators import runlog as RL  # noqa: E402
+from paneldeck.session import checkpoint_dir  # noqa: E402
+from paneldeck.sources import files as FS  # noqa: E402
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:8]}")
+
+
+@register("q_sink_roundtrip", O.long_base() + f"""
+SELECT CAST(subject_id AS VARCHAR) AS subject_id, date, {O.r('fiber_g_total', 2)} AS fiber_g_total,
+       {O.r('calories_kcal_total', 2)} AS calories_kcal_total, {O.r('carb_g_total', 4)} AS carb_g_total,
+       {O.r('protein_g_total', 4)} AS protein_g_total, {O.r('fat_g_total', 2)} AS fat_g_total, n_entries FROM daily""")
+def q_sink_roundtrip(spark, d):
+    """S10 + S11 + S3: daily rollup aligned to the declared long-dialect schema,
+    written as CSV and Parquet (partitioned by year) to the shared folder, and
+    read back through the typed CSV scan."""
+    daily = B.daily_long(spark, d)
+    aligned = FS.align_to_schema(daily, SC.DAILY_LONG)
+    base = _scratch(spark, "daily_long")
+    FS.save_table(aligned, csv_path=base + "/csv", parquet_path=base + "/parquet")
+    back = FS.read_typed_csv(spark, base + "/csv", SC.DAILY_LONG, date_cols=("date",))
+    return finalize(back, DAILY_SCALES)
+
+
+@register("q_glob_provenance", """SELECT 'event_type=' || event_type AS folder, count(*) AS n_rows,
+  count(DISTINCT user_id) AS n_participants FROM events GROUP BY event_type""")
+def q_glob_provenance(spark, d):
+    """Events written as one folder per type, read back by a recursive
+    glob with provenance columns (file, folder), grouped by folder."""
+    base = _scratch(spark, "events_csv")
+    ev = B.read_table(spark, d, "events").select("user_id", "event_type", "value")
+    ev.write.mode("overwrite").option("header", True).partitionBy("event_type").csv(base)
+    schema = SC._st(("user_id", SC.L), ("value", SC.D))
+    g = FS.read_glob(spark, base, schema, pattern="*.csv", exclude_substring="combined")
+    return g.groupBy("folder").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("n_participants"))
+
+
+@register("q_json_roundtrip", None)
+def q_json_roundtrip(spark, d):
+    """Model coefficients through the JSON sink and typed JSON source."""
+    coefs = q_ols(spark, d)
+    path = _scratch(spark, "ols_json")
+    FS.save_json(coefs, path)
+    return FS.read_json(spark, path, regress.COEF_SCHEMA)
+
+
+@register("q_unpivot", O.long_base() + "\nUNION ALL\n".join(
+    f"SELECT subject_id, date, '{n}' AS nutrient, {O.r(n, 4)} AS value FROM daily" for n in B.DAILY_NUTRIENTS))
+def q_unpivot(spark, d):
+    """U4: daily nutrient totals unpivoted to (subject, date, nutrient, value)."""
+    daily = B.daily_long(spark, d)
+    return finalize(daily.unpivot(["subject_id", "date"], B.DAILY_NUTRIENTS, "nutrient", "value"), default=4)
+
+
+UNION_COLS = ["subject_id", "date", "food", "fiber_g", "calories_kcal", "carb_g", "protein_g", "fat_g", "sugar_g",
+              "insoluble_fiber_g", "soluble_fiber_g", "sheet_name", "source_path"]
+
+
+@register("q_union_align", O.long_base(O.EVENTS) + f"""
+SELECT CAST(subject_id AS VARCHAR) AS subject_id, date, food, {O.r('fiber_g', 4)} AS fiber_g,
+       {O.r('calories_kcal', 4)} AS calories_kcal, {O.r('carb_g', 4)} AS carb_g, {O.r('protein_g', 4)} AS protein_g,
+       {O.r('fat_g', 4)} AS fat_g, CAST(NULL AS DOUBLE) AS sugar_g, CAST(NULL AS DOUBLE) AS insoluble_fiber_g,
+       CAST(NULL AS DOUBLE) AS soluble_fiber_g, 'lineitem' AS sheet_name, CAST(NULL AS VARCHAR) AS source_path FROM fr
+UNION ALL
+SELECT CAST(subject_id AS VARCHAR), date, event_type, CAST(NULL AS DOUBLE), {O.r('value', 4)}, NULL, NULL, NULL, NULL, NULL,
+       NULL, 'events', CAST(NULL AS VARCHAR) FROM ev WHERE event_type = 'purchase'""")
+def q_union_align(spark, d):
+    """U1 + S11: two differently shaped food-row sources unioned by name
+    (missing columns NULL) and aligned to the declared nutrition-rows schema."""
+    a = B.food_rows(spark, d).drop("category", "order_key", "line_no").withColumn("sheet_name", F.lit("lineitem"))
+    e = (B.events_clean(spark, d).filter(F.col("event_type") == "purchase")
+         .select("subject_id", "date", F.col("event_type").alias("food"), F.col("value").alias("calories_kcal"),
+                 F.lit("events").alias("sheet_name")))
+    u = a.unionByName(e, allowMissingColumns=True)
+    return finalize(FS.align_to_schema(u, SC.NUTRITION_ROWS_LONG).select(*UNION_COLS), default=4)
+
+
+@register("q_panel_stats", O.model_long() + """
+SELECT 'analysis_long' AS table_name, count(*) AS n_rows, count(DISTINCT subject_id) AS n_subjects,
+       count(DISTINCT week) AS n_weeks FROM al
+UNION ALL SELECT 'weekly_long', count(*), count(DISTINCT subject_id), count(DISTINCT week_index) FROM weekly
+UNION ALL SELECT 'daily_long', count(*), count(DISTINCT subject_id), CAST(NULL AS BIGINT) FROM daily""")
+def q_panel_stats(spark, d):
+    """M2 + A12 + O2: rows, subjects and weeks of each pipeline output."""
+    parts = [RL.panel_stats(P.analysis_long(spark, d)).select(F.lit("analysis_long").alias("table_name"), "*"),
+             RL.panel_stats(P.weekly_long(spark, d), week="week_index").select(F.lit("weekly_long").alias("table_name"), "*"),
+             RL.panel_stats(B.daily_long(spark, d), week=None).select(
+                 F.lit("daily_long").alias("table_name"), "*", F.lit(None).cast("bigint").alias("n_weeks"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def steps_log(spark, d):
+    """The events table read as a step log (run = user, step = event type)."""
+    e = B.read_table(spark, d, "events")
+    return e.select(F.col("user_id").cast("string").alias("run_id"), F.col("event_type").alias("step"),
+                    F.col("ts").alias("started_at"), F.col("value").alias("seconds"),
+                    F.when(F.col("event_type") == "error", F.lit("failed")).otherwise(F.lit("success")).alias("status"),
+                    F.col("event_id").alias("rows_out"))
+
+
+@register("q_run_metrics", f"""WITH st AS (
+  SELECT CAST(user_id AS VARCHAR) AS run_id, event_type AS step, ts AS started_at, value AS seconds,
+         CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status, event_id AS rows_out FROM events),
+lt AS (SELECT max(started_at) AS latest FROM st)
+SELECT step, count(*) AS n_runs, count(*) FILTER (WHERE status = 'success') AS n_success,
+       count(*) FILTER (WHERE status <> 'success') AS n_failed,
+       {O.r("avg(CASE WHEN status = 'success' THEN 1.0 ELSE 0.0 END)")} AS success_rate,
+       {O.r('avg(seconds)', 4)} AS mean_seconds, {O.r('quantile_cont(seconds, 0.95)', 4)} AS p95_seconds,
+       CAST(coalesce(sum(rows_out), 0) AS BIGINT) AS rows_out,
+       CAST(max(CASE WHEN status = 'success' THEN started_at END) AS VARCHAR) AS last_success,
+       {O.r("(epoch_us((SELECT latest FROM lt)) - epoch_us(max(CASE WHEN status = 'success' THEN started_at END))) / 3.6e9", 4)} AS freshness_hours
+FROM st GROUP BY step""")
+def q_run_metrics(spark, d):
+    """M3 + M4: per-step success counters, exact p95 duration and freshness."""
+    out = RL.step_stats(steps_log(spark, d)).withColumn("last_success", F.col("last_success").cast("string"))
+    return finalize(out, {"success_rate": 6}, default=4)
+
+
+@register("q_run_rollup", """SELECT count(DISTINCT CAST(user_id AS VARCHAR)) AS runs,
+  count(*) FILTER (WHERE event_type <> 'error') AS successes, CAST(coalesce(sum(event_id), 0) AS BIGINT) AS total_rows FROM events""")
+def q_run_rollup(spark, d):
+    """A23 / RP7: runs, successful steps, total rows written."""
+    return RL.run_rollup(steps_log(spark, d))
