@@ -23,7 +23,8 @@ def step_stats(steps: DataFrame) -> DataFrame:
         F.coalesce(F.sum("rows_out"), F.lit(0)).cast("bigint").alias("rows_out"),
         F.max(F.when(ok, F.col("started_at"))).alias("last_success"))
     g = g.crossJoin(F.broadcast(latest))  # one-row scalar
-    hours = (F.unix_micros(F.col("_latest")) - F.unix_micros(F.col("last_success"))) / F.lit(3.6e9)
+    # difference of two wall-clock instants; works for TIMESTAMP and TIMESTAMP_NTZ
+    hours = F.timestamp_diff("MICROSECOND", F.col("last_success"), F.col("_latest")) / F.lit(3.6e9)
     return g.withColumn("freshness_hours", hours).drop("_latest")
 
 
