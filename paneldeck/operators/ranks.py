@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +22,17 @@ from pyspark.sql import functions as F
 from paneldeck.functions.dist import norm_two_sided_p
 
 
+def _eager(one_row: DataFrame, cached: DataFrame) -> DataFrame:
+    """Evaluate a one-row statistics frame now, release the cached input and
+    return the row as a small DataFrame (the value-count tables are never
+    collected, only this single row)."""
+    try:
+        rows = one_row.collect()
+    finally:
+        cached.unpersist()
+    return one_row.sparkSession.createDataFrame(rows, one_row.schema)
+
+
 def _bucket_count(spark) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
 
@@ -63,17 +75,19 @@ def spearman(df: DataFrame, x: str, y: str, min_n: int = 10, buckets: int | None
     rank tables join onto distinct pairs, not raw rows.  One row out:
     ``n, rho, t_stat`` (t with n − 2 df); NULL rho when n < min_n."""
     pairs = df.select(F.col(x).alias("_x"), F.col(y).alias("_y")).dropna()
-    pc = pairs.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("w"))
+    # distinct pairs with counts: reused by both rank tables, the cut-point
+    # sampling and the final join, so it is materialised once
+    pc = pairs.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("w")).persist(StorageLevel.MEMORY_AND_DISK)
     rx = value_rank_table(pc.groupBy("_x").agg(F.sum("w").alias("cnt")), "_x", buckets=buckets)
     ry = value_rank_table(pc.groupBy("_y").agg(F.sum("w").alias("cnt")), "_y", buckets=buckets)
     j = (pc.join(rx.select("_x", F.col("avg_rank").alias("rx")), "_x")
          .join(ry.select("_y", F.col("avg_rank").alias("ry")), "_y"))
     n = F.sum("w")
-    agg = j.agg(n.alias("n"), F.sum(F.col("w") * F.col("rx")).alias("sx"), F.sum(F.col("w") * F.col("ry")).alias("sy"),
+    res = j.agg(n.alias("n"), F.sum(F.col("w") * F.col("rx")).alias("sx"), F.sum(F.col("w") * F.col("ry")).alias("sy"),
                 F.sum(F.col("w") * F.col("rx") * F.col("rx")).alias("sxx"),
                 F.sum(F.col("w") * F.col("ry") * F.col("ry")).alias("syy"),
                 F.sum(F.col("w") * F.col("rx") * F.col("ry")).alias("sxy"))
-    # centred at the known mean rank (n+1)/2 to avoid cancellation
+    agg = _eager(res, pc)
     cxy = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
     cxx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
     cyy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
@@ -91,14 +105,14 @@ def mann_whitney(df: DataFrame, value: str, flag: str, buckets: int | None = Non
     no per-row rank is ever materialised.  One row out."""
     d = df.select(F.col(value).alias("_v"), F.col(flag).alias("_f")).dropna()
     vc = d.groupBy("_v").agg(F.count(F.lit(1)).alias("cnt"),
-                             F.count(F.when(F.col("_f") == 1, 1)).alias("c1"))
+                             F.count(F.when(F.col("_f") == 1, 1)).alias("c1")).persist(StorageLevel.MEMORY_AND_DISK)
     rt = value_rank_table(vc, "_v", buckets=buckets).join(vc.select("_v", "c1"), "_v")
     sums = rt.agg(F.sum(F.col("c1") * F.col("avg_rank")).alias("r1"),
                   F.sum(F.col("cnt") * F.col("cnt") * F.col("cnt") - F.col("cnt")).alias("tie_term"))
     meds = d.agg(F.count(F.when(F.col("_f") == 1, 1)).alias("n1"), F.count(F.when(F.col("_f") == 0, 1)).alias("n0"),
                  F.median(F.when(F.col("_f") == 1, F.col("_v"))).alias("median_1"),
                  F.median(F.when(F.col("_f") == 0, F.col("_v"))).alias("median_0"))
-    out = meds.crossJoin(sums)
+    out = _eager(meds.crossJoin(sums), vc)
     u1 = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
     out = out.withColumn("u_stat", u1)
     return out.select(F.col("n1").cast("bigint"), F.col("n0").cast("bigint"), "median_1", "median_0", "u_stat",

@@ -72,13 +72,13 @@ def _solve(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def ols(df: DataFrame, y: str, xs: list[str], model: str = "ols") -> ModelResult:
     """ST3: pooled OLS with intercept: coef, classical se, t, p, R², mse, df."""
-    data = complete_cases(df.select(y, *xs), [y, *xs])
-    cols = [*xs, y]
-    n, means = M.global_means(data, cols)
-    k = len(xs)
-    if n == 0:
-        return ModelResult(model, "no_data", fit={"observations": 0.0})
-    m = M.centred_cross(data, cols, means)
+    with M.pinned(complete_cases(df.select(y, *xs), [y, *xs])) as data:
+        cols = [*xs, y]
+        n, means = M.global_means(data, cols)
+        k = len(xs)
+        if n == 0:
+            return ModelResult(model, "no_data", fit={"observations": 0.0})
+        m = M.centred_cross(data, cols, means)
     sxx, sxy, syy = m[:k, :k], m[:k, k], m[k, k]
     beta, inv = _solve(sxx, sxy)
     mx, my = means[:k], means[k]
@@ -104,13 +104,13 @@ def fe_within(df: DataFrame, y: str, xs: list[str], group: str, dof: str = "naiv
 
     ``dof='naive'`` keeps the reference's n − k (Q6); ``dof='within'`` also
     subtracts the absorbed subject means (n − k − G)."""
-    data = complete_cases(df.select(group, y, *xs), [group, y, *xs])
-    cols = [*xs, y]
-    n, means = M.global_means(data, cols)
-    k = len(xs)
-    if n == 0:
-        return ModelResult(model, "no_data", fit={"observations": 0.0})
-    w, n, g = M.within_cross(data, group, cols, means)
+    with M.pinned(complete_cases(df.select(group, y, *xs), [group, y, *xs])) as data:
+        cols = [*xs, y]
+        n, means = M.global_means(data, cols)
+        k = len(xs)
+        if n == 0:
+            return ModelResult(model, "no_data", fit={"observations": 0.0})
+        w, n, g = M.within_cross(data, group, cols, means)
     wxx, wxy, wyy = w[:k, :k], w[:k, k], w[k, k]
     beta, inv = _solve(wxx, wxy)
     rss = max(wyy - 2 * beta @ wxy + beta @ wxx @ beta, 0.0)
@@ -133,13 +133,15 @@ def cluster_ols(df: DataFrame, y: str, xs: list[str], group: str, model: str = "
     score of subject g is s_g = W_xy,g − W_xx,g β, all from per-subject
     moments; V = G/(G−1)·(N−1)/(N−K)·B (Σ s_g s_gᵀ) B with K = k + G;
     normal-based inference as in the reference's robust fit."""
-    data = complete_cases(df.select(group, y, *xs), [group, y, *xs])
-    cols = [*xs, y]
-    n, means = M.global_means(data, cols)
-    k = len(xs)
-    if n == 0:
-        return ModelResult(model, "no_data", fit={"observations": 0.0})
-    gm = M.group_moment_table(data, group, cols, means).persist()
+    with M.pinned(complete_cases(df.select(group, y, *xs), [group, y, *xs])) as data:
+        cols = [*xs, y]
+        n, means = M.global_means(data, cols)
+        k = len(xs)
+        if n == 0:
+            return ModelResult(model, "no_data", fit={"observations": 0.0})
+        # per-subject moments: the only input of the remaining two passes
+        gm = M.group_moment_table(data, group, cols, means).persist()
+        gm.count()
     try:
         wexpr = M.within_expr(k + 1)
         aggs = [F.sum(wexpr[(i, j)]).alias(f"w{i}_{j}") for i in range(k + 1) for j in range(i, k + 1)]

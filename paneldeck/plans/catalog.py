@@ -50,6 +50,14 @@ def q_kw_daily(spark, d):
     return P.kw_daily(spark, d)
 
 
+@register("q_daily_flags", O.long_base() + "SELECT subject_id, date, " + ", ".join(
+    O.r(n, DAILY_SCALES[n]) + f" AS {n}" for n in B.DAILY_NUTRIENTS) + ", n_entries, "
+          + ", ".join(f"kw_{c}" for c in CATS) + " FROM dflags")
+def q_daily_flags(spark, d):
+    """J1 + P8: daily totals left-joined with daily keyword flags (missing = 0)."""
+    return finalize(P.daily_with_flags(spark, d), DAILY_SCALES)
+
+
 @register("q_weekly_long", O.long_base() + f"SELECT {O.weekly_long_select()} FROM weekly")
 def q_weekly_long(spark, d):
     """P5 week index + J1/P8 daily flags + A2 weekly rollup (long dialect)."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from paneldeck.functions.dictionaries import PART_KEYWORDS
 from paneldeck.operators import assemble, keywords, panel, rollup
 from paneldeck.plans import bindings as B
+from paneldeck.session import cut_lineage
 
 
 def kw_daily(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
@@ -16,26 +17,37 @@ def kw_daily(spark: SparkSession, d: str, rows: DataFrame | None = None) -> Data
     return keywords.keyword_flags(rows, ["subject_id", "date"], "food", PART_KEYWORDS, prefix="kw_")
 
 
-def daily_with_flags(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def daily_with_flags(spark: SparkSession, d: str) -> DataFrame:
+    """J1 + P8 as written in the reference: daily totals ⟕ daily flags."""
     rows = B.food_rows(spark, d)
-    daily = B.daily_long(spark, d, rows)
-    flags = kw_daily(spark, d, rows)
-    return assemble.prepare_daily(daily, flags, B.KW_FLAGS), daily
+    return assemble.prepare_daily(B.daily_long(spark, d, rows), kw_daily(spark, d, rows), B.KW_FLAGS)
 
 
-def weekly_long(spark: SparkSession, d: str) -> DataFrame:
-    dflags, _ = daily_with_flags(spark, d)
+def daily_flags(spark: SparkSession, d: str) -> DataFrame:
+    """Daily totals + flags in one aggregate over the food rows, materialised
+    once in the shared checkpoint folder: the weekly rollup, the week origin
+    and the measurements all read this (much smaller) table instead of
+    re-running the lineitem ⋈ orders ⋈ part join."""
+    fused = keywords.daily_totals_and_flags(B.food_rows(spark, d), ["subject_id", "date"], B.NUTRIENTS, "food",
+                                            PART_KEYWORDS)
+    return cut_lineage(fused)
+
+
+def weekly_long(spark: SparkSession, d: str, daily: DataFrame | None = None) -> DataFrame:
+    dflags = daily if daily is not None else daily_flags(spark, d)
     dflags = rollup.add_week_index(dflags, out="week_index")
     return rollup.weekly_rollup_long(dflags, B.DAILY_NUTRIENTS, B.KW_FLAGS)
 
 
-def trajectories_long(spark: SparkSession, d: str) -> DataFrame:
-    m = B.measures_long(spark, d)
+def trajectories_long(spark: SparkSession, d: str, daily: DataFrame | None = None) -> DataFrame:
+    daily = daily if daily is not None else daily_flags(spark, d)
+    m = B.measures_long(spark, d, daily.select("subject_id", "date"))
     return panel.weight_trajectories_long(m)
 
 
 def analysis_long(spark: SparkSession, d: str) -> DataFrame:
-    return assemble.align_long(trajectories_long(spark, d), weekly_long(spark, d))
+    daily = daily_flags(spark, d)
+    return assemble.align_long(trajectories_long(spark, d, daily), weekly_long(spark, d, daily))
 
 
 def trajectories_wide(spark: SparkSession, d: str) -> DataFrame:
