@@ -788,11 +788,13 @@ def _all_cells(spark, d):
 
 
 def _sheet_stage(spark, d, cells=None):
-    """cells -> (cells, header rows, normalised headers), each materialised."""
+    """cells -> (cells with their header row, header rows, normalised
+    headers), each materialised once for the several consumers."""
     cells = cells if cells is not None else _all_cells(spark, d)
     hr = cut_lineage(S.choose_header_row(cells))
-    h = cut_lineage(S.normalized_headers(cells, hr))
-    return cells, hr, h
+    ch = cut_lineage(cells.join(hr.select(*S.SHEET, "header_row"), S.SHEET))
+    h = cut_lineage(S.normalized_headers(ch, hr))
+    return ch, hr, h
 
 
 @register("q_sheet_kind", _both_cells_sql() + """SELECT n.source_path, n.sheet_name, n.is_nutrition, l.is_label,
@@ -866,7 +868,7 @@ def q_standardize(spark, d):
     cells, hr, h = _sheet_stage(spark, d)
     nut = S.nutrition_sheets(h).filter("is_nutrition").select(*S.SHEET)
     res = S.resolve_columns(h.join(nut, S.SHEET, "left_semi"))
-    wb = S.workbook_subject(_tidy_labels(spark, d, (cells, hr, h)))
+    wb = cut_lineage(S.workbook_subject(_tidy_labels(spark, d, (cells, hr, h))))
     out = S.standardize_nutrition(cells.join(nut, S.SHEET, "left_semi"), hr, res, wb)
     return finalize(out.select(*STD_COLS), default=4)
 
