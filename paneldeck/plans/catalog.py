@@ -1058,3 +1058,121 @@ def q_run_metrics(spark, d):
 def q_run_rollup(spark, d):
     """A23 / RP7: runs, successful steps, total rows written."""
     return RL.run_rollup(steps_log(spark, d))
+
+
+# ------------------------------------------------------------------ more report tables
+
+from paneldeck.functions.dictionaries import DOCUMENT_KEYWORDS  # noqa: E402
+
+
+@register("q_kw_documents", "SELECT doc_id, " + ", ".join(
+    f"CAST({O.flag('t', p)} AS INTEGER) AS {c}_flag, CAST({O.mentions('t', p)} AS INTEGER) AS {c}_mentions"
+    for c, p in DOCUMENT_KEYWORDS.items())
+          + " FROM (SELECT doc_id, " + O.unicode_words("lower(coalesce(text, ''))")
+          + " AS t FROM documents WHERE lang = 'en')")
+def q_kw_documents(spark, d):
+    """A5 on whole texts: per English document, keyword flags and mention counts."""
+    doc = B.read_table(spark, d, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+    t = F.lower(F.coalesce(F.col("text"), F.lit("")))
+    cols = []
+    for c, p in DOCUMENT_KEYWORDS.items():
+        cols.append(t.rlike("(?i)" + p).cast("int").alias(f"{c}_flag"))
+        cols.append(F.regexp_count(t, F.lit("(?i)" + p)).cast("int").alias(f"{c}_mentions"))
+    return doc.select("doc_id", *cols)
+
+
+@register("q_calories_trend", _with(O.model_long(), O.trend_sql("al", "calories_kcal_total_week_mean", LONG_Y)))
+def q_calories_trend(spark, d):
+    """RP4 + ST11: calories vs next-observation change with its fitted trend."""
+    g = regress.trend_grid(model_panel_long(spark, d), None, "calories_kcal_total_week_mean", LONG_Y)
+    return finalize(g.select(F.col("i").cast("int"), "x", "yhat", "se_mean"), default=4)
+
+
+@register("q_subject_bands", None)
+def q_subject_bands(spark, d):
+    """RP2 + O3 + ST11: trajectory bands (fitted line ± t·se) of the first 8
+    subjects by id, on a 100-point week grid."""
+    t = P.trajectories_long(spark, d)
+    first = t.select("subject_id").distinct().orderBy("subject_id").limit(8)
+    sub = t.join(F.broadcast(first), "subject_id", "left_semi")
+    return regress.trend_grid(sub, "subject_id", "week", "value")
+
+
+NUTRI_DESCRIBE = ["fiber_g_total", "calories_kcal_total", "n_entries"]
+
+
+def _describe_sql_over(src_cte: str, cols: list[str]) -> str:
+    stats = [("count", "CAST(count({c}) AS DOUBLE)"), ("mean", "avg({c})"), ("std", "stddev_samp({c})"),
+             ("min", "min({c})"), ("25%", "quantile_cont({c}, 0.25)"), ("50%", "quantile_cont({c}, 0.5)"),
+             ("75%", "quantile_cont({c}, 0.75)"), ("max", "max({c})")]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS statistic, " + ", ".join(O.r(f.format(c=c), 4) + f' AS "{c}"' for c in cols)
+        + f" FROM {src_cte}" for name, f in stats)
+
+
+@register("q_nutrition_overview", O.long_base() + _describe_sql_over("daily", NUTRI_DESCRIBE))
+def q_nutrition_overview(spark, d):
+    """RP8 + A14: distribution summary of the daily nutrition totals."""
+    return finalize(D.describe(B.daily_long(spark, d), NUTRI_DESCRIBE), default=4)
+
+
+@register("q_study_summary", O.model_wide() + f"""
+, fin AS (SELECT max(week) AS fw FROM traj_w),
+lastw AS (SELECT t.delta_from_baseline_kg AS dv FROM traj_w t, fin WHERE t.week = fin.fw AND t.delta_from_baseline_kg IS NOT NULL)
+SELECT 'n_subjects' AS metric, CAST(count(DISTINCT subject_id) AS DOUBLE) AS value FROM merged
+UNION ALL SELECT 'n_observations', CAST(count(*) AS DOUBLE) FROM merged
+UNION ALL SELECT 'study_weeks', CAST(max(week) AS DOUBLE) FROM merged
+UNION ALL SELECT 'final_mean_change', {O.r('avg(dv)', 4)} FROM lastw
+UNION ALL SELECT 'final_sd_change', {O.r('stddev_samp(dv)', 4)} FROM lastw
+UNION ALL SELECT 'final_share_losing', {O.r('avg(CASE WHEN dv < 0 THEN 1.0 ELSE 0.0 END)')} FROM lastw
+UNION ALL SELECT 'mean_fiber', {O.r('avg(fiber_g_week)', 4)} FROM merged
+UNION ALL SELECT 'sd_fiber', {O.r('stddev_samp(fiber_g_week)', 4)} FROM merged
+UNION ALL SELECT 'share_widget_weeks', {O.r('avg(CAST(widget_week AS DOUBLE))')} FROM merged
+UNION ALL SELECT 'share_gear_weeks', {O.r('avg(CAST(gear_week AS DOUBLE))')} FROM merged
+UNION ALL SELECT 'fiber_next_delta_r', {O.r('CASE WHEN var_pop(fiber_g_week) * var_pop(delta_kg_next) > 0 THEN covar_pop(fiber_g_week, delta_kg_next) / sqrt(var_pop(fiber_g_week) * var_pop(delta_kg_next)) END')} FROM merged""")
+def q_study_summary(spark, d):
+    """RP9: the study summary panel (A20, A21, A24, ST8) as (metric, value)."""
+    m = model_panel_wide(spark, d)
+    last = D.outcome_summary(P.trajectories_wide(spark, d), "subject_id", "week", "delta_from_baseline_kg")
+    base = m.agg(F.countDistinct("subject_id").cast("double").alias("n_subjects"),
+                 F.count(F.lit(1)).cast("double").alias("n_observations"),
+                 F.max("week").cast("double").alias("study_weeks"),
+                 F.round(F.avg("fiber_g_week"), 4).alias("mean_fiber"),
+                 F.round(F.stddev_samp("fiber_g_week"), 4).alias("sd_fiber"),
+                 F.round(F.avg(F.col("widget_week").cast("double")), 6).alias("share_widget_weeks"),
+                 F.round(F.avg(F.col("gear_week").cast("double")), 6).alias("share_gear_weeks"),
+                 F.round(F.try_divide(F.covar_pop("fiber_g_week", "delta_kg_next"),
+                                      F.sqrt(F.var_pop("fiber_g_week") * F.var_pop("delta_kg_next"))), 6)
+                 .alias("fiber_next_delta_r"))
+    fin = last.select(F.round("mean_change", 4).alias("final_mean_change"), F.round("sd_change", 4).alias("final_sd_change"),
+                      F.round("share_losing", 6).alias("final_share_losing"))
+    one = base.crossJoin(fin)  # two one-row aggregates
+    names = ["n_subjects", "n_observations", "study_weeks", "final_mean_change", "final_sd_change", "final_share_losing",
+             "mean_fiber", "sd_fiber", "share_widget_weeks", "share_gear_weeks", "fiber_next_delta_r"]
+    return finalize(one.unpivot([], names, "metric", "value"))
+
+
+@register("q_soft_load", None)
+def q_soft_load(spark, d):
+    """The three pipeline inputs written as CSV to the shared folder,
+    then a soft multi-file load where one expected input is absent (status
+    table), the strict load's failure list and optional-source discovery."""
+    base = _scratch(spark, "inputs")
+    m = B.measures_long(spark, d).select(F.col("subject_id").cast("string").alias("subject_id"), "metric", "phase",
+                                         "week", "value", "tp_index")
+    FS.save_table(FS.align_to_schema(m, SC.MEASURES_LONG), csv_path=base + "/tidy.csv")
+    FS.save_table(FS.align_to_schema(B.daily_long(spark, d), SC.DAILY_LONG), csv_path=base + "/daily.csv")
+    specs = {"tidy": (base + "/tidy.csv", SC.MEASURES_LONG), "daily": (base + "/daily.csv", SC.DAILY_LONG),
+             "nutrition_rows": (base + "/nutrition_rows.csv", SC.NUTRITION_ROWS_LONG)}
+    loaded, status = FS.load_soft(spark, specs)
+    counts = {k: v.count() for k, v in loaded.items()}
+    try:
+        FS.load_strict(spark, specs)
+        strict = "ok"
+    except FileNotFoundError:
+        strict = "missing"
+    opt = FS.first_existing(spark, [(base + "/nutrition_rows.csv", SC.NUTRITION_ROWS_LONG),
+                                    (base + "/daily.csv", SC.DAILY_LONG)])
+    rows = F.create_map(*[x for k, v in counts.items() for x in (F.lit(k), F.lit(v))])
+    return status.select("name", "status", rows[F.col("name")].cast("bigint").alias("rows"),
+                         F.lit(strict).alias("strict_load"), F.lit(opt is not None).alias("optional_found"))

@@ -20,6 +20,15 @@ def _rx(p: str) -> str:
     return "'(?i)" + p.replace("'", "''") + "'"
 
 
+def unicode_words(text: str) -> str:
+    """Java (and the reference's Python) treat accented letters and
+    non-ASCII digits as word characters for ``\\b``; RE2 does not.  Mapping
+    them to an ASCII letter / digit gives RE2 the same boundaries (dictionary
+    words are ASCII, so nothing else about a match changes)."""
+    return (f"regexp_replace(regexp_replace({text}, '[^\\x00-\\x7F\\P{{L}}]', 'x', 'g'), "
+            f"'[^\\x00-\\x7F\\P{{N}}]', '0', 'g')")
+
+
 def flag(text: str, pattern: str) -> str:
     return f"CASE WHEN regexp_matches({text}, {_rx(pattern)}) THEN 1 ELSE 0 END"
 
