@@ -7,6 +7,7 @@ rows, or inside Arrow-batched pandas UDFs.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -92,7 +93,20 @@ def t_cdf(t, df):
 
 
 def t_ppf(q, df, iters: int = 200):
-    """Quantile of Student's t by bisection on the CDF (monotone, robust)."""
+    """Quantile of Student's t by bisection on the CDF (monotone, robust).
+
+    Evaluated once per distinct (q, df) pair: a column of per-subject degrees
+    of freedom has few distinct values."""
+    q, df = np.broadcast_arrays(np.asarray(q, float), np.asarray(df, float))
+    if q.size > 1:
+        pairs = np.stack([q.ravel(), df.ravel()], axis=1)
+        uniq, inv = np.unique(pairs, axis=0, return_inverse=True)
+        if len(uniq) < len(pairs):
+            return _t_ppf(uniq[:, 0], uniq[:, 1], iters)[inv.ravel()].reshape(q.shape)
+    return _t_ppf(q, df, iters)
+
+
+def _t_ppf(q, df, iters: int = 200):
     q, df = np.broadcast_arrays(np.asarray(q, float), np.asarray(df, float))
     lo = np.full(q.shape, -1e3)
     hi = np.full(q.shape, 1e3)
@@ -132,3 +146,52 @@ def t_quantile_udf(q: pd.Series, df: pd.Series) -> pd.Series:
 @F.pandas_udf(T.DoubleType())
 def z_pvalue_udf(z: pd.Series) -> pd.Series:
     return pd.Series(norm_two_sided_p(z.astype(float).to_numpy()))
+
+
+# --- JVM-side quantile column ---------------------------------------------
+
+_T_TABLE_MAX = 1000
+
+
+def _cornish_fisher(z: float):
+    """Coefficients of the Cornish-Fisher expansion of the t quantile in 1/df
+    (Abramowitz & Stegun 26.7.5)."""
+    g1 = (z ** 3 + z) / 4.0
+    g2 = (5 * z ** 5 + 16 * z ** 3 + 3 * z) / 96.0
+    g3 = (3 * z ** 7 + 19 * z ** 5 + 17 * z ** 3 - 15 * z) / 384.0
+    g4 = (79 * z ** 9 + 776 * z ** 7 + 1482 * z ** 5 - 1920 * z ** 3 - 945 * z) / 92160.0
+    return g1, g2, g3, g4
+
+
+def _norm_ppf(p: float) -> float:
+    lo, hi = -40.0, 40.0
+    for _ in range(200):
+        mid = 0.5 * (lo + hi)
+        if 0.5 * math.erfc(-mid / math.sqrt(2.0)) < p:
+            lo = mid
+        else:
+            hi = mid
+    return 0.5 * (lo + hi)
+
+
+@functools.lru_cache(maxsize=16)
+def _t_table(q: float) -> tuple:
+    return tuple(_t_ppf(np.full(_T_TABLE_MAX, q), np.arange(1, _T_TABLE_MAX + 1, dtype=float)))
+
+
+def t_quantile_col(q: float, df_col):
+    """Student-t quantile of a fixed probability ``q`` for a column of degrees
+    of freedom, evaluated inside the JVM (no Python worker): exact values for
+    df = 1..1000 are computed once here and embedded as a literal array (a
+    table bounded by construction); larger df use the Cornish-Fisher series,
+    whose error is O(df^-5).  Non-integer or non-positive df give NULL."""
+    table = _t_table(float(q))
+    arr = F.array(*[F.lit(float(v)) for v in table])
+    z = _norm_ppf(q)
+    g1, g2, g3, g4 = _cornish_fisher(z)
+    nu = df_col.cast("double")
+    series = F.lit(z) + F.lit(g1) / nu + F.lit(g2) / (nu * nu) + F.lit(g3) / (nu * nu * nu) + F.lit(g4) / (nu * nu * nu * nu)
+    idx = df_col.cast("int")
+    return (F.when(df_col.isNull() | (nu < 1) | (nu != F.floor(nu)), F.lit(None).cast("double"))
+            .when(nu <= _T_TABLE_MAX, F.element_at(arr, idx))
+            .otherwise(series))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneldeck.functions.clean import null_nan, safe_div
-from paneldeck.functions.dist import t_quantile_udf
+from paneldeck.functions.dist import t_quantile_col
 
 
 def step_deltas(df: DataFrame, subject: str, order: list[str], value: str,
@@ -56,7 +56,7 @@ def weight_trajectories_long(measures: DataFrame, metric: str = "weight", subjec
     slope = F.when(F.col("_n") >= 2, F.col("_b"))
     se = F.when(F.col("_n") > 2, F.sqrt(F.greatest(F.lit(0.0), F.col("_syy") - F.col("_b") * F.col("_sxy"))
                                         / (F.col("_n") - 2) / F.col("_sxx")))
-    tcrit = F.when(F.col("_n") > 2, t_quantile_udf(F.lit(0.975), (F.col("_n") - 2).cast("double")))
+    tcrit = F.when(F.col("_n") > 2, t_quantile_col(0.975, F.col("_n") - 2))
     stats = stats.select(
         subject, "start_weight",
         slope.alias("slope_kg_per_week"),

@@ -228,7 +228,7 @@ def trend_grid(df: DataFrame, group: str | None, x: str, y: str, points: int = 1
                level: float = 0.95) -> DataFrame:
     """ST11: fitted line and mean-confidence band on an evenly spaced grid of
     ``points`` x values between the group's min and max x."""
-    from paneldeck.functions.dist import t_quantile_udf
+    from paneldeck.functions.dist import t_quantile_col
     d = df.select(*([group] if group else []), F.col(x).cast("double").alias("x"),
                   F.col(y).cast("double").alias("y")).dropna()
     keys = [group] if group else []
@@ -242,7 +242,7 @@ def trend_grid(df: DataFrame, group: str | None, x: str, y: str, points: int = 1
     gx = F.col("x_min") + (F.col("x_max") - F.col("x_min")) * F.col("i") / F.lit(points - 1)
     grid = grid.withColumn("x", gx).withColumn("yhat", F.col("a") + F.col("b") * F.col("x"))
     grid = grid.withColumn("se_mean", s * F.sqrt(1 / F.col("n") + F.try_divide((F.col("x") - F.col("x_bar")) ** 2, F.col("sxx"))))
-    tq = t_quantile_udf(F.lit(0.5 + level / 2), (F.col("n") - 2).cast("double"))
+    tq = t_quantile_col(0.5 + level / 2, F.col("n") - 2)
     grid = grid.withColumn("_t", F.when(F.col("n") > 2, tq))
     return grid.select(*keys, "i", "x", "yhat", "se_mean",
                        (F.col("yhat") - F.col("_t") * F.col("se_mean")).alias("lower"),

@@ -196,3 +196,14 @@ def test_mixed_model_matches_direct_likelihood(spark, reml):
     assert res.fit["log_likelihood"] == pytest.approx(ll, abs=1e-3)
     assert np.allclose(res.coef, beta, rtol=1e-3, atol=1e-3)
     assert np.allclose(res.se, np.sqrt(np.diag(scale * np.linalg.inv(xvx))), rtol=1e-2)
+
+
+def test_t_quantile_column_matches_numpy(spark):
+    from pyspark.sql import functions as F
+    from paneldeck.functions.dist import t_quantile_col
+    dfs = [1, 2, 3, 10, 431, 1000, 1001, 2500, 100000]
+    df = spark.createDataFrame([(d,) for d in dfs], "n long")
+    got = [r["q"] for r in df.select(t_quantile_col(0.975, F.col("n")).alias("q")).collect()]
+    exp = t_ppf(0.975, np.array(dfs, float))
+    assert np.allclose(got, exp, rtol=1e-9, atol=1e-10)
+    assert df.select(t_quantile_col(0.975, F.lit(0)).alias("q")).first()["q"] is None
