@@ -15,7 +15,7 @@ from paneldeck.functions.dictionaries import PART_KEYWORDS
 from paneldeck.operators import keywords, panel
 from paneldeck.plans import bindings as B
 from paneldeck.plans import oracle as O
-from paneldeck.plans import pipelines as P
+from paneldeck.plans import panels as P
 from paneldeck.plans.finalize import finalize
 from paneldeck.session import cut_lineage
 

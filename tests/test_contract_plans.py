@@ -63,7 +63,7 @@ def static_plans(spark):
 
 
 def test_weekly_rollup_reuses_subject_partitioning(static_plans):
-    from paneldeck.plans import pipelines as P
+    from paneldeck.plans import panels as P
     p = _plan(P.weekly_long(static_plans, SMALL))
     # one hash exchange by subject feeds the week-origin window and the weekly rollup
     assert p.count("Exchange hashpartitioning") == 1
@@ -71,7 +71,7 @@ def test_weekly_rollup_reuses_subject_partitioning(static_plans):
 
 
 def test_wide_windows_share_one_sort(static_plans):
-    from paneldeck.plans import pipelines as P
+    from paneldeck.plans import panels as P
     import re
     p = _plan(P.trajectories_wide(static_plans, SMALL))
     # the (subject, date) rollup shuffles once; all seven windows share one
