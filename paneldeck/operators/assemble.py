@@ -59,8 +59,8 @@ def merge_wide(trajectories: DataFrame, weekly: DataFrame | None, keywords: Data
     zero-fills every column ending in ``_week`` (Q3), which also zeroes missing
     weekly intake, entry counts and an unfittable slope.
     Medians for the high-fiber / high-calorie flags are taken after the fill
-    and before rows without a next delta are dropped (Q4); the median is one
-    aggregate row cross-joined (a one-row broadcast).
+    and before rows without a next delta are dropped (Q4); they are one
+    aggregate row, evaluated once and used as literals.
     """
     out = left_join_or_self(trajectories, weekly, [subject, week])
     out = left_join_or_self(out, keywords, [subject, week])
@@ -70,12 +70,15 @@ def merge_wide(trajectories: DataFrame, weekly: DataFrame | None, keywords: Data
     else:
         out = fill_zero(out, [f"{c}_week" for c in categories])
     if high_flags and "fiber_g_week" in out.columns and "calories_week" in out.columns:
-        med = out.agg(F.median("fiber_g_week").alias("_fm"), F.median("calories_week").alias("_cm"))
-        out = out.crossJoin(F.broadcast(med))
+        # The two global medians are one aggregate row, evaluated
+        # first and inlined as literals (no join at all)
+        med = out.agg(F.median("fiber_g_week").alias("fm"), F.median("calories_week").alias("cm")).first()
+        fm = F.lit(med["fm"]).cast("double")
+        cm = F.lit(med["cm"]).cast("double")
         out = out.withColumns({
-            "high_fiber_week": F.coalesce((F.col("fiber_g_week") > F.col("_fm")).cast("int"), F.lit(0)),
-            "high_calorie_week": F.coalesce((F.col("calories_week") > F.col("_cm")).cast("int"), F.lit(0)),
-        }).drop("_fm", "_cm")
+            "high_fiber_week": F.coalesce((F.col("fiber_g_week") > fm).cast("int"), F.lit(0)),
+            "high_calorie_week": F.coalesce((F.col("calories_week") > cm).cast("int"), F.lit(0)),
+        })
     if drop_no_target:
         out = out.filter(F.col("delta_kg_next").isNotNull())
     return out

@@ -70,19 +70,22 @@ def histogram(df: DataFrame, value: str, bins: int | None = None, max_bins: int
     """RP5: equal-width histogram between min and max, last edge inclusive;
     empty bins are kept.  ``bins=None`` uses min(max_bins, n // 2) (at least 1)."""
     d = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    st = d.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"))
-    nb = F.lit(bins) if bins else F.greatest(F.lit(1), F.least(F.lit(max_bins), F.floor(F.col("n") / 2).cast("int")))
-    st = st.withColumn("nb", nb.cast("int"))
-    width = (F.col("hi") - F.col("lo")) / F.col("nb")
-    idx = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
-        F.least(F.floor((F.col("v") - F.col("lo")) / width), F.col("nb") - 1)).cast("int")
-    counts = d.crossJoin(F.broadcast(st)).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = st.select(F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bin"), "lo", "hi", "nb")
-    grid = grid.withColumn("bin_lower", F.col("lo") + F.col("bin") * (F.col("hi") - F.col("lo")) / F.col("nb"))
-    grid = grid.withColumn("bin_upper", F.col("lo") + (F.col("bin") + 1) * (F.col("hi") - F.col("lo")) / F.col("nb"))
-    out = grid.join(counts, "bin", "left").select(
+    st = d.agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    spark = df.sparkSession
+    schema = "bin int, bin_lower double, bin_upper double, count bigint"
+    if not st["n"]:
+        return spark.createDataFrame([], schema)
+    lo, hi, n = float(st["lo"]), float(st["hi"]), int(st["n"])
+    nb = int(bins) if bins else max(1, min(max_bins, n // 2))
+    width = (hi - lo) / nb
+    idx = (F.lit(0) if hi == lo else F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(nb - 1))).cast("int")
+    counts = d.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    # the bin grid has nb <= max_bins rows: built from the bounds, not the data
+    grid = spark.range(nb).select(F.col("id").cast("int").alias("bin"))
+    grid = grid.select("bin", (F.lit(lo) + F.col("bin") * F.lit(hi - lo) / F.lit(nb)).alias("bin_lower"),
+                       (F.lit(lo) + (F.col("bin") + 1) * F.lit(hi - lo) / F.lit(nb)).alias("bin_upper"))
+    return grid.join(counts, "bin", "left").select(
         "bin", "bin_lower", "bin_upper", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
-    return out
 
 
 DESCRIBE_STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
@@ -175,12 +178,12 @@ def weekly_prevalence(df: DataFrame, week: str, flags: list[str]) -> DataFrame:
 
 
 def outcome_summary(df: DataFrame, subject: str, week: str, value: str) -> DataFrame:
-    """A24 + J7: at the final study week (scalar max joined back): mean ± sd of
+    """A24 + J7: at the final study week (the scalar max, used as a literal filter): mean ± sd of
     the outcome, subjects losing (< 0), their share and the range."""
-    final = df.agg(F.max(week).alias("_final"))
-    last = df.join(F.broadcast(final), F.col(week) == F.col("_final")).filter(F.col(value).isNotNull())
+    final = df.agg(F.max(week).alias("_final")).first()["_final"]
+    last = df.filter((F.col(week) == F.lit(final)) & F.col(value).isNotNull())
     return last.agg(
-        F.max("_final").alias("final_week"),
+        F.lit(final).cast(dict(df.dtypes)[week]).alias("final_week"),
         F.countDistinct(subject).alias("n_subjects"),
         F.avg(value).alias("mean_change"), F.stddev_samp(value).alias("sd_change"),
         F.count(F.when(F.col(value) < 0, 1)).alias("n_losing"),

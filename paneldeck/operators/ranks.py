@@ -112,7 +112,15 @@ def mann_whitney(df: DataFrame, value: str, flag: str, buckets: int | None = Non
     meds = d.agg(F.count(F.when(F.col("_f") == 1, 1)).alias("n1"), F.count(F.when(F.col("_f") == 0, 1)).alias("n0"),
                  F.median(F.when(F.col("_f") == 1, F.col("_v"))).alias("median_1"),
                  F.median(F.when(F.col("_f") == 0, F.col("_v"))).alias("median_0"))
-    out = _eager(meds.crossJoin(sums), vc)
+    try:
+        m, sm = meds.first(), sums.first()
+    finally:
+        vc.unpersist()
+    spark = df.sparkSession
+    fl = lambda x: None if x is None else float(x)
+    out = spark.createDataFrame([(m["n1"], m["n0"], fl(m["median_1"]), fl(m["median_0"]), fl(sm["r1"]),
+                                  fl(sm["tie_term"]))],
+                                "n1 bigint, n0 bigint, median_1 double, median_0 double, r1 double, tie_term double")
     u1 = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
     out = out.withColumn("u_stat", u1)
     return out.select(F.col("n1").cast("bigint"), F.col("n0").cast("bigint"), "median_1", "median_0", "u_stat",

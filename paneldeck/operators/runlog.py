@@ -11,7 +11,7 @@ def step_stats(steps: DataFrame) -> DataFrame:
     """M3: per step runs, successes, failures, success rate, mean and exact
     p95 duration, rows written; M4: hours between the latest logged step and
     the step's latest success (freshness, independent of wall-clock time)."""
-    latest = steps.agg(F.max("started_at").alias("_latest"))
+    latest = steps.agg(F.max("started_at").alias("_latest")).first()["_latest"]
     ok = F.col("status") == "success"
     g = steps.groupBy("step").agg(
         F.count(F.lit(1)).alias("n_runs"),
@@ -22,10 +22,10 @@ def step_stats(steps: DataFrame) -> DataFrame:
         F.percentile("seconds", F.lit(0.95)).alias("p95_seconds"),
         F.coalesce(F.sum("rows_out"), F.lit(0)).cast("bigint").alias("rows_out"),
         F.max(F.when(ok, F.col("started_at"))).alias("last_success"))
-    g = g.crossJoin(F.broadcast(latest))  # one-row scalar
     # difference of two wall-clock instants; works for TIMESTAMP and TIMESTAMP_NTZ
-    hours = F.timestamp_diff("MICROSECOND", F.col("last_success"), F.col("_latest")) / F.lit(3.6e9)
-    return g.withColumn("freshness_hours", hours).drop("_latest")
+    latest_col = F.lit(latest).cast(dict(steps.dtypes)["started_at"])
+    hours = F.timestamp_diff("MICROSECOND", F.col("last_success"), latest_col) / F.lit(3.6e9)
+    return g.withColumn("freshness_hours", hours)
 
 
 def run_rollup(steps: DataFrame) -> DataFrame:

@@ -1146,10 +1146,11 @@ def q_study_summary(spark, d):
                  .alias("fiber_next_delta_r"))
     fin = last.select(F.round("mean_change", 4).alias("final_mean_change"), F.round("sd_change", 4).alias("final_sd_change"),
                       F.round("share_losing", 6).alias("final_share_losing"))
-    one = base.crossJoin(fin)  # two one-row aggregates
-    names = ["n_subjects", "n_observations", "study_weeks", "final_mean_change", "final_sd_change", "final_share_losing",
-             "mean_fiber", "sd_fiber", "share_widget_weeks", "share_gear_weeks", "fiber_next_delta_r"]
-    return finalize(one.unpivot([], names, "metric", "value"))
+    b_names = ["n_subjects", "n_observations", "study_weeks", "mean_fiber", "sd_fiber", "share_widget_weeks",
+               "share_gear_weeks", "fiber_next_delta_r"]
+    f_names = ["final_mean_change", "final_sd_change", "final_share_losing"]
+    long = base.unpivot([], b_names, "metric", "value").unionByName(fin.unpivot([], f_names, "metric", "value"))
+    return finalize(long)
 
 
 @register("q_soft_load", None)
