@@ -41,11 +41,15 @@ def align_long(trajectories: DataFrame, weekly: DataFrame | None, subject: str =
                week: str = "week", weekly_week: str = "week_index", tie: str | None = "tp_index") -> DataFrame:
     """J2 + W4: trajectories left-joined with weekly features on (subject, week),
     then the next observation's baseline delta (lead over the subject's rows
-    ordered by week and the tie-break column)."""
+    ordered by week and the tie-break column, computed per week segment so a
+    very large subject is not ordered in a single task)."""
     w = weekly.withColumnRenamed(weekly_week, week) if weekly is not None else None
     out = left_join_or_self(trajectories, w, [subject, week])
-    order = [week] + ([tie] if tie and tie in out.columns else [])
-    win = Window.partitionBy(subject).orderBy(*order)
+    if tie and tie in out.columns:
+        # skew-safe: ordered per (subject, week) plus a per-week boundary table
+        from paneldeck.operators.panel import segmented_lead
+        return segmented_lead(out, subject, week, [tie], "delta_kg", "delta_kg_next")
+    win = Window.partitionBy(subject).orderBy(week)
     return out.withColumn("delta_kg_next", F.lead("delta_kg").over(win))
 
 

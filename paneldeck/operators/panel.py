@@ -142,3 +142,25 @@ def calendar_spine(subjects: DataFrame, daily: DataFrame, extra_dates: DataFrame
            .groupBy(subject).agg(F.min(date).alias("_lo"), F.max(date).alias("_hi")))
     spine = rng.select(subject, F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 day"))).alias(date))
     return spine.join(daily, [subject, date], "left")
+
+
+def segmented_lead(df: DataFrame, subject: str, segment: str, within: list[str], value: str, out: str) -> DataFrame:
+    """W3/W4 without holding a whole subject in one task.
+
+    The next row's ``value`` in (segment, *within) order per subject, computed
+    in two levels: a lead inside each (subject, segment) group, and for the
+    last row of a segment the first value of the subject's next segment,
+    taken from a boundary table with one row per (subject, segment).  A
+    subject holding a third of all rows is thus spread over its segments
+    (e.g. weeks); only the boundary table, bounded by the number of segments
+    per subject, is ordered per subject.  Equal to
+    ``lead(value) over (partition by subject order by segment, *within)``."""
+    w = Window.partitionBy(subject, segment).orderBy(*within)
+    key = F.struct(*[F.col(c) for c in within])
+    rows = df.withColumn("_in_lead", F.lead(value).over(w)) \
+             .withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull())
+    first = rows.groupBy(subject, segment).agg(F.min_by(value, key).alias("_seg_first"))
+    nxt = first.withColumn("_next_first", F.lead("_seg_first").over(Window.partitionBy(subject).orderBy(segment)))
+    joined = rows.join(nxt.select(subject, segment, "_next_first"), [subject, segment], "left")
+    return joined.withColumn(out, F.when(F.col("_is_last"), F.col("_next_first")).otherwise(F.col("_in_lead"))) \
+                 .drop("_in_lead", "_is_last", "_next_first")

@@ -113,3 +113,17 @@ def test_step_deltas_wide(spark):
     # slope over the index 0..3 of the four valid weights
     import numpy as np
     assert out[0]["weight_slope_kg_per_week"] == pytest.approx(np.polyfit([0, 1, 2, 3], [80, 79, 78, 77.5], 1)[0])
+
+
+def test_segmented_lead_equals_plain_lead(spark):
+    import numpy as np
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    rows = [(int(s), int(w), int(k), None if rng.random() < 0.1 else float(rng.normal()))
+            for k, (s, w) in enumerate(zip(rng.integers(0, 4, 300), rng.integers(0, 12, 300)))]
+    pdf = pd.DataFrame(rows, columns=["s", "w", "k", "v"]).sort_values(["s", "w", "k"])
+    pdf["exp"] = pdf.groupby("s")["v"].shift(-1)
+    df = spark.createDataFrame(rows, "s long, w int, k long, v double")
+    got = {r["k"]: r["nxt"] for r in panel.segmented_lead(df, "s", "w", ["k"], "v", "nxt").collect()}
+    for k, e in zip(pdf["k"], pdf["exp"]):
+        assert (got[k] is None and pd.isna(e)) or got[k] == pytest.approx(e)
