@@ -37,17 +37,26 @@ def _bucket_count(spark) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
-def value_rank_table(counts: DataFrame, value: str, cnt: str = "cnt", buckets: int | None = None) -> DataFrame:
+def _clean_cuts(xs) -> list[float]:
+    return sorted(set(float(x) for x in xs if x is not None and math.isfinite(x)))
+
+
+def value_rank_table(counts: DataFrame, value: str, cnt: str = "cnt", buckets: int | None = None,
+                     cuts: list[float] | None = None) -> DataFrame:
     """Average rank per distinct value of a value-count table ``(value, cnt)``.
 
-    Returns ``(value, cnt, avg_rank)``."""
+    ``cuts`` (bucket boundaries) only balance the work; any cut points give
+    the exact ranks.  When absent they are approximate quantiles of the
+    distinct values.  Returns ``(value, cnt, avg_rank)``."""
     spark = counts.sparkSession
     nb = buckets or _bucket_count(spark)
     vc = counts.withColumn("_v", F.col(value).cast("double"))
-    cuts = []
-    if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        cuts = sorted(set(x for x in vc.approxQuantile("_v", probs, 0.001) if x is not None and math.isfinite(x)))
+    if cuts is None:
+        cuts = []
+        if nb > 1:
+            probs = [i / nb for i in range(1, nb)]
+            cuts = _clean_cuts(vc.approxQuantile("_v", probs, 0.001))
+    cuts = _clean_cuts(cuts)
     splits = [-math.inf, *cuts, math.inf]
     vcb = Bucketizer(splits=splits, inputCol="_v", outputCol="_b", handleInvalid="keep").transform(vc)
     totals = vcb.groupBy("_b").agg(F.sum(cnt).alias("_bt"))
@@ -78,8 +87,14 @@ def spearman(df: DataFrame, x: str, y: str, min_n: int = 10, buckets: int | None
     # distinct pairs with counts: reused by both rank tables, the cut-point
     # sampling and the final join, so it is materialised once
     pc = pairs.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("w")).persist(StorageLevel.MEMORY_AND_DISK)
-    rx = value_rank_table(pc.groupBy("_x").agg(F.sum("w").alias("cnt")), "_x", buckets=buckets)
-    ry = value_rank_table(pc.groupBy("_y").agg(F.sum("w").alias("cnt")), "_y", buckets=buckets)
+    nb = buckets or _bucket_count(df.sparkSession)
+    cx, cy = ([], [])
+    if nb > 1:  # cut points of both columns from one pass over the distinct pairs
+        probs = [i / nb for i in range(1, nb)]
+        cx, cy = pc.select(F.col("_x").cast("double"), F.col("_y").cast("double")).approxQuantile(
+            ["_x", "_y"], probs, 0.001)
+    rx = value_rank_table(pc.groupBy("_x").agg(F.sum("w").alias("cnt")), "_x", buckets=nb, cuts=cx)
+    ry = value_rank_table(pc.groupBy("_y").agg(F.sum("w").alias("cnt")), "_y", buckets=nb, cuts=cy)
     j = (pc.join(rx.select("_x", F.col("avg_rank").alias("rx")), "_x")
          .join(ry.select("_y", F.col("avg_rank").alias("ry")), "_y"))
     n = F.sum("w")

@@ -17,7 +17,7 @@ from paneldeck.plans import bindings as B
 from paneldeck.plans import oracle as O
 from paneldeck.plans import panels as P
 from paneldeck.plans.finalize import finalize
-from paneldeck.session import cut_lineage
+from paneldeck.session import cut_lineage, materialized
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 CATS = list(PART_KEYWORDS)
@@ -784,16 +784,17 @@ def _both_cells_sql(*extra):
 def _all_cells(spark, d):
     # stage boundary: the cell table feeds many self-joins downstream; a
     # reliable checkpoint keeps plans small and survives executor loss
-    return cut_lineage(SB.food_log_cells(spark, d).unionByName(SB.label_cells(spark, d)))
+    return materialized(spark, ("cells", d),
+                        lambda: SB.food_log_cells(spark, d).unionByName(SB.label_cells(spark, d)))
 
 
-def _sheet_stage(spark, d, cells=None):
+def _sheet_stage(spark, d):
     """cells -> (cells with their header row, header rows, normalised
     headers), each materialised once for the several consumers."""
-    cells = cells if cells is not None else _all_cells(spark, d)
-    hr = cut_lineage(S.choose_header_row(cells))
-    ch = cut_lineage(cells.join(hr.select(*S.SHEET, "header_row"), S.SHEET))
-    h = cut_lineage(S.normalized_headers(ch, hr))
+    cells = _all_cells(spark, d)
+    hr = materialized(spark, ("header_rows", d), lambda: S.choose_header_row(cells))
+    ch = materialized(spark, ("cells_h", d), lambda: cells.join(hr.select(*S.SHEET, "header_row"), S.SHEET))
+    h = materialized(spark, ("headers", d), lambda: S.normalized_headers(ch, hr))
     return ch, hr, h
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from paneldeck.functions.dictionaries import PART_KEYWORDS
 from paneldeck.operators import assemble, keywords, panel, rollup
 from paneldeck.plans import bindings as B
-from paneldeck.session import cut_lineage
+from paneldeck.session import materialized
 
 
 def kw_daily(spark: SparkSession, d: str, rows: DataFrame | None = None) -> DataFrame:
@@ -28,9 +28,8 @@ def daily_flags(spark: SparkSession, d: str) -> DataFrame:
     once in the shared checkpoint folder: the weekly rollup, the week origin
     and the measurements all read this (much smaller) table instead of
     re-running the lineitem ⋈ orders ⋈ part join."""
-    fused = keywords.daily_totals_and_flags(B.food_rows(spark, d), ["subject_id", "date"], B.NUTRIENTS, "food",
-                                            PART_KEYWORDS)
-    return cut_lineage(fused)
+    return materialized(spark, ("daily_flags", d), lambda: keywords.daily_totals_and_flags(
+        B.food_rows(spark, d), ["subject_id", "date"], B.NUTRIENTS, "food", PART_KEYWORDS))
 
 
 def weekly_long(spark: SparkSession, d: str, daily: DataFrame | None = None) -> DataFrame:
@@ -46,8 +45,12 @@ def trajectories_long(spark: SparkSession, d: str, daily: DataFrame | None = Non
 
 
 def analysis_long(spark: SparkSession, d: str) -> DataFrame:
-    daily = daily_flags(spark, d)
-    return assemble.align_long(trajectories_long(spark, d, daily), weekly_long(spark, d, daily))
+    """The long-dialect analysis panel, written once per session and input
+    (the feature-stage output every model reads)."""
+    def build():
+        daily = daily_flags(spark, d)
+        return assemble.align_long(trajectories_long(spark, d, daily), weekly_long(spark, d, daily))
+    return materialized(spark, ("analysis_long", d), build)
 
 
 def trajectories_wide(spark: SparkSession, d: str) -> DataFrame:
@@ -63,5 +66,7 @@ def keywords_wide(spark: SparkSession, d: str) -> DataFrame:
 
 
 def analysis_wide(spark: SparkSession, d: str, fill: str = "flags_only") -> DataFrame:
-    return assemble.merge_wide(trajectories_wide(spark, d), weekly_wide(spark, d), keywords_wide(spark, d),
-                               list(PART_KEYWORDS), fill=fill)
+    """The wide-dialect analysis panel for one fill policy, written once per
+    session and input."""
+    return materialized(spark, ("analysis_wide", d, fill), lambda: assemble.merge_wide(
+        trajectories_wide(spark, d), weekly_wide(spark, d), keywords_wide(spark, d), list(PART_KEYWORDS), fill=fill))

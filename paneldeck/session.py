@@ -81,3 +81,20 @@ def cut_lineage(df):
     executor loss) and return the checkpointed DataFrame."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_MATERIALIZED: dict[tuple, object] = {}
+
+
+def materialized(spark: SparkSession, key: tuple, build):
+    """A stage table written once to the shared checkpoint folder and shared
+    by every later query of the session over the same inputs (the role a
+    persisted intermediate table plays in a production pipeline).  ``build``
+    returns the DataFrame to materialise; the cache key must identify its
+    inputs (e.g. the data directory)."""
+    k = (id(spark), spark.sparkContext.applicationId, checkpoint_dir(spark)) + tuple(key)
+    df = _MATERIALIZED.get(k)
+    if df is None:
+        df = cut_lineage(build())
+        _MATERIALIZED[k] = df
+    return df
