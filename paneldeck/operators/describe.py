@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneldeck.functions.clean import safe_div
+from paneldeck.operators.quantiles import exact_quantiles, exact_quantiles_by
 
 # Duration buckets by number of measurements.
 DURATION_BUCKETS = [(28, "4+ Weeks"), (14, "2-4 Weeks"), (7, "1-2 Weeks")]
@@ -44,10 +45,11 @@ def cohort_summary(p: DataFrame, change: str = "weight_change", start: str = "st
                    duration: str = "num_measurements") -> DataFrame:
     """Participants, mean / median / population-std change, successes
     (change < 0), success rate, mean starting weight and mean duration."""
+    med = exact_quantiles(p, change, [0.5])[0.5]
     return p.agg(
         F.count(F.lit(1)).alias("total_participants"),
         F.avg(change).alias("avg_change"),
-        F.median(change).alias("median_change"),
+        F.lit(med).cast("double").alias("median_change"),
         F.stddev_pop(change).alias("std_change"),
         F.count(F.when(F.col(change) < 0, 1)).alias("successful"),
         (F.try_divide(F.count(F.when(F.col(change) < 0, 1)) * 100.0, F.count(F.lit(1)))).alias("success_rate"),
@@ -97,17 +99,20 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
         aggs += [F.count(x).cast("double").alias(f"count__{c}"), F.avg(x).alias(f"mean__{c}"),
-                 F.stddev_samp(x).alias(f"std__{c}"), F.min(x).alias(f"min__{c}"),
-                 q.alias(f"q__{c}"), F.max(x).alias(f"max__{c}")]
+                 F.stddev_samp(x).alias(f"std__{c}"), F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}")]
+    # quartiles of every column in one grouped pass over (column, value)
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "__col", "__val")
+    quart = {c: {} for c in cols}
+    for r in exact_quantiles_by(long, ["__col"], "__val", [0.25, 0.5, 0.75]).collect():
+        quart[r["__col"]][r["prob"]] = r["quantile"]
     one = df.agg(*aggs)
     parts = []
     for s in DESCRIBE_STATS:
         sel = [F.lit(s).alias("statistic")]
         for c in cols:
             if s in ("25%", "50%", "75%"):
-                e = F.col(f"q__{c}")[{"25%": 0, "50%": 1, "75%": 2}[s]]
+                e = F.lit(quart[c].get({"25%": 0.25, "50%": 0.5, "75%": 0.75}[s])).cast("double")
             else:
                 e = F.col(f"{s}__{c}")
             sel.append(e.alias(c))
@@ -145,15 +150,18 @@ def keyword_crosstab(df: DataFrame, outcome: str, flags: dict[str, str]) -> Data
     """Per keyword flag, count and median outcome with / without the
     keyword plus the overall median, over rows with a known outcome."""
     d = df.filter(F.col(outcome).isNotNull())
+    overall = exact_quantiles(d, outcome, [0.5])[0.5]
     parts = []
     for name, col in flags.items():
+        meds = {r[col]: r["quantile"] for r in
+                exact_quantiles_by(d.filter(F.col(col).isin(0, 1)), [col], outcome, [0.5]).collect()}
         parts.append(d.agg(
             F.lit(name).alias("keyword"),
             F.count(F.when(F.col(col) == 1, 1)).alias("n_weeks_with_keyword"),
             F.count(F.when(F.col(col) == 0, 1)).alias("n_weeks_without_keyword"),
-            F.median(F.when(F.col(col) == 1, F.col(outcome))).alias("median_delta_with_keyword"),
-            F.median(F.when(F.col(col) == 0, F.col(outcome))).alias("median_delta_without_keyword"),
-            F.median(outcome).alias("overall_median_delta")))
+            F.lit(meds.get(1)).cast("double").alias("median_delta_with_keyword"),
+            F.lit(meds.get(0)).cast("double").alias("median_delta_without_keyword"),
+            F.lit(overall).cast("double").alias("overall_median_delta")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -162,8 +170,9 @@ def keyword_crosstab(df: DataFrame, outcome: str, flags: dict[str, str]) -> Data
 
 def group_medians(df: DataFrame, flag: str, value: str) -> DataFrame:
     """Median and size of ``value`` per flag value."""
-    return (df.filter(F.col(flag).isNotNull() & F.col(value).isNotNull())
-            .groupBy(flag).agg(F.median(value).alias("median"), F.count(F.lit(1)).alias("n")))
+    d = df.filter(F.col(flag).isNotNull() & F.col(value).isNotNull())
+    meds = exact_quantiles_by(d, [flag], value, [0.5]).select(flag, F.col("quantile").alias("median"))
+    return d.groupBy(flag).agg(F.count(F.lit(1)).alias("n")).join(meds, flag)
 
 
 def weekly_mean_sd(df: DataFrame, week: str, value: str) -> DataFrame:

@@ -124,11 +124,14 @@ def mann_whitney(df: DataFrame, value: str, flag: str, buckets: int | None = Non
     rt = value_rank_table(vc, "_v", buckets=buckets).join(vc.select("_v", "c1"), "_v")
     sums = rt.agg(F.sum(F.col("c1") * F.col("avg_rank")).alias("r1"),
                   F.sum(F.col("cnt") * F.col("cnt") * F.col("cnt") - F.col("cnt")).alias("tie_term"))
-    meds = d.agg(F.count(F.when(F.col("_f") == 1, 1)).alias("n1"), F.count(F.when(F.col("_f") == 0, 1)).alias("n0"),
-                 F.median(F.when(F.col("_f") == 1, F.col("_v"))).alias("median_1"),
-                 F.median(F.when(F.col("_f") == 0, F.col("_v"))).alias("median_0"))
+    from paneldeck.operators.quantiles import exact_quantiles_by
+    sizes = d.agg(F.count(F.when(F.col("_f") == 1, 1)).alias("n1"), F.count(F.when(F.col("_f") == 0, 1)).alias("n0"))
     try:
-        m, sm = meds.first(), sums.first()
+        m = sizes.first().asDict()
+        med = {r["_f"]: r["quantile"] for r in
+               exact_quantiles_by(d.filter(F.col("_f").isin(0, 1)), ["_f"], "_v", [0.5]).collect()}
+        m["median_1"], m["median_0"] = med.get(1), med.get(0)
+        sm = sums.first()
     finally:
         vc.unpersist()
     spark = df.sparkSession
@@ -173,3 +176,34 @@ def mann_whitney_p(n1: int, n0: int, u1: float, tie_term: float, has_ties: bool
         return float("nan")
     z = (big - n1 * n0 / 2.0 - 0.5) / sigma
     return float(min(1.0, norm_two_sided_p(z)))
+
+
+def grouped_below(counts: DataFrame, by: list[str], value: str, cnt: str = "cnt",
+                  buckets: int | None = None) -> DataFrame:
+    """Rows strictly below each distinct value, per group, for a value-count
+    table ``(by..., value, cnt)`` — the grouped form of ``value_rank_table``.
+
+    Each group gets its own range buckets from one ``percentile_approx``
+    aggregate (``buckets - 1`` cut points per group); a value's bucket is the
+    number of cut points below it; bucket totals give per-group offsets (at
+    most ``buckets`` rows per group are ordered together) and a running sum
+    inside each (group, bucket) finishes the count.  A group holding a third
+    of all rows is therefore spread over its buckets.  Adds ``below``."""
+    spark = counts.sparkSession
+    nb = buckets or _bucket_count(spark)
+    vc = counts.withColumn("_v", F.col(value).cast("double"))
+    if nb > 1:
+        probs = [i / nb for i in range(1, nb)]
+        cuts = vc.groupBy(*by).agg(F.percentile_approx("_v", probs, 10000).alias("_cuts"))
+        vc = vc.join(cuts, by) if by else vc.crossJoin(cuts)
+        vc = vc.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
+    else:
+        vc = vc.withColumn("_b", F.lit(0))
+    tot = vc.groupBy(*by, "_b").agg(F.sum(cnt).alias("_bt"))
+    ow = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1) if by else \
+        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.withColumn("_off", F.coalesce(F.sum("_bt").over(ow), F.lit(0))).drop("_bt")
+    inner = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    out = vc.join(tot, [*by, "_b"]).withColumn(
+        "below", F.col("_off") + F.coalesce(F.sum(cnt).over(inner), F.lit(0)))
+    return out.drop("_b", "_off", "_v")

@@ -19,13 +19,14 @@ def step_stats(steps: DataFrame) -> DataFrame:
         F.count(F.when(~ok, 1)).alias("n_failed"),
         F.avg(ok.cast("double")).alias("success_rate"),
         F.avg("seconds").alias("mean_seconds"),
-        F.percentile("seconds", F.lit(0.95)).alias("p95_seconds"),
         F.coalesce(F.sum("rows_out"), F.lit(0)).cast("bigint").alias("rows_out"),
         F.max(F.when(ok, F.col("started_at"))).alias("last_success"))
     # difference of two wall-clock instants; works for TIMESTAMP and TIMESTAMP_NTZ
     latest_col = F.lit(latest).cast(dict(steps.dtypes)["started_at"])
     hours = F.timestamp_diff("MICROSECOND", F.col("last_success"), latest_col) / F.lit(3.6e9)
-    return g.withColumn("freshness_hours", hours)
+    from paneldeck.operators.quantiles import exact_quantiles_by
+    p95 = exact_quantiles_by(steps, ["step"], "seconds", [0.95]).select("step", F.col("quantile").alias("p95_seconds"))
+    return g.withColumn("freshness_hours", hours).join(p95, "step", "left")
 
 
 def run_rollup(steps: DataFrame) -> DataFrame:

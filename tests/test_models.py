@@ -207,3 +207,21 @@ def test_t_quantile_column_matches_numpy(spark):
     exp = t_ppf(0.975, np.array(dfs, float))
     assert np.allclose(got, exp, rtol=1e-9, atol=1e-10)
     assert df.select(t_quantile_col(0.975, F.lit(0)).alias("q")).first()["q"] is None
+
+
+def test_exact_quantiles_match_pandas(spark):
+    from paneldeck.operators.quantiles import exact_quantiles, exact_quantiles_by
+    rng = np.random.default_rng(11)
+    # group 0 holds most rows (a hot group), values with many ties
+    g = np.where(rng.random(3000) < 0.7, 0, rng.integers(1, 4, 3000))
+    v = np.round(rng.normal(size=3000), 1)
+    pdf = pd.DataFrame({"g": g.astype(int), "v": v})
+    df = spark.createDataFrame(pdf)
+    probs = [0.0, 0.25, 0.5, 0.95, 1.0]
+    glob = exact_quantiles(df, "v", probs, buckets=5)
+    for q in probs:
+        assert glob[q] == pytest.approx(pdf["v"].quantile(q))
+    got = {(r["g"], r["prob"]): r["quantile"] for r in exact_quantiles_by(df, ["g"], "v", probs, buckets=5).collect()}
+    for (grp, q), val in got.items():
+        assert val == pytest.approx(pdf[pdf.g == grp]["v"].quantile(q))
+    assert len(got) == 4 * len(probs)
