@@ -76,9 +76,10 @@ def merge_wide(trajectories: DataFrame, weekly: DataFrame | None, keywords: Data
     if high_flags and "fiber_g_week" in out.columns and "calories_week" in out.columns:
         # The two global medians are one aggregate row, evaluated
         # first and inlined as literals (no join at all)
-        from paneldeck.operators.quantiles import exact_quantiles
-        fm = F.lit(exact_quantiles(out, "fiber_g_week", [0.5])[0.5]).cast("double")
-        cm = F.lit(exact_quantiles(out, "calories_week", [0.5])[0.5]).cast("double")
+        from paneldeck.operators.quantiles import exact_quantiles_many
+        med = exact_quantiles_many(out, ["fiber_g_week", "calories_week"], [0.5])
+        fm = F.lit(med["fiber_g_week"][0.5]).cast("double")
+        cm = F.lit(med["calories_week"][0.5]).cast("double")
         out = out.withColumns({
             "high_fiber_week": F.coalesce((F.col("fiber_g_week") > fm).cast("int"), F.lit(0)),
             "high_calorie_week": F.coalesce((F.col("calories_week") > cm).cast("int"), F.lit(0)),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneldeck.functions.clean import safe_div
-from paneldeck.operators.quantiles import exact_quantiles, exact_quantiles_by
+from paneldeck.operators.quantiles import exact_quantiles, exact_quantiles_by, exact_quantiles_many
 
 # Duration buckets by number of measurements.
 DURATION_BUCKETS = [(28, "4+ Weeks"), (14, "2-4 Weeks"), (7, "1-2 Weeks")]
@@ -102,10 +102,7 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
         aggs += [F.count(x).cast("double").alias(f"count__{c}"), F.avg(x).alias(f"mean__{c}"),
                  F.stddev_samp(x).alias(f"std__{c}"), F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}")]
     # quartiles of every column in one grouped pass over (column, value)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "__col", "__val")
-    quart = {c: {} for c in cols}
-    for r in exact_quantiles_by(long, ["__col"], "__val", [0.25, 0.5, 0.75]).collect():
-        quart[r["__col"]][r["prob"]] = r["quantile"]
+    quart = exact_quantiles_many(df, cols, [0.25, 0.5, 0.75])
     one = df.agg(*aggs)
     parts = []
     for s in DESCRIBE_STATS:

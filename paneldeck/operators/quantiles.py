@@ -12,46 +12,26 @@ returned to the driver.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneldeck.operators.ranks import value_rank_table
-
-
-def _positions(n: int, probs: list[float]) -> dict[float, tuple[int, int, float]]:
-    out = {}
-    for q in probs:
-        pos = q * (n - 1)
-        lo = int(math.floor(pos))
-        out[q] = (lo, min(lo + 1, n - 1), pos - lo)
-    return out
-
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], buckets: int | None = None) -> dict[float, float | None]:
-    """Global exact quantiles of ``value`` (NULLs ignored) -> {prob: value}."""
-    vc = (df.select(F.col(value).cast("double").alias("_q")).filter(F.col("_q").isNotNull() & ~F.isnan("_q"))
-          .groupBy("_q").agg(F.count(F.lit(1)).alias("cnt")))
-    rt = value_rank_table(vc, "_q", buckets=buckets)
-    rt = rt.withColumn("below", (F.col("avg_rank") - (F.col("cnt") + 1) / 2.0).cast("long"))
-    n_row = rt.agg(F.sum("cnt").alias("n")).first()
-    n = int(n_row["n"] or 0)
-    if n == 0:
-        return {q: None for q in probs}
-    pos = _positions(n, probs)
-    wanted = sorted({i for lo, hi, _ in pos.values() for i in (lo, hi)})
-    cond = F.lit(False)
-    for i in wanted:
-        cond = cond | ((F.col("below") <= i) & (F.lit(i) < F.col("below") + F.col("cnt")))
-    hits = rt.filter(cond).select("_q", "below", "cnt").collect()  # <= 2 rows per probability
+    """Global exact quantiles of ``value`` (NULLs ignored) -> {prob: value}.
+    One job: the grouped plan with a single group."""
+    rows = exact_quantiles_by(df.withColumn("__all", F.lit(0)), ["__all"], value, probs, buckets).collect()
+    got = {r["prob"]: r["quantile"] for r in rows}
+    return {q: got.get(q) for q in probs}
 
-    def at(i):
-        for h in hits:
-            if h["below"] <= i < h["below"] + h["cnt"]:
-                return float(h["_q"])
-        return None
-    return {q: at(lo) + frac * (at(hi) - at(lo)) for q, (lo, hi, frac) in pos.items()}
+
+def exact_quantiles_many(df: DataFrame, cols: list[str], probs: list[float],
+                         buckets: int | None = None) -> dict[str, dict[float, float | None]]:
+    """Exact quantiles of several columns in one job -> {column: {prob: value}}."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "__col", "__val")
+    out = {c: {q: None for q in probs} for c in cols}
+    for r in exact_quantiles_by(long, ["__col"], "__val", probs, buckets).collect():
+        out[r["__col"]][r["prob"]] = r["quantile"]
+    return out
 
 
 def exact_quantiles_by(df: DataFrame, by: list[str], value: str, probs: list[float],
