@@ -30,6 +30,25 @@ SCALE_CONF = {
 }
 
 
+# Runtime SQL settings the query plans rely on (safe to set on any session;
+# partition counts and cluster paths stay with the submitter).
+PLAN_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
+
+
+def apply_plan_conf(spark: SparkSession) -> SparkSession:
+    for k, v in PLAN_CONF.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # pragma: no cover - static or restricted conf
+            pass
+    return spark
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "paneldeck", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the paneldeck settings.
