@@ -207,3 +207,31 @@ def grouped_below(counts: DataFrame, by: list[str], value: str, cnt: str = "cnt"
     out = vc.join(tot, [*by, "_b"]).withColumn(
         "below", F.col("_off") + F.coalesce(F.sum(cnt).over(inner), F.lit(0)))
     return out.drop("_b", "_off", "_v")
+
+
+def mann_whitney_many(df: DataFrame, value: str, flags: list[str], buckets: int | None = None) -> DataFrame:
+    """ST9 + A17 for several 0/1 flags against the same ``value`` in one pass:
+    rows are unpivoted to (flag, value, group), ranks are computed per flag
+    with ``grouped_below`` and rank sums, tie terms, sizes and exact medians
+    are aggregated per flag.  One row per flag with the columns of
+    ``mann_whitney``."""
+    from paneldeck.operators.quantiles import exact_quantiles_by
+    long = (df.select(F.col(value).cast("double").alias("_v"),
+                      F.explode(F.array(*[F.struct(F.lit(f).alias("flag"), F.col(f).cast("int").alias("_f"))
+                                          for f in flags])).alias("_s"))
+            .select(F.col("_s.flag").alias("flag"), "_v", F.col("_s._f").alias("_f"))
+            .filter(F.col("_v").isNotNull() & F.col("_f").isNotNull()))
+    vc = long.groupBy("flag", "_v").agg(F.count(F.lit(1)).alias("cnt"),
+                                       F.count(F.when(F.col("_f") == 1, 1)).alias("c1"))
+    rk = grouped_below(vc, ["flag"], "_v", buckets=buckets)
+    stats = rk.groupBy("flag").agg(
+        F.sum(F.col("c1") * (F.col("below") + (F.col("cnt") + 1) / 2.0)).alias("r1"),
+        F.sum(F.col("cnt") * F.col("cnt") * F.col("cnt") - F.col("cnt")).cast("double").alias("tie_term"),
+        F.sum("c1").alias("n1"), F.sum(F.col("cnt") - F.col("c1")).alias("n0"))
+    med = exact_quantiles_by(long.filter(F.col("_f").isin(0, 1)), ["flag", "_f"], "_v", [0.5], buckets)
+    m1 = med.filter(F.col("_f") == 1).select("flag", F.col("quantile").alias("median_1"))
+    m0 = med.filter(F.col("_f") == 0).select("flag", F.col("quantile").alias("median_0"))
+    out = stats.join(m1, "flag", "left").join(m0, "flag", "left")
+    return out.select("flag", F.col("n1").cast("bigint"), F.col("n0").cast("bigint"), "median_1", "median_0",
+                      (F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0).alias("u_stat"),
+                      F.coalesce(F.col("tie_term"), F.lit(0.0)).alias("tie_term"))

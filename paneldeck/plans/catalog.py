@@ -342,14 +342,8 @@ def q_pearson(spark, d):
     O.mann_whitney_sql("al", LONG_Y, f) for f in ("any_kw_widget", "any_kw_gear")))
 def q_mannwhitney(spark, d):
     """ST9 + A17: Mann–Whitney U statistic, tie term, group sizes and medians."""
-    panel_df = model_panel_long(spark, d).persist()
-    try:
-        outs = [ranks.mann_whitney(panel_df, LONG_Y, f).select(F.lit(f).alias("flag"), "*")
-                for f in ("any_kw_widget", "any_kw_gear")]
-        res = outs[0].unionByName(outs[1])
-        return finalize(res)
-    finally:
-        pass
+    res = ranks.mann_whitney_many(model_panel_long(spark, d), LONG_Y, ["any_kw_widget", "any_kw_gear"])
+    return finalize(res)
 
 
 @register("q_group_tests", None)

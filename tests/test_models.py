@@ -225,3 +225,15 @@ def test_exact_quantiles_match_pandas(spark):
     for (grp, q), val in got.items():
         assert val == pytest.approx(pdf[pdf.g == grp]["v"].quantile(q))
     assert len(got) == 4 * len(probs)
+
+
+def test_mann_whitney_many_equals_single(spark):
+    pdf = _panel(8, ties=True)
+    pdf["a"] = (pdf["x0"] > pdf["x0"].median()).astype(int)
+    pdf["b"] = (pdf["x1"] > pdf["x1"].median()).astype(int)
+    df = spark.createDataFrame(pdf)
+    many = {r["flag"]: r for r in ranks.mann_whitney_many(df, "y", ["a", "b"], buckets=3).collect()}
+    for f in ("a", "b"):
+        one = ranks.mann_whitney(df, "y", f).first()
+        for k in ("n1", "n0", "median_1", "median_0", "u_stat", "tie_term"):
+            assert many[f][k] == pytest.approx(one[k])
