@@ -62,7 +62,9 @@ def weekly_wide(spark: SparkSession, d: str) -> DataFrame:
 
 
 def keywords_wide(spark: SparkSession, d: str) -> DataFrame:
-    return keywords.weekly_keywords_wide(B.food_rows_wide(spark, d), PART_KEYWORDS)
+    """Weekly food-keyword table (a stage output of its own), written once."""
+    return materialized(spark, ("keywords_wide", d),
+                        lambda: keywords.weekly_keywords_wide(B.food_rows_wide(spark, d), PART_KEYWORDS))
 
 
 def analysis_wide(spark: SparkSession, d: str, fill: str = "flags_only") -> DataFrame:
