@@ -101,3 +101,14 @@ def entries_per_week(rows: DataFrame, subject: str = "subject_id", week: str = "
                      out: str = "food_entries_week") -> DataFrame:
     """Number of entries per subject-week."""
     return rows.groupBy(subject, week).agg(F.count(F.lit(1)).alias(out))
+
+
+def split_rejects(rows: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Q8: rows with a NULL in a required key (e.g. an unparseable date) go to
+    a reject table with the reason instead of failing the run."""
+    bad = F.lit(False)
+    reason = F.lit(None).cast("string")
+    for c in reversed(required):
+        bad = bad | F.col(c).isNull()
+        reason = F.when(F.col(c).isNull(), F.lit(f"null_{c}")).otherwise(reason)
+    return rows.filter(~bad), rows.filter(bad).withColumn("reject_reason", reason)

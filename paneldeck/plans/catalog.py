@@ -1172,3 +1172,34 @@ def q_soft_load(spark, d):
     rows = F.create_map(*[x for k, v in counts.items() for x in (F.lit(k), F.lit(v))])
     return status.select("name", "status", rows[F.col("name")].cast("bigint").alias("rows"),
                          F.lit(strict).alias("strict_load"), F.lit(opt is not None).alias("optional_found"))
+
+
+@register("q_within_slope_list", _with(O.model_long(), O.within_slope_list_sql("al", LONG_Y, LONG_X[0], LONG_X[1])))
+def q_within_slope_list(spark, d):
+    """ST6: the per-subject within-subject fiber coefficients (the list)."""
+    s = regress.within_slopes(model_panel_long(spark, d), LONG_Y, LONG_X[0], LONG_X[1], "subject_id")
+    return finalize(s.select("subject_id", "coef_x1"), {"coef_x1": 4})
+
+
+@register("q_reject_counts", """SELECT 'lineitem_food_rows' AS source, reject_reason, CAST(count(*) AS BIGINT) AS n_rows FROM (
+  SELECT CASE WHEN o.o_custkey IS NULL THEN 'null_subject_id' WHEN o.o_orderdate IS NULL THEN 'null_date' END AS reject_reason
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey)
+GROUP BY reject_reason
+UNION ALL
+SELECT 'events', CASE WHEN user_id IS NULL THEN 'null_subject_id' WHEN ts IS NULL THEN 'null_date' END, CAST(count(*) AS BIGINT)
+FROM events GROUP BY 2""")
+def q_reject_counts(spark, d):
+    """Q8: valid and rejected rows (NULL subject or date) of the two row sources;
+    a NULL reason counts the valid rows."""
+    from paneldeck.operators import rollup
+    parts = []
+    for name, rows in (("lineitem_food_rows", B.food_rows(spark, d)), ("events", B.events_clean(spark, d))):
+        ok, bad = rollup.split_rejects(rows, ["subject_id", "date"])
+        parts.append(ok.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("source"), F.lit(None).cast("string").alias("reject_reason"), "n_rows"))
+        parts.append(bad.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("source"), "reject_reason", "n_rows"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -315,6 +315,12 @@ SELECT {r('avg(b1)', 4)} AS within_subject_mean, {r('stddev_pop(b1)', 4)} AS wit
        CAST(count(b1) AS BIGINT) AS within_subject_n FROM b"""
 
 
+def within_slope_list_sql(panel: str, y: str, x1: str, x2: str, group: str = "subject_id") -> str:
+    body = within_slopes_sql(panel, y, x1, x2, group)
+    head = body[:body.rindex("SELECT ")]
+    return head + f"SELECT g AS {group}, {r('b1', 4)} AS coef_x1 FROM b"
+
+
 def _avg_rank(col: str, src: str) -> str:
     return f"(rank() OVER (ORDER BY {col}) + (count(*) OVER (PARTITION BY {col}) - 1) / 2.0)"
 
