@@ -1203,3 +1203,19 @@ def q_reject_counts(spark, d):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@register("q_stream_daily", None)
+def q_stream_daily(spark, d):
+    """A1 incrementally: the events table arrives as two batches of files in
+    the shared folder, a Structured Streaming query (watermark, one-day event
+    windows, append mode, availableNow) rolls them up; the finished days are
+    read back from the Parquet sink."""
+    from paneldeck.streaming.daily_stream import run_daily_rollup
+    base = _scratch(spark, "stream")
+    ev = B.read_table(spark, d, "events")
+    cut = ev.agg(F.percentile_approx("ts", 0.5).alias("m")).first()["m"]
+    ev.filter(F.col("ts") < F.lit(cut)).write.parquet(base + "/src")
+    ev.filter(F.col("ts") >= F.lit(cut)).write.mode("append").parquet(base + "/src")
+    run_daily_rollup(spark, base + "/src", base + "/sink", name=os.path.basename(base))
+    return spark.read.parquet(base + "/sink")
