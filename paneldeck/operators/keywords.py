@@ -6,14 +6,13 @@ count) in the same ``groupBy``, over text lower-cased once in a projection.
 
 Matching is done per row and combined with ``max``/``sum`` (partial-aggregable,
 so a hot subject never needs its whole text in one task).  ``joined=True``
-reproduces the reference's "join the group's texts with spaces, then search"
-exactly (phrases may then span two entries, quirk Q17); it orders the group's
-entries by ``order_col`` and is only meant for bounded groups.
+adds the reference's cross-entry phrase matches (quirk Q17) from each entry's
+next few neighbours, never by gathering a group's texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,6 +20,16 @@ def _ci(pattern: str) -> str:
     return "(?i)" + pattern
 
 
+def _max_words(dictionary: dict[str, str]) -> int:
+    """Longest alternative (in words) of the dictionary's phrase patterns."""
+    best = 1
+    for pat in dictionary.values():
+        inner = pat.replace("\\b", "").strip("()")
+        for alt in inner.split("|"):
+            best = max(best, len(alt.strip().split(" ")))
+    return best
+
+
 def keyword_flags(rows: DataFrame, keys: list[str], text: str, dictionary: dict[str, str],
                   prefix: str = "kw_", suffix: str = "", mentions_suffix: str | None = None,
                   joined: bool = False, order_col: str | None = None) -> DataFrame:
@@ -29,24 +38,36 @@ def keyword_flags(rows: DataFrame, keys: list[str], text: str, dictionary: dict[
     Returns one row per ``keys`` group with ``{prefix}{cat}{suffix}`` int flags and,
     when ``mentions_suffix`` is given, ``{cat}{mentions_suffix}`` counts.
     A NULL text counts as '' (row kept, all flags 0).
+
+    ``joined=True`` gives the reference's "join the group's entries with
+    spaces, then search" semantics (quirk Q17) without gathering a group: a
+    phrase of w words can span at most w consecutive entries, so every entry
+    is also matched together with its next w - 1 entries (leads over the
+    group ordered by ``order_col``).  Flags are exact; mention counts add the
+    matches that start in an entry and end in a later one.
     """
     if text not in rows.columns:
         return rows  # reference: missing text column -> input unchanged
     t = "__kw_text"
     base = rows.select(*keys, F.lower(F.coalesce(F.col(text), F.lit(""))).alias(t),
                        *([order_col] if joined and order_col else []))
-    if joined:
-        order = F.col(order_col) if order_col else F.lit(0)
-        base = (base.groupBy(*keys)
-                .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order.alias("o"), F.col(t).alias("s")))),
-                                              lambda x: x["s"]), " ").alias(t)))
     aggs = []
+    if joined:
+        span = _max_words(dictionary)
+        w = Window.partitionBy(*keys).orderBy(F.col(order_col) if order_col else F.lit(0))
+        nxt = [F.lead(t, k).over(w) for k in range(1, span)]
+        base = base.withColumn("__kw_win", F.concat_ws(" ", F.col(t), *nxt)) \
+                   .withColumn("__kw_rest", F.concat_ws(" ", *nxt) if nxt else F.lit(""))
     for cat, pat in dictionary.items():
-        hit = F.col(t).rlike(_ci(pat))
-        aggs.append(F.max(hit.cast("int")).alias(f"{prefix}{cat}{suffix}"))
+        rx = _ci(pat)
+        src = F.col("__kw_win") if joined else F.col(t)
+        aggs.append(F.max(src.rlike(rx).cast("int")).alias(f"{prefix}{cat}{suffix}"))
         if mentions_suffix is not None:
-            aggs.append(F.coalesce(F.sum(F.regexp_count(F.col(t), F.lit(_ci(pat)))), F.lit(0))
-                        .cast("int").alias(f"{cat}{mentions_suffix}"))
+            cnt = F.regexp_count(F.col(t), F.lit(rx))
+            if joined:  # + matches spanning from this entry into the next ones
+                cnt = cnt + F.greatest(F.lit(0), F.regexp_count(F.col("__kw_win"), F.lit(rx)) - cnt
+                                       - F.regexp_count(F.col("__kw_rest"), F.lit(rx)))
+            aggs.append(F.coalesce(F.sum(cnt), F.lit(0)).cast("int").alias(f"{cat}{mentions_suffix}"))
     return base.groupBy(*keys).agg(*aggs)
 
 

@@ -81,3 +81,17 @@ def test_prevalence(spark):
     df = spark.createDataFrame([(1, 0), (1, 1), (0, 1), (0, 0)], "kw_a int, kw_b int")
     out = {r["keyword"]: r for r in keyword_prevalence(df, ["a", "b"]).collect()}
     assert out["a"]["positive"] == 2 and out["a"]["total"] == 4 and out["a"]["pct"] == 50.0
+
+
+def test_joined_mode_mentions_match_python(spark):
+    import re
+    from paneldeck.functions.dictionaries import FOOD_KEYWORDS_WIDE
+    entries = ["hard", "boiled egg and steel", "cut oats", "eggs", "fried", "egg"]
+    df = spark.createDataFrame([("S1", D, e, i) for i, e in enumerate(entries)],
+                               "subject_id string, date date, food string, pos int")
+    out = keyword_flags(df, ["subject_id", "date"], "food", FOOD_KEYWORDS_WIDE, prefix="", suffix="_flag",
+                        mentions_suffix="_mentions", joined=True, order_col="pos").first()
+    text = " ".join(entries).lower()
+    for cat, pat in FOOD_KEYWORDS_WIDE.items():
+        assert out[f"{cat}_flag"] == int(bool(re.search(pat, text, re.IGNORECASE)))
+        assert out[f"{cat}_mentions"] == len(re.findall(pat, text, re.IGNORECASE)), cat
