@@ -66,8 +66,20 @@ def merge_wide(trajectories: DataFrame, weekly: DataFrame | None, keywords: Data
     and before rows without a next delta are dropped (Q4); they are one
     aggregate row, evaluated once and used as literals.
     """
+    out = join_wide(trajectories, weekly, keywords, subject, week)
+    return finish_wide(out, categories, fill, week, high_flags, drop_no_target)
+
+
+def join_wide(trajectories: DataFrame, weekly: DataFrame | None, keywords: DataFrame | None,
+              subject: str = "subject_id", week: str = "week") -> DataFrame:
+    """Trajectories ⟕ weekly ⟕ keywords on (subject, week)."""
     out = left_join_or_self(trajectories, weekly, [subject, week])
-    out = left_join_or_self(out, keywords, [subject, week])
+    return left_join_or_self(out, keywords, [subject, week])
+
+
+def finish_wide(out: DataFrame, categories: list[str], fill: str = "flags_only", week: str = "week",
+                high_flags: bool = True, drop_no_target: bool = True) -> DataFrame:
+    """P8 (fill policy) + P9 (median flags) + P11 (rows with a target)."""
     if fill == "reference":
         fill_cols = [c for c in out.columns if c.endswith("_week") and c != week]
         out = out.fillna(0, subset=fill_cols)

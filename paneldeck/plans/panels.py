@@ -70,5 +70,7 @@ def keywords_wide(spark: SparkSession, d: str) -> DataFrame:
 def analysis_wide(spark: SparkSession, d: str, fill: str = "flags_only") -> DataFrame:
     """The wide-dialect analysis panel for one fill policy, written once per
     session and input."""
-    return materialized(spark, ("analysis_wide", d, fill), lambda: assemble.merge_wide(
-        trajectories_wide(spark, d), weekly_wide(spark, d), keywords_wide(spark, d), list(PART_KEYWORDS), fill=fill))
+    joined = materialized(spark, ("wide_joined", d), lambda: assemble.join_wide(
+        trajectories_wide(spark, d), weekly_wide(spark, d), keywords_wide(spark, d)))
+    return materialized(spark, ("analysis_wide", d, fill),
+                        lambda: assemble.finish_wide(joined, list(PART_KEYWORDS), fill=fill))
