@@ -1,5 +1,4 @@
 """File sources / sinks and the streaming daily rollup."""
-import os
 import uuid
 
 import pytest
