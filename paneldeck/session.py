@@ -86,12 +86,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     a fresh scratch folder is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        return d or ""
     if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+        d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not d:
         d = tempfile.mkdtemp(prefix="paneldeck-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 

@@ -26,9 +26,11 @@ def balanced(df: DataFrame) -> DataFrame:
     cores.  On a cluster a large table has thousands of splits and this is a
     no-op: no extra shuffle is ever added to a big scan.
     """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the scan as it is
+        return df
     if n >= target:
         return df
     return df.repartition(target)
