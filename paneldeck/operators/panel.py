@@ -164,3 +164,11 @@ def segmented_lead(df: DataFrame, subject: str, segment: str, within: list[str],
     joined = rows.join(nxt.select(subject, segment, "_next_first"), [subject, segment], "left")
     return joined.withColumn(out, F.when(F.col("_is_last"), F.col("_next_first")).otherwise(F.col("_in_lead"))) \
                  .drop("_in_lead", "_is_last", "_next_first")
+
+
+def demean(df: DataFrame, subject: str, cols: list[str], suffix: str = "_within") -> DataFrame:
+    """Each column minus its subject mean (one window over the
+    subject's rows).  The regression operators never need this per-row form:
+    they take the same within sums from per-subject moments."""
+    w = Window.partitionBy(subject)
+    return df.withColumns({f"{c}{suffix}": F.col(c) - F.avg(c).over(w) for c in cols})

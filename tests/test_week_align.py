@@ -127,3 +127,13 @@ def test_segmented_lead_equals_plain_lead(spark):
     got = {r["k"]: r["nxt"] for r in panel.segmented_lead(df, "s", "w", ["k"], "v", "nxt").collect()}
     for k, e in zip(pdf["k"], pdf["exp"]):
         assert (got[k] is None and pd.isna(e)) or got[k] == pytest.approx(e)
+
+
+def test_demean_matches_pandas(spark):
+    import pandas as pd
+    pdf = pd.DataFrame({"s": [1, 1, 1, 2, 2], "x": [1.0, 2.0, 6.0, 5.0, None]})
+    out = panel.demean(spark.createDataFrame(pdf), "s", ["x"]).orderBy("s", "x").collect()
+    exp = (pdf["x"] - pdf.groupby("s")["x"].transform("mean")).tolist()
+    got = {(r["s"], r["x"]): r["x_within"] for r in out}
+    assert got[(1, 1.0)] == pytest.approx(exp[0]) and got[(1, 6.0)] == pytest.approx(exp[2])
+    assert got[(2, 5.0)] == pytest.approx(0.0)
