@@ -775,19 +775,26 @@ def _both_cells_sql(*extra):
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-def _all_cells(spark, d):
-    # stage boundary: the cell table feeds many self-joins downstream; a
-    # reliable checkpoint keeps plans small and survives executor loss
-    return materialized(spark, ("cells", d),
-                        lambda: SB.food_log_cells(spark, d).unionByName(SB.label_cells(spark, d)))
-
-
 def _sheet_stage(spark, d):
     """cells -> (cells with their header row, header rows, normalised
-    headers), each materialised once for the several consumers."""
-    cells = _all_cells(spark, d)
-    hr = materialized(spark, ("header_rows", d), lambda: S.choose_header_row(cells))
-    ch = materialized(spark, ("cells_h", d), lambda: cells.join(hr.select(*S.SHEET, "header_row"), S.SHEET))
+    headers), each materialised once for the several consumers.  The raw
+    cell table is only kept (memory and disk, recomputable) while the header
+    rows are derived; the checkpointed copy is the one carrying header_row."""
+    from pyspark import StorageLevel
+    state = {}
+
+    def raw_cells():
+        if "c" not in state:
+            state["c"] = SB.food_log_cells(spark, d).unionByName(SB.label_cells(spark, d)) \
+                .persist(StorageLevel.MEMORY_AND_DISK)
+        return state["c"]
+    try:
+        hr = materialized(spark, ("header_rows", d), lambda: S.choose_header_row(raw_cells()))
+        ch = materialized(spark, ("cells_h", d),
+                          lambda: raw_cells().join(hr.select(*S.SHEET, "header_row"), S.SHEET))
+    finally:
+        if "c" in state:
+            state["c"].unpersist()
     h = materialized(spark, ("headers", d), lambda: S.normalized_headers(ch, hr))
     return ch, hr, h
 
@@ -806,8 +813,13 @@ def q_sheet_kind(spark, d):
 
 def _tidy_labels(spark, d, stage=None):
     cells, hr, h = stage if stage is not None else _sheet_stage(spark, d)
-    lab = S.label_sheets(cells, hr).filter("is_label").select(*S.SHEET)
-    lc = cells.join(lab, S.SHEET, "left_semi")
+
+    def label_cells():
+        lab = S.label_sheets(cells, hr).filter("is_label").select(*S.SHEET)
+        return cells.join(lab, S.SHEET, "left_semi")
+    # the label-style sheets' cells (a small part of all cells) feed several
+    # self-joins of the tidy step: written once instead of re-derived per branch
+    lc = materialized(spark, ("label_sheet_cells", d), label_cells)
     return S.tidy_label_sheets(lc, hr, h)
 
 
