@@ -43,12 +43,14 @@ def exact_quantiles_by(df: DataFrame, by: list[str], value: str, probs: list[flo
     buckets), so neither a hot group nor a hot value is ever ordered or
     buffered in a single task."""
     from paneldeck.operators.ranks import grouped_below
+    if not by:
+        return exact_quantiles_by(df.withColumn("__grp", F.lit(0)), ["__grp"], value, probs, buckets).drop("__grp")
     vc = (df.select(*by, F.col(value).cast("double").alias("_q"))
           .filter(F.col("_q").isNotNull() & ~F.isnan("_q"))
           .groupBy(*by, "_q").agg(F.count(F.lit(1)).alias("cnt")))
     vc = grouped_below(vc, by, "_q", buckets=buckets)
     n = vc.groupBy(*by).agg(F.sum("cnt").alias("n"))
-    vc = vc.join(n, by) if by else vc.crossJoin(n)
+    vc = vc.join(n, by)
     outs = []
     for q in probs:
         pos = F.lit(q) * (F.col("n") - 1)

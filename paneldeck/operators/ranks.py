@@ -189,19 +189,20 @@ def grouped_below(counts: DataFrame, by: list[str], value: str, cnt: str = "cnt"
     most ``buckets`` rows per group are ordered together) and a running sum
     inside each (group, bucket) finishes the count.  A group holding a third
     of all rows is therefore spread over its buckets.  Adds ``below``."""
+    if not by:  # one global group, keyed like any other (no cross join)
+        return grouped_below(counts.withColumn("__grp", F.lit(0)), ["__grp"], value, cnt, buckets).drop("__grp")
     spark = counts.sparkSession
     nb = buckets or _bucket_count(spark)
     vc = counts.withColumn("_v", F.col(value).cast("double"))
     if nb > 1:
         probs = [i / nb for i in range(1, nb)]
         cuts = vc.groupBy(*by).agg(F.percentile_approx("_v", probs, 10000).alias("_cuts"))
-        vc = vc.join(cuts, by) if by else vc.crossJoin(cuts)
+        vc = vc.join(cuts, by)
         vc = vc.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
     else:
         vc = vc.withColumn("_b", F.lit(0))
     tot = vc.groupBy(*by, "_b").agg(F.sum(cnt).alias("_bt"))
-    ow = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1) if by else \
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    ow = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.withColumn("_off", F.coalesce(F.sum("_bt").over(ow), F.lit(0))).drop("_bt")
     inner = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     out = vc.join(tot, [*by, "_b"]).withColumn(

@@ -237,3 +237,14 @@ def test_mann_whitney_many_equals_single(spark):
         one = ranks.mann_whitney(df, "y", f).first()
         for k in ("n1", "n0", "median_1", "median_0", "u_stat", "tie_term"):
             assert many[f][k] == pytest.approx(one[k])
+
+
+def test_ungrouped_paths_have_no_cross_join(spark):
+    from paneldeck.operators.quantiles import exact_quantiles_by
+    from paneldeck.operators.ranks import grouped_below
+    df = spark.createDataFrame([(float(i % 7),) for i in range(50)], "v double")
+    q = exact_quantiles_by(df, [], "v", [0.5])
+    assert q.first()["quantile"] == pytest.approx(pd.Series([float(i % 7) for i in range(50)]).median())
+    vc = df.groupBy("v").count().withColumnRenamed("count", "cnt")
+    plan = grouped_below(vc, [], "v", buckets=3)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
