@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], buckets: int | None = None) -> dict[float, float | None]:
     """Global exact quantiles of ``value`` (NULLs ignored) -> {prob: value}.
     One job: the grouped plan with a single group."""
-    rows = exact_quantiles_by(df.withColumn("__all", F.lit(0)), ["__all"], value, probs, buckets).collect()
+    from paneldeck.operators.ranks import _zero_key
+    rows = exact_quantiles_by(df.withColumn("__all", _zero_key(value)), ["__all"], value, probs, buckets).collect()
     got = {r["prob"]: r["quantile"] for r in rows}
     return {q: got.get(q) for q in probs}
 
@@ -44,7 +45,9 @@ def exact_quantiles_by(df: DataFrame, by: list[str], value: str, probs: list[flo
     buffered in a single task."""
     from paneldeck.operators.ranks import grouped_below
     if not by:
-        return exact_quantiles_by(df.withColumn("__grp", F.lit(0)), ["__grp"], value, probs, buckets).drop("__grp")
+        from paneldeck.operators.ranks import _zero_key
+        return exact_quantiles_by(df.withColumn("__grp", _zero_key(value)), ["__grp"], value, probs,
+                                  buckets).drop("__grp")
     vc = (df.select(*by, F.col(value).cast("double").alias("_q"))
           .filter(F.col("_q").isNotNull() & ~F.isnan("_q"))
           .groupBy(*by, "_q").agg(F.count(F.lit(1)).alias("cnt")))

@@ -33,6 +33,12 @@ def _eager(one_row: DataFrame, cached: DataFrame) -> DataFrame:
     return one_row.sparkSession.createDataFrame(rows, one_row.schema)
 
 
+def _zero_key(value: str):
+    """0 for every row with a value.  Unlike a literal it is not folded into a
+    cross join by the optimizer, so a single global group joins by key."""
+    return F.when(F.col(value).isNotNull(), F.lit(0)).otherwise(F.lit(1))
+
+
 def _bucket_count(spark) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
 
@@ -190,7 +196,7 @@ def grouped_below(counts: DataFrame, by: list[str], value: str, cnt: str = "cnt"
     inside each (group, bucket) finishes the count.  A group holding a third
     of all rows is therefore spread over its buckets.  Adds ``below``."""
     if not by:  # one global group, keyed like any other (no cross join)
-        return grouped_below(counts.withColumn("__grp", F.lit(0)), ["__grp"], value, cnt, buckets).drop("__grp")
+        return grouped_below(counts.withColumn("__grp", _zero_key(value)), ["__grp"], value, cnt, buckets).drop("__grp")
     spark = counts.sparkSession
     nb = buckets or _bucket_count(spark)
     vc = counts.withColumn("_v", F.col(value).cast("double"))
