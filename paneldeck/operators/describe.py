@@ -197,8 +197,11 @@ def outcome_summary(df: DataFrame, subject: str, week: str, value: str) -> DataF
         F.min(value).alias("min_change"), F.max(value).alias("max_change"))
 
 
-def point_class(flag_a: str, flag_b: str, label_a: str = "beans", label_b: str = "potato") -> Column:
-    """Point class for scatter tables: ``label_a`` if its flag is set,
-    else ``label_b`` if that flag is set, else 'other' (a wins on overlap)."""
-    return (F.when(F.col(flag_a) == 1, F.lit(label_a))
-            .when(F.col(flag_b) == 1, F.lit(label_b)).otherwise(F.lit("other")))
+def point_classes(flag_a: str, flag_b: str, label_a: str, label_b: str) -> list[Column]:
+    """Overlapping point classes of a scatter report: ``is_other`` when
+    neither flag is set, ``is_<label_a>`` / ``is_<label_b>`` for each set flag
+    (a point with both flags belongs to both classes, as in the figure)."""
+    a, b = F.col(flag_a), F.col(flag_b)
+    return [((a == 0) & (b == 0)).cast("int").alias("is_other"),
+            (a == 1).cast("int").alias(f"is_{label_a}"),
+            (b == 1).cast("int").alias(f"is_{label_b}")]

@@ -603,9 +603,7 @@ def q_points_class(spark, d):
     a = P.analysis_long(spark, d).filter(F.col("fiber_g_total_week_mean").isNotNull() & F.col("delta_kg_next").isNotNull())
     out = a.select("subject_id", "week", "tp_index", F.col("fiber_g_total_week_mean").alias("x"),
                    F.col("delta_kg_next").alias("y"),
-                   ((F.col("any_kw_widget") == 0) & (F.col("any_kw_gear") == 0)).cast("int").alias("is_other"),
-                   (F.col("any_kw_widget") == 1).cast("int").alias("is_widget"),
-                   (F.col("any_kw_gear") == 1).cast("int").alias("is_gear"))
+                   *D.point_classes("any_kw_widget", "any_kw_gear", "widget", "gear"))
     return finalize(out, {"y": 2})
 
 
