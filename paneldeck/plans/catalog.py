@@ -1229,3 +1229,16 @@ def q_stream_daily(spark, d):
     ev.filter(F.col("ts") >= F.lit(cut)).write.mode("append").parquet(base + "/src")
     run_daily_rollup(spark, base + "/src", base + "/sink", name=os.path.basename(base))
     return spark.read.parquet(base + "/sink")
+
+
+@register("q_index_slope", O.wide_base() + f"""
+, nn AS (SELECT subject_id, weight_kg,
+                CAST(row_number() OVER (PARTITION BY subject_id ORDER BY date) - 1 AS DOUBLE) AS idx
+         FROM mw WHERE weight_kg IS NOT NULL)
+SELECT subject_id, count(*) AS n_points,
+       {O.r('CASE WHEN count(*) >= 3 THEN regr_slope(weight_kg, idx) END', 4)} AS slope
+FROM nn GROUP BY subject_id""")
+def q_index_slope(spark, d):
+    """ST2 + W8: per-subject slope of the daily weight on the 0-based index of
+    its valid measurements (NULL below three points)."""
+    return finalize(panel.index_slope(B.measures_wide(spark, d), "subject_id", "date", "weight_kg"), {"slope": 4})
