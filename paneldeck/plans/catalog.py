@@ -135,8 +135,10 @@ def q_kw_prevalence(spark, d):
 
 # ------------------------------------------------------------------ wide dialect
 
-WIDE_TRAJ_SCALES = {"weight_kg": 4, "energy_1_10": 4, "mood_1_10": 4, "delta_kg": 4, "delta_kg_next": 4,
-                    "baseline_weight_kg": 4, "delta_from_baseline_kg": 4}
+# means of 2-decimal values: 6 decimals, so exact decimal ties (which Spark and
+# DuckDB round differently) would need 32+ values in one group
+WIDE_TRAJ_SCALES = {"weight_kg": 6, "energy_1_10": 6, "mood_1_10": 6, "delta_kg": 6, "delta_kg_next": 6,
+                    "baseline_weight_kg": 6, "delta_from_baseline_kg": 6}
 
 
 @register("q_step_delta", O.wide_base() + "SELECT subject_id, date, week, " + ", ".join(
@@ -176,7 +178,7 @@ MERGED_COLS = (["subject_id", "date", "week", "weight_kg", "delta_kg", "delta_kg
 def _merged_sql(fill: str) -> str:
     sel = ", ".join(c if c in ("subject_id", "date", "week", "food_entries_week", "food_variety_categories",
                                "high_fiber_week", "high_calorie_week") or c.endswith("_week") and c[:-5] in CATS
-                    else O.r(c, 4) + f" AS {c}" for c in MERGED_COLS)
+                    else O.r(c, 6) + f" AS {c}" for c in MERGED_COLS)
     return O.wide_base(O.merge_wide_cte(fill)) + f"SELECT {sel} FROM merged"
 
 
@@ -184,7 +186,7 @@ def _merged(spark, d, fill):
     m = P.analysis_wide(spark, d, fill=fill)
     if fill == "reference":
         m = m.withColumn("food_entries_week", F.col("food_entries_week").cast("int"))
-    return finalize(m.select(*MERGED_COLS), default=4)
+    return finalize(m.select(*MERGED_COLS), default=6)
 
 
 @register("q_merge_panel_flags_only", _merged_sql("flags_only"))
@@ -563,11 +565,11 @@ def q_hist(spark, d):
 
 
 @register("q_weekly_mean_sd", O.model_wide() + f"""
-SELECT week, {O.r('avg(fiber_g_week)', 4)} AS mean, {O.r('stddev_samp(fiber_g_week)', 4)} AS std,
+SELECT week, {O.r('avg(fiber_g_week)', 6)} AS mean, {O.r('stddev_samp(fiber_g_week)', 6)} AS std,
        count(fiber_g_week) AS n FROM merged GROUP BY week""")
 def q_weekly_mean_sd(spark, d):
     """Weekly mean ± sd of fiber across subjects."""
-    return finalize(D.weekly_mean_sd(model_panel_wide(spark, d), "week", "fiber_g_week"), default=4)
+    return finalize(D.weekly_mean_sd(model_panel_wide(spark, d), "week", "fiber_g_week"), default=6)
 
 
 @register("q_weekly_prevalence", O.model_wide() + f"""
@@ -582,15 +584,15 @@ def q_weekly_prevalence(spark, d):
 , fin AS (SELECT max(week) AS fw FROM traj_w),
 lastw AS (SELECT t.* FROM traj_w t, fin WHERE t.week = fin.fw AND t.delta_from_baseline_kg IS NOT NULL)
 SELECT (SELECT fw FROM fin) AS final_week, count(DISTINCT subject_id) AS n_subjects,
-       {O.r('avg(delta_from_baseline_kg)', 4)} AS mean_change, {O.r('stddev_samp(delta_from_baseline_kg)', 4)} AS sd_change,
+       {O.r('avg(delta_from_baseline_kg)', 6)} AS mean_change, {O.r('stddev_samp(delta_from_baseline_kg)', 6)} AS sd_change,
        count(*) FILTER (WHERE delta_from_baseline_kg < 0) AS n_losing,
        {O.r('avg(CASE WHEN delta_from_baseline_kg < 0 THEN 1.0 ELSE 0.0 END)')} AS share_losing,
-       {O.r('min(delta_from_baseline_kg)', 4)} AS min_change, {O.r('max(delta_from_baseline_kg)', 4)} AS max_change
+       {O.r('min(delta_from_baseline_kg)', 6)} AS min_change, {O.r('max(delta_from_baseline_kg)', 6)} AS max_change
 FROM lastw""")
 def q_outcome_summary(spark, d):
     """A24 + J7: outcome at the final study week (mean ± sd, share losing, range)."""
     s = D.outcome_summary(P.trajectories_wide(spark, d), "subject_id", "week", "delta_from_baseline_kg")
-    return finalize(s, {"share_losing": 6}, default=4)
+    return finalize(s, default=6)
 
 
 @register("q_points_class", O.model_long() + f"""
