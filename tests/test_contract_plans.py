@@ -35,13 +35,17 @@ def _rows(cols, rows):
     return sorted("|".join(_norm(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", ["q_daily_rollup", "q_weekly_long", "q_align_long", "q_step_delta",
-                                  "q_merge_panel_reference", "q_ols2", "q_cluster_se", "q_spearman", "q_mannwhitney",
-                                  "q_describe", "q_quality_rules", "q_hist", "q_label_parse", "q_day_sheet"])
-def test_oracle_agreement_small(spark, name):
+@pytest.fixture(scope="module")
+def small_duck():
     con = duckdb.connect()
     for t in DRIVER_TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_oracle_agreement_small(spark, small_duck, name):
+    con = small_duck
     df = E.queries()[name](spark, SMALL)
     res = con.execute(E.oracle_sql()[name])
     ocols = [c[0] for c in res.description]
