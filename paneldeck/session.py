@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every paneldeck job relies on.
 #  * AQE re-plans joins (broadcast vs sort-merge) from runtime sizes, splits
@@ -93,6 +94,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="paneldeck-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
@@ -107,6 +110,22 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new folder for one stage table below the shared checkpoint folder."""
+    app = spark.sparkContext.applicationId
+    return f"{checkpoint_dir(spark).rstrip('/')}/paneldeck-stages/{app}/{name}-{uuid.uuid4().hex}"
+
+
+def write_stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: the
+    lineage is cut, lost executors cost nothing, and later reads prune columns
+    and push filters."""
+    spark = df.sparkSession
+    path = stage_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _MATERIALIZED: dict[tuple, object] = {}
 
 
