@@ -9,6 +9,8 @@ from paneldeck.llm import oracles
 from paneldeck.llm.exact_dedup import exact_dedup
 from paneldeck.llm.line_dedup import dedup_lines
 from paneldeck.llm.mixing import mix
+from paneldeck.llm.pii import find_pii, span_text
+from paneldeck.llm.quality_rules import judge_quality
 from paneldeck.llm.text import whole
 from paneldeck.sources.tables import table_path
 
@@ -22,12 +24,28 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its counts and the verdict of the weighed rules."""
+    out = judge_quality(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", F.round("p_good", 6).alias("p_good"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with how many lines it loses and the digest of the rest."""
     out = dedup_lines(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(whole("text"), 256).alias("kept_sha256"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data: counts, a digest and the spans."""
+    out = find_pii(_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select("doc_id", *[count(kind) for kind in ("email", "ip", "card", "phone")],
+                      F.sha2(span_text(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
+                      span_text(F.col("spans")).alias("spans"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that the mix takes of it."""
     return mix(_table(spark, sf_dir, "documents"))
@@ -35,6 +53,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, oracles.OP1),
+    "op2_quality_rules": (op2_quality_rules, None),
     "op3_line_dedup": (op3_line_dedup, oracles.OP3),
+    "op4_pii": (op4_pii, None),
     "op7_mixing": (op7_mixing, oracles.OP7),
 }
