@@ -59,3 +59,26 @@ SELECT doc_id, size::BIGINT AS size, source, source_size, target,
        (epochs * size + greatest(0, least(size, rest - start)))::BIGINT AS taken
 FROM p
 """
+
+OP8 = r"""
+WITH r AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+s AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST) AS no,
+         string_agg(role || chr(1) || text, chr(2) ORDER BY role, text) AS step,
+         string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY role, text) AS part
+  FROM r GROUP BY conv_id, turn),
+p AS (
+  SELECT conv_id, no, count(*) OVER (PARTITION BY conv_id) AS n_turns,
+         string_agg(step, chr(3)) OVER (PARTITION BY conv_id ORDER BY no) AS prefix FROM s),
+e AS (
+  SELECT conv_id, n_turns, prefix, conv_id = min(conv_id) OVER (PARTITION BY n_turns, prefix) AS first
+  FROM p WHERE no = n_turns),
+i AS (SELECT DISTINCT no, prefix FROM p WHERE no < n_turns),
+k AS (
+  SELECT conv_id, n_turns, first AND i.prefix IS NULL AS kept
+  FROM e LEFT JOIN i ON i.no = e.n_turns AND i.prefix = e.prefix),
+c AS (SELECT conv_id, string_agg(part, '' ORDER BY no) AS chat FROM s GROUP BY conv_id)
+SELECT k.conv_id, n_turns, kept, CASE WHEN kept THEN length(chat) END AS n_chars,
+       CASE WHEN kept THEN sha256(chat) END AS chat_sha256
+FROM k JOIN c ON k.conv_id = c.conv_id
+"""

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneldeck.llm import oracles
+from paneldeck.llm.chat import format_chats
 from paneldeck.llm.exact_dedup import exact_dedup
 from paneldeck.llm.line_dedup import dedup_lines
 from paneldeck.llm.mixing import mix
 from paneldeck.llm.pii import find_pii, span_text
 from paneldeck.llm.quality_rules import judge_quality
 from paneldeck.llm.text import whole
+from paneldeck.llm.token_counts import count_tokens
 from paneldeck.sources.tables import table_path
 
 
@@ -51,10 +54,24 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation: whether it is kept, and the size and digest of its chat."""
+    out = format_chats(_table(spark, sf_dir, "conversations"))
+    return out.select("conv_id", "n_turns", "kept", F.length("chat").cast("long").alias("n_chars"),
+                      F.sha2("chat", 256).alias("chat_sha256"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its number of tokens."""
+    return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, oracles.OP1),
     "op2_quality_rules": (op2_quality_rules, None),
     "op3_line_dedup": (op3_line_dedup, oracles.OP3),
     "op4_pii": (op4_pii, None),
     "op7_mixing": (op7_mixing, oracles.OP7),
+    "op8_chat": (op8_chat, oracles.OP8),
+    "op10_token_counts": (op10_token_counts, None),
 }
