@@ -15,6 +15,7 @@ from paneldeck.llm.pii import find_pii, span_text
 from paneldeck.llm.quality_rules import judge_quality
 from paneldeck.llm.text import whole
 from paneldeck.llm.token_counts import count_tokens
+from paneldeck.llm.toxicity import score_toxicity
 from paneldeck.sources.tables import table_path
 
 
@@ -49,6 +50,12 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                       span_text(F.col("spans")).alias("spans"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its expected severity and grade."""
+    out = score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.select("doc_id", F.round("severity", 4).alias("severity"), "grade", "toxic")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that the mix takes of it."""
     return mix(_table(spark, sf_dir, "documents"))
@@ -71,6 +78,7 @@ QUERIES = {
     "op2_quality_rules": (op2_quality_rules, None),
     "op3_line_dedup": (op3_line_dedup, oracles.OP3),
     "op4_pii": (op4_pii, None),
+    "op5_toxicity": (op5_toxicity, None),
     "op7_mixing": (op7_mixing, oracles.OP7),
     "op8_chat": (op8_chat, oracles.OP8),
     "op10_token_counts": (op10_token_counts, None),
