@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from paneldeck.llm import oracles
 from paneldeck.llm.chat import format_chats
 from paneldeck.llm.exact_dedup import exact_dedup
+from paneldeck.llm.jaccard_join import jaccard_components
 from paneldeck.llm.line_dedup import dedup_lines
 from paneldeck.llm.mixing import mix
 from paneldeck.llm.pii import find_pii, span_text
@@ -68,6 +69,11 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("chat", 256).alias("chat_sha256"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its set and its component."""
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its number of tokens."""
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -81,5 +87,6 @@ QUERIES = {
     "op5_toxicity": (op5_toxicity, None),
     "op7_mixing": (op7_mixing, oracles.OP7),
     "op8_chat": (op8_chat, oracles.OP8),
+    "op9_jaccard_join": (op9_jaccard_join, None),
     "op10_token_counts": (op10_token_counts, None),
 }
