@@ -74,10 +74,10 @@ def cyclic_weights(sources: DataFrame, cycle: int = 3, pieces: int = 16) -> Data
         (F.col("number") % cycle + 1).cast("double").alias("weight"))
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id",
-        text_col: str = "text", source_col: str = "source", cap: float = 3.0, seed: int = 20,
-        block_rows: int = 20_000) -> DataFrame:
-    """One row per document: id, size, source, source_size, target, taken.
+def mix_plan(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id",
+             text_col: str = "text", source_col: str = "source", cap: float = 3.0, seed: int = 20,
+             block_rows: int = 20_000) -> DataFrame:
+    """One row per document: id, size, source, source_size, target, copy_no, taken.
 
     ``weights`` (w_source, weight; a source without a row gets 0) shares the
     total number of words; without it the weights cycle 1, 2, 3 by source name.
@@ -87,8 +87,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
 
     Null text: 0 words.  A null source is a source of its own, ordered last.
     Ties of the key are ordered by id, then size; rows repeated with the same
-    id, source and size share what they take evenly, the remainder to one of
-    them.  An empty table gives an empty result.  Other columns are not read.
+    id, source and size share what they take evenly, by copy_no.  An empty table gives an empty result.  Other columns are not read.
     """
     rows = write_stage(
         docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"),
@@ -130,5 +129,37 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
     copy_no = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy_no")
     share = F.expr("left_words div copies + if(copy_no <= left_words % copies, 1, 0)")
     return (summed.withColumn("left_words", left).select("*", copy_no)
-            .select(F.col("id").alias(id_col), "size", "source", "source_size", "target",
+            .select("id", "size", "source", "source_size", "target", "copy_no",
                     (F.col("epochs") * F.col("size") + share).cast("long").alias("taken")))
+
+
+def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", **options) -> DataFrame:
+    """``mix_plan`` with the documents' own id column."""
+    out = mix_plan(docs, weights, id_col, **options)
+    return out.select(F.col("id").alias(id_col), "size", "source", "source_size", "target", "taken")
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to its n-th word."""
+    return F.array_join(F.slice(F.split(text, "(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])"), F.lit(1), n), "")
+
+
+def mixed(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
+          source_col: str = "source", **options) -> DataFrame:
+    """The rows of the mix, with the columns of ``docs``: each document as often as
+    it is taken whole, and its first words where the budget cuts it.  Documents
+    without words, and those past their source's budget, are not in it."""
+    plan = mix_plan(docs, weights, id_col, text_col, source_col, **options).where("taken > 0").select(
+        F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
+        F.col("copy_no").alias("_no"), F.col("taken").cast("int").alias("_taken"))
+    numbered = (docs.withColumn("_words", word_count(whole(text_col)))
+                .withColumn("_copy", F.row_number().over(
+                    Window.partitionBy(id_col, source_col, "_words").orderBy(F.xxhash64(text_col)))))
+    taken = numbered.join(plan, F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
+                          & F.col(source_col).cast("string").eqNullSafe(F.col("_source"))
+                          & (F.col("_words") == F.col("_size")) & (F.col("_copy") == F.col("_no")))
+    turns = F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int"))).alias("_turn")
+    left = F.col("_taken") - (F.col("_turn") - 1) * F.col("_size")
+    cut = F.when(left >= F.col("_size"), F.col(text_col)).otherwise(first_words(F.col(text_col), left.cast("int")))
+    return taken.select("*", turns).select(
+        *[cut.alias(c) if c == text_col else F.col(c) for c in docs.columns])
