@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneldeck.llm.components import connected_components
-from paneldeck.llm.text import whole
+from paneldeck.llm.text import fresh, whole
 from paneldeck.session import write_stage
 
 BLOCK = 1_000
@@ -326,7 +326,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """``docs`` with one document of each component: the one with the smallest id
     (one row of it, if rows repeat that id).  Rows without an id all stay."""
     found = jaccard_components(docs, id_col, text_col, width, percent)
+    name, = fresh(docs, "_stay")
     stay = write_stage(found.where(F.col(id_col) == F.col("component_id"))
-                       .select(F.col(id_col).alias("_stay")).distinct(), "jaccard-stay")
-    named = docs.join(stay, F.col(id_col).cast("long") == F.col("_stay"), "left_semi").dropDuplicates([id_col])
+                       .select(F.col(id_col).alias(name)).distinct(), "jaccard-stay")
+    named = docs.join(stay, F.col(id_col).cast("long") == F.col(name), "left_semi").dropDuplicates([id_col])
     return named.unionByName(docs.where(F.col(id_col).isNull()))

@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneldeck.llm.text import ascii_lower, key128, stripped, whole
+from paneldeck.llm.text import ascii_lower, fresh, key128, stripped, whole
 from paneldeck.session import stage_path, write_stage
 
 RUN_SCHEMA = "h1 long, h2 long, n_docs long, holder long"
@@ -134,17 +134,18 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Columns of ``docs`` named n_lines or n_dropped are replaced.
     """
     gone = write_stage(dropped_lines(docs, id_col, text_col, min_chars, min_docs, batches, runs), "line-gone")
-    gone = gone.select(F.col("id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash"),
-                       F.col("gone").alias("_gone"))
-    joined = docs.drop("n_lines", "n_dropped").join(
-        gone, F.col(id_col).cast("long").eqNullSafe(F.col("_gone_id"))
-        & (F.xxhash64(whole(text_col)) == F.col("_gone_hash")), "left")
-    split = joined.withColumn("_lines", F.split(whole(text_col), "\n", -1))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    kept = F.array_join(F.transform(F.sort_array(stay), lambda i: F.get(F.col("_lines"), i)), "\n")
-    n_dropped = F.size("_lines") - F.size(stay)
+    gone_id, gone_hash, gone_at, lines = fresh(docs, "_gone_id", "_gone_hash", "_gone", "_lines")
+    gone = gone.select(F.col("id").alias(gone_id), F.col("text_hash").alias(gone_hash), F.col("gone").alias(gone_at))
+    rest = docs.drop("n_lines", "n_dropped")
+    joined = rest.join(
+        gone, F.col(id_col).cast("long").eqNullSafe(F.col(gone_id))
+        & (F.xxhash64(whole(text_col)) == F.col(gone_hash)), "left")
+    split = joined.withColumn(lines, F.split(whole(text_col), "\n", -1))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone_at))
+    kept = F.array_join(F.transform(F.sort_array(stay), lambda i: F.get(F.col(lines), i)), "\n")
+    n_dropped = F.size(lines) - F.size(stay)
     return (split.select(
-        *[F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept).alias(c) if c == text_col else F.col(c)
-          for c in docs.columns if c not in ("n_lines", "n_dropped")],
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(n_dropped).cast("long").alias("n_dropped")))
+        *[F.when(F.col(gone_at).isNull(), F.col(text_col)).otherwise(kept).alias(c) if c == text_col else F.col(c)
+          for c in rest.columns],
+        F.size(lines).cast("long").alias("n_lines"),
+        F.when(F.col(gone_at).isNull(), F.lit(0)).otherwise(n_dropped).cast("long").alias("n_dropped")))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneldeck.llm.text import whole, word_count
+from paneldeck.llm.text import fresh, whole, word_count
 from paneldeck.session import write_stage
 
 KEY_RANGE = 1 << 60
@@ -149,17 +149,19 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_
     """The rows of the mix, with the columns of ``docs``: each document as often as
     it is taken whole, and its first words where the budget cuts it.  Documents
     without words, and those past their source's budget, are not in it."""
+    names = fresh(docs, "_id", "_source", "_size", "_no", "_taken", "_words", "_copy", "_turn")
+    p_id, p_source, p_size, p_no, p_taken, words, copy, turn = names
     plan = mix_plan(docs, weights, id_col, text_col, source_col, **options).where("taken > 0").select(
-        F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-        F.col("copy_no").alias("_no"), F.col("taken").cast("int").alias("_taken"))
-    numbered = (docs.withColumn("_words", word_count(whole(text_col)))
-                .withColumn("_copy", F.row_number().over(
-                    Window.partitionBy(id_col, source_col, "_words").orderBy(F.xxhash64(text_col)))))
-    taken = numbered.join(plan, F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
-                          & F.col(source_col).cast("string").eqNullSafe(F.col("_source"))
-                          & (F.col("_words") == F.col("_size")) & (F.col("_copy") == F.col("_no")))
-    turns = F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int"))).alias("_turn")
-    left = F.col("_taken") - (F.col("_turn") - 1) * F.col("_size")
-    cut = F.when(left >= F.col("_size"), F.col(text_col)).otherwise(first_words(F.col(text_col), left.cast("int")))
+        F.col("id").alias(p_id), F.col("source").alias(p_source), F.col("size").alias(p_size),
+        F.col("copy_no").alias(p_no), F.col("taken").cast("int").alias(p_taken))
+    numbered = (docs.withColumn(words, word_count(whole(text_col)))
+                .withColumn(copy, F.row_number().over(
+                    Window.partitionBy(id_col, source_col, words).orderBy(F.xxhash64(text_col)))))
+    taken = numbered.join(plan, F.col(id_col).cast("long").eqNullSafe(F.col(p_id))
+                          & F.col(source_col).cast("string").eqNullSafe(F.col(p_source))
+                          & (F.col(words) == F.col(p_size)) & (F.col(copy) == F.col(p_no)))
+    turns = F.explode(F.sequence(F.lit(1), F.ceil(F.col(p_taken) / F.col(p_size)).cast("int"))).alias(turn)
+    left = F.col(p_taken) - (F.col(turn) - 1) * F.col(p_size)
+    cut = F.when(left >= F.col(p_size), F.col(text_col)).otherwise(first_words(F.col(text_col), left.cast("int")))
     return taken.select("*", turns).select(
         *[cut.alias(c) if c == text_col else F.col(c) for c in docs.columns])

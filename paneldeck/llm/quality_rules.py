@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from paneldeck.llm.text import stripped, whole, words
 from paneldeck.session import write_stage
 
+# How often a rule is expected to be right on good and on bad documents: a rule
+# seldom votes against a good one, and passes most bad ones of another kind.
+EXPECTED = (0.95, 0.4)
+
 # name: (vote good if, vote bad if) over the counts below
 RULES = {
     "symbols": ("n_symbols <= 0.02 * n_words", "n_symbols > 0.1 * n_words"),
@@ -93,7 +97,7 @@ def fit_rules(patterns: DataFrame, names: list[str], rounds: int = 30,
               tolerance: float = 1e-4) -> tuple[float, dict[str, tuple[float, float]]]:
     """Expectation-maximisation over counted vote patterns (columns v_<name>, n).
     Each round is one aggregate; one row of sums reaches the driver."""
-    prior, right = 0.7, {name: (0.8, 0.8) for name in names}
+    prior, right = 0.7, {name: EXPECTED for name in names}
     for _ in range(rounds):
         good = F.col("n") * F.col("p")
         bad = F.col("n") * (1 - F.col("p"))
@@ -107,13 +111,13 @@ def fit_rules(patterns: DataFrame, names: list[str], rounds: int = 30,
         row = patterns.withColumn("p", posterior(names, prior, right)).agg(*sums).first()
         if not row["n"]:
             break
-        # Four of five pseudo-votes are right.  A rule is never taken for worse than
+        # Five pseudo-votes of the expected accuracy.  A rule is never taken for worse than
         # chance on good documents, nor likelier to vote bad on these than on bad
         # ones; how rarely it catches bad ones is left to the counts.
         new = {}
         for name in names:
-            hit_good = min(0.999, max(0.5, (row[f"{name}_gg"] + 4) / (row[f"{name}_g"] + 5)))
-            hit_bad = min(0.999, max(1.001 - hit_good, (row[f"{name}_bb"] + 4) / (row[f"{name}_b"] + 5)))
+            hit_good = min(0.999, max(0.5, (row[f"{name}_gg"] + 5 * EXPECTED[0]) / (row[f"{name}_g"] + 5)))
+            hit_bad = min(0.999, max(1.001 - hit_good, (row[f"{name}_bb"] + 5 * EXPECTED[1]) / (row[f"{name}_b"] + 5)))
             new[name] = (hit_good, hit_bad)
         new_prior = min(0.99, max(0.01, (row["good"] + 1) / (row["n"] + 2)))
         moved = max([abs(new_prior - prior), *(abs(a - b) for k in names for a, b in zip(new[k], right[k]))])

@@ -33,7 +33,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneldeck.llm.text import whole
+from paneldeck.llm.text import fresh, whole
 
 SPACE = "▁"
 LITERAL = "\0" + SPACE  # a segment of its own: U+2581 as it stands in a text
@@ -255,8 +255,9 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", n_best: int
 
     added = ["ids", "scores"] + ["n_best_ids"] * full
     rest = docs.drop(*added)
-    return rest.withColumn("_segmented", segment(whole(text_col))).select(
-        *rest.columns, *[F.col(f"_segmented.{c}").alias(c) for c in added])
+    name, = fresh(rest, "_segmented")
+    return rest.withColumn(name, segment(whole(text_col))).select(
+        *rest.columns, *[F.col(f"{name}.{c}").alias(c) for c in added])
 
 
 def decode(ids: Column, model_path: str, spark: SparkSession) -> Column:

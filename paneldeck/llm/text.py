@@ -45,3 +45,14 @@ def key128(value: Column) -> tuple[Column, Column]:
     """Two independent 64-bit hashes; together the 128-bit key of a string."""
     return F.xxhash64(value), F.xxhash64(F.lit("second"), value)
 
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out

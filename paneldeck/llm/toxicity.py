@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paneldeck.llm.text import whole
+from paneldeck.llm.text import fresh, whole
 from paneldeck.session import write_stage
 
 WORDS = regex.compile(r"\w+").findall
@@ -221,9 +221,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         for batch in texts:
             yield pd.Series([sent.value.above(text) for text in batch])
 
-    p = F.col("_above")
+    name, = fresh(rest, "_above")
+    p = F.col(name)
     least = F.array_position(F.transform(F.concat(F.array(F.lit(1.0)), p), lambda x: x >= 0.5), False)
     grade = F.when(least == 0, 3).otherwise(least - 2)
-    return (rest.withColumn("_above", above(whole(text_col)))
+    return (rest.withColumn(name, above(whole(text_col)))
             .select(*rest.columns, F.aggregate(p, F.lit(0.0), lambda a, x: a + x).alias("severity"),
                     grade.cast("int").alias("grade"), (F.get(p, F.lit(0)) >= reject).alias("toxic")))
