@@ -205,42 +205,50 @@ def compare_blocks(rows: DataFrame, bands: Bands) -> DataFrame:
     """a, b: pairs of different components within each (sig, i, j) that sizes and
     sketches don't rule out.  ``rows``: sig, i, j, id, label, block, n, own, next,
     in groups of bounded size; where i < j the two blocks are compared across."""
-    def pairs(group: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        ids, labels, n, block = (group[c].to_numpy() for c in ("id", "label", "n", "block"))
-        across = group["i"].iloc[0] != group["j"].iloc[0]
-        own = np.array([(int(x) - 1).bit_length() for x in n])
-        drawn = {}
+    def pairs(rows: pd.DataFrame, group: np.ndarray) -> Iterator[pd.DataFrame]:
+        """All groups of ``rows`` at once: each row against the one k rows on, for
+        every k at which a group still has rows."""
+        ids, labels, n, block = (rows[c].to_numpy() for c in ("id", "label", "n", "block"))
+        across = (rows["i"] != rows["j"]).to_numpy()
+        own = np.array([(x - 1).bit_length() for x in n.tolist()])
+        drawn = {}  # level -> (place of a row in the matrix or -1, sketches)
         for level in set(own.tolist()):
-            size = max(64, 1 << level) // 8
             held = [x if o == level else y if o == level - 1 else None
-                    for o, x, y in zip(own, group["own"], group["next"])]
-            drawn[level] = (np.array([x is not None for x in held]), np.frombuffer(
-                b"".join(x if x is not None else bytes(size) for x in held), dtype=np.uint64).reshape(len(ids), -1))
-        for k in range(len(ids) - 1):
-            fits = labels[k + 1:] != labels[k]
-            if across:
-                fits &= block[k + 1:] != block[k]
-            fits &= np.minimum(n[k + 1:], n[k]) * 100 >= np.maximum(n[k + 1:], n[k]) * bands.percent
-            for level, (has, bits) in drawn.items():
-                if has[k]:
-                    at_level = np.maximum(own[k + 1:], own[k]) == level
-                    other = np.flatnonzero(fits & at_level & has[k + 1:]) + k + 1
-                    apart = np.bitwise_count(bits[other] ^ bits[k]).sum(axis=1)
-                    other = other[apart <= bands.most_apart(n[other], n[k])]
-                    if len(other):
-                        yield pd.DataFrame({"a": np.minimum(ids[other], ids[k]), "b": np.maximum(ids[other], ids[k])})
+                    for o, x, y in zip(own.tolist(), rows["own"], rows["next"])]
+            has = np.array([x is not None for x in held])
+            drawn[level] = (np.where(has, np.cumsum(has) - 1, -1), np.frombuffer(
+                b"".join(x for x in held if x is not None), dtype=np.uint64).reshape(has.sum(), -1))
+        first, k = np.arange(len(ids)), 0
+        while len(first):
+            k += 1
+            first = first[first + k < len(ids)]
+            first = first[group[first] == group[first + k]]
+            x, y = first, first + k
+            fits = (labels[x] != labels[y]) & ~(across[x] & (block[x] == block[y]))
+            fits &= np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * bands.percent
+            x, y = x[fits], y[fits]
+            at = np.maximum(own[x], own[y])
+            for level, (place, bits) in drawn.items():
+                here = (at == level) & (place[x] >= 0) & (place[y] >= 0)
+                for part in np.array_split(np.flatnonzero(here), 1 + here.sum() * bits.shape[1] // 1_000_000):
+                    a, b = x[part], y[part]
+                    apart = np.bitwise_count(bits[place[a]] ^ bits[place[b]]).sum(axis=1)
+                    near = apart <= bands.most_apart(n[a], n[b])
+                    if near.any():
+                        a, b = ids[a[near]], ids[b[near]]
+                        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for batch in batches:
             batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
             key = batch[["sig", "i", "j"]].to_numpy()
-            starts = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)]))
-            for s, e in zip(starts[:-1], starts[1:]):
-                yield from pairs(batch.iloc[s:e])
-            rest = batch.iloc[starts[-1]:]
+            new = np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)])
+            end = np.flatnonzero(new)[-1]  # the last group may go on in the next batch
+            yield from pairs(batch.iloc[:end], np.cumsum(new)[:end])
+            rest = batch.iloc[end:]
         if rest is not None and len(rest):
-            yield from pairs(rest)
+            yield from pairs(rest, np.zeros(len(rest)))
 
     keys = ["sig", "i", "j"]
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(scan, "a long, b long").distinct()
@@ -273,8 +281,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     best = shared.groupBy("id").agg(F.max(F.struct(F.col("n"), (-F.col("leader")).alias("l"))).alias("best"))
     stars = write_stage(best.select((-F.col("best.l")).alias("a"), F.col("id").alias("b")), "jaccard-stars")
     involved = write_stage(members.select("id").distinct(), "jaccard-involved")
-    sets = write_stage(set_sketches(texts.join(involved, "id", "left_semi"), width, bands)
-                       .dropDuplicates(["id"]), "jaccard-sets")
+    sets = write_stage(set_sketches(texts.join(involved, "id", "left_semi"), width, bands), "jaccard-sets")
     links = write_stage(verified(near(stars, sets, bands), sets, bands), "jaccard-star-links")
 
     # what the stars have left open: groups that span several components
