@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneldeck.llm.components import connected_components
-from paneldeck.llm.text import fresh, whole
+from paneldeck.llm.text import bound_batches, fresh, whole
 from paneldeck.session import write_stage
 
 BLOCK = 1_000
@@ -259,6 +259,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(rows, links): id, n, rep of every document, where rep has the same set and
     the smallest id, and links (a, b) between such representatives that connect
     all that are linked, directly or through others."""
+    bound_batches(docs.sparkSession)
     bands = Bands(percent)
     keys = write_stage(shingle_keys(docs, id_col, text_col, width), "jaccard-keys")
     named = keys.where("id is not null and n > 0")

@@ -14,7 +14,7 @@ from paneldeck.llm.line_dedup import dedup_lines
 from paneldeck.llm.mixing import mix
 from paneldeck.llm.pii import find_pii, span_text
 from paneldeck.llm.quality_rules import judge_quality
-from paneldeck.llm.sentencepieces import decode, encode
+from paneldeck.llm.sentencepieces import encode
 from paneldeck.llm.text import whole
 from paneldeck.llm.token_counts import count_tokens
 from paneldeck.llm.toxicity import score_toxicity
@@ -62,11 +62,10 @@ def op6_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its pieces, the scores of its best segmentations and
     whether its text comes back from them."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    out = encode(_table(spark, sf_dir, "documents"), model)
-    out = out.withColumn("back", decode(F.col("ids"), model, spark))
+    out = encode(_table(spark, sf_dir, "documents"), model, check=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.transform("scores", lambda s: F.round(s, 4)).alias("scores"),
-                      F.xxhash64("ids").alias("ids_hash"), (F.col("back") == whole("text")).alias("round_trip"))
+                      F.xxhash64("ids").alias("ids_hash"), "round_trip")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,18 +22,18 @@ comes back from its pieces unchanged.
 from __future__ import annotations
 
 import heapq
+import re
 from collections.abc import Iterator
 from itertools import chain, count
 from math import fsum, inf, log
 
 import numpy as np
 import pandas as pd
-import regex
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneldeck.llm.text import fresh, whole
+from paneldeck.llm.text import bound_batches, fresh, whole
 
 SPACE = "▁"
 LITERAL = "\0" + SPACE  # a segment of its own: U+2581 as it stands in a text
@@ -56,12 +56,13 @@ class Lattice(dict):
         zipf = {i: -log(r + 1) - total for r, i in enumerate(ranked)}
         value = zipf.__getitem__ if scores == "zipf" else sp.get_score
         self.pieces = {self.surface[i]: (value(i), (i,)) for i in normal}
-        self.trie: dict = {}  # character -> node; under "" the (score, ids) of a piece that ends there
+        self.trie: dict = {}  # character -> [nodes that follow, (score, ids) of the piece that ends there or None]
         for piece, found in self.pieces.items():
-            node = self.trie
+            following = self.trie
             for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = found
+                node = following.setdefault(c, [{}, None])
+                following = node[0]
+            node[1] = found
         self.byte_score = min(v for v, _ in self.pieces.values()) - 1.0
         self.byte_ids = {b: i for i, b in self.byte_of.items()}
         if len(self.byte_ids) < 256:
@@ -75,35 +76,37 @@ class Lattice(dict):
         inner = {c for p in self.pieces if len(p) > 1 for c in p} - {SPACE}
         if any(a.isalpha() != b.isalpha() for p in self.pieces for a, b in zip(p.lstrip(SPACE), p.lstrip(SPACE)[1:])):
             raise ValueError("a piece joins letters and other characters")
-        letters, others = (regex.escape("".join(sorted(c for c in inner if c.isalpha() == x))) for x in (True, False))
-        self.segments = regex.compile(f"{SPACE}+(?:[{letters}]+|[{others}]+)?|[{letters}]+|[{others}]+|"
+        letters, others = (re.escape("".join(sorted(c for c in inner if c.isalpha() == x))) for x in (True, False))
+        self.segments = re.compile(f"{SPACE}+(?:[{letters}]+|[{others}]+)?|[{letters}]+|[{others}]+|"
                                       f"[^{letters}{others}{SPACE}]").findall
         self.room = room
         self.prefix = SPACE if sp.encode("a", out_type=str)[0].startswith(SPACE) else ""
 
     def forward(self, segment: str) -> tuple[list, list[float], list]:
         """(edges, best, via): for each position the (end, score, ids) of the pieces
-        that start there, the best score up to it and the edge that reaches it."""
+        that start there, the best score up to it and where the edge that
+        reaches it starts."""
         n, trie = len(segment), self.trie
-        edges, best, via = [], [0.0] + [-inf] * n, [None] * (n + 1)
+        edges, best, via = [], [0.0] + [-inf] * n, [0] * (n + 1)
         for start in range(n):
-            here, node, upto = [], trie, best[start]
+            here, following, upto = [], trie, best[start]
             for end in range(start, n):
-                node = node.get(segment[end])
+                node = following.get(segment[end])
                 if node is None:
                     break
-                if "" in node:
-                    score, ids = node[""]
+                following, found = node
+                if found:
+                    score, ids = found
                     here.append((end + 1, score, ids))
                     score += upto
                     if score > best[end + 1]:
-                        best[end + 1], via[end + 1] = score, (start, ids)
+                        best[end + 1], via[end + 1] = score, start
             if not here or here[0][0] > start + 1:
                 raw = segment[start].encode("utf-8", "surrogatepass")
                 score, ids = self.byte_score * len(raw), tuple(self.byte_ids[b] for b in raw)
                 here.append((start + 1, score, ids))
                 if upto + score > best[start + 1]:
-                    best[start + 1], via[start + 1] = upto + score, (start, ids)
+                    best[start + 1], via[start + 1] = upto + score, start
             edges.append(here)
         return edges, best, via
 
@@ -113,24 +116,24 @@ class Lattice(dict):
             return ids, self.byte_score * len(ids), inf
         edges, best, via = self.forward(segment)
         n = len(edges)
-        ids, on_path, at = [], [0] * n, n
+        on_path, at = [0] * n, n
         while at:
-            start, piece = via[at]
-            on_path[start] = at
-            ids.append(piece)
-            at = start
+            on_path[via[at]] = at
+            at = via[at]
         # the best path over an edge scores best up to it + the edge + best after it
-        after, second, total = [0.0] * (n + 1), -inf, best[n]
+        after, second, path = [0.0] * (n + 1), -inf, []
         for start in range(n - 1, -1, -1):
-            top, here, upto = -inf, on_path[start], best[start]
-            for end, score, _ in edges[start]:
+            top, there, upto = -inf, on_path[start], best[start]
+            for end, score, ids in edges[start]:
                 score += after[end]
                 if score > top:
                     top = score
-                if upto + score > second and end != here:
+                if end == there:
+                    path.append(ids)
+                elif upto + score > second:
                     second = upto + score
             after[start] = top
-        found = tuple(chain.from_iterable(reversed(ids))), total, max(0.0, total - second)
+        found = tuple(chain.from_iterable(reversed(path))), best[n], max(0.0, best[n] - second)
         if len(self) >= self.room:
             self.clear()
         if n <= 64:
@@ -231,17 +234,20 @@ def _broadcast(spark: SparkSession, model_path: str):
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", n_best: int = 4, scores: str = "zipf",
-           full: bool = False) -> DataFrame:
+           full: bool = False, check: bool = False) -> DataFrame:
     """``docs`` plus ids (the best segmentation), scores (log probabilities of the
-    ``n_best`` best, fewer if there are fewer) and, if ``full``, n_best_ids (all of
-    them, best first).
+    ``n_best`` best, fewer if there are fewer), if ``full``, n_best_ids (all of them,
+    best first) and, if ``check``, round_trip (whether the text was decoded from
+    its ids unchanged).
 
     Null text reads as empty: no ids, one segmentation of score 0.  Texts of any
     length are encoded whole.  Repeated rows are encoded like any.  An empty table
     gives an empty result.  Columns of ``docs`` with these names are replaced.
     """
+    bound_batches(docs.sparkSession)
     model = _broadcast(docs.sparkSession, model_path)
-    kind = "ids array<int>, scores array<double>" + ", n_best_ids array<array<int>>" * full
+    kind = ("ids array<int>, scores array<double>" + ", n_best_ids array<array<int>>" * full
+            + ", round_trip boolean" * check)
 
     @F.pandas_udf(kind)
     def segment(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -251,9 +257,11 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", n_best: int
             out = pd.DataFrame({"ids": [m[0] for m in made], "scores": [m[1] for m in made]})
             if full:
                 out["n_best_ids"] = [[ids for _, ids in lattice.n_best_ids(text, n_best)] for text in batch]
+            if check:
+                out["round_trip"] = [lattice.decode(m[0].tolist()) == text for m, text in zip(made, batch)]
             yield out
 
-    added = ["ids", "scores"] + ["n_best_ids"] * full
+    added = ["ids", "scores"] + ["n_best_ids"] * full + ["round_trip"] * check
     rest = docs.drop(*added)
     name, = fresh(rest, "_segmented")
     return rest.withColumn(name, segment(whole(text_col))).select(

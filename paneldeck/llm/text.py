@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The ASCII white space that separates words, and its complement.
@@ -56,3 +56,10 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
             name += "_"
         out.append(name)
     return out
+
+
+def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Send Python workers texts in batches of at most ``size``: what a worker
+    holds is then bounded however long the documents are.  Set on the session,
+    as the plans are made when they run."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

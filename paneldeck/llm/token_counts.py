@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paneldeck.llm.text import whole
+from paneldeck.llm.text import bound_batches, whole
 from paneldeck.session import write_stage
 
 # The pre-tokenizer's pattern (public GPT-2 rule) and Unicode White_Space.
@@ -200,6 +200,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     table gives an empty result.  Other columns are not read.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
         vocabulary = spark.sparkContext.broadcast(f.read())
 

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paneldeck.llm.text import fresh, whole
+from paneldeck.llm.text import bound_batches, fresh, whole
 from paneldeck.session import write_stage
 
 WORDS = regex.compile(r"\w+").findall
@@ -210,6 +210,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     null ids are scored like any.  An empty table gives an empty result.  Columns
     of ``docs`` named severity, grade or toxic are replaced.
     """
+    bound_batches(docs.sparkSession)
     model = model or fit_severity(docs if labelled is None else labelled, labels, id_col, text_col, toxic_col, **fit)
     rest = docs.drop("severity", "grade", "toxic")
     if model is None:
