@@ -12,8 +12,20 @@ from pyspark.sql import functions as F
 # Strings that mean "missing" in a messy numeric cell.
 MISSING_TOKENS = ["", "nan", "none", "null"]
 
+# Fixed value: the characters that count as white space in a text.
+WHITE_SPACE = (r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+
+# The ways in which a date is written as text.
+DATE_PATTERNS = [
+    "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm",
+    "yyyy-MM-dd'T'HH:mm:ssXXX", "M/d/yyyy", "M/d/yyyy HH:mm:ss", "M/d/yyyy HH:mm", "M/d/yy", "yyyy/M/d", "M-d-yyyy",
+    "MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy",
+]
+
 # Fixed value: day zero of the spreadsheet serial-date calendar.
 SERIAL_DATE_EPOCH = "1899-12-30"
+# Fixed value: serial number of the day after 9999-12-31.
+SERIAL_DATE_LIMIT = 2958466
 
 
 def _c(c) -> Column:
@@ -28,7 +40,8 @@ def null_nan(c) -> Column:
 
 def norm_text(c) -> Column:
     """Strip, lower-case and collapse whitespace; NULL becomes ''."""
-    return F.regexp_replace(F.lower(F.trim(F.coalesce(_c(c).cast("string"), F.lit("")))), r"\s+", " ")
+    text = F.coalesce(_c(c).cast("string"), F.lit(""))
+    return F.trim(F.regexp_replace(F.lower(text), WHITE_SPACE + "+", " "))
 
 
 def parse_number(c) -> Column:
@@ -66,17 +79,19 @@ def parse_mixed_date(c) -> Column:
     value becomes NULL (never an error).
     """
     s = F.trim(_c(c).cast("string"))
-    serial = s.try_cast("double")
+    number = s.try_cast("double")
+    serial = F.when(F.abs(number) < SERIAL_DATE_LIMIT, number)  # neither NaN nor infinite
     as_serial = F.date_add(F.lit(SERIAL_DATE_EPOCH).cast("date"), F.floor(serial).cast("int"))
-    as_text = F.coalesce(
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd")),
-        F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(s, F.lit("M/d/yyyy")),
-        F.try_to_timestamp(s, F.lit("yyyy/M/d")),
-    ).cast("date")
+    as_text = F.coalesce(*[F.try_to_timestamp(s, F.lit(p)) for p in DATE_PATTERNS]).cast("date")
     return F.when(serial.isNotNull(), as_serial).otherwise(as_text)
 
 
+def date_rejected(c) -> Column:
+    """A cell that says something, but no date that ``parse_mixed_date`` knows."""
+    s = F.trim(_c(c).cast("string"))
+    return F.coalesce(~F.lower(s).isin(MISSING_TOKENS), F.lit(False)) & parse_mixed_date(c).isNull()
+
+
 def resolve_fiber(insoluble, soluble, generic, generic_raw=None) -> Column:
     """fiber = insoluble + soluble when both are known, else the generic
     column, converted from mg to g when its raw text mentions mg."""

@@ -103,21 +103,11 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
                  F.stddev_samp(x).alias(f"std__{c}"), F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}")]
     # quartiles of every column in one grouped pass over (column, value)
     quart = exact_quantiles_many(df, cols, [0.25, 0.5, 0.75])
-    one = df.agg(*aggs)
-    parts = []
-    for s in DESCRIBE_STATS:
-        sel = [F.lit(s).alias("statistic")]
-        for c in cols:
-            if s in ("25%", "50%", "75%"):
-                e = F.lit(quart[c].get({"25%": 0.25, "50%": 0.5, "75%": 0.75}[s])).cast("double")
-            else:
-                e = F.col(f"{s}__{c}")
-            sel.append(e.alias(c))
-        parts.append(one.select(*sel))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    share = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
+    entries = [F.struct(F.lit(s).alias("statistic"), *[
+        (F.lit(quart[c].get(share[s])).cast("double") if s in share else F.col(f"{s}__{c}")).alias(c) for c in cols])
+        for s in DESCRIBE_STATS]
+    return df.agg(*aggs).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
 def pivot_weeks(df: DataFrame, subject: str, week: str, values: list[str], weeks: list[int],
@@ -148,21 +138,20 @@ def keyword_crosstab(df: DataFrame, outcome: str, flags: dict[str, str]) -> Data
     keyword plus the overall median, over rows with a known outcome."""
     d = df.filter(F.col(outcome).isNotNull())
     overall = exact_quantiles(d, outcome, [0.5])[0.5]
-    parts = []
-    for name, col in flags.items():
-        meds = {r[col]: r["quantile"] for r in
-                exact_quantiles_by(d.filter(F.col(col).isin(0, 1)), [col], outcome, [0.5]).collect()}
-        parts.append(d.agg(
-            F.lit(name).alias("keyword"),
-            F.count(F.when(F.col(col) == 1, 1)).alias("n_weeks_with_keyword"),
-            F.count(F.when(F.col(col) == 0, 1)).alias("n_weeks_without_keyword"),
-            F.lit(meds.get(1)).cast("double").alias("median_delta_with_keyword"),
-            F.lit(meds.get(0)).cast("double").alias("median_delta_without_keyword"),
-            F.lit(overall).cast("double").alias("overall_median_delta")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # all flags in one pass: one long row per flag and known flag value
+    long = (d.select(F.col(outcome).alias("_o"), F.explode(F.array(*[
+        F.struct(F.lit(name).alias("keyword"), F.col(col).cast("int").alias("_f")) for name, col in flags.items()]))
+        .alias("_s")).select("_s.*", "_o").filter(F.col("_f").isin(0, 1)))
+    med = {(r["keyword"], r["_f"]): r["quantile"]
+           for r in exact_quantiles_by(long, ["keyword", "_f"], "_o", [0.5]).collect()}  # two rows per flag
+    counts = [F.count(F.when(F.col(col) == v, 1)).alias(f"n{v}_{name}") for name, col in flags.items() for v in (0, 1)]
+    entries = [F.struct(
+        F.lit(name).alias("keyword"), F.col(f"n1_{name}").alias("n_weeks_with_keyword"),
+        F.col(f"n0_{name}").alias("n_weeks_without_keyword"),
+        F.lit(med.get((name, 1))).cast("double").alias("median_delta_with_keyword"),
+        F.lit(med.get((name, 0))).cast("double").alias("median_delta_without_keyword"),
+        F.lit(overall).cast("double").alias("overall_median_delta")) for name in flags]
+    return d.agg(*counts).select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
 def group_medians(df: DataFrame, flag: str, value: str) -> DataFrame:

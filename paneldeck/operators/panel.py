@@ -155,6 +155,8 @@ def segmented_lead(df: DataFrame, subject: str, segment: str, within: list[str],
     (e.g. weeks); only the boundary table, bounded by the number of segments
     per subject, is ordered per subject.  Equal to
     ``lead(value) over (partition by subject order by segment, *within)``."""
+    # rows that arrive hashed by subject would satisfy the window: deal them anew
+    df = df.repartition(subject, segment)
     w = Window.partitionBy(subject, segment).orderBy(*within)
     key = F.struct(*[F.col(c) for c in within])
     rows = df.withColumn("_in_lead", F.lead(value).over(w)) \

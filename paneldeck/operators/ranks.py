@@ -151,30 +151,46 @@ def mann_whitney(df: DataFrame, value: str, flag: str, buckets: int | None = Non
                       F.coalesce(F.col("tie_term"), F.lit(0.0)).cast("double").alias("tie_term"))
 
 
+EXACT_CELLS = 10_000_000  # length of the longest distribution that the exact test computes
+
+
 def _exact_sf(u: int, n1: int, n2: int) -> float:
-    """P(U >= u) under H0 without ties, by counting arrangements (small samples)."""
+    """P(U >= u) under H0 without ties.  The counts are the coefficients of the
+    Gaussian binomial [m + n over m]: one factor (1 - q^(n+i)) / (1 - q^i) after
+    the other; the distribution is symmetric, so only its lower tail is built."""
     m, n = min(n1, n2), max(n1, n2)
-    # counts[k][s]: ways to choose k of the first j items with rank-sum offset s
-    f = np.zeros((m + 1, m * n + 1))
-    f[0, 0] = 1.0
-    for j in range(1, m + n + 1):
-        for k in range(min(j, m), 0, -1):
-            shift = j - k
-            if shift <= n:
-                f[k, shift:] += f[k - 1, : m * n + 1 - shift]
-    dist = f[m] / f[m].sum()
-    return float(dist[u:].sum()) if u <= m * n else 0.0
-
-
-def mann_whitney_p(n1: int, n0: int, u1: float, tie_term: float, has_ties: bool | None = None) -> float:
-    """Two-sided p-value: exact when the smaller group has ≤ 8 values and there
-    are no ties, otherwise the normal approximation with continuity correction."""
+    if u > m * n:
+        return 0.0
+    tail = m * n - u
+    f = np.zeros(tail + 1)
+    f[0] = 1.0
+    for i in range(1, m + 1):
+        if n + i <= tail:
+            f[n + i:] -= f[:tail + 1 - n - i].copy()
+        for start in range(min(i, tail + 1)):
+            f[start::i] = np.cumsum(f[start::i])
+    return float(f.sum() / math.comb(m + n, m))
+
+
+def mann_whitney_method(n1: int, n0: int, has_ties: bool, method: str = "auto") -> str:
+    """Which test "auto" stands for: "exact" when a group has 8 values or fewer,
+    there are no ties and the distribution has at most ``EXACT_CELLS`` cells,
+    otherwise "asymptotic".  Report it next to the p-value."""
+    if method != "auto":
+        return method
+    return "exact" if min(n1, n0) <= 8 and not has_ties and n1 * n0 <= EXACT_CELLS else "asymptotic"
+
+
+def mann_whitney_p(n1: int, n0: int, u1: float, tie_term: float, has_ties: bool | None = None,
+                   method: str = "auto") -> float:
+    """Two-sided p-value by the method that ``mann_whitney_method`` names: exact, or
+    the normal approximation with continuity correction."""
     if n1 <= 0 or n0 <= 0:
         return float("nan")
     u2 = n1 * n0 - u1
     big = max(u1, u2)
     ties = tie_term > 0 if has_ties is None else has_ties
-    if min(n1, n0) <= 8 and not ties:
+    if mann_whitney_method(n1, n0, ties, method) == "exact":
         return min(1.0, 2.0 * _exact_sf(int(round(big)), n1, n0))
     n = n1 + n0
     sigma = math.sqrt(n1 * n0 / 12.0 * ((n + 1) - tie_term / (n * (n - 1))))
@@ -207,6 +223,8 @@ def grouped_below(counts: DataFrame, by: list[str], value: str, cnt: str = "cnt"
         vc = vc.withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
     else:
         vc = vc.withColumn("_b", F.lit(0))
+    # hash(group) alone would satisfy the window below and put a group in one task
+    vc = vc.repartition(*by, "_b")
     tot = vc.groupBy(*by, "_b").agg(F.sum(cnt).alias("_bt"))
     ow = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.withColumn("_off", F.coalesce(F.sum("_bt").over(ow), F.lit(0))).drop("_bt")

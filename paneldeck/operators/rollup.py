@@ -43,7 +43,7 @@ def add_week_index(df: DataFrame, subject: str = "subject_id", date: str = "date
         from pyspark.sql import Window
         o = F.min(date).over(Window.partitionBy(subject))
         return df.withColumn(out, week_index(F.col(date), o, one_based))
-    return (df.join(origin, subject, "inner")
+    return (df.join(origin, subject, "left")
             .withColumn(out, week_index(F.col(date), F.col("origin_date"), one_based))
             .drop("origin_date"))
 
@@ -103,12 +103,16 @@ def entries_per_week(rows: DataFrame, subject: str = "subject_id", week: str = "
     return rows.groupBy(subject, week).agg(F.count(F.lit(1)).alias(out))
 
 
-def split_rejects(rows: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Q8: rows with a NULL in a required key (e.g. an unparseable date) go to
-    a reject table with the reason instead of failing the run."""
-    bad = F.lit(False)
+def reject_reason(required: list[str]):
+    """null_<column> for the first required column that is NULL, else NULL."""
     reason = F.lit(None).cast("string")
     for c in reversed(required):
-        bad = bad | F.col(c).isNull()
         reason = F.when(F.col(c).isNull(), F.lit(f"null_{c}")).otherwise(reason)
-    return rows.filter(~bad), rows.filter(bad).withColumn("reject_reason", reason)
+    return reason
+
+
+def split_rejects(rows: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Q8: rows with a NULL in a required key (e.g. an unparseable date) go to
+    a reject table with the reason instead of failing the run."""
+    reason = reject_reason(required)
+    return rows.filter(reason.isNull()), rows.filter(reason.isNotNull()).withColumn("reject_reason", reason)

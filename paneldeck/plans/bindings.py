@@ -104,7 +104,10 @@ def daily_wide(spark: SparkSession, d: str) -> DataFrame:
     return rollup.add_week_index(g, out="week", one_based=True)
 
 
-def food_rows_wide(spark: SparkSession, d: str) -> DataFrame:
+def food_rows_wide(spark: SparkSession, d: str, origin: DataFrame | None = None) -> DataFrame:
+    """Food rows with their 1-based week.  ``origin``: first date per subject, one
+    small row each; the raw rows are joined with it, not ordered by subject."""
     r = food_rows(spark, d).select("subject_id", "date", F.col("food").alias("food_item"), "category",
                                    F.col("calories_kcal").alias("calories"), F.col("fiber_g"))
-    return rollup.add_week_index(r, out="week", one_based=True)
+    origin = rollup.subject_origin(daily_long(spark, d)) if origin is None else origin
+    return rollup.add_week_index(r, out="week", one_based=True, origin=origin)

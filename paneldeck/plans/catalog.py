@@ -17,7 +17,8 @@ from paneldeck.plans import bindings as B
 from paneldeck.plans import oracle as O
 from paneldeck.plans import panels as P
 from paneldeck.plans.finalize import finalize
-from paneldeck.session import cut_lineage, materialized
+from paneldeck.session import cut_lineage, input_listing, materialized
+from paneldeck.sources.tables import table_path
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 CATS = list(PART_KEYWORDS)
@@ -392,20 +393,15 @@ def q_mixed_reml(spark, d):
 @register("q_model_fit", None)
 def q_model_fit(spark, d):
     """ST13: one fit-metrics table for every model (union of results)."""
-    wide = model_panel_wide(spark, d).persist()
-    long = model_panel_long(spark, d).persist()
-    try:
-        results = [regress.ols(wide, LONG_Y, WIDE_X), regress.fe_within(wide, LONG_Y, WIDE_X, "subject_id"),
-                   regress.cluster_ols(long, LONG_Y, LONG_X, "subject_id"),
-                   mixed.random_intercept(long, LONG_Y, LONG_X[:2], "subject_id"),
-                   mixed.random_intercept(wide, LONG_Y, WIDE_X, "subject_id", reml=True)]
-        out = results[0].model_fit(spark)
-        for r in results[1:]:
-            out = out.unionByName(r.model_fit(spark))
-        return out
-    finally:
-        wide.unpersist()
-        long.unpersist()
+    wide, long = model_panel_wide(spark, d), model_panel_long(spark, d)
+    results = [regress.ols(wide, LONG_Y, WIDE_X), regress.fe_within(wide, LONG_Y, WIDE_X, "subject_id"),
+               regress.cluster_ols(long, LONG_Y, LONG_X, "subject_id"),
+               mixed.random_intercept(long, LONG_Y, LONG_X[:2], "subject_id"),
+               mixed.random_intercept(wide, LONG_Y, WIDE_X, "subject_id", reml=True)]
+    out = results[0].model_fit(spark)
+    for r in results[1:]:
+        out = out.unionByName(r.model_fit(spark))
+    return out
 
 
 @register("q_trend_grid", _with(O.model_long(), O.trend_sql("al", LONG_X[0], LONG_Y)))
@@ -614,11 +610,12 @@ SELECT a.subject_id, CAST(regr_count(calories_kcal_total_week_mean, CAST(week AS
        {O.r('CASE WHEN regr_count(calories_kcal_total_week_mean, CAST(week AS DOUBLE)) >= 3 THEN regr_slope(calories_kcal_total_week_mean, CAST(week AS DOUBLE)) END', 4)} AS slope,
        {O.r('CASE WHEN regr_count(calories_kcal_total_week_mean, CAST(week AS DOUBLE)) >= 3 THEN regr_intercept(calories_kcal_total_week_mean, CAST(week AS DOUBLE)) END', 4)} AS intercept
 FROM al a WHERE a.subject_id IN (SELECT subject_id FROM firstn) GROUP BY a.subject_id""")
-def q_small_multiples(spark, d):
-    """RP3 + O3 + ST11: calories trend per subject for the first 12 subjects
-    (deterministic top-k by id, semi-joined back); a line needs n >= 3."""
+def q_small_multiples(spark, d, n_subjects=12):
+    """RP3 + O3 + ST11: calories trend per subject for the first ``n_subjects``
+    (the report's 12; deterministic top-k by id, semi-joined back); a line needs
+    n >= 3."""
     a = P.analysis_long(spark, d)
-    first = a.select("subject_id").distinct().orderBy("subject_id").limit(12)
+    first = a.select("subject_id").distinct().orderBy("subject_id").limit(n_subjects)
     sub = a.join(F.broadcast(first), "subject_id", "left_semi")
     s = regress.group_slopes(sub, "subject_id", "week", "calories_kcal_total_week_mean", min_points=3)
     return finalize(s.select("subject_id", F.col("n_points").cast("bigint"), "slope", "intercept"), default=4)
@@ -698,20 +695,21 @@ def q_quality_rows(spark, d):
 SELECT table_name, count(*) FILTER (WHERE success) AS expectations_met, count(*) AS total_expectations,
        coalesce(string_agg(CASE WHEN NOT success THEN rule END, ',' ORDER BY rule), '') AS failures,
        bool_and(success) AS success, 'validated' AS status FROM res GROUP BY table_name
-UNION ALL SELECT 'silver_features', CAST(0 AS BIGINT), CAST(0 AS BIGINT), '', false, 'missing'
-  FROM (SELECT 1 FROM orders LIMIT 1)""")
+UNION ALL SELECT 'silver_features', CAST(0 AS BIGINT), CAST(0 AS BIGINT), '', false, 'missing'""")
 def q_quality_summary(spark, d):
-    """DQ19 + DQ20: per-table suite summary plus a missing contract table,
-    which counts as a failure."""
+    """DQ19 + DQ20: per-table suite summary; of the contract's tables, those that
+    the input folder lacks count as failures."""
     s = Q.suite_summary(_quality_results(spark, d))
     s = s.select("table_name", "expectations_met", "total_expectations",
                  F.array_join(F.col("failures"), ",").alias("failures"), "success",
                  F.lit("validated").alias("status"))
-    probe = B.read_table(spark, d, "orders").limit(1).select(
-        F.lit("silver_features").alias("table_name"), F.lit(0).cast("bigint").alias("expectations_met"),
-        F.lit(0).cast("bigint").alias("total_expectations"), F.lit("").alias("failures"),
-        F.lit(False).alias("success"), F.lit("missing").alias("status"))
-    return s.unionByName(probe)
+    absent = [t for t in [*SUITES, "silver_features"] if not input_listing(spark, table_path(d, t))]
+    status = Q.multi_table_status(spark, s.select("table_name", "success"), absent)
+    return status.drop("success").join(s.drop("status"), "table_name", "left").select(
+        "table_name", F.coalesce("expectations_met", F.lit(0)).cast("bigint").alias("expectations_met"),
+        F.coalesce("total_expectations", F.lit(0)).cast("bigint").alias("total_expectations"),
+        F.coalesce("failures", F.lit("")).alias("failures"), F.coalesce("success", F.lit(False)).alias("success"),
+        "status")
 
 
 # ------------------------------------------------------------------ ingest
@@ -737,22 +735,31 @@ def q_trailing_int(spark, d):
     return p.withColumn("brand_no", C.trailing_int("p_brand"))
 
 
-@register("q_norm_text", f"""SELECT doc_id, {O._norm('text')} AS norm_text FROM documents WHERE lang = 'en'""")
+@register("q_norm_text", f"""SELECT doc_id, {O._norm('text')} AS norm_text FROM documents""")
 def q_norm_text(spark, d):
-    """Normalised text (lower, trimmed, single spaces) of every English document."""
-    doc = B.read_table(spark, d, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+    """Normalised text (lower, trimmed, single spaces) of every document."""
+    doc = B.read_table(spark, d, "documents").select("doc_id", "text")
     return doc.select("doc_id", C.norm_text("text").alias("norm_text"))
 
 
 @register("q_serial_date", f"""SELECT p_partkey,
   {O._mixed_date("CAST(44000 + p_size AS VARCHAR)")} AS serial_date,
-  {O._mixed_date("strftime(DATE '1899-12-30' + (44000 + p_size), '%Y-%m-%d')")} AS text_date FROM part""")
+  {O._mixed_date("strftime(DATE '1899-12-30' + (44000 + p_size), '%Y-%m-%d')")} AS text_date,
+  DATE '1899-12-30' + (44000 + p_size) AS iso_time_date, DATE '1899-12-30' + (44000 + p_size) AS month_name_date,
+  DATE '1899-12-30' + (44000 + p_size) AS short_year_date, DATE '1899-12-30' + (44000 + p_size) AS dashed_date,
+  true AS rejected FROM part""")
 def q_serial_date(spark, d):
-    """Spreadsheet serial numbers and ISO text parse to the same date."""
+    """Spreadsheet serial numbers and the common ways of writing a date parse
+    to the same day; a cell that holds no date is counted as rejected."""
     p = B.read_table(spark, d, "part").select("p_partkey", "p_size")
     serial = (F.lit(44000) + F.col("p_size")).cast("string")
-    text = F.date_format(F.date_add(F.lit("1899-12-30").cast("date"), F.lit(44000) + F.col("p_size")), "yyyy-MM-dd")
-    return p.select("p_partkey", C.parse_mixed_date(serial).alias("serial_date"), C.parse_mixed_date(text).alias("text_date"))
+    day = F.date_add(F.lit("1899-12-30").cast("date"), F.lit(44000) + F.col("p_size"))
+    text = lambda pattern: C.parse_mixed_date(F.date_format(day, pattern))
+    return p.select("p_partkey", C.parse_mixed_date(serial).alias("serial_date"),
+                    text("yyyy-MM-dd").alias("text_date"), text("yyyy-MM-dd'T'10:00:00").alias("iso_time_date"),
+                    text("MMM d, yyyy").alias("month_name_date"), text("M/d/yy").alias("short_year_date"),
+                    text("MM-dd-yyyy").alias("dashed_date"),
+                    C.date_rejected(F.concat(F.lit("week "), serial)).alias("rejected"))
 
 
 def _food_cells_sql(*extra):
@@ -918,7 +925,7 @@ def q_day_sheet(spark, d):
     """I17 + I19 + I20: weights from each day sheet's 'Weight in the Morning'
     row: the valid prefix (80-400, stop at first invalid) and the 50-500
     range filter with day numbers."""
-    w = S.day_sheet_weights(SB.day_sheet_cells(spark, d)).cache()
+    w = cut_lineage(S.day_sheet_weights(SB.day_sheet_cells(spark, d)))
     pre = S.valid_prefix(w).groupBy(*S.SHEET).agg(
         F.count(F.lit(1)).alias("n_prefix"), F.min_by("v", "col_no").alias("first_prefix"),
         F.max_by("v", "col_no").alias("last_prefix"))
@@ -1007,12 +1014,12 @@ SELECT CAST(subject_id AS VARCHAR) AS subject_id, date, food, {O.r('fiber_g', 4)
        CAST(NULL AS DOUBLE) AS soluble_fiber_g, 'lineitem' AS sheet_name, CAST(NULL AS VARCHAR) AS source_path FROM fr
 UNION ALL
 SELECT CAST(subject_id AS VARCHAR), date, event_type, CAST(NULL AS DOUBLE), {O.r('value', 4)}, NULL, NULL, NULL, NULL, NULL,
-       NULL, 'events', CAST(NULL AS VARCHAR) FROM ev WHERE event_type = 'purchase'""")
+       NULL, 'events', CAST(NULL AS VARCHAR) FROM ev""")
 def q_union_align(spark, d):
     """U1 + S11: two differently shaped food-row sources unioned by name
     (missing columns NULL) and aligned to the declared nutrition-rows schema."""
     a = B.food_rows(spark, d).drop("category", "order_key", "line_no").withColumn("sheet_name", F.lit("lineitem"))
-    e = (B.events_clean(spark, d).filter(F.col("event_type") == "purchase")
+    e = (B.events_clean(spark, d)
          .select("subject_id", "date", F.col("event_type").alias("food"), F.col("value").alias("calories_kcal"),
                  F.lit("events").alias("sheet_name")))
     u = a.unionByName(e, allowMissingColumns=True)
@@ -1076,10 +1083,10 @@ from paneldeck.functions.dictionaries import DOCUMENT_KEYWORDS  # noqa: E402
     f"CAST({O.flag('t', p)} AS INTEGER) AS {c}_flag, CAST({O.mentions('t', p)} AS INTEGER) AS {c}_mentions"
     for c, p in DOCUMENT_KEYWORDS.items())
           + " FROM (SELECT doc_id, " + O.unicode_words("lower(coalesce(text, ''))")
-          + " AS t FROM documents WHERE lang = 'en')")
+          + " AS t FROM documents)")
 def q_kw_documents(spark, d):
-    """A5 on whole texts: per English document, keyword flags and mention counts."""
-    doc = B.read_table(spark, d, "documents").filter(F.col("lang") == "en").select("doc_id", "text")
+    """A5 on whole texts: per document, keyword flags and mention counts."""
+    doc = B.read_table(spark, d, "documents").select("doc_id", "text")
     t = F.lower(F.coalesce(F.col("text"), F.lit("")))
     cols = []
     for c, p in DOCUMENT_KEYWORDS.items():
@@ -1096,11 +1103,11 @@ def q_calories_trend(spark, d):
 
 
 @register("q_subject_bands", None)
-def q_subject_bands(spark, d):
-    """RP2 + O3 + ST11: trajectory bands (fitted line ± t·se) of the first 8
-    subjects by id, on a 100-point week grid."""
+def q_subject_bands(spark, d, n_subjects=8):
+    """RP2 + O3 + ST11: trajectory bands (fitted line ± t·se) of the first
+    ``n_subjects`` by id (the report's 8), on a 100-point week grid."""
     t = P.trajectories_long(spark, d)
-    first = t.select("subject_id").distinct().orderBy("subject_id").limit(8)
+    first = t.select("subject_id").distinct().orderBy("subject_id").limit(n_subjects)
     sub = t.join(F.broadcast(first), "subject_id", "left_semi")
     return regress.trend_grid(sub, "subject_id", "week", "value")
 
@@ -1204,33 +1211,32 @@ def q_reject_counts(spark, d):
     """Q8: valid and rejected rows (NULL subject or date) of the two row sources;
     a NULL reason counts the valid rows."""
     from paneldeck.operators import rollup
-    parts = []
-    for name, rows in (("lineitem_food_rows", B.food_rows(spark, d)), ("events", B.events_clean(spark, d))):
-        ok, bad = rollup.split_rejects(rows, ["subject_id", "date"])
-        parts.append(ok.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("source"), F.lit(None).cast("string").alias("reject_reason"), "n_rows"))
-        parts.append(bad.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("source"), "reject_reason", "n_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    parts = [rows.groupBy(rollup.reject_reason(["subject_id", "date"]).alias("reject_reason"))
+             .agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("source"), "reject_reason", "n_rows")
+             for name, rows in (("lineitem_food_rows", B.food_rows(spark, d)), ("events", B.events_clean(spark, d)))]
+    return parts[0].unionByName(parts[1])
 
 
-@register("q_stream_daily", None)
+@register("q_stream_daily", """SELECT user_id AS subject_id, CAST(ts AS DATE) AS date,
+  round(coalesce(sum(CASE WHEN event_type <> 'error' THEN value END), 0.0), 4) AS value_total, count(*) AS n_entries
+FROM events WHERE ts IS NOT NULL GROUP BY 1, 2""")
 def q_stream_daily(spark, d):
-    """A1 incrementally: the events table arrives as two batches of files in
-    the shared folder, a Structured Streaming query (watermark, one-day event
-    windows, append mode, availableNow) rolls them up; the finished days are
-    read back from the Parquet sink."""
-    from paneldeck.streaming.daily_stream import run_daily_rollup
+    """A1 incrementally: the events table arrives in two portions of files in the
+    shared folder; a Structured Streaming query (watermark, one-day event windows,
+    update mode, availableNow) takes each in turn, and the latest state of every
+    subject-day is read back.  The replay is out of order within a portion, so
+    the lateness allowed is the whole span of the table."""
+    from paneldeck.streaming.daily_stream import latest_days, run_daily_rollup
     base = _scratch(spark, "stream")
-    ev = B.read_table(spark, d, "events")
-    cut = ev.agg(F.percentile_approx("ts", 0.5).alias("m")).first()["m"]
-    ev.filter(F.col("ts") < F.lit(cut)).write.parquet(base + "/src")
-    ev.filter(F.col("ts") >= F.lit(cut)).write.mode("append").parquet(base + "/src")
-    run_daily_rollup(spark, base + "/src", base + "/sink", name=os.path.basename(base))
-    return spark.read.parquet(base + "/sink")
+    ev = B.read_table(spark, d, "events").where("ts is not null")
+    span = ev.agg(F.percentile_approx("ts", 0.5).alias("cut"),
+                  (F.datediff(F.max("ts"), F.min("ts")) + 2).alias("days")).first()
+    if span["cut"] is not None:
+        for portion in (F.col("ts") < F.lit(span["cut"]), F.col("ts") >= F.lit(span["cut"])):
+            ev.filter(portion).write.mode("append").parquet(base + "/src")
+            run_daily_rollup(spark, base + "/src", base + "/sink", name=os.path.basename(base),
+                             lateness=f"{span['days']} days")
+    return finalize(latest_days(spark, base + "/sink"), {"value_total": 4})
 
 
 @register("q_index_slope", O.wide_base() + f"""

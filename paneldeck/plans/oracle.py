@@ -464,7 +464,10 @@ def _mixed_date(v: str) -> str:
 
 
 def _norm(v: str) -> str:
-    return f"regexp_replace(lower(trim(coalesce(CAST({v} AS VARCHAR), ''))), '\\s+', ' ', 'g')"
+    # white space as the reference's rule has it (Unicode), collapsed before the ends are cut
+    white = ("[\\s\\x0B\\x1C-\\x1F\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}"
+             "\\x{202F}\\x{205F}\\x{3000}]+")
+    return f"trim(regexp_replace(lower(coalesce(CAST({v} AS VARCHAR), '')), '{white}', ' ', 'g'))"
 
 
 FOOD_CELLS = """fl AS (

@@ -63,8 +63,10 @@ def weekly_wide(spark: SparkSession, d: str) -> DataFrame:
 
 def keywords_wide(spark: SparkSession, d: str) -> DataFrame:
     """Weekly food-keyword table (a stage output of its own), written once."""
-    return materialized(spark, ("keywords_wide", d),
-                        lambda: keywords.weekly_keywords_wide(B.food_rows_wide(spark, d), PART_KEYWORDS))
+    def build():
+        origin = rollup.subject_origin(daily_flags(spark, d))
+        return keywords.weekly_keywords_wide(B.food_rows_wide(spark, d, origin), PART_KEYWORDS)
+    return materialized(spark, ("keywords_wide", d), build)
 
 
 def analysis_wide(spark: SparkSession, d: str, fill: str = "flags_only") -> DataFrame:

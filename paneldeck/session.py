@@ -103,13 +103,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df):
-    """Materialise ``df`` into the shared checkpoint folder (reliable, survives
-    executor loss) and return the checkpointed DataFrame."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stage_path(spark: SparkSession, name: str) -> str:
     """A new folder for one stage table below the shared checkpoint folder."""
     app = spark.sparkContext.applicationId
@@ -126,18 +119,43 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_MATERIALIZED: dict[tuple, object] = {}
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` as a written stage table."""
+    return write_stage(df, "cut")
+
+
+_MATERIALIZED: dict[tuple, tuple[tuple, DataFrame]] = {}
+
+
+def input_listing(spark: SparkSession, folder: str) -> tuple:
+    """(path, length, modification time) of every file below an input folder, as
+    Spark's own file system sees them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return ()
+    found, files = [], fs.listFiles(path, True)
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
+def materialized(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """A stage table written once to the shared folder and shared by every later
+    query of the session over the same inputs (the role a persisted intermediate
+    table plays in a production pipeline).  ``build`` returns the DataFrame to
+    write.  ``key`` is (name, input folder, ...): the stage is built anew when the
+    folder's files have changed, and the old one is forgotten."""
+    name, folder, *rest = key
+    k = (spark.sparkContext.applicationId, checkpoint_dir(spark), name, folder, *rest)
+    listing = input_listing(spark, folder)
+    known = _MATERIALIZED.get(k)
+    if known is None or known[0] != listing:
+        known = _MATERIALIZED[k] = (listing, write_stage(build(), name))
+    return known[1]
 
 
-def materialized(spark: SparkSession, key: tuple, build):
-    """A stage table written once to the shared checkpoint folder and shared
-    by every later query of the session over the same inputs (the role a
-    persisted intermediate table plays in a production pipeline).  ``build``
-    returns the DataFrame to materialise; the cache key must identify its
-    inputs (e.g. the data directory)."""
-    k = (id(spark), spark.sparkContext.applicationId, checkpoint_dir(spark)) + tuple(key)
-    df = _MATERIALIZED.get(k)
-    if df is None:
-        df = cut_lineage(build())
-        _MATERIALIZED[k] = df
-    return df
+def forget_stages() -> None:
+    """Let later queries build their stage tables anew."""
+    _MATERIALIZED.clear()

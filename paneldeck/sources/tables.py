@@ -1,7 +1,6 @@
 """Parquet table access.  Column pruning and filter pushdown are left to
-Catalyst: callers select the columns they need right after the read, and
-both projections and deterministic filters are pushed below the optional
-re-balancing step into the Parquet scan."""
+Catalyst: callers select the columns they need right after the read.  How many
+splits a scan has is the submitter's choice (``spark.sql.files.*``)."""
 
 from __future__ import annotations
 
@@ -17,31 +16,5 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the session's parallelism.
-
-    A file written as one row group is read by a single task, so everything
-    up to the first shuffle would run on one core.  Only then (and only when
-    the file is not tiny) the rows are dealt round-robin over the available
-    cores.  On a cluster a large table has thousands of splits and this is a
-    no-op: no extra shuffle is ever added to a big scan.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: leave the scan as it is
-        return df
-    if n >= target:
-        return df
-    return df.repartition(target)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, rebalance: bool = True) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return balanced(df) if rebalance and name in LARGE_TABLES else df
-
-
-# tables whose row count grows with the scale factor (dimension tables such as
-# region / nation stay tiny and are read as they are)
-LARGE_TABLES = {"customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages",
-                "conversations", "labels", "embeddings"}
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(table_path(sf_dir, name))

@@ -3,8 +3,8 @@
 The daily rollup is the one operator of the panel pipeline that is naturally
 incremental: new event files only touch the (subject, day) groups they
 contain.  Rows are grouped by subject and a one-day event-time window; the
-watermark bounds the state kept for late rows, and append mode emits each
-(subject, day) exactly once, when the watermark passes the day's end.
+watermark bounds the state kept for late rows, and update mode emits a (subject,
+day) whenever a batch has changed it, so no day waits for the watermark.
 The streaming checkpoint lives under the session's shared
 ``spark.checkpoint.dir`` so a restarted query resumes where it stopped.
 """
@@ -26,6 +26,9 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
+SINK_SCHEMA = "subject_id long, date date, value_total double, n_entries long, batch long"
+
+
 def daily_rollup_stream(events: DataFrame, lateness: str = "1 day") -> DataFrame:
     """Streaming A1: per (user, day) the sum of non-error values and the
     number of events; errors count as entries with a missing value."""
@@ -39,11 +42,24 @@ def daily_rollup_stream(events: DataFrame, lateness: str = "1 day") -> DataFrame
 
 def run_daily_rollup(spark: SparkSession, source_dir: str, sink_dir: str, name: str = "daily_rollup",
                      lateness: str = "1 day", schema: T.StructType = EVENT_SCHEMA):
-    """Process every event file present in ``source_dir`` (availableNow) and
-    append finished days to the Parquet sink; returns the finished query."""
+    """Process every event file that is new in ``source_dir`` (availableNow).  Each
+    batch writes the (user, day) totals that it has changed to a folder of its
+    own, so a batch that is run again after a failure replaces what it wrote.
+    Read the result with ``latest_days``; returns the finished query."""
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(source_dir)
     ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
-    q = (daily_rollup_stream(stream, lateness).writeStream.outputMode("append").format("parquet")
-         .option("path", sink_dir).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink_dir}/batch={number}")
+
+    q = (daily_rollup_stream(stream, lateness).writeStream.outputMode("update").foreachBatch(write)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def latest_days(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """Every (subject, day) with its totals after the last batch that changed it."""
+    rows = spark.read.schema(SINK_SCHEMA).option("basePath", sink_dir).parquet(sink_dir)
+    last = rows.groupBy("subject_id", "date").agg(F.max_by(F.struct("value_total", "n_entries"), "batch").alias("s"))
+    return last.select("subject_id", "date", "s.value_total", "s.n_entries")
