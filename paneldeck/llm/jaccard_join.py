@@ -218,7 +218,7 @@ def compare_blocks(rows: DataFrame, bands: Bands) -> DataFrame:
             has = np.array([x is not None for x in held])
             drawn[level] = (np.where(has, np.cumsum(has) - 1, -1), np.frombuffer(
                 b"".join(x for x in held if x is not None), dtype=np.uint64).reshape(has.sum(), -1))
-        first, k = np.arange(len(ids)), 0
+        first, k, found, held = np.arange(len(ids)), 0, [], 0
         while len(first):
             k += 1
             first = first[first + k < len(ids)]
@@ -228,15 +228,19 @@ def compare_blocks(rows: DataFrame, bands: Bands) -> DataFrame:
             fits &= np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * bands.percent
             x, y = x[fits], y[fits]
             at = np.maximum(own[x], own[y])
-            for level, (place, bits) in drawn.items():
-                here = (at == level) & (place[x] >= 0) & (place[y] >= 0)
-                for part in np.array_split(np.flatnonzero(here), 1 + here.sum() * bits.shape[1] // 1_000_000):
+            for level in set(at.tolist()):
+                place, bits = drawn[level]
+                here = np.flatnonzero((at == level) & (place[x] >= 0) & (place[y] >= 0))
+                for part in np.array_split(here, 1 + len(here) * bits.shape[1] // 1_000_000):
                     a, b = x[part], y[part]
                     apart = np.bitwise_count(bits[place[a]] ^ bits[place[b]]).sum(axis=1)
                     near = apart <= bands.most_apart(n[a], n[b])
-                    if near.any():
-                        a, b = ids[a[near]], ids[b[near]]
-                        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+                    found.append((ids[a[near]], ids[b[near]]))
+                    held += len(found[-1][0])
+            if found and (held > 500_000 or not len(first)):
+                a, b = (np.concatenate(f) for f in zip(*found))
+                found, held = [], 0
+                yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None

@@ -624,7 +624,7 @@ def q_small_multiples(spark, d, n_subjects=12):
 # ------------------------------------------------------------------ data quality
 
 from paneldeck.operators import quality as Q  # noqa: E402
-from paneldeck.plans.contracts import ORDERS_MODEL, SUITES  # noqa: E402
+from paneldeck.plans.contracts import ORDERS_MODEL, STUDY_SUITES, SUITES  # noqa: E402
 
 ROW_MODEL = [Q.Rule("between", "o_totalprice", min_value=1000, max_value=400000),
              Q.Rule("in_set", "o_orderpriority", values=["1-URGENT", "2-HIGH", "3-MEDIUM"]),
@@ -654,6 +654,38 @@ def q_quality_rules(spark, d):
     return finalize(_quality_results(spark, d))
 
 
+def _study_tables(spark, d) -> dict[str, DataFrame]:
+    """The panel tables in the column names of the study's two contracts."""
+    bronze = B.food_rows(spark, d).select(
+        F.col("subject_id").cast("string").alias("id"), "date", F.col("food").alias("food_desc"),
+        F.col("calories_kcal").alias("calories"), "fiber_g", "protein_g", "fat_g", F.col("carb_g").alias("carbs_g"))
+    flag = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+    silver = P.analysis_long(spark, d).select(
+        F.col("subject_id").cast("string").alias("subject_id"), F.col("week").cast("bigint").alias("study_week"),
+        "delta_kg_next", (F.try_divide(F.col("fiber_g_total_week_sum"), F.col("calories_kcal_total_week_sum")) * 1000)
+        .alias("fiber_per_1000kcal"), F.col("calories_kcal_total_week_sum").alias("calories_week"),
+        flag("any_kw_widget").alias("potato_week"), flag("any_kw_gear").alias("beans_week"),
+        F.col("start_weight").alias("weight_kg_baseline"), F.col("value").alias("weight_kg_current"))
+    return {"bronze_nutrition_data": bronze, "silver_features": silver}
+
+
+@register("q_contract_suites", O.model_long("""bronze_nutrition_data AS (
+  SELECT CAST(subject_id AS VARCHAR) AS id, date, food AS food_desc, calories_kcal AS calories, fiber_g, protein_g,
+         CAST(fat_g AS DOUBLE) AS fat_g, carb_g AS carbs_g FROM fr)""", """silver_features AS (
+  SELECT CAST(subject_id AS VARCHAR) AS subject_id, CAST(week AS BIGINT) AS study_week, delta_kg_next,
+         CASE WHEN calories_kcal_total_week_sum <> 0
+              THEN fiber_g_total_week_sum / calories_kcal_total_week_sum * 1000 END AS fiber_per_1000kcal,
+         calories_kcal_total_week_sum AS calories_week, CAST(coalesce(any_kw_widget, 0) AS BIGINT) AS potato_week,
+         CAST(coalesce(any_kw_gear, 0) AS BIGINT) AS beans_week, value - delta_kg AS weight_kg_baseline,
+         value AS weight_kg_current FROM al)""")
+          + "\nUNION ALL\n".join(O.rule_sql(r, t) for t, rules in STUDY_SUITES.items() for r in _data_rules(rules)))
+def q_contract_suites(spark, d):
+    """DQ4-DQ15: the study's own two contracts on the panel's raw rows and weekly
+    features (the metadata rules are in the tests)."""
+    parts = [Q.evaluate(df, t, _data_rules(STUDY_SUITES[t])) for t, df in _study_tables(spark, d).items()]
+    return finalize(parts[0].unionByName(parts[1]))
+
+
 @register("q_quality_schema", None)
 def q_quality_schema(spark, d):
     """DQ1-DQ3 + DQ17: metadata rules and the exact-schema diff of orders."""
@@ -672,7 +704,10 @@ def q_quality_schema(spark, d):
     return spark.createDataFrame(rows, schema)
 
 
-@register("q_quality_coerce", None)
+@register("q_quality_coerce", "SELECT " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL) AS {c}" for c, t in (
+        ("o_orderkey", "BIGINT"), ("o_custkey", "BIGINT"), ("o_orderstatus", "VARCHAR"), ("o_totalprice", "DOUBLE"),
+        ("o_orderdate", "DATE"), ("o_orderpriority", "VARCHAR"))) + " FROM orders")
 def q_quality_coerce(spark, d):
     """DQ18: coerce orders to the declared row model; values lost per column."""
     _out, lost = Q.coerce(B.read_table(spark, d, "orders"), ORDERS_MODEL)
@@ -936,7 +971,10 @@ def q_day_sheet(spark, d):
     return finalize(out, {"mean_range": 4})
 
 
-@register("q_summary_sheet", None)
+@register("q_summary_sheet", """SELECT 'daily/' || CAST(user_id AS VARCHAR) || '_Summary.csv' AS source_path, 'Summary' AS sheet_name,
+  CAST(user_id AS VARCHAR) AS subject_id, CAST(first(value ORDER BY CAST(ts AS DATE), value) AS VARCHAR) AS starting_weight,
+  CAST(last(value ORDER BY CAST(ts AS DATE), value) AS VARCHAR) AS ending_weight
+FROM events WHERE event_type = 'purchase' AND value IS NOT NULL AND ts IS NOT NULL GROUP BY user_id""")
 def q_summary_sheet(spark, d):
     """key/value summary sheets -> subject, starting and final weight."""
     return S.summary_values(SB.summary_cells(spark, d))
@@ -1167,7 +1205,10 @@ def q_study_summary(spark, d):
     return finalize(long)
 
 
-@register("q_soft_load", None)
+@register("q_soft_load", O.long_base() + """
+SELECT 'tidy' AS name, 'loaded' AS status, (SELECT count(*) FROM meas) AS rows, 'missing' AS strict_load, true AS optional_found
+UNION ALL SELECT 'daily', 'loaded', (SELECT count(*) FROM daily), 'missing', true
+UNION ALL SELECT 'nutrition_rows', 'missing', CAST(NULL AS BIGINT), 'missing', true""")
 def q_soft_load(spark, d):
     """The three pipeline inputs written as CSV to the shared folder,
     then a soft multi-file load where one expected input is absent (status
