@@ -117,19 +117,23 @@ class Bands:
         return np.packbits(np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
 
 
-def shingle_keys(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """id, n, k1, k2: size and 128-bit key of each document's set."""
+def shingle_keys(docs: DataFrame, id_col: str, text_col: str, width: int, bands: Bands) -> DataFrame:
+    """id, n, k1, k2, own, next: size and 128-bit key of each document's set, and
+    its sketches in its bands."""
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingle_set(t, hashes, width) for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "n": [len(s) for s in sets],
-                                "k1": np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64),
-                                "k2": np.array([mixed(s, 9).sum(dtype=np.uint64) for s in sets],
-                                               dtype=np.uint64).view(np.int64)})
+            rows = []
+            for text in batch["text"]:
+                s = shingle_set(text, hashes, width)
+                drawn = [bands.sketch(s, level) for level in bands.levels(len(s))] if len(s) else []
+                rows.append((len(s), s.sum(dtype=np.uint64), mixed(s, 9).sum(dtype=np.uint64), *drawn, None, None))
+            column = lambda i: [r[i] for r in rows]
+            yield pd.DataFrame({"id": batch["id"], "n": column(0), "k1": np.array(column(1), np.uint64).view(np.int64),
+                                "k2": np.array(column(2), np.uint64).view(np.int64), "own": column(3), "next": column(4)})
 
     return docs.select(F.col(id_col).cast("long").alias("id"), whole(text_col).alias("text")).mapInPandas(
-        keys, "id long, n long, k1 long, k2 long")
+        keys, "id long, n long, k1 long, k2 long, own binary, next binary")
 
 
 def set_signatures(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
@@ -152,24 +156,22 @@ def set_signatures(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
     return docs.mapInPandas(rows, "id long, sig long")
 
 
-def set_sketches(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
-    """id, n, features, own, next: the set and its sketches in its bands."""
+def set_features(docs: DataFrame, width: int) -> DataFrame:
+    """id, features: the sets themselves."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in batches:
             for start in range(0, len(batch), 64):
                 part = batch.iloc[start:start + 64]
-                sets = [shingle_set(t, hashes, width) for t in part["text"]]
-                drawn = [[bands.sketch(s, level) for level in bands.levels(len(s))] + [None] for s in sets]
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "n": [len(s) for s in sets],
-                                    "features": [s.view(np.int64) for s in sets],
-                                    "own": [d[0] for d in drawn], "next": [d[1] for d in drawn]})
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "features": [
+                    shingle_set(t, hashes, width).view(np.int64) for t in part["text"]]})
 
-    return docs.mapInPandas(rows, "id long, n long, features array<long>, own binary, next binary")
+    return docs.mapInPandas(rows, "id long, features array<long>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold, counted on the sets."""
+def verified(pairs: DataFrame, texts: DataFrame, width: int, bands: Bands) -> DataFrame:
+    """The pairs (a, b) whose sets reach the threshold, counted on the sets of the
+    documents that the pairs name."""
     percent = bands.percent
 
     @F.pandas_udf("boolean")
@@ -179,8 +181,11 @@ def verified(pairs: DataFrame, sets: DataFrame, bands: Bands) -> DataFrame:
             return 100 * both >= percent * (len(x) + len(y) - both)
         return pd.Series([one(x, y) for x, y in zip(a, b)], dtype=bool)
 
+    pairs = write_stage(pairs.select("a", "b"), "jaccard-pairs")
+    named = write_stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "jaccard-named")
+    sets = write_stage(set_features(texts.join(named, "id", "left_semi"), width), "jaccard-sets")
     side = lambda name: sets.select(F.col("id").alias(name), F.col("features").alias("f" + name))
-    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(linked("fa", "fb")).select("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(linked("fa", "fb")).select("a", "b")
 
 
 def near(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
@@ -265,7 +270,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     all that are linked, directly or through others."""
     bound_batches(docs.sparkSession)
     bands = Bands(percent)
-    keys = write_stage(shingle_keys(docs, id_col, text_col, width), "jaccard-keys")
+    keys = write_stage(shingle_keys(docs, id_col, text_col, width, bands), "jaccard-keys")
     named = keys.where("id is not null and n > 0")
     reps = write_stage(named.groupBy("k1", "k2").agg(F.min("id").alias("rep")), "jaccard-reps")
     rows = write_stage(keys.join(reps, ["k1", "k2"], "left").select(
@@ -285,9 +290,8 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shared = members.where("id <> leader").groupBy("id", "leader").agg(F.count(F.lit(1)).alias("n"))
     best = shared.groupBy("id").agg(F.max(F.struct(F.col("n"), (-F.col("leader")).alias("l"))).alias("best"))
     stars = write_stage(best.select((-F.col("best.l")).alias("a"), F.col("id").alias("b")), "jaccard-stars")
-    involved = write_stage(members.select("id").distinct(), "jaccard-involved")
-    sets = write_stage(set_sketches(texts.join(involved, "id", "left_semi"), width, bands), "jaccard-sets")
-    links = write_stage(verified(near(stars, sets, bands), sets, bands), "jaccard-star-links")
+    sketches = keys.select("id", "n", "own", "next").where("id is not null and n > 0")
+    links = write_stage(verified(near(stars, sketches, bands), texts, width, bands), "jaccard-star-links")
 
     # what the stars have left open: groups that span several components
     labels = write_stage(connected_components(links), "jaccard-labels")
@@ -303,9 +307,9 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
              .select("sig", "id", "label", "block", F.least("block", "other").alias("i"),
                      F.greatest("block", "other").alias("j")))
-    dealt = dealt.join(sets.select("id", "n", "own", "next"), "id")
+    dealt = dealt.join(sketches, "id")
     more = write_stage(compare_blocks(dealt, bands), "jaccard-open-pairs")
-    open_links = verified(more, sets, bands)
+    open_links = verified(more, texts, width, bands)
     return rows, write_stage(links.unionByName(open_links), "jaccard-links")
 
 
