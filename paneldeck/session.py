@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -127,6 +128,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 _MATERIALIZED: dict[tuple, tuple[tuple, DataFrame]] = {}
 
 
+# Seconds that the last build of each stage took, the stages it needed included.
+STAGE_SECONDS: dict[str, float] = {}
+
+
 def input_listing(spark: SparkSession, folder: str) -> tuple:
     """(path, length, modification time) of every file below an input folder, as
     Spark's own file system sees them."""
@@ -152,7 +157,9 @@ def materialized(spark: SparkSession, key: tuple, build) -> DataFrame:
     listing = input_listing(spark, folder)
     known = _MATERIALIZED.get(k)
     if known is None or known[0] != listing:
+        began = time.time()
         known = _MATERIALIZED[k] = (listing, write_stage(build(), name))
+        STAGE_SECONDS[name] = round(time.time() - began, 3)
     return known[1]
 
 

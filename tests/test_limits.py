@@ -144,3 +144,11 @@ def test_stage_tables_are_pruned_and_follow_their_input(spark, tmp_path):
     spark.range(9).select("id", F.col("id").alias("x"), F.lit("u").alias("y")).write.mode("append").parquet(
         folder + "/t.parquet")
     assert materialized(spark, ("test_stage", folder), build).count() == 14
+
+
+def test_study_contracts_hold_their_columns_and_types(spark):
+    from paneldeck.plans.catalog import _study_tables
+    from paneldeck.plans.contracts import STUDY_SUITES
+    for table, df in _study_tables(spark, TABLE).items():
+        meta = [r for r in STUDY_SUITES[table] if r.kind in quality.META_KINDS]
+        assert len(meta) >= 6 and all(row[-1] for row in quality.check_metadata(df, table, meta))
