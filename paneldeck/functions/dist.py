@@ -181,16 +181,6 @@ def t_pvalue_udf(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series(t_two_sided_p(t.astype(float).to_numpy(), df.astype(float).to_numpy()))
 
 
-@F.pandas_udf(T.DoubleType())
-def t_quantile_udf(q: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series(t_ppf(q.astype(float).to_numpy(), df.astype(float).to_numpy()))
-
-
-@F.pandas_udf(T.DoubleType())
-def z_pvalue_udf(z: pd.Series) -> pd.Series:
-    return pd.Series(norm_two_sided_p(z.astype(float).to_numpy()))
-
-
 # --- JVM-side quantile column ---------------------------------------------
 
 _T_TABLE_MAX = 1000

@@ -53,23 +53,6 @@ def align_long(trajectories: DataFrame, weekly: DataFrame | None, subject: str =
     return out.withColumn("delta_kg_next", F.lead("delta_kg").over(win))
 
 
-def merge_wide(trajectories: DataFrame, weekly: DataFrame | None, keywords: DataFrame | None,
-               categories: list[str], fill: str = "flags_only", subject: str = "subject_id",
-               week: str = "week", high_flags: bool = True, drop_no_target: bool = True) -> DataFrame:
-    """J3 + P8 + P9 + P11 for the wide dialect.
-
-    ``fill='flags_only'`` sets missing ``{cat}_week`` flags to 0 (README policy:
-    gaps preserved).  ``fill='reference'`` reproduces the original rule that
-    zero-fills every column ending in ``_week`` (Q3), which also zeroes missing
-    weekly intake, entry counts and an unfittable slope.
-    Medians for the high-fiber / high-calorie flags are taken after the fill
-    and before rows without a next delta are dropped (Q4); they are one
-    aggregate row, evaluated once and used as literals.
-    """
-    out = join_wide(trajectories, weekly, keywords, subject, week)
-    return finish_wide(out, categories, fill, week, high_flags, drop_no_target)
-
-
 def join_wide(trajectories: DataFrame, weekly: DataFrame | None, keywords: DataFrame | None,
               subject: str = "subject_id", week: str = "week") -> DataFrame:
     """Trajectories ⟕ weekly ⟕ keywords on (subject, week)."""

@@ -72,9 +72,19 @@ def keyword_flags(rows: DataFrame, keys: list[str], text: str, dictionary: dict[
 
 
 def weekly_keywords_wide(rows: DataFrame, dictionary: dict[str, str], subject: str = "subject_id",
-                         week: str = "week", text: str = "food_item") -> DataFrame:
+                         week: str = "week", text: str = "food_item", joined: bool = False,
+                         order_col: str | None = None) -> DataFrame:
     """A5 + A6 + A7: weekly ``{cat}_week`` flag, ``{cat}_mentions`` count,
-    ``food_variety_categories`` and ``food_entries_week``."""
+    ``food_variety_categories`` and ``food_entries_week``.  ``joined``: search the
+    week's entries joined by spaces in ``order_col`` order, so that a phrase may
+    begin in one entry and end in the next (see ``keyword_flags``)."""
+    if joined:
+        known = rows.filter(F.col(week).isNotNull())
+        flags = keyword_flags(known, [subject, week], text, dictionary, prefix="", suffix="_week",
+                              mentions_suffix="_mentions", joined=True, order_col=order_col)
+        entries = known.groupBy(subject, week).agg(F.count(F.lit(1)).cast("int").alias("food_entries_week"))
+        variety = sum((F.col(f"{c}_week") for c in dictionary), F.lit(0))
+        return flags.join(entries, [subject, week]).withColumn("food_variety_categories", variety.cast("int"))
     t = "__kw_text"
     base = rows.filter(F.col(week).isNotNull()).select(
         subject, week, F.lower(F.coalesce(F.col(text), F.lit(""))).alias(t))

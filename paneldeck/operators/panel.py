@@ -13,18 +13,6 @@ from paneldeck.functions.clean import null_nan, safe_div
 from paneldeck.functions.dist import t_quantile_col
 
 
-def step_deltas(df: DataFrame, subject: str, order: list[str], value: str,
-                prefix: str = "") -> DataFrame:
-    """Previous value, step delta, step percent and next step delta
-    by subject in ``order``.  Lag/lead never cross subjects."""
-    w = Window.partitionBy(subject).orderBy(*order)
-    prev = F.lag(value).over(w)
-    out = df.withColumn(f"{prefix}{value}_prev", prev)
-    out = out.withColumn(f"{prefix}delta", F.col(value) - F.col(f"{prefix}{value}_prev"))
-    out = out.withColumn(f"{prefix}delta_pct", safe_div(F.col(f"{prefix}delta"), F.col(f"{prefix}{value}_prev")) * 100)
-    return out.withColumn(f"{prefix}delta_next", F.lead(f"{prefix}delta").over(w))
-
-
 def weight_trajectories_long(measures: DataFrame, metric: str = "weight", subject: str = "subject_id",
                              week: str = "week", value: str = "value", tp_index: str = "tp_index",
                              exclude_notes: list[str] | None = None) -> DataFrame:
@@ -113,22 +101,6 @@ def index_slope(df: DataFrame, subject: str, order: str, value: str, min_points:
     )
 
 
-def first_last_change(df: DataFrame, subject: str, order: str, value: str) -> DataFrame:
-    """A10: first and last valid measurement per subject, total and percent change."""
-    nn = df.filter(F.col(value).isNotNull())
-    g = nn.groupBy(subject).agg(
-        F.min_by(value, order).alias("first_value"),
-        F.max_by(value, order).alias("last_value"),
-        F.count(F.lit(1)).alias("n_obs"),
-        F.min(order).alias("first_at"),
-        F.max(order).alias("last_at"),
-    )
-    return g.withColumns({
-        "total_change": F.col("last_value") - F.col("first_value"),
-        "pct_change": (safe_div(F.col("last_value"), F.col("first_value")) - 1) * 100,
-    })
-
-
 def calendar_spine(subjects: DataFrame, daily: DataFrame, extra_dates: DataFrame | None,
                    subject: str = "subject_id", date: str = "date") -> DataFrame:
     """U2 + A11 + U6 + J4 + J5: per subject a gap-preserving calendar from the

@@ -97,12 +97,6 @@ def weekly_rollup_wide(daily: DataFrame, subject: str = "subject_id", week: str
     })
 
 
-def entries_per_week(rows: DataFrame, subject: str = "subject_id", week: str = "week",
-                     out: str = "food_entries_week") -> DataFrame:
-    """Number of entries per subject-week."""
-    return rows.groupBy(subject, week).agg(F.count(F.lit(1)).alias(out))
-
-
 def reject_reason(required: list[str]):
     """null_<column> for the first required column that is NULL, else NULL."""
     reason = F.lit(None).cast("string")

@@ -349,17 +349,39 @@ def q_mannwhitney(spark, d):
     return finalize(res)
 
 
+@register("q_kw_weekly_joined", O.long_base("""ws AS (
+  SELECT f.subject_id, CAST(floor(datediff('day', o.origin_date, f.date) / 7.0) AS INTEGER) + 1 AS week,
+         count(*) AS food_entries_week,
+         string_agg(lower(coalesce(food, '')), ' ' ORDER BY f.date, f.order_key, f.line_no, f.food) AS t
+  FROM (SELECT o_custkey AS subject_id, CAST(o_orderdate AS DATE) AS date, p_name AS food, l_orderkey AS order_key,
+               l_linenumber AS line_no
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey) f
+  JOIN origin o ON o.subject_id = f.subject_id GROUP BY 1, 2)""") + "SELECT subject_id, week, " + ", ".join(
+    f"CAST({O.flag('t', p)} AS INTEGER) AS {c}_week, CAST({O.mentions('t', p)} AS INTEGER) AS {c}_mentions"
+    for c, p in PART_KEYWORDS.items()) + ", CAST(food_entries_week AS INTEGER) AS food_entries_week, CAST("
+          + " + ".join(O.flag("t", p) for p in PART_KEYWORDS.values()) + " AS INTEGER) AS food_variety_categories FROM ws")
+def q_kw_weekly_joined(spark, d):
+    """A5-A7 on the week's joined text (Q17): phrases may cross entries."""
+    from paneldeck.operators import rollup
+    rows = B.food_rows(spark, d).select("subject_id", "date", F.col("food").alias("food_item"),
+                                        F.struct("date", "order_key", "line_no", "food").alias("entry"))
+    origin = rollup.subject_origin(P.daily_flags(spark, d))
+    weeks = rollup.add_week_index(rows, out="week", one_based=True, origin=origin)
+    return keywords.weekly_keywords_wide(weeks, PART_KEYWORDS, joined=True, order_col="entry")
+
+
 @register("q_group_tests", None)
 def q_group_tests(spark, d):
     """ST9 + ST12: Mann–Whitney two-sided p-values (exact for small untied samples)."""
     from pyspark.sql import types as T
     stats = q_mannwhitney(spark, d).collect()
     rows = [(r["flag"], r["n1"], r["n0"], r["median_1"], r["median_0"], r["u_stat"],
-             ranks.mann_whitney_p(r["n1"], r["n0"], r["u_stat"], r["tie_term"])) for r in stats]
+             ranks.mann_whitney_p(r["n1"], r["n0"], r["u_stat"], r["tie_term"]),
+             ranks.mann_whitney_method(r["n1"], r["n0"], r["tie_term"] > 0)) for r in stats]
     schema = T.StructType([T.StructField("flag", T.StringType()), T.StructField("n1", T.LongType()),
                            T.StructField("n0", T.LongType()), T.StructField("median_1", T.DoubleType()),
                            T.StructField("median_0", T.DoubleType()), T.StructField("u_stat", T.DoubleType()),
-                           T.StructField("p_value", T.DoubleType())])
+                           T.StructField("p_value", T.DoubleType()), T.StructField("p_method", T.StringType())])
     return spark.createDataFrame(rows, schema)
 
 
@@ -404,6 +426,43 @@ def q_model_fit(spark, d):
     return out
 
 
+@register("q_full_analysis", None)
+def q_full_analysis(spark, d):
+    """ST13: the whole analysis as one table: every coefficient and fit metric of
+    the five models (convergence included), correlations, group tests and the
+    summary of within-subject slopes."""
+    wide, long = model_panel_wide(spark, d), model_panel_long(spark, d)
+    results = [regress.ols(wide, LONG_Y, WIDE_X), regress.fe_within(wide, LONG_Y, WIDE_X, "subject_id"),
+               regress.cluster_ols(long, LONG_Y, LONG_X, "subject_id"),
+               mixed.random_intercept(long, LONG_Y, LONG_X[:2], "subject_id"),
+               mixed.random_intercept(wide, LONG_Y, WIDE_X, "subject_id", reml=True)]
+    none = F.lit(None).cast("double")
+
+    def section(df, name, model, term, estimate, se=none, statistic=none, p=none):
+        return df.select(F.lit(name).alias("section"), model.alias("model"), term.alias("term"),
+                         estimate.cast("double").alias("estimate"), se.cast("double").alias("se"),
+                         statistic.cast("double").alias("statistic"), p.cast("double").alias("p_value"))
+
+    c = F.col
+    parts = []
+    for r in results:
+        parts.append(section(r.coefficients(spark), "coefficient", c("model"), c("term"), c("coef"), c("se"), c("stat"),
+                             c("p_value")))
+        parts.append(section(r.model_fit(spark), "fit", c("model"), c("metric"), c("value")))
+    parts.append(section(q_corr_tests(spark, d), "correlation", c("method"), F.lit(LONG_X[0]), c("estimate"),
+                         statistic=c("t_stat"), p=c("p_value")))
+    parts.append(section(q_group_tests(spark, d), "group_test", F.concat(F.lit("mann_whitney_"), "p_method"), c("flag"),
+                         c("median_1") - c("median_0"), statistic=c("u_stat"), p=c("p_value")))
+    within = q_within_slopes(spark, d)
+    numbers = [n for n, t in within.dtypes if t in ("double", "bigint", "int")]
+    parts.append(section(within.select(*[c(n).cast("double").alias(n) for n in numbers])
+                         .unpivot([], numbers, "metric", "value"), "within", F.lit("within_slopes"), c("metric"), c("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @register("q_trend_grid", _with(O.model_long(), O.trend_sql("al", LONG_X[0], LONG_Y)))
 def q_trend_grid(spark, d):
     """ST11: fitted line on a 100-point grid with the standard error of the mean."""
