@@ -80,7 +80,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = write_stage(
         docs.select(F.col(id_col).cast("long").alias("id"), text_digest(text_col).alias("digest")),
         "digests")
-    cuts = rows.approxQuantile("id", [i / batches for i in range(1, batches)], 0.01)
+    cuts = rows.approxQuantile("id", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     low = None
     for high in sorted(set(cuts)) + [None]:
         part = rows

@@ -101,7 +101,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     runs = runs or LineRuns(spark)
     lines = write_stage(document_lines(docs, id_col, text_col, min_chars), "lines")
     held = write_stage(lines.select("id", "h1", "h2").distinct(), "line-holders")
-    cuts = held.approxQuantile("id", [i / batches for i in range(1, batches)], 0.01)
+    cuts = held.approxQuantile("id", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     high = None
     for low in sorted(set(cuts), reverse=True) + [None]:
         part = held

@@ -146,7 +146,7 @@ def test_pii_added_kinds_need_checksum_or_context(spark):
 # ---- toxicity -----------------------------------------------------------------
 
 def test_toxicity_on_held_out_labels(spark):
-    where = "/root/testdata/sf0.01"
+    where = "/root/testdata/sf0.1"  # half of the labels of sf0.01 would hold some 25 toxic rows
     docs, labels = (spark.read.parquet(f"{where}/{t}.parquet") for t in ("documents", "labels"))
     half = labels.where("doc_id % 2 = 0")
     out = score_toxicity(docs, half).join(labels.where("doc_id % 2 = 1").withColumnRenamed("toxic", "label"), "doc_id")
