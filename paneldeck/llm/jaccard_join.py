@@ -10,10 +10,9 @@ set checks for itself that it has more non-empty partitions than a partner can
 touch; one that does not (small or unlucky) also emits its empty partitions, so
 no link is lost.
 
-Candidates are never all pairs of a group.  First every member of a group is
-paired with the group's smallest member only; verified links give components.
-Then only groups that still span several components are compared, in blocks of
-bounded size, each pair through a parity sketch whose distance is at most the true
+Candidates are never all pairs of a group.  First members are paired with a
+leader of their group only; verified links give components.  Then only groups
+that still span several components are compared, in blocks of bounded size, each pair through a parity sketch whose distance is at most the true
 one, so that no linked pair is turned away.  What passes is verified on the sets.
 """
 
@@ -32,6 +31,8 @@ from paneldeck.llm.text import bound_batches, fresh, whole
 from paneldeck.session import write_stage
 
 BLOCK = 1_000
+STAR_ROUNDS = 2
+SKETCH_BITS = 1_024
 
 
 def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -110,9 +111,10 @@ class Bands:
         return found
 
     def sketch(self, features: np.ndarray, level: int) -> bytes:
-        """Parity of how many features fall on each of about 2^level bits: two
-        sketches differ in as many bits as the sets in features, or fewer."""
-        bits = max(64, 1 << level)
+        """Parity of how many features fall on each bit: two sketches differ in as many
+        bits as the sets in features, or fewer.  Small sets get more bits each, as
+        chance counts for more there."""
+        bits = max(SKETCH_BITS, 1 << level)
         at = (mixed(features, 6) >> np.uint64(32)) * np.uint64(bits) >> np.uint64(32)
         return np.packbits(np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
 
@@ -263,6 +265,19 @@ def compare_blocks(rows: DataFrame, bands: Bands) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(scan, "a long, b long").distinct()
 
 
+def star_pairs(rows: DataFrame) -> DataFrame:
+    """a, b: each member of another component than its group's leader with the
+    leader that it shares the most groups with; one pair for a member at most.
+    ``rows``: sig, id, label, turn; the leader has the highest turn."""
+    leaders = rows.groupBy("sig").agg(F.max(F.struct("turn", "id", "label")).alias("leader"),
+                                      F.min("label").alias("x"), F.max("label").alias("y"))
+    shared = (rows.join(leaders.where("x <> y").select("sig", "leader"), "sig").where("label <> leader.label")
+              .groupBy("id", F.col("leader.id").alias("leader")).agg(F.count(F.lit(1)).alias("n")))
+    best = shared.groupBy("id").agg(F.max(F.struct("n", "leader")).alias("best"))
+    return write_stage(best.select(F.least("id", "best.leader").alias("a"), F.greatest("id", "best.leader").alias("b"))
+                       .distinct(), "jaccard-stars")
+
+
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                   percent: int = 75) -> tuple[DataFrame, DataFrame]:
     """(rows, links): id, n, rep of every document, where rep has the same set and
@@ -281,25 +296,30 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     by_sig = Window.partitionBy("sig").orderBy("id")
     grouped = (set_signatures(texts.join(copies, "id", "left_anti"), width, bands)
-               .withColumn("leader", F.first("id").over(by_sig))
-               .withColumn("follower", F.lead("id").over(by_sig))
-               .where("id <> leader or follower is not null"))
-    members = write_stage(grouped.select("sig", "id", "leader"), "jaccard-members")
-
-    # of the leaders that a member shares signatures with, the one it shares most with
-    shared = members.where("id <> leader").groupBy("id", "leader").agg(F.count(F.lit(1)).alias("n"))
-    best = shared.groupBy("id").agg(F.max(F.struct(F.col("n"), (-F.col("leader")).alias("l"))).alias("best"))
-    stars = write_stage(best.select((-F.col("best.l")).alias("a"), F.col("id").alias("b")), "jaccard-stars")
+               .withColumn("before", F.lag("id").over(by_sig)).withColumn("after", F.lead("id").over(by_sig))
+               .where("before <> id or after <> id"))
+    members = write_stage(grouped.select("sig", "id"), "jaccard-members")
     sketches = keys.select("id", "n", "own", "next").where("id is not null and n > 0")
-    links = write_stage(verified(near(stars, sketches, bands), texts, width, bands), "jaccard-star-links")
+
+    # Stars first.  The leaders of the first round are the members that share the
+    # most signatures, which near copies of one text have its least changed copy
+    # for; later rounds draw them anew for what is still apart.
+    central = write_stage(members.groupBy("id").agg(F.count(F.lit(1)).alias("weight")), "jaccard-weights")
+    links = None
+    labelled = members.join(central, "id").select("sig", "id", F.col("id").alias("label"), "weight")
+    for turn in range(STAR_ROUNDS):
+        labelled = write_stage(labelled.drop("turn").withColumn(
+            "turn", F.col("weight") if turn == 0 else F.xxhash64("id", F.lit(turn))), "jaccard-labelled")
+        found = verified(near(star_pairs(labelled), sketches, bands), texts, width, bands)
+        links = write_stage(found if links is None else links.unionByName(found), "jaccard-star-links")
+        labels = write_stage(connected_components(links), "jaccard-labels")
+        labelled = (labelled.drop("label").join(labels.withColumnRenamed("v", "id"), "id", "left")
+                    .withColumn("label", F.coalesce("label", "id")))
 
     # what the stars have left open: groups that span several components
-    labels = write_stage(connected_components(links), "jaccard-labels")
-    labelled = (members.select("sig", "id").distinct().join(labels.withColumnRenamed("v", "id"), "id", "left")
-                .select("sig", "id", F.coalesce("label", "id").alias("label")))
-    labelled = write_stage(labelled, "jaccard-labelled")
+    labelled = write_stage(labelled.select("sig", "id", "label"), "jaccard-labelled")
     open_groups = write_stage(labelled.groupBy("sig").agg(
-        F.min("label").alias("x"), F.max("label").alias("y"), F.max("id").alias("largest"),
+        F.min("label").alias("x"), F.max("label").alias("y"),
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("x <> y").select("sig", "blocks"),
         "jaccard-open")
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
