@@ -43,7 +43,7 @@ class Lattice(dict):
     """Segment -> (ids of the best segmentation, its score, loss of the second
     best); at most ``room`` segments are kept."""
 
-    def __init__(self, model: bytes, scores: str = "zipf", room: int = 1 << 18):
+    def __init__(self, model: bytes, scores: str = "zipf", room: int = 1 << 19):
         super().__init__()
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         size = sp.get_piece_size()
@@ -80,6 +80,7 @@ class Lattice(dict):
         self.segments = re.compile(f"{SPACE}+(?:[{letters}]+|[{others}]+)?|[{letters}]+|[{others}]+|"
                                       f"[^{letters}{others}{SPACE}]").findall
         self.room = room
+        self.searched: dict[tuple[str, int], list] = {}
         self.prefix = SPACE if sp.encode("a", out_type=str)[0].startswith(SPACE) else ""
 
     def forward(self, segment: str) -> tuple[list, list[float], list]:
@@ -141,7 +142,18 @@ class Lattice(dict):
         return found
 
     def n_best(self, segment: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The n best (score, ids) of a segment, best first."""
+        """The n best (score, ids) of a segment, best first; remembered like the
+        best ones, in an eighth of their room."""
+        found = self.searched.get((segment, n))
+        if found is None:
+            if len(self.searched) >= self.room >> 3:
+                self.searched.clear()
+            found = self._search(segment, n)
+            if len(segment) <= 64:
+                self.searched[segment, n] = found
+        return found
+
+    def _search(self, segment: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         edges, best, _ = self.forward(segment)
         into: list[list] = [[] for _ in range(len(edges) + 1)]
         for start, here in enumerate(edges):
