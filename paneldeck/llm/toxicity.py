@@ -11,6 +11,8 @@ of it is: the share of its words that bear a marker, a feature at least
 
 The model is fitted on a bounded sample of labelled rows and broadcast (its size
 is bounded by ``max_features``); every document is scored over its whole text.
+The sample takes as many rows of either class, so each row weighs in the fit as
+many labels of its class as it stands for: probabilities are those of all labels.
 """
 
 from __future__ import annotations
@@ -102,10 +104,12 @@ class Severity:
 
 def fit_cumulative_link(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray,
                         n_columns: int, n_grades: int, rounds: int = 400, rate: float = 0.1,
-                        ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
+                        ridge: float = 1e-3, stands_for: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds by maximum likelihood (Adam on the whole
-    sample, given as sparse triples)."""
+    sample, given as sparse triples).  ``stands_for``: how many rows each row
+    counts as, 1 if not given."""
     n = len(grades)
+    part = np.full(n, 1 / n) if stands_for is None else stands_for / stands_for.sum()
     params = np.zeros(n_columns + n_grades - 1)
     params[n_columns] = 1.0
     m, v = np.zeros_like(params), np.zeros_like(params)
@@ -117,10 +121,10 @@ def fit_cumulative_link(rows: np.ndarray, columns: np.ndarray, values: np.ndarra
         slope = below * (1 - below)
         at = np.arange(n)
         p = np.maximum(below[at, grades + 1] - below[at, grades], 1e-12)
-        to_score = (slope[at, grades + 1] - slope[at, grades]) / p / n
+        to_score = (slope[at, grades + 1] - slope[at, grades]) / p * part
         to_cuts = np.zeros(n_grades + 1)
-        np.add.at(to_cuts, grades + 1, -slope[at, grades + 1] / p / n)
-        np.add.at(to_cuts, grades, slope[at, grades] / p / n)
+        np.add.at(to_cuts, grades + 1, -slope[at, grades + 1] / p * part)
+        np.add.at(to_cuts, grades, slope[at, grades] / p * part)
         to_cuts = to_cuts[1:-1]
         later = np.cumsum(to_cuts[::-1])[::-1]
         gradient = np.concatenate([np.bincount(columns, values * to_score[rows], n_columns) + ridge * w,
@@ -132,19 +136,22 @@ def fit_cumulative_link(rows: np.ndarray, columns: np.ndarray, values: np.ndarra
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str, text_col: str,
-                    toxic_col: str) -> DataFrame:
-    """text, toxic of at most ``max_rows`` labelled documents, half of them of
-    either class where there are enough, the same ones on every run."""
+                    toxic_col: str) -> tuple[DataFrame, dict[int, float]]:
+    """(sample, rates): text, toxic of at most ``max_rows`` labelled documents, half
+    of them of either class where there are enough, the same ones on every run;
+    and the share of all labels of each class that was drawn."""
     known = labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("label_id"), (F.col(toxic_col) > 0).cast("int").alias("toxic"))
-    known = known.groupBy("label_id").agg(F.max("toxic").alias("toxic"))
+    known = write_stage(known.groupBy("label_id").agg(F.max("toxic").alias("toxic")), "toxic-labels")
+    of_class = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rates = {c: min(1.0, max_rows // 2 / n) for c, n in of_class.items()}
     order = F.xxhash64(F.lit("sample"), "label_id"), F.col("label_id")
     half = [known.where(F.col("toxic") == c).orderBy(*order).limit(max_rows // 2) for c in (0, 1)]
     picked = write_stage(half[0].unionByName(half[1]), "toxic-sample")  # max_rows rows at most
     return write_stage(
         docs.select(F.col(id_col).alias("doc"), whole(text_col).alias("text"))
         .join(F.broadcast(picked), F.col("doc") == F.col("label_id")).select("text", "toxic")
-        .repartition(F.xxhash64("text")), "toxic-texts")
+        .repartition(F.xxhash64("text")), "toxic-texts"), rates
 
 
 def fit_severity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -152,7 +159,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                  min_docs: int = 3) -> Severity | None:
     """Fit on at most ``max_rows`` labelled rows and ``max_features`` features;
     None if the labels don't hold both classes."""
-    sample = labelled_sample(docs, labels, max_rows, id_col, text_col, toxic_col)
+    sample, rates = labelled_sample(docs, labels, max_rows, id_col, text_col, toxic_col)
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return None
@@ -194,7 +201,9 @@ def fit_severity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     columns = np.concatenate([np.array([c for r in rows for c in r["at"]], dtype=int),
                               np.full(len(rows), len(counted))])
     values = np.concatenate([np.array([x for r in rows for x in r["value"]], dtype=float), 100 * shares])
-    model.weights, model.thresholds = fit_cumulative_link(at, columns, values, grades, len(counted) + 1, 4)
+    stands_for = np.array([1 / rates[r["toxic"]] for r in rows])
+    model.weights, model.thresholds = fit_cumulative_link(at, columns, values, grades, len(counted) + 1, 4,
+                                                          stands_for=stands_for)
     return model
 
 

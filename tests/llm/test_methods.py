@@ -156,6 +156,22 @@ def test_toxicity_on_held_out_labels(spark):
     assert all(0 <= r.severity <= 3 and 0 <= r.grade <= 3 for r in rows)
 
 
+def test_a_small_sample_rejects_no_more_clean_documents(spark):
+    # 60 of the 260 documents that grumble are toxic: most of them are clean
+    kinds = [("grumble", 0)] * 200 + [("", 0)] * 1400 + [("grumble", 1)] * 60 + [("vile scum", 1)] * 140
+    filler = "the day was long and the road went on past old houses".split()
+    rows = [(i, " ".join([*filler[i % 7:], *filler[:i % 5], word]), toxic) for i, (word, toxic) in enumerate(kinds)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([r[::2] for r in rows], "doc_id long, toxic int")
+    shares = []
+    for max_rows in (10_000, 400):
+        found = score_toxicity(docs, labels, max_rows=max_rows).join(labels.withColumnRenamed("toxic", "label"), "doc_id")
+        out = [(r.label, r.toxic) for r in found.select("label", "toxic").collect()]
+        shares.append(sum(t for c, t in out if not c) / 1600)
+        assert sum(t for c, t in out if c) >= 140
+    assert abs(shares[0] - shares[1]) < 0.02
+
+
 # ---- sentence pieces ----------------------------------------------------------
 
 @pytest.fixture(scope="module")
