@@ -138,8 +138,9 @@ def fit_cumulative_link(rows: np.ndarray, columns: np.ndarray, values: np.ndarra
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str, text_col: str,
                     toxic_col: str) -> tuple[DataFrame, dict[int, float]]:
     """(sample, rates): text, toxic of at most ``max_rows`` labelled documents, half
-    of them of either class where there are enough, the same ones on every run;
-    and the share of all labels of each class that was drawn."""
+    of them of either class where there are enough, the same ones on every run,
+    each with one text (that of the least hash, if rows repeat its id); and the
+    share of all labels of each class that was drawn."""
     known = labels.where(F.col(toxic_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("label_id"), (F.col(toxic_col) > 0).cast("int").alias("toxic"))
     known = write_stage(known.groupBy("label_id").agg(F.max("toxic").alias("toxic")), "toxic-labels")
@@ -148,10 +149,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: s
     order = F.xxhash64(F.lit("sample"), "label_id"), F.col("label_id")
     half = [known.where(F.col("toxic") == c).orderBy(*order).limit(max_rows // 2) for c in (0, 1)]
     picked = write_stage(half[0].unionByName(half[1]), "toxic-sample")  # max_rows rows at most
-    return write_stage(
-        docs.select(F.col(id_col).alias("doc"), whole(text_col).alias("text"))
-        .join(F.broadcast(picked), F.col("doc") == F.col("label_id")).select("text", "toxic")
-        .repartition(F.xxhash64("text")), "toxic-texts"), rates
+    found = (docs.select(F.col(id_col).alias("doc"), whole(text_col).alias("text"))
+             .join(F.broadcast(picked), F.col("doc") == F.col("label_id"))
+             .groupBy("label_id", "toxic").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")))
+    return write_stage(found.select("least.text", "toxic").repartition(F.xxhash64("text")), "toxic-texts"), rates
 
 
 def fit_severity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

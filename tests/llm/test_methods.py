@@ -21,7 +21,7 @@ from paneldeck.llm.mixing import first_words
 from paneldeck.llm.pii import find_pii, luhn, mod97
 from paneldeck.llm.sentencepieces import Lattice
 from paneldeck.llm.token_counts import CountTransducer
-from paneldeck.llm.toxicity import score_toxicity
+from paneldeck.llm.toxicity import labelled_sample, score_toxicity
 from paneldeck.session import stage_path
 
 SMALL = "/root/testdata/sf0.001"
@@ -172,6 +172,16 @@ def test_a_small_sample_rejects_no_more_clean_documents(spark):
     assert abs(shares[0] - shares[1]) < 0.02
 
 
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    rows = [(1, f"text {i}") for i in range(50)] + [(1, None), (2, "b"), (2, "b"), (3, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    draw = lambda: sorted(tuple(r) for r in
+                          labelled_sample(docs, labels, 10, "doc_id", "text", "toxic")[0].collect())
+    first = draw()
+    assert len(first) == 3 and first == draw()
+
+
 # ---- sentence pieces ----------------------------------------------------------
 
 @pytest.fixture(scope="module")
