@@ -12,6 +12,8 @@ running sum inside each bucket finishes the rank:
 from __future__ import annotations
 
 import math
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 from pyspark import StorageLevel
@@ -151,17 +153,51 @@ def mann_whitney(df: DataFrame, value: str, flag: str, buckets: int | None = Non
                       F.coalesce(F.col("tie_term"), F.lit(0.0)).cast("double").alias("tie_term"))
 
 
-EXACT_CELLS = 10_000_000  # length of the longest distribution that the exact test computes
+EXACT_CELLS = 10_000_000  # longest distribution that ``mann_whitney_method`` counts as a table
+CLOSED_FORM = 8  # largest smaller group whose tail is counted in closed form
+
+
+@lru_cache
+def _period(m: int) -> tuple[int, list[int]]:
+    """(L, c): 1 / ((1 - q)(1 - q)(1 - q^2)...(1 - q^m)) is the sum of the c[j] q^j
+    over (1 - q^L)^(m + 1), with L the least common multiple of 1 to m."""
+    length, c = math.lcm(*range(1, m + 1)), [1]
+    for i in (1, *range(1, m + 1)):  # times 1 + q^i + q^2i + ... + q^(L - i)
+        wide = c + [0] * (length - i)
+        for k in range(len(wide)):
+            wide[k] += (wide[k - i] if k >= i else 0) - (c[k - length] if length <= k < length + len(c) else 0)
+        c = wide
+    return length, c
+
+
+def _tail_count(tail: int, m: int, n: int) -> int:
+    """How many of the arrangements of m and n values have U <= tail: the
+    coefficients up to q^tail of the Gaussian binomial, as whole numbers in
+    2^m steps whatever n is."""
+    length, c = _period(m)
+
+    def upto(k: int) -> int:
+        return sum(c[j] * math.comb((k - j) // length + m, m) for j in range(k % length, min(k + 1, len(c)), length))
+
+    found = 0
+    for size in range(m + 1):
+        for picked in combinations(range(1, m + 1), size):
+            left = tail - size * n - sum(picked)
+            found += (-1) ** size * upto(left) if left >= 0 else 0
+    return found
 
 
 def _exact_sf(u: int, n1: int, n2: int) -> float:
     """P(U >= u) under H0 without ties.  The counts are the coefficients of the
     Gaussian binomial [m + n over m]: one factor (1 - q^(n+i)) / (1 - q^i) after
-    the other; the distribution is symmetric, so only its lower tail is built."""
+    the other; the distribution is symmetric, so only its lower tail is built.
+    With ``CLOSED_FORM`` values or fewer in a group no table is built."""
     m, n = min(n1, n2), max(n1, n2)
     if u > m * n:
         return 0.0
-    tail = m * n - u
+    tail = m * n - max(u, 0)
+    if m <= CLOSED_FORM:
+        return _tail_count(tail, m, n) / math.comb(m + n, m)
     f = np.zeros(tail + 1)
     f[0] = 1.0
     for i in range(1, m + 1):
@@ -172,25 +208,29 @@ def _exact_sf(u: int, n1: int, n2: int) -> float:
     return float(f.sum() / math.comb(m + n, m))
 
 
-def mann_whitney_method(n1: int, n0: int, has_ties: bool, method: str = "auto") -> str:
+def mann_whitney_method(n1: int, n0: int, has_ties: bool, method: str = "auto",
+                        cells: int | None = EXACT_CELLS) -> str:
     """Which test "auto" stands for: "exact" when a group has 8 values or fewer,
-    there are no ties and the distribution has at most ``EXACT_CELLS`` cells,
-    otherwise "asymptotic".  Report it next to the p-value."""
+    there are no ties and the distribution has at most ``cells`` cells, otherwise
+    "asymptotic".  ``mann_whitney_p`` has no such limit: to report its method next
+    to the p-value, give ``cells=None``."""
     if method != "auto":
         return method
-    return "exact" if min(n1, n0) <= 8 and not has_ties and n1 * n0 <= EXACT_CELLS else "asymptotic"
+    short = cells is None or n1 * n0 <= cells
+    return "exact" if min(n1, n0) <= CLOSED_FORM and not has_ties and short else "asymptotic"
 
 
 def mann_whitney_p(n1: int, n0: int, u1: float, tie_term: float, has_ties: bool | None = None,
                    method: str = "auto") -> float:
-    """Two-sided p-value by the method that ``mann_whitney_method`` names: exact, or
-    the normal approximation with continuity correction."""
+    """Two-sided p-value by the method that ``mann_whitney_method`` names for
+    ``cells=None``: exact, whatever the larger group's size, or the normal
+    approximation with continuity correction."""
     if n1 <= 0 or n0 <= 0:
         return float("nan")
     u2 = n1 * n0 - u1
     big = max(u1, u2)
     ties = tie_term > 0 if has_ties is None else has_ties
-    if mann_whitney_method(n1, n0, ties, method) == "exact":
+    if mann_whitney_method(n1, n0, ties, method, cells=None) == "exact":
         return min(1.0, 2.0 * _exact_sf(int(round(big)), n1, n0))
     n = n1 + n0
     sigma = math.sqrt(n1 * n0 / 12.0 * ((n + 1) - tie_term / (n * (n - 1))))

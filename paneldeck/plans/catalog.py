@@ -377,7 +377,7 @@ def q_group_tests(spark, d):
     stats = q_mannwhitney(spark, d).collect()
     rows = [(r["flag"], r["n1"], r["n0"], r["median_1"], r["median_0"], r["u_stat"],
              ranks.mann_whitney_p(r["n1"], r["n0"], r["u_stat"], r["tie_term"]),
-             ranks.mann_whitney_method(r["n1"], r["n0"], r["tie_term"] > 0)) for r in stats]
+             ranks.mann_whitney_method(r["n1"], r["n0"], r["tie_term"] > 0, cells=None)) for r in stats]
     schema = T.StructType([T.StructField("flag", T.StringType()), T.StructField("n1", T.LongType()),
                            T.StructField("n0", T.LongType()), T.StructField("median_1", T.DoubleType()),
                            T.StructField("median_0", T.DoubleType()), T.StructField("u_stat", T.DoubleType()),

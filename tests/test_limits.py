@@ -75,6 +75,20 @@ def test_exact_rank_test():
     assert ranks.mann_whitney_method(8, 1000, False) == "exact"
 
 
+def test_exact_rank_test_at_any_size():
+    n = 20_000_000
+    assert ranks.mann_whitney_p(1, n, float(n), 0.0) == pytest.approx(2 / (n + 1), rel=1e-12)
+    assert ranks.mann_whitney_p(n, 2, 2.0 * n - 1, 0.0) == pytest.approx(4 / math.comb(n + 2, 2), rel=1e-12)
+    assert ranks.mann_whitney_method(8, 10**9, False, cells=None) == "exact"
+    for m, n in ((7, 8), (8, 8), (8, 50), (5, 3000)):  # the closed form against the table, added up with whole numbers
+        f = [1] + [0] * (m * n)
+        for i in range(1, m + 1):
+            f = [x - (f[k - n - i] if k >= n + i else 0) for k, x in enumerate(f)]
+            for k in range(i, len(f)):
+                f[k] += f[k - i]
+        assert [ranks._tail_count(t, m, n) for t in range(0, m * n + 1, 7)] == list(itertools.accumulate(f))[::7]
+
+
 # ---- values of the ingest ---------------------------------------------------------
 
 def test_white_space_is_collapsed_before_the_ends_are_cut(spark):
