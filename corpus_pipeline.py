@@ -50,10 +50,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with the ids of its best segmentation, their number and the
-    scores of the best few."""
-    out = encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return out.select(*docs.columns, "ids", F.size("ids").cast("long").alias("n_tokens"), "scores")
+    """Every document with the ids of its best segmentation, their number, the
+    scores and a digest of the best few and whether its text comes back."""
+    out = encode(docs, public_tokenizers.path("piece_bpe_32k.model"), check=True, digest=True)
+    return out.select(*docs.columns, "ids", F.size("ids").cast("long").alias("n_tokens"), "scores",
+                      "n_best_hash", "round_trip")
 
 
 STAGES = [

@@ -59,13 +59,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its pieces, the scores of its best segmentations and
-    whether its text comes back from them."""
+    """Every document with its pieces, the scores and a digest of its best
+    segmentations and whether its text comes back from the best."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    out = encode(_table(spark, sf_dir, "documents"), model, check=True)
+    out = encode(_table(spark, sf_dir, "documents"), model, check=True, digest=True)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.transform("scores", lambda s: F.round(s, 4)).alias("scores"),
-                      F.xxhash64("ids").alias("ids_hash"), "round_trip")
+                      F.xxhash64("ids").alias("ids_hash"), "n_best_hash", "round_trip")
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,6 +30,7 @@ from math import fsum, inf, log
 import numpy as np
 import pandas as pd
 import sentencepiece
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,9 +184,10 @@ class Lattice(dict):
             found += self.segments(part.replace(" ", SPACE))
         return found
 
-    def encode(self, text: str, n: int) -> tuple[np.ndarray, list[float], list[list[tuple[int, tuple[int, ...]]]]]:
+    def encode(self, text: str, n: int) -> tuple[np.ndarray, list[float], list[list[tuple[int, int, tuple[int, ...]]]]]:
         """(ids, scores, changes): the best segmentation, the scores of the n best,
-        and for each of these the segments where it differs, with their ids."""
+        and for each of these the stretches (from, to) of the best's ids that it
+        replaces, in their order, with its own ids there."""
         segments = self.split(text)
         parts = list(map(self.__getitem__, segments))
         if not parts:
@@ -201,14 +203,34 @@ class Lattice(dict):
             others = [(max(0.0, best[1] - s), i) for s, i in self.n_best(segments[at], n) if i != best[0]][:n - 1]
             combined = heapq.nsmallest(n, [(lost, how) for lost, how in combined] + [
                 (lost + more, (*how, (at, i))) for lost, how in combined for more, i in others])
-        return ids, [score - lost for lost, _ in combined], [list(how) for _, how in combined]
+        starts, start, last = {}, 0, 0
+        for at in sorted({at for _, how in combined for at, _ in how}):
+            start, last = start + sum(map(len, pieces[last:at])), at
+            starts[at] = start
+        return ids, [score - lost for lost, _ in combined], [
+            [(starts[at], starts[at] + len(pieces[at]), i) for at, i in sorted(how)] for _, how in combined]
+
+    def changed(self, ids: np.ndarray, changes: list[tuple[int, int, tuple[int, ...]]]) -> np.ndarray:
+        """The ids of another segmentation, from the best's and what it replaces."""
+        parts, at = [], 0
+        for start, end, other in changes:
+            parts += [ids[at:start], np.array(other, dtype=np.int32)]
+            at = end
+        return np.concatenate([*parts, ids[at:]])
+
+    def digest(self, ids: np.ndarray, changes: list[list[tuple[int, int, tuple[int, ...]]]]) -> int:
+        """64 bits of the lengths and ids of all segmentations, best first."""
+        state = xxhash.xxh3_64()
+        for how in changes:
+            other = self.changed(ids, how) if how else ids
+            state.update(len(other).to_bytes(8, "little"))
+            state.update(other.astype("<i4", copy=False))
+        return state.intdigest() - (1 << 63)
 
     def n_best_ids(self, text: str, n: int) -> list[tuple[float, list[int]]]:
         """The n best segmentations of a text in full."""
-        segments = self.split(text)
-        _, scores, changes = self.encode(text, n)
-        return [(score, [i for k, s in enumerate(segments) for i in dict(how).get(k, self[s][0])])
-                for score, how in zip(scores, changes)]
+        ids, scores, changes = self.encode(text, n)
+        return [(score, self.changed(ids, how).tolist()) for score, how in zip(scores, changes)]
 
     def decode(self, ids) -> str:
         """The text of a segmentation."""
@@ -246,11 +268,12 @@ def _broadcast(spark: SparkSession, model_path: str):
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", n_best: int = 4, scores: str = "zipf",
-           full: bool = False, check: bool = False) -> DataFrame:
+           full: bool = False, check: bool = False, digest: bool = False) -> DataFrame:
     """``docs`` plus ids (the best segmentation), scores (log probabilities of the
     ``n_best`` best, fewer if there are fewer), if ``full``, n_best_ids (all of them,
-    best first) and, if ``check``, round_trip (whether the text was decoded from
-    its ids unchanged).
+    best first), if ``digest``, n_best_hash (64 bits of all of them, made where they
+    are found) and, if ``check``, round_trip (whether the text was decoded from its
+    ids unchanged).
 
     Null text reads as empty: no ids, one segmentation of score 0.  Texts of any
     length are encoded whole.  Repeated rows are encoded like any.  An empty table
@@ -258,7 +281,7 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", n_best: int
     """
     bound_batches(docs.sparkSession)
     model = _broadcast(docs.sparkSession, model_path)
-    kind = ("ids array<int>, scores array<double>" + ", n_best_ids array<array<int>>" * full
+    kind = ("ids array<int>, scores array<double>" + ", n_best_ids array<array<int>>" * full + ", n_best_hash long" * digest
             + ", round_trip boolean" * check)
 
     @F.pandas_udf(kind)
@@ -268,12 +291,14 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", n_best: int
             made = [lattice.encode(text, n_best) for text in batch]
             out = pd.DataFrame({"ids": [m[0] for m in made], "scores": [m[1] for m in made]})
             if full:
-                out["n_best_ids"] = [[ids for _, ids in lattice.n_best_ids(text, n_best)] for text in batch]
+                out["n_best_ids"] = [[lattice.changed(ids, how) for how in changes] for ids, _, changes in made]
+            if digest:
+                out["n_best_hash"] = [lattice.digest(ids, changes) for ids, _, changes in made]
             if check:
                 out["round_trip"] = [lattice.decode(m[0].tolist()) == text for m, text in zip(made, batch)]
             yield out
 
-    added = ["ids", "scores"] + ["n_best_ids"] * full + ["round_trip"] * check
+    added = ["ids", "scores"] + ["n_best_ids"] * full + ["n_best_hash"] * digest + ["round_trip"] * check
     rest = docs.drop(*added)
     name, = fresh(rest, "_segmented")
     return rest.withColumn(name, segment(whole(text_col))).select(

@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import struct
 from collections import Counter, defaultdict
 
 import public_tokenizers
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from paneldeck.llm.jaccard_join import Bands, jaccard_components
 from paneldeck.llm.line_dedup import LineRuns, dedup_lines
 from paneldeck.llm.mixing import first_words
 from paneldeck.llm.pii import find_pii, luhn, mod97
-from paneldeck.llm.sentencepieces import Lattice
+from paneldeck.llm.sentencepieces import Lattice, encode
 from paneldeck.llm.token_counts import CountTransducer
 from paneldeck.llm.toxicity import labelled_sample, score_toxicity
 from paneldeck.session import stage_path
@@ -224,6 +226,20 @@ def test_op6_round_trip(spark):
     assert out.where("not round_trip or n_tokens < 1").count() == 0
 
 
+def test_op6_digests_all_of_the_best_segmentations(spark, texts, lattice):
+    short = {i: t[:300] for i, t in texts.items()}
+    docs = spark.createDataFrame([*short.items(), (-1, ""), (-2, None)], "doc_id long, text string")
+    out = encode(docs, public_tokenizers.path("piece_bpe_32k.model"), full=True)
+    got = {r.doc_id: r.n_best_ids for r in out.collect()}
+    assert got == {i: [ids for _, ids in lattice.n_best_ids(t, 4)] for i, t in short.items()} | {-1: [[]], -2: [[]]}
+    assert all(lattice.decode(ids) == t for i, t in short.items() for ids in got[i])
+    whole = {i: [ids for _, ids in lattice.n_best_ids(t, 4)] for i, t in [*texts.items()][:20]}
+    found = {r.doc_id: r.n_best_hash for r in queries.op6_sentencepieces(spark, SMALL).collect()}
+    for i, all_ids in whole.items():
+        raw = b"".join(struct.pack(f"<q{len(ids)}i", len(ids), *ids) for ids in all_ids)
+        assert found[i] == xxhash.xxh3_64_intdigest(raw) - (1 << 63)
+
+
 # ---- mixing -------------------------------------------------------------------
 
 def test_first_words_keep_their_white_space(spark):
