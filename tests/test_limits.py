@@ -56,6 +56,22 @@ def test_dominating_random_intercept(spark):
     assert res.fit["scale"] == pytest.approx(1.0, rel=0.1) and res.fit["re_variance"] > 60_000
 
 
+@pytest.mark.parametrize("n, ratio", [(10**7, 3.0), (10**8, 3.0), (10**9, 1.5), (10**7, 1e6), (10**7, 0.5)])
+def test_tiny_random_intercept_of_large_groups(n, ratio):
+    # balanced groups have their maximum in closed form: 1 + n * theta = ratio, or theta = 0
+    groups = 20
+    rows = n * groups
+    within = float(rows)
+    between = ratio * groups * within / (rows - groups)
+
+    def evaluate(thetas):
+        return [(t, -0.5 * (rows * math.log1p(between / (1 + n * t) / within) + groups * math.log1p(n * t)))
+                for t in thetas]
+
+    best, converged = mixed._maximise(evaluate)
+    assert converged and best[0] == pytest.approx(max(0.0, (ratio - 1) / n), rel=1e-3)
+
+
 def test_theta_grid_collects_one_row_per_theta(spark):
     sizes = spark.range(1, 5000).select(F.col("id").cast("double").alias("n"), F.lit(1.0).alias("c"), *[
         F.col("id").cast("double").alias(x) for x in ("a0_0", "a0_1", "a1_1", "b0_0", "b0_1", "b1_1")])
