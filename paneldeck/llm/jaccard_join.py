@@ -278,13 +278,12 @@ def star_pairs(rows: DataFrame) -> DataFrame:
                        .distinct(), "jaccard-stars")
 
 
-def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                  percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """(rows, links): id, n, rep of every document, where rep has the same set and
-    the smallest id, and links (a, b) between such representatives that connect
-    all that are linked, directly or through others."""
+def shared_signatures(docs: DataFrame, id_col: str, text_col: str, width: int,
+                      bands: Bands) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(rows, texts, members, sketches): id, n, rep of every document, where rep has
+    the same set and the smallest id; id, text; sig, id of the signatures that
+    several representatives hold; sizes and sketches by id."""
     bound_batches(docs.sparkSession)
-    bands = Bands(percent)
     keys = write_stage(shingle_keys(docs, id_col, text_col, width, bands), "jaccard-keys")
     named = keys.where("id is not null and n > 0")
     reps = write_stage(named.groupBy("k1", "k2").agg(F.min("id").alias("rep")), "jaccard-reps")
@@ -299,7 +298,39 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                .withColumn("before", F.lag("id").over(by_sig)).withColumn("after", F.lead("id").over(by_sig))
                .where("before <> id or after <> id"))
     members = write_stage(grouped.select("sig", "id"), "jaccard-members")
-    sketches = keys.select("id", "n", "own", "next").where("id is not null and n > 0")
+    return rows, texts, members, keys.select("id", "n", "own", "next").where("id is not null and n > 0")
+
+
+def dealt_blocks(labelled: DataFrame, groups: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The rows of ``compare_blocks`` from sig, id, label and the groups' sig, blocks."""
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = (labelled.join(groups, "sig").withColumn("block", block)
+             .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+             .select("sig", "id", "label", "block", F.least("block", "other").alias("i"),
+                     F.greatest("block", "other").alias("j")))
+    return dealt.join(sketches, "id")
+
+
+def jaccard_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+                  percent: int = 75) -> tuple[DataFrame, DataFrame]:
+    """(rows, pairs): rows as in ``jaccard_links``, and every linked pair a < b of
+    representatives, m (m - 1) / 2 of them for m texts that all link.  For
+    components alone ``jaccard_links`` compares far fewer."""
+    bands = Bands(percent)
+    rows, texts, members, sketches = shared_signatures(docs, id_col, text_col, width, bands)
+    groups = members.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    dealt = dealt_blocks(members.withColumn("label", F.col("id")), groups, sketches)
+    near_pairs = write_stage(compare_blocks(dealt, bands), "jaccard-all-near")
+    return rows, write_stage(verified(near_pairs, texts, width, bands).distinct(), "jaccard-all-pairs")
+
+
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
+                  percent: int = 75) -> tuple[DataFrame, DataFrame]:
+    """(rows, links): id, n, rep of every document, where rep has the same set and
+    the smallest id, and links (a, b) between such representatives that connect
+    all that are linked, directly or through others."""
+    bands = Bands(percent)
+    rows, texts, members, sketches = shared_signatures(docs, id_col, text_col, width, bands)
 
     # Stars first.  The leaders of the first round are the members that share the
     # most signatures, which near copies of one text have its least changed copy
@@ -322,13 +353,7 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.min("label").alias("x"), F.max("label").alias("y"),
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("x <> y").select("sig", "blocks"),
         "jaccard-open")
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = (labelled.join(open_groups, "sig").withColumn("block", block)
-             .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-             .select("sig", "id", "label", "block", F.least("block", "other").alias("i"),
-                     F.greatest("block", "other").alias("j")))
-    dealt = dealt.join(sketches, "id")
-    more = write_stage(compare_blocks(dealt, bands), "jaccard-open-pairs")
+    more = write_stage(compare_blocks(dealt_blocks(labelled, open_groups, sketches), bands), "jaccard-open-pairs")
     open_links = verified(more, texts, width, bands)
     return rows, write_stage(links.unionByName(open_links), "jaccard-links")
 

@@ -17,7 +17,7 @@ from paneldeck.llm import queries
 from paneldeck.llm.chat import collapse_snapshots
 from paneldeck.llm.components import connected_components
 from paneldeck.llm.exact_dedup import DigestIndex, exact_dedup
-from paneldeck.llm.jaccard_join import Bands, jaccard_components
+from paneldeck.llm.jaccard_join import Bands, jaccard_components, jaccard_pairs
 from paneldeck.llm.line_dedup import LineRuns, dedup_lines
 from paneldeck.llm.mixing import first_words
 from paneldeck.llm.pii import find_pii, luhn, mod97
@@ -303,6 +303,28 @@ def test_jaccard_join_on_given_and_hard_texts(spark, texts):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute_components(docs)
 
 
+def test_jaccard_pairs_hold_every_link(spark):
+    random.seed(9)
+    docs = {}
+    for k in range(60):  # near copies that mostly link with each other, and chains of small steps
+        changed = [f"p{i}" for i in range(120)]
+        for _ in range(random.randint(0, 3)):
+            changed[random.randrange(120)] = f"c{random.randrange(10**6)}"
+        docs[k] = " ".join(changed)
+        docs[1_000 + k] = " ".join(f"s{i}" for i in range(k, k + 40))
+    sets = {i: frozenset(tuple(w[j:j + 5]) for j in range(len(w) - 4)) for i, w in ((i, t.split()) for i, t in docs.items())}
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(sets[i], i)
+    reps = sorted(first.values())
+    want = {(a, b) for a in reps for b in reps if a < b
+            and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    rows, pairs = jaccard_pairs(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+    found = [tuple(r) for r in pairs.collect()]
+    assert len(found) == len(set(found)) and set(found) == want and len(want) > 100
+    assert {r.id: r.rep for r in rows.collect()} == {i: first[s] for i, s in sets.items()}
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(1, 300), st.integers(0, 10**6))
 def test_linked_sets_share_a_signature(size, seed):
