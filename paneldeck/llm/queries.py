@@ -11,12 +11,15 @@ from paneldeck.llm.chat import format_chats
 from paneldeck.llm.exact_dedup import exact_dedup
 from paneldeck.llm.jaccard_join import jaccard_components
 from paneldeck.llm.line_dedup import dedup_lines
+from paneldeck.llm.merkle import fold, manifest_proofs
 from paneldeck.llm.mixing import mix
 from paneldeck.llm.pii import find_pii, span_text
 from paneldeck.llm.quality_rules import judge_quality
+from paneldeck.llm.repair import repair_conversations
 from paneldeck.llm.sentencepieces import encode
 from paneldeck.llm.text import whole
 from paneldeck.llm.token_counts import count_tokens
+from paneldeck.llm.token_files import read_token_files, write_token_files
 from paneldeck.llm.toxicity import score_toxicity
 from paneldeck.sources.tables import table_path
 
@@ -90,6 +93,42 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows after damage by the hash of ``conv_id:turn`` (nulls as one space)."""
+    told = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    code = F.crc32(F.concat(told("conv_id"), F.lit(":"), told("turn"))) % 20
+    text = F.when(code == 1, "").when(code == 2, F.regexp_replace(told("text"), "[.!?]", "")).otherwise(told("text"))
+    role = F.when(code == 4, "user").otherwise(told("role"))
+    return (conversations.where(code != 0)
+            .select("conv_id", "turn", role.alias("role"), text.alias("text"),
+                    F.explode(F.when(code == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+            .drop("copy"))
+
+
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation with its faults after damage and its cheapest repair."""
+    conversations = _table(spark, sf_dir, "conversations")
+    return repair_conversations(damaged(conversations), conversations.select("conv_id"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its leaf, roots and proof, and whether the row as
+    tampered with (every other text loses its line ends) still proves the root."""
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    out = manifest_proofs(docs, claimed={"text": tampered})
+    out = out.withColumn("folded_root", fold(F.col("claimed_leaf"), F.col("path")))
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("path", ""), 256).alias("proof_sha256"),
+                      "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as read back from the token files."""
+    files = write_token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_files(spark, files).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_exact_dedup": (op1_exact_dedup, oracles.OP1),
     "op2_quality_rules": (op2_quality_rules, None),
@@ -101,4 +140,7 @@ QUERIES = {
     "op8_chat": (op8_chat, oracles.OP8),
     "op9_jaccard_join": (op9_jaccard_join, None),
     "op10_token_counts": (op10_token_counts, None),
+    "op11_structure_repair": (op11_structure_repair, oracles.OP11),
+    "op12_merkle_manifest": (op12_merkle_manifest, oracles.OP12),
+    "op13_token_files": (op13_token_files, None),
 }
