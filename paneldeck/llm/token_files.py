@@ -15,22 +15,25 @@ endian, codes from the top bit on).
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paneldeck.llm.text import bound_batches, whole
-from paneldeck.session import stage_path, write_stage
+from paneldeck.session import stage_path
 
 BLOCK = 256
 FRAME_IDS = 65_536
 CODE_BITS = 16
-ENCODE_CHARS = 200_000
+ENCODE_BYTES = 1 << 20
 
 IDS = "id long, row long, ids binary"
 FRAMES = ("shard int, seq long, first long, doc_ids array<long>, lengths array<long>, checkpoints binary, bits binary")
@@ -138,34 +141,184 @@ class Decoder:
 
 # --- tasks --------------------------------------------------------------------
 
-_TOKENIZER: dict[int, object] = {}
-
+# White space in UTF-8 other than ASCII's.  Next to it, a cut before ASCII white space
+# could part what the tokenizer's pattern keeps together.
+OTHER_SPACE = re.compile(b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+KEY = 16  # bytes of a piece that is remembered
+WINDOW = 1 << 17  # pieces looked up at once
+
+
+class PieceEncoder:
+    """Ids of whole texts.  A byte-level tokenizer with the usual pattern never
+    joins a character to ASCII white space behind it, so texts are cut there and
+    the library encodes each distinct piece once, many in one call.  Pieces of up
+    to KEY bytes are remembered by their exact bytes, at most ``room`` of them.
+    Longer pieces, texts with other white space and any other tokenizer's texts go
+    to the library whole.
+    """
 
-def loaded(tokenizer_json: str):
-    """The tokenizer of this worker process; one at a time is kept."""
-    key = hash(tokenizer_json)
-    if key not in _TOKENIZER:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, source: str, end_id: int, kind: str, room: int = 1 << 20):
         from tokenizers import Tokenizer
 
-        _TOKENIZER.clear()
-        tokenizer = _TOKENIZER[key] = Tokenizer.from_str(tokenizer_json)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
-    return _TOKENIZER[key]
+        self.library = Tokenizer.from_str(source)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.kind, self.end_id, self.room = kind, end_id, room
+        spec = json.loads(source)
+        pre, added = spec.get("pre_tokenizer") or {}, spec.get("added_tokens") or []
+        self.by_piece = (
+            pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+            and not spec.get("normalizer") and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout")
+            and not any(a["lstrip"] or a["rstrip"] or a["single_word"] or re.search(r"\s", a["content"]) for a in added))
+        if self.by_piece:  # a byte-level token has one character for each byte
+            vocab = spec["model"]["vocab"]
+            self.size = np.zeros(max([*vocab.values(), *(a["id"] for a in added)]) + 1, dtype=np.int64)
+            for token, i in vocab.items():
+                self.size[i] = len(token)
+            for a in added:
+                self.size[a["id"]] = len(a["content"].encode())
+        self.forget()
+
+    def forget(self) -> None:
+        """Known pieces: sorted hashes with the rows of keys, sizes, places and
+        numbers of ids; the ids of all, the end id first."""
+        self.hashes, self.rows = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
+        self.keys, self.bytes = np.zeros((0, 2), dtype=np.uint64), np.zeros(0, dtype=np.uint8)
+        self.place, self.count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+        self.ids = np.array([self.end_id], dtype=self.kind)
+
+    def whole(self, texts: list[bytes]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=self.kind)
+                for e in self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces encoded in one text, and where each one's ids end: a line
+        end, a token of its own, parts a piece that begins without white space
+        from the one before."""
+        parts = np.array([not SPACE[p[0]] for p in pieces], dtype=np.int64)
+        text = b"".join(b"\n" + p if q else p for p, q in zip(pieces, parts.tolist()))
+        ids = self.whole([text])[0]
+        ends = np.concatenate([[0], np.cumsum(self.size[ids])])
+        stop = np.cumsum(np.array([len(p) for p in pieces]) + parts)
+        start = np.concatenate([[0], stop[:-1]]) + parts
+        low, high = np.searchsorted(ends, start), np.searchsorted(ends, stop)
+        if ends[-1] != stop[-1] or (ends[low] != start).any() or (ends[high] != stop).any():
+            each = self.whole(pieces)
+            return np.concatenate(each), np.cumsum([len(e) for e in each])
+        own = np.ones(len(ids), dtype=bool)
+        own[low[parts > 0] - 1] = False
+        return ids[own], high - np.cumsum(parts)
+
+    def look_up(self, blob: bytes, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a window of pieces, and where each one's ids end; an empty piece stands for the end id."""
+        size = stop - start
+        column = np.arange(KEY)
+        letters = data[np.minimum(start[:, None] + column, len(data) - 1)]
+        letters[column >= size[:, None]] = 0
+        keys = letters.view("<u8")
+        mixed = (keys[:, 0] * np.uint64(0x9E3779B97F4A7C15)) ^ (keys[:, 1] * np.uint64(0xC2B2AE3D27D4EB4F))
+        mixed = (mixed ^ (mixed >> np.uint64(29)) ^ size.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(32)
+        places, counts = np.zeros(len(start), dtype=np.int64), np.ones(len(start), dtype=np.int64)
+        short = np.flatnonzero((size > 0) & (size <= KEY))
+        alone = [np.flatnonzero(size > KEY)]
+        if len(short):
+            hashes, first, member = np.unique(mixed[short], return_index=True, return_inverse=True)
+            first = short[first]
+            same = (keys[first[member]] == keys[short]).all(axis=1) & (size[first[member]] == size[short])
+            at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
+            met = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), dtype=bool)
+            blank = SPACE[data[stop[first] - 1]]
+            new = np.flatnonzero(~met & ~blank)
+            if len(new):
+                self.learn([blob[a:b] for a, b in zip(start[first[new]].tolist(), stop[first[new]].tolist())],
+                           hashes[new], keys[first[new]], size[first[new]])
+                at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            row = self.rows[at] if len(self.rows) else np.zeros(len(hashes), dtype=np.int32)
+            sure = np.zeros(len(hashes), dtype=bool)
+            if len(self.rows):
+                sure = (self.hashes[at] == hashes) & (self.keys[row] == keys[first]).all(axis=1) & (self.bytes[row] == size[first])
+                places[short], counts[short] = self.place[row][member], self.count[row][member]
+            alone.append(short[~(sure[member] & same)])
+        alone = np.concatenate(alone)
+        ids = self.ids
+        if len(alone):  # not remembered
+            found = self.whole([blob[a:b] for a, b in zip(start[alone].tolist(), stop[alone].tolist())])
+            counts[alone] = [len(f) for f in found]
+            places[alone] = len(ids) + np.cumsum(counts[alone]) - counts[alone]
+            ids = np.concatenate([ids, *found])
+        ends = np.cumsum(counts)
+        return ids[np.repeat(places - ends + counts, counts) + np.arange(ends[-1])], ends
+
+    def learn(self, pieces: list[bytes], hashes: np.ndarray, keys: np.ndarray, size: np.ndarray) -> None:
+        ids, ends = self.together(pieces)
+        count = np.diff(ends, prepend=0)
+        self.place = np.concatenate([self.place, len(self.ids) + ends - count])
+        self.ids = np.concatenate([self.ids, ids])
+        self.count = np.concatenate([self.count, count.astype(np.int32)])
+        self.keys, self.bytes = np.concatenate([self.keys, keys]), np.concatenate([self.bytes, size.astype(np.uint8)])
+        rows = np.concatenate([self.rows, np.arange(len(self.place) - len(pieces), len(self.place), dtype=np.int32)])
+        both = np.concatenate([self.hashes, hashes])
+        order = np.argsort(both, kind="stable")
+        self.hashes, self.rows = both[order], rows[order]
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text as bytes, the end id behind them."""
+        if not self.by_piece:
+            return pa.array([np.append(ids, np.array(self.end_id, self.kind)).tobytes()
+                             for ids in self.whole([t.encode() for t in texts.to_pylist()])], pa.binary())
+        if len(self.hashes) > self.room:
+            self.forget()
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32, count=len(texts) + 1, offset=4 * texts.offset).astype(np.int64)
+        blob = texts.buffers()[2].slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_pybytes() if offsets[-1] > offsets[0] else b""
+        offsets -= offsets[0]
+        data = np.frombuffer(blob or b" ", dtype=np.uint8)
+        white = SPACE[data[:len(blob)]]
+        begins = white.copy()
+        begins[1:] &= ~white[:-1]
+        for t in np.unique(np.searchsorted(offsets, [m.start() for m in OTHER_SPACE.finditer(blob)], "right")):
+            begins[offsets[t - 1]:offsets[t]] = False
+        begins[offsets[:-1][np.diff(offsets) > 0]] = True
+        start = np.flatnonzero(begins)
+        stop = np.append(start[1:], len(blob)) if len(start) else start
+        bounds = np.searchsorted(start, offsets[1:])
+        start, stop = np.insert(start, bounds, 0), np.insert(stop, bounds, 0)
+        ids, ends, base = [], [], 0
+        for i in range(0, len(start), WINDOW):
+            part, upto = self.look_up(blob, data, start[i:i + WINDOW], stop[i:i + WINDOW])
+            ids.append(part)
+            ends.append(upto + base)
+            base += len(part)
+        close = np.concatenate(ends)[bounds + np.arange(len(texts))] if len(texts) else np.zeros(0, dtype=np.int64)
+        held = np.concatenate(ids) if ids else np.zeros(0, dtype=self.kind)
+        upto = (np.concatenate([[0], close]) * held.dtype.itemsize).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(upto.tobytes()), pa.py_buffer(held.tobytes())])
+
+
+_ENCODER: dict[tuple, PieceEncoder] = {}
+
+
+def loaded(source: str, end_id: int, kind: str) -> PieceEncoder:
+    """The encoder of this worker process; one at a time is kept."""
+    key = (hash(source), end_id, kind)
+    if key not in _ENCODER:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        _ENCODER.clear()
+        _ENCODER[key] = PieceEncoder(source, end_id, kind)
+    return _ENCODER[key]
 
 
-def groups_of(texts: list[str], chars: int) -> Iterator[list[str]]:
-    """Neighbouring texts of at most ``chars`` in all, or one longer text."""
-    held, size = [], 0
-    for text in texts:
-        if held and size + len(text) > chars:
-            yield held
-            held, size = [], 0
-        held.append(text)
-        size += len(text)
-    if held:
-        yield held
+def groups_of(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """Neighbouring texts of at most ``size`` bytes in all, or one longer text."""
+    ends = np.cumsum(np.asarray(pc.binary_length(texts)))
+    first = 0
+    while first < len(texts):
+        before = int(ends[first - 1]) if first else 0
+        last = max(int(np.searchsorted(ends, before + size, "right")), first + 1)
+        yield texts.slice(first, last - first)
+        first = last
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, end_id: int, wide: bool) -> DataFrame:
@@ -175,14 +328,12 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, e
     kind = "<u4" if wide else "<u2"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = loaded(source.value)
+        encoder = loaded(source.value, end_id, kind)
         for batch in batches:
-            done = []
-            for texts in groups_of(batch.column("text").to_pylist(), ENCODE_CHARS):
-                done += [np.array([*e.ids, end_id], dtype=kind).tobytes()
-                         for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("row"), pa.array(done, pa.binary())],
-                                             ["id", "row", "ids"])
+            done = [encoder.encode(texts) for texts in groups_of(batch.column("text"), ENCODE_BYTES)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("row"), pa.concat_arrays(done) if done else pa.array([], pa.binary())],
+                ["id", "row", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.monotonically_increasing_id().alias("row"),
                        whole(text_col).alias("text"))
@@ -265,7 +416,9 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str | None = N
     path = path or stage_path(spark, "token-files")
     n_ids = max(Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True), end_id + 1)
     wide = n_ids > 1 << 16
-    tokens = write_stage(tokenize(docs, tokenizer_path, id_col, text_col, end_id, wide), "token-ids")
+    held = stage_path(spark, "token-ids")
+    tokenize(docs, tokenizer_path, id_col, text_col, end_id, wide).write.option("compression", "zstd").parquet(held)
+    tokens = spark.read.schema(IDS).parquet(held)
     lengths = code_lengths(id_counts(tokens, n_ids, wide))
     book = spark.createDataFrame([(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)], "id int, bits int")
     book.coalesce(1).write.parquet(f"{path}/codebook")

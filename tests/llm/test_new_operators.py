@@ -274,3 +274,37 @@ def test_token_files_hold_the_ids_of_the_library(spark, monkeypatch):
 def test_token_files_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert token_files.read_token_files(spark, token_files.write_token_files(empty, BPE)).count() == 0
+
+
+@pytest.mark.parametrize("room", [1 << 20, 3])
+def test_pieces_give_the_ids_of_the_library(room, monkeypatch):
+    """All kinds of white space, symbols, special strings, long pieces, windows and a memo that overflows."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "WINDOW", 7)
+    with open(BPE, encoding="utf-8") as f:
+        encoder = token_files.PieceEncoder(f.read(), 0, "<u2", room)
+    assert encoder.by_piece
+    library = Tokenizer.from_file(BPE)
+    rng = random.Random(9)
+    parts = [" ", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x00", "\x1c", "\x85", "\xa0", " ", "　", "a", "word", "don't", "'s", ".",
+             "!?", "é", "日本", "１２", "12", "<|endoftext|>", "x" * 40, "🙂", "_", "ß", "a\x00", "ſ"]
+    for _ in range(60):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(20)]
+        got = encoder.encode(pa.array(["cut off", *texts]).slice(1)).to_pylist()
+        for text, ids in zip(texts, got):
+            assert np.frombuffer(ids, "<u2").tolist() == [*library.encode(text, add_special_tokens=False).ids, 0], repr(text)
+    assert encoder.encode(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_other_tokenizers_get_whole_texts():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        encoder = token_files.PieceEncoder(f.read(), 7, "<u2")
+    texts = ["Some words, and MORE", "", "two  spaces"]
+    want = [[*Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids, 7] for t in texts]
+    assert not encoder.by_piece and [np.frombuffer(i, "<u2").tolist() for i in encoder.encode(pa.array(texts)).to_pylist()] == want
