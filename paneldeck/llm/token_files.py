@@ -71,32 +71,31 @@ def code_lengths(counts: np.ndarray, limit: int = CODE_BITS) -> np.ndarray:
 
 
 def canonical(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Codes by id, ids by code, and the longest length: codes of one length ascend
-    by id, shorter ones come first."""
+    """Codes by id (64 bits, aligned at the left), ids by code, and the longest
+    length: codes of one length ascend by id, shorter ones come first."""
     used = np.flatnonzero(lengths)
     used = used[np.lexsort((used, lengths[used]))]
     top = int(lengths.max()) if len(used) else 1
     spans = np.left_shift(1, top - lengths[used])
     starts = np.cumsum(spans) - spans
     codes = np.zeros(len(lengths), dtype=np.uint64)
-    codes[used] = (starts >> (top - lengths[used])).astype(np.uint64)
+    codes[used] = starts.astype(np.uint64) << np.uint64(64 - top)
     return codes, used, top
 
 
 def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, bytes]:
-    """The checkpoints and the bits of the ids."""
+    """The checkpoints and the bits of the ids; ``codes`` are aligned at the left."""
     size = lengths[ids]
     ends = np.cumsum(size)
     at = ends - size
     words = np.zeros((int(ends[-1]) >> 6) + 1 if len(ids) else 0, dtype=np.uint64)
     if len(ids):
-        code, word, room = codes[ids], at >> 6, 64 - (at & 63) - size
-        inside = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64),
-                          code >> np.maximum(-room, 0).astype(np.uint64))
+        code, word, shift = codes[ids], at >> 6, at & 63
+        inside = code >> shift.view(np.uint64)
         first = np.flatnonzero(np.diff(word, prepend=-1))
         words[word[first]] = np.bitwise_or.reduceat(inside, first)
-        over = np.flatnonzero(room < 0)
-        words[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
+        over = np.flatnonzero(shift + size > 64)
+        words[word[over] + 1] |= code[over] << (64 - shift[over]).view(np.uint64)
     return at[::BLOCK].astype("<u8").tobytes(), words.astype(">u8").tobytes()
 
 
@@ -106,32 +105,32 @@ class Decoder:
     def __init__(self, lengths: np.ndarray):
         _, used, self.top = canonical(lengths)
         spans = np.left_shift(1, self.top - lengths[used])
-        table = np.zeros(1 << self.top, dtype=np.uint32)
-        width = np.ones(1 << self.top, dtype=np.int64)
-        table[:spans.sum()] = np.repeat(used, spans)
-        width[:spans.sum()] = np.repeat(lengths[used], spans)
-        self.table, self.width = table, width
+        self.table = np.ones(1 << self.top, dtype=np.int64)
+        self.table[:spans.sum()] = np.repeat((used << 8) | lengths[used], spans)
 
     def unpack(self, frames: list[tuple[int, bytes, bytes]]) -> list[np.ndarray]:
         """The ids of each frame (count, checkpoints, bits); the blocks of all
         frames are decoded side by side."""
-        starts, words, base, blocks = [], [], 0, []
+        starts, base, blocks = [np.zeros(0, dtype=np.int64)], 0, []
         for _, checkpoints, bits in frames:
             own = np.frombuffer(checkpoints, dtype="<u8").astype(np.int64)
-            starts.append(own + 64 * base)
-            words.append(np.frombuffer(bits, dtype=">u8").astype(np.uint64))
+            starts.append(own + 8 * base)
             blocks.append(len(own))
-            base += len(words[-1])
-        at = np.concatenate(starts) if starts else np.zeros(0, dtype=np.int64)
-        words = np.concatenate([*words, np.zeros(2, dtype=np.uint64)])
+            base += len(bits)
+        at = np.concatenate(starts)
+        spare = bytes(BLOCK * self.top // 8 + 8)  # the last block of a frame may run on
+        data = np.frombuffer(b"".join([*(bits for _, _, bits in frames), spare]), dtype=np.uint8)
+        ahead = data[:-3].astype(np.uint32)  # the 32 bits from each byte on
+        for i in range(1, 4):
+            ahead <<= np.uint32(8)
+            ahead |= data[i:len(data) - 3 + i]
         out = np.empty((BLOCK, len(at)), dtype=np.uint32)
-        end, down = 64 * base, np.uint64(64 - self.top)
+        down = np.uint32(32 - self.top)
         for i in range(BLOCK):
-            word, shift = at >> 6, (at & 63).astype(np.uint64)
-            seen = (words[word] << shift) | ((words[word + 1] >> np.uint64(1)) >> (np.uint64(63) - shift))
-            code = seen >> down
-            out[i] = self.table[code]
-            at = np.minimum(at + self.width[code], end)
+            seen = ahead[at >> 3] << (at & 7).astype(np.uint32)
+            entry = self.table[seen >> down]
+            out[i] = entry >> 8
+            at = at + (entry & 255)
         ids, done, first = out.T, [], 0
         for (n, _, _), k in zip(frames, blocks):
             done.append(ids[first:first + k].reshape(-1)[:n])
@@ -172,6 +171,8 @@ class PieceEncoder:
             pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
             and not spec.get("normalizer") and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout")
             and not any(a["lstrip"] or a["rstrip"] or a["single_word"] or re.search(r"\s", a["content"]) for a in added))
+        if hasattr(self.library.model, "_resize_cache"):
+            self.library.model._resize_cache(0)  # pieces are remembered here
         if self.by_piece:  # a byte-level token has one character for each byte
             vocab = spec["model"]["vocab"]
             self.size = np.zeros(max([*vocab.values(), *(a["id"] for a in added)]) + 1, dtype=np.int64)
@@ -187,8 +188,25 @@ class PieceEncoder:
         self.hashes, self.rows = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
         self.keys, self.bytes = np.zeros((0, 2), dtype=np.uint64), np.zeros(0, dtype=np.uint8)
         self.place, self.count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+        self.met = np.zeros(0, dtype=np.int32)
         self.ids = np.array([self.end_id], dtype=self.kind)
 
+    def forget_rare(self) -> None:
+        """Keep what was met again since it was learnt; all goes if that is most."""
+        stay = np.flatnonzero(self.met > 0)
+        if len(stay) > self.room // 2:
+            return self.forget()
+        count = self.count[stay].astype(np.int64)
+        ends = np.cumsum(count)
+        ids = self.ids[np.repeat(self.place[stay] - ends + count, count) + np.arange(count.sum())]
+        self.ids = np.concatenate([self.ids[:1], ids])
+        self.place, self.count, self.keys, self.bytes = 1 + ends - count, self.count[stay], self.keys[stay], self.bytes[stay]
+        self.met = np.zeros(len(stay), dtype=np.int32)
+        new_row = np.full(len(self.rows), -1, dtype=np.int32)
+        new_row[stay] = np.arange(len(stay), dtype=np.int32)
+        known = new_row[self.rows] >= 0
+        self.hashes, self.rows = self.hashes[known], new_row[self.rows[known]]
+
     def whole(self, texts: list[bytes]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=self.kind)
                 for e in self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
@@ -230,6 +248,8 @@ class PieceEncoder:
             same = (keys[first[member]] == keys[short]).all(axis=1) & (size[first[member]] == size[short])
             at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
             met = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), dtype=bool)
+            if met.any():
+                self.met[self.rows[at[met]]] += 1
             blank = SPACE[data[stop[first] - 1]]
             new = np.flatnonzero(~met & ~blank)
             if len(new):
@@ -258,6 +278,7 @@ class PieceEncoder:
         self.place = np.concatenate([self.place, len(self.ids) + ends - count])
         self.ids = np.concatenate([self.ids, ids])
         self.count = np.concatenate([self.count, count.astype(np.int32)])
+        self.met = np.concatenate([self.met, np.zeros(len(count), dtype=np.int32)])
         self.keys, self.bytes = np.concatenate([self.keys, keys]), np.concatenate([self.bytes, size.astype(np.uint8)])
         rows = np.concatenate([self.rows, np.arange(len(self.place) - len(pieces), len(self.place), dtype=np.int32)])
         both = np.concatenate([self.hashes, hashes])
@@ -270,7 +291,7 @@ class PieceEncoder:
             return pa.array([np.append(ids, np.array(self.end_id, self.kind)).tobytes()
                              for ids in self.whole([t.encode() for t in texts.to_pylist()])], pa.binary())
         if len(self.hashes) > self.room:
-            self.forget()
+            self.forget_rare()
         offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32, count=len(texts) + 1, offset=4 * texts.offset).astype(np.int64)
         blob = texts.buffers()[2].slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_pybytes() if offsets[-1] > offsets[0] else b""
         offsets -= offsets[0]
@@ -340,6 +361,17 @@ def tokenize(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, e
     return rows.mapInArrow(encode, IDS)
 
 
+def held_ids(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows of a binary column, and where each row's ids end."""
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int32, count=len(column) + 1, offset=4 * column.offset).astype(np.int64)
+    width = np.dtype(kind).itemsize
+    data = column.buffers()[2]
+    if data is None or ends[-1] == ends[0]:
+        return np.zeros(0, dtype=kind), np.zeros(len(column), dtype=np.int64)
+    ids = np.frombuffer(data, dtype=kind, count=int(ends[-1] - ends[0]) // width, offset=int(ends[0]))
+    return ids, (ends[1:] - ends[0]) // width
+
+
 def id_counts(tokens: DataFrame, n_ids: int, wide: bool) -> np.ndarray:
     """How often each id occurs.  Every task sends one row for each id that it
     met, and the driver gets at most one for each id of the vocabulary."""
@@ -348,9 +380,8 @@ def id_counts(tokens: DataFrame, n_ids: int, wide: bool) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_ids, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                part = np.bincount(np.frombuffer(ids.as_buffer(), dtype=kind))
-                total[:len(part)] += part
+            ids, _ = held_ids(batch.column("ids"), kind)
+            total += np.bincount(ids, minlength=n_ids)
         met = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(met), pa.array(total[met])], ["id", "n"])
 
@@ -381,9 +412,10 @@ def framed_rows(tokens: DataFrame, lengths: np.ndarray, wide: bool) -> DataFrame
                 "checkpoints": checkpoints, "bits": bits}], schema=schema)
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column("id").to_pylist(), batch.column("ids")):
+            ids, ends = held_ids(batch.column("ids"), kind)
+            for doc_id, own in zip(batch.column("id").to_pylist(), np.split(ids, ends[:-1])):
                 doc_ids.append(doc_id)
-                held.append(np.frombuffer(ids.as_buffer(), dtype=kind).astype(np.int64))
+                held.append(own.copy())
                 size += len(held[-1])
                 if size >= FRAME_IDS:
                     yield frame()
