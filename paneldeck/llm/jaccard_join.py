@@ -50,7 +50,7 @@ MULTIPLIERS = mixed(np.arange(64, dtype=np.uint64), 11) | np.uint64(1)
 class WordHashes(dict):
     """Word -> 64-bit hash; at most ``room`` words are kept."""
 
-    room = 1 << 19
+    room = 1 << 17
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.room:

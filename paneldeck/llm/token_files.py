@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from paneldeck.llm.memo import ByteMemo, IdStore, gathered
 from paneldeck.llm.text import bound_batches, whole
 from paneldeck.session import stage_path
 
@@ -145,7 +146,6 @@ class Decoder:
 OTHER_SPACE = re.compile(b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-KEY = 16  # bytes of a piece that is remembered
 WINDOW = 1 << 17  # pieces looked up at once
 
 
@@ -180,32 +180,7 @@ class PieceEncoder:
                 self.size[i] = len(token)
             for a in added:
                 self.size[a["id"]] = len(a["content"].encode())
-        self.forget()
-
-    def forget(self) -> None:
-        """Known pieces: sorted hashes with the rows of keys, sizes, places and
-        numbers of ids; the ids of all, the end id first."""
-        self.hashes, self.rows = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)
-        self.keys, self.bytes = np.zeros((0, 2), dtype=np.uint64), np.zeros(0, dtype=np.uint8)
-        self.place, self.count = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
-        self.met = np.zeros(0, dtype=np.int32)
-        self.ids = np.array([self.end_id], dtype=self.kind)
-
-    def forget_rare(self) -> None:
-        """Keep what was met again since it was learnt; all goes if that is most."""
-        stay = np.flatnonzero(self.met > 0)
-        if len(stay) > self.room // 2:
-            return self.forget()
-        count = self.count[stay].astype(np.int64)
-        ends = np.cumsum(count)
-        ids = self.ids[np.repeat(self.place[stay] - ends + count, count) + np.arange(count.sum())]
-        self.ids = np.concatenate([self.ids[:1], ids])
-        self.place, self.count, self.keys, self.bytes = 1 + ends - count, self.count[stay], self.keys[stay], self.bytes[stay]
-        self.met = np.zeros(len(stay), dtype=np.int32)
-        new_row = np.full(len(self.rows), -1, dtype=np.int32)
-        new_row[stay] = np.arange(len(stay), dtype=np.int32)
-        known = new_row[self.rows] >= 0
-        self.hashes, self.rows = self.hashes[known], new_row[self.rows[known]]
+        self.memo, self.store = ByteMemo(room), IdStore(np.array([end_id], dtype=kind))
 
     def whole(self, texts: list[bytes]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=self.kind)
@@ -230,68 +205,34 @@ class PieceEncoder:
         return ids[own], high - np.cumsum(parts)
 
     def look_up(self, blob: bytes, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of a window of pieces, and where each one's ids end; an empty piece stands for the end id."""
-        size = stop - start
-        column = np.arange(KEY)
-        letters = data[np.minimum(start[:, None] + column, len(data) - 1)]
-        letters[column >= size[:, None]] = 0
-        keys = letters.view("<u8")
-        mixed = (keys[:, 0] * np.uint64(0x9E3779B97F4A7C15)) ^ (keys[:, 1] * np.uint64(0xC2B2AE3D27D4EB4F))
-        mixed = (mixed ^ (mixed >> np.uint64(29)) ^ size.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed ^= mixed >> np.uint64(32)
+        """Ids of a window of pieces, and where each one's ids end; an empty piece
+        stands for the end id."""
+        def learn(new: np.ndarray) -> np.ndarray:
+            useful = ~SPACE[data[stop[new] - 1]]
+            if useful.any():
+                ids, ends = self.together([blob[a:b] for a, b in zip(start[new[useful]].tolist(), stop[new[useful]].tolist())])
+                self.store.add(ids, np.diff(ends, prepend=0))
+            return useful
+
+        row = self.memo.rows(data, start, stop, learn)
+        known = row >= 0
         places, counts = np.zeros(len(start), dtype=np.int64), np.ones(len(start), dtype=np.int64)
-        short = np.flatnonzero((size > 0) & (size <= KEY))
-        alone = [np.flatnonzero(size > KEY)]
-        if len(short):
-            hashes, first, member = np.unique(mixed[short], return_index=True, return_inverse=True)
-            first = short[first]
-            same = (keys[first[member]] == keys[short]).all(axis=1) & (size[first[member]] == size[short])
-            at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
-            met = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), dtype=bool)
-            if met.any():
-                self.met[self.rows[at[met]]] += 1
-            blank = SPACE[data[stop[first] - 1]]
-            new = np.flatnonzero(~met & ~blank)
-            if len(new):
-                self.learn([blob[a:b] for a, b in zip(start[first[new]].tolist(), stop[first[new]].tolist())],
-                           hashes[new], keys[first[new]], size[first[new]])
-                at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            row = self.rows[at] if len(self.rows) else np.zeros(len(hashes), dtype=np.int32)
-            sure = np.zeros(len(hashes), dtype=bool)
-            if len(self.rows):
-                sure = (self.hashes[at] == hashes) & (self.keys[row] == keys[first]).all(axis=1) & (self.bytes[row] == size[first])
-                places[short], counts[short] = self.place[row][member], self.count[row][member]
-            alone.append(short[~(sure[member] & same)])
-        alone = np.concatenate(alone)
-        ids = self.ids
+        places[known], counts[known] = self.store.place[row[known]], self.store.count[row[known]]
+        ids, alone = self.store.ids, np.flatnonzero(~known & (stop > start))
         if len(alone):  # not remembered
             found = self.whole([blob[a:b] for a, b in zip(start[alone].tolist(), stop[alone].tolist())])
             counts[alone] = [len(f) for f in found]
             places[alone] = len(ids) + np.cumsum(counts[alone]) - counts[alone]
             ids = np.concatenate([ids, *found])
-        ends = np.cumsum(counts)
-        return ids[np.repeat(places - ends + counts, counts) + np.arange(ends[-1])], ends
-
-    def learn(self, pieces: list[bytes], hashes: np.ndarray, keys: np.ndarray, size: np.ndarray) -> None:
-        ids, ends = self.together(pieces)
-        count = np.diff(ends, prepend=0)
-        self.place = np.concatenate([self.place, len(self.ids) + ends - count])
-        self.ids = np.concatenate([self.ids, ids])
-        self.count = np.concatenate([self.count, count.astype(np.int32)])
-        self.met = np.concatenate([self.met, np.zeros(len(count), dtype=np.int32)])
-        self.keys, self.bytes = np.concatenate([self.keys, keys]), np.concatenate([self.bytes, size.astype(np.uint8)])
-        rows = np.concatenate([self.rows, np.arange(len(self.place) - len(pieces), len(self.place), dtype=np.int32)])
-        both = np.concatenate([self.hashes, hashes])
-        order = np.argsort(both, kind="stable")
-        self.hashes, self.rows = both[order], rows[order]
+        return ids[gathered(places, counts)], np.cumsum(counts)
 
     def encode(self, texts: pa.Array) -> pa.Array:
         """The ids of each text as bytes, the end id behind them."""
         if not self.by_piece:
             return pa.array([np.append(ids, np.array(self.end_id, self.kind)).tobytes()
                              for ids in self.whole([t.encode() for t in texts.to_pylist()])], pa.binary())
-        if len(self.hashes) > self.room:
-            self.forget_rare()
+        if len(self.memo) > self.memo.room:
+            self.store.keep(self.memo.shrink())
         offsets = np.frombuffer(texts.buffers()[1], dtype=np.int32, count=len(texts) + 1, offset=4 * texts.offset).astype(np.int64)
         blob = texts.buffers()[2].slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_pybytes() if offsets[-1] > offsets[0] else b""
         offsets -= offsets[0]

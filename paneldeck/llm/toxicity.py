@@ -48,7 +48,7 @@ def logistic(x):
 class WordMap(dict):
     """Word -> numbers of its model features; at most ``room`` words are kept."""
 
-    def __init__(self, number: dict[str, int], room: int = 1 << 19):
+    def __init__(self, number: dict[str, int], room: int = 1 << 17):
         super().__init__()
         self.number, self.room = number, room
 
