@@ -1350,3 +1350,6 @@ def q_index_slope(spark, d):
     """ST2 + W8: per-subject slope of the daily weight on the 0-based index of
     its valid measurements (NULL below three points)."""
     return finalize(panel.index_slope(B.measures_wide(spark, d), "subject_id", "date", "weight_kg"), {"slope": 4})
+
+
+from paneldeck.plans import extras  # noqa: E402,F401  (registers its queries)
