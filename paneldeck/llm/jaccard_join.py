@@ -11,8 +11,10 @@ touch; one that does not (small or unlucky) also emits its empty partitions, so
 no link is lost.
 
 Candidates are never all pairs of a group.  First members are paired with a
-leader of their group only; verified links give components.  Then only groups
-that still span several components are compared, in blocks of bounded size, each pair through a parity sketch whose distance is at most the true
+leader of their group only; verified links give components, and groups that lie
+in one component are done.  Groups that still span several are compared, each set
+of members once, in blocks of bounded size: a pair in the first signature that
+both are known to hold, through a parity sketch whose distance is at most the true
 one, so that no linked pair is turned away.  What passes is verified on the sets.
 """
 
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneldeck.llm.components import connected_components
@@ -32,7 +34,8 @@ from paneldeck.session import write_stage
 
 BLOCK = 1_000
 STAR_ROUNDS = 2
-SKETCH_BITS = 1_024
+SKETCH_BITS = 512
+FIRST = 16
 
 
 def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -94,13 +97,16 @@ class Bands:
         """Enough that a set leaves more of them non-empty than a partner touches."""
         return int(1.1 * self.most_apart(1 << level, 1 << level)) + 4
 
-    def signatures(self, features: np.ndarray, level: int) -> np.ndarray:
+    def signatures(self, features: np.ndarray, level: int, drawn: tuple | None = None) -> np.ndarray:
+        """Of a set in a band; the lowest bit is that of the band's exponent.
+        ``drawn``: two hashes of the features, where they are at hand."""
+        place, value = drawn or (mixed(features, 1) >> np.uint64(32), mixed(features, 2))
         n = self.partitions(level)
-        at = ((mixed(features, 1) >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-        order = np.argsort(at, kind="stable")
+        at = (place * np.uint64(n)) >> np.uint64(32)
+        order = np.argsort(at.astype(np.uint16) if n <= 1 << 16 else at, kind="stable")
         at = at[order]
         starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        sums = np.add.reduceat(mixed(features, 2)[order], starts)
+        sums = np.add.reduceat(value[order], starts)
         where = at[starts] + np.uint64(level << 40)
         found = mixed(sums ^ mixed(where, 3), 4)
         size = len(features)
@@ -108,15 +114,30 @@ class Bands:
         if len(starts) <= touched:
             empty = np.setdiff1d(np.arange(n, dtype=np.uint64), at[starts]) + np.uint64(level << 40)
             found = np.concatenate([found, mixed(mixed(empty, 3), 5)])
-        return found
+        return found & np.uint64(0xFFFFFFFFFFFFFFFE) | np.uint64(level & 1)
 
-    def sketch(self, features: np.ndarray, level: int) -> bytes:
-        """Parity of how many features fall on each bit: two sketches differ in as many
-        bits as the sets in features, or fewer.  Small sets get more bits each, as
-        chance counts for more there."""
-        bits = max(SKETCH_BITS, 1 << level)
-        at = (mixed(features, 6) >> np.uint64(32)) * np.uint64(bits) >> np.uint64(32)
-        return np.packbits(np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes()
+    def all_signatures(self, features: np.ndarray) -> np.ndarray:
+        """Of a set in all its bands."""
+        drawn = mixed(features, 1) >> np.uint64(32), mixed(features, 2)
+        return np.concatenate([self.signatures(features, level, drawn) for level in self.levels(len(features))])
+
+    def sketches(self, features: np.ndarray) -> list[bytes]:
+        """In each band of a set, the parity of how many features fall on each bit: two
+        sketches differ in as many bits as the sets in features, or fewer.  Small sets
+        get more bits each, as chance counts for more there."""
+        if not len(features):
+            return []
+        place, out = mixed(features, 6) >> np.uint64(32), []
+        for level in self.levels(len(features)):
+            bits = max(SKETCH_BITS, 1 << level)
+            at = place * np.uint64(bits) >> np.uint64(32)
+            out.append(np.packbits(np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1).tobytes())
+        return out
+
+
+def own_level(n: str) -> Column:
+    """Exponent of the smallest band of a set of n features."""
+    return F.when(F.col(n) > 1, F.length(F.bin(F.col(n) - 1))).otherwise(0)
 
 
 def shingle_keys(docs: DataFrame, id_col: str, text_col: str, width: int, bands: Bands) -> DataFrame:
@@ -128,8 +149,8 @@ def shingle_keys(docs: DataFrame, id_col: str, text_col: str, width: int, bands:
             rows = []
             for text in batch["text"]:
                 s = shingle_set(text, hashes, width)
-                drawn = [bands.sketch(s, level) for level in bands.levels(len(s))] if len(s) else []
-                rows.append((len(s), s.sum(dtype=np.uint64), mixed(s, 9).sum(dtype=np.uint64), *drawn, None, None))
+                rows.append((len(s), s.sum(dtype=np.uint64), mixed(s, 9).sum(dtype=np.uint64), *bands.sketches(s),
+                             None, None))
             column = lambda i: [r[i] for r in rows]
             yield pd.DataFrame({"id": batch["id"], "n": column(0), "k1": np.array(column(1), np.uint64).view(np.int64),
                                 "k2": np.array(column(2), np.uint64).view(np.int64), "own": column(3), "next": column(4)})
@@ -149,9 +170,8 @@ def set_signatures(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
                 for doc, text in zip(part["id"], part["text"]):
                     features = shingle_set(text, hashes, width)
                     if len(features):
-                        for level in bands.levels(len(features)):
-                            sigs.append(bands.signatures(features, level))
-                            ids.append(np.full(len(sigs[-1]), doc, dtype=np.int64))
+                        sigs.append(bands.all_signatures(features))
+                        ids.append(np.full(len(sigs[-1]), doc, dtype=np.int64))
                 if ids:
                     yield pd.DataFrame({"id": np.concatenate(ids), "sig": np.concatenate(sigs).view(np.int64)})
 
@@ -200,7 +220,7 @@ def near(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
         return pd.Series([one(*v) for v in zip(na, nb, xa, xb)], dtype=bool)
 
     side = lambda x: sketches.select(*[F.col(c).alias(c + x) for c in ("id", "n", "own", "next")])
-    level = lambda x: F.ceil(F.log2(F.col("n" + x)))
+    level = lambda x: own_level("n" + x)
     joined = (pairs.join(side("a"), F.col("a") == F.col("ida")).join(side("b"), F.col("b") == F.col("idb"))
               .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * bands.percent))
     pick = lambda x, y: F.when(level(x) >= level(y), F.col("own" + x)).otherwise(F.col("next" + x))
@@ -210,39 +230,54 @@ def near(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
 
 def compare_blocks(rows: DataFrame, bands: Bands) -> DataFrame:
     """a, b: pairs of different components within each (sig, i, j) that sizes and
-    sketches don't rule out.  ``rows``: sig, i, j, id, label, block, n, own, next,
-    in groups of bounded size; where i < j the two blocks are compared across."""
+    sketches don't rule out.  ``rows``: sig, i, j, id, label, block, n, sketch, first,
+    in groups of bounded size; where i < j the two blocks are compared across.
+
+    A pair is left to a smaller signature that both rows have among their first
+    ones.  The smallest that both hold never is, so each pair is given, mostly once."""
     def pairs(rows: pd.DataFrame, group: np.ndarray) -> Iterator[pd.DataFrame]:
         """All groups of ``rows`` at once: each row against the one k rows on, for
         every k at which a group still has rows."""
-        ids, labels, n, block = (rows[c].to_numpy() for c in ("id", "label", "n", "block"))
+        sig, ids, labels, n, block = (rows[c].to_numpy() for c in ("sig", "id", "label", "n", "block"))
         across = (rows["i"] != rows["j"]).to_numpy()
-        own = np.array([(x - 1).bit_length() for x in n.tolist()])
-        drawn = {}  # level -> (place of a row in the matrix or -1, sketches)
-        for level in set(own.tolist()):
-            held = [x if o == level else y if o == level - 1 else None
-                    for o, x, y in zip(own.tolist(), rows["own"], rows["next"])]
-            has = np.array([x is not None for x in held])
-            drawn[level] = (np.where(has, np.cumsum(has) - 1, -1), np.frombuffer(
-                b"".join(x for x in held if x is not None), dtype=np.uint64).reshape(has.sum(), -1))
+        width = np.array([len(x) for x in rows["sketch"]])
+        drawn = {}  # width -> (place of a row in the matrix or -1, sketches)
+        for size in set(width.tolist()):
+            has = width == size
+            drawn[size] = (np.where(has, np.cumsum(has) - 1, -1), np.frombuffer(
+                b"".join(x for x, h in zip(rows["sketch"], has) if h), dtype=np.uint64).reshape(has.sum(), -1))
+        heads = np.full((len(ids), FIRST), np.iinfo(np.int64).max)
+        for at, held in enumerate(rows["first"]):
+            heads[at, :len(held)] = held
+
+        def seen(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            """Whether both rows name a signature before this one."""
+            before = np.where(heads[a] < sig[a][:, None], heads[a], np.iinfo(np.int64).max)
+            out = np.zeros(len(a), dtype=bool)
+            for at in range(FIRST):
+                out |= ((before[:, at, None] == heads[b]) & (before[:, at, None] < sig[a][:, None])).any(axis=1)
+            return out
+
         first, k, found, held = np.arange(len(ids)), 0, [], 0
         while len(first):
             k += 1
             first = first[first + k < len(ids)]
             first = first[group[first] == group[first + k]]
             x, y = first, first + k
-            fits = (labels[x] != labels[y]) & ~(across[x] & (block[x] == block[y]))
+            fits = (labels[x] != labels[y]) & ~(across[x] & (block[x] == block[y])) & (width[x] == width[y])
             fits &= np.minimum(n[x], n[y]) * 100 >= np.maximum(n[x], n[y]) * bands.percent
             x, y = x[fits], y[fits]
-            at = np.maximum(own[x], own[y])
-            for level in set(at.tolist()):
-                place, bits = drawn[level]
-                here = np.flatnonzero((at == level) & (place[x] >= 0) & (place[y] >= 0))
+            at = width[x]
+            for size in set(at.tolist()):
+                place, bits = drawn[size]
+                here = np.flatnonzero(at == size)
                 for part in np.array_split(here, 1 + len(here) * bits.shape[1] // 1_000_000):
                     a, b = x[part], y[part]
                     apart = np.bitwise_count(bits[place[a]] ^ bits[place[b]]).sum(axis=1)
                     near = apart <= bands.most_apart(n[a], n[b])
-                    found.append((ids[a[near]], ids[b[near]]))
+                    a, b = a[near], b[near]
+                    new = ~seen(a, b)
+                    found.append((ids[a[new]], ids[b[new]]))
                     held += len(found[-1][0])
             if found and (held > 500_000 or not len(first)):
                 a, b = (np.concatenate(f) for f in zip(*found))
@@ -262,16 +297,21 @@ def compare_blocks(rows: DataFrame, bands: Bands) -> DataFrame:
             yield from pairs(rest, np.zeros(len(rest)))
 
     keys = ["sig", "i", "j"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(scan, "a long, b long").distinct()
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(scan, "a long, b long")
 
 
-def star_pairs(rows: DataFrame) -> DataFrame:
-    """a, b: each member of another component than its group's leader with the
-    leader that it shares the most groups with; one pair for a member at most.
-    ``rows``: sig, id, label, turn; the leader has the highest turn."""
+def with_leaders(rows: DataFrame) -> DataFrame:
+    """sig, id, label, leader (turn, id, label) of the groups that span several
+    components.  ``rows``: sig, id, label, turn; the leader has the highest turn."""
     leaders = rows.groupBy("sig").agg(F.max(F.struct("turn", "id", "label")).alias("leader"),
                                       F.min("label").alias("x"), F.max("label").alias("y"))
-    shared = (rows.join(leaders.where("x <> y").select("sig", "leader"), "sig").where("label <> leader.label")
+    return rows.select("sig", "id", "label").join(leaders.where("x <> y").select("sig", "leader"), "sig")
+
+
+def star_pairs(led: DataFrame) -> DataFrame:
+    """a, b: each member of another component than its group's leader with the
+    leader that it shares the most groups with; one pair for a member at most."""
+    shared = (led.where("label <> leader.label")
               .groupBy("id", F.col("leader.id").alias("leader")).agg(F.count(F.lit(1)).alias("n")))
     best = shared.groupBy("id").agg(F.max(F.struct("n", "leader")).alias("best"))
     return write_stage(best.select(F.least("id", "best.leader").alias("a"), F.greatest("id", "best.leader").alias("b"))
@@ -301,14 +341,35 @@ def shared_signatures(docs: DataFrame, id_col: str, text_col: str, width: int,
     return rows, texts, members, keys.select("id", "n", "own", "next").where("id is not null and n > 0")
 
 
-def dealt_blocks(labelled: DataFrame, groups: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The rows of ``compare_blocks`` from sig, id, label and the groups' sig, blocks."""
+def dealt_blocks(labelled: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The rows of ``compare_blocks`` from sig, id, label: of the groups that span
+    several components one for each set of members, each row with the sketch of the
+    group's band and the first signatures of its document among those groups."""
+    # An id of several rows may have sets in different bands: its groups stay as they are.
+    several = sketches.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(
+        "id", F.lit(True).alias("several"))
+    marked = labelled.join(several, "id", "left")
+    half = lambda salt, bits: F.sum(
+        F.shiftrightunsigned(F.xxhash64("id", F.lit(salt)), bits).bitwiseAND(0xFFFFFFFF))
+    groups = (marked.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("held"), F.min("label").alias("x"), F.max("label").alias("y"),
+        half(0, 0).alias("p"), half(0, 32).alias("q"), half(1, 0).alias("r"), half(1, 32).alias("s"),
+        F.max("several").alias("several"))
+        .where("x <> y").withColumn("alone", F.when(F.col("several"), F.col("sig")))
+        .groupBy("held", "p", "q", "r", "s", "alone").agg(F.min("sig").alias("sig"))
+        .select("sig", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks")))
+    opened = write_stage(marked.join(groups, "sig"), "jaccard-open")
+    first = (opened.where("several is null").groupBy("id")
+             .agg(F.slice(F.array_sort(F.collect_list("sig")), 1, FIRST).alias("first")))
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = (labelled.join(groups, "sig").withColumn("block", block)
+    dealt = (opened.withColumn("block", block)
              .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
              .select("sig", "id", "label", "block", F.least("block", "other").alias("i"),
                      F.greatest("block", "other").alias("j")))
-    return dealt.join(sketches, "id")
+    sketch = F.when(F.col("sig").bitwiseAND(1) == own_level("n").bitwiseAND(1), F.col("own")).otherwise(F.col("next"))
+    held = F.coalesce("first", F.array().cast("array<long>"))
+    return (dealt.join(sketches, "id").withColumn("sketch", sketch).where("sketch is not null").drop("own", "next")
+            .join(first, "id", "left").withColumn("first", held))
 
 
 def jaccard_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -318,9 +379,8 @@ def jaccard_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     components alone ``jaccard_links`` compares far fewer."""
     bands = Bands(percent)
     rows, texts, members, sketches = shared_signatures(docs, id_col, text_col, width, bands)
-    groups = members.groupBy("sig").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = dealt_blocks(members.withColumn("label", F.col("id")), groups, sketches)
-    near_pairs = write_stage(compare_blocks(dealt, bands), "jaccard-all-near")
+    dealt = dealt_blocks(members.withColumn("label", F.col("id")), sketches)
+    near_pairs = write_stage(compare_blocks(dealt, bands).distinct(), "jaccard-all-near")
     return rows, write_stage(verified(near_pairs, texts, width, bands).distinct(), "jaccard-all-pairs")
 
 
@@ -335,27 +395,25 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Stars first.  The leaders of the first round are the members that share the
     # most signatures, which near copies of one text have its least changed copy
     # for; later rounds draw them anew for what is still apart.
-    central = write_stage(members.groupBy("id").agg(F.count(F.lit(1)).alias("weight")), "jaccard-weights")
+    central = write_stage(members.groupBy("id").agg(F.count(F.lit(1)).alias("turn")), "jaccard-weights")
     links = None
-    labelled = members.join(central, "id").select("sig", "id", F.col("id").alias("label"), "weight")
+    labelled = write_stage(members.join(central, "id").select("sig", "id", F.col("id").alias("label"), "turn"),
+                           "jaccard-labelled")
     for turn in range(STAR_ROUNDS):
-        labelled = write_stage(labelled.drop("turn").withColumn(
-            "turn", F.col("weight") if turn == 0 else F.xxhash64("id", F.lit(turn))), "jaccard-labelled")
-        found = verified(near(star_pairs(labelled), sketches, bands), texts, width, bands)
+        led = with_leaders(labelled)
+        if turn:  # at first all groups are open
+            led = labelled = write_stage(led, "jaccard-led")
+        found = verified(near(star_pairs(led), sketches, bands), texts, width, bands)
         links = write_stage(found if links is None else links.unionByName(found), "jaccard-star-links")
         labels = write_stage(connected_components(links), "jaccard-labels")
-        labelled = (labelled.drop("label").join(labels.withColumnRenamed("v", "id"), "id", "left")
-                    .withColumn("label", F.coalesce("label", "id")))
+        labelled = write_stage(labelled.select("sig", "id").join(labels.withColumnRenamed("v", "id"), "id", "left")
+                               .select("sig", "id", F.coalesce("label", "id").alias("label"),
+                                       F.xxhash64("id", F.lit(turn + 1)).alias("turn")), "jaccard-labelled")
 
     # what the stars have left open: groups that span several components
-    labelled = write_stage(labelled.select("sig", "id", "label"), "jaccard-labelled")
-    open_groups = write_stage(labelled.groupBy("sig").agg(
-        F.min("label").alias("x"), F.max("label").alias("y"),
-        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("x <> y").select("sig", "blocks"),
-        "jaccard-open")
-    more = write_stage(compare_blocks(dealt_blocks(labelled, open_groups, sketches), bands), "jaccard-open-pairs")
-    open_links = verified(more, texts, width, bands)
-    return rows, write_stage(links.unionByName(open_links), "jaccard-links")
+    dealt = dealt_blocks(labelled.select("sig", "id", "label"), sketches)
+    more = write_stage(compare_blocks(dealt, bands).distinct(), "jaccard-open-pairs")
+    return rows, write_stage(links.unionByName(verified(more, texts, width, bands)), "jaccard-links")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,

@@ -325,6 +325,40 @@ def test_jaccard_pairs_hold_every_link(spark):
     assert {r.id: r.rep for r in rows.collect()} == {i: first[s] for i, s in sets.items()}
 
 
+def test_open_groups_give_a_pair_mostly_once(spark):
+    """Many texts around one passage: each near pair is given about once, not in
+    every group that its texts share, and an id with several texts links by each."""
+    from pyspark.sql import functions as F
+    from paneldeck.llm import jaccard_join as j
+    random.seed(10)
+    passage, rows = [f"p{i}" for i in range(150)], []
+    for k in range(60):
+        own = list(passage)
+        for _ in range(random.randint(0, 3)):
+            own[random.randrange(150)] = f"c{random.randrange(10**6)}"
+        rows.append((k, " ".join(own)))
+    rows += [(100, " ".join(passage)), (100, " ".join(f"q{i}" for i in range(600))),
+             (101, " ".join(f"q{i}" for i in range(1, 601))), (101, "q1 q2")]
+    docs, bands = spark.createDataFrame(rows, "doc_id long, text string"), Bands(75)
+    _, _, members, sketches = j.shared_signatures(docs, "doc_id", "text", 5, bands)
+    dealt = j.dealt_blocks(members.withColumn("label", F.col("id")), sketches).cache()
+    made = [tuple(r) for r in j.compare_blocks(dealt, bands).collect()]
+    assert (100, 101) in made and len(set(made)) > 500
+    assert len(made) < 1.1 * len(set(made)) and dealt.count() > 5 * len(rows)
+    _, found = jaccard_pairs(docs)
+    sets = {}
+    for i, text in rows:
+        w = text.split()
+        sets.setdefault(i, []).append(frozenset(tuple(w[x:x + 5]) for x in range(max(1, len(w) - 4))))
+    linked = lambda a, b: any(100 * len(x & y) >= 75 * len(x | y) for x in sets[a] for y in sets[b])
+    rep = {}
+    for i in sorted(sets):
+        for x in sets[i]:
+            rep.setdefault(x, i)
+    reps = sorted({i for i in sets if any(rep[x] == i for x in sets[i])})
+    assert {tuple(r) for r in found.collect()} == {(a, b) for a in reps for b in reps if a < b and linked(a, b)}
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(1, 300), st.integers(0, 10**6))
 def test_linked_sets_share_a_signature(size, seed):
