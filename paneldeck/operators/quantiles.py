@@ -54,22 +54,26 @@ def exact_quantiles_by(df: DataFrame, by: list[str], value: str, probs: list[flo
     vc = grouped_below(vc, by, "_q", buckets=buckets)
     n = vc.groupBy(*by).agg(F.sum("cnt").alias("n"))
     vc = vc.join(n, by)
-    outs = []
-    for q in probs:
-        pos = F.lit(q) * (F.col("n") - 1)
+
+    def holds(i):
+        return (F.col("below") <= i) & (i < F.col("below") + F.col("cnt"))
+
+    def order_statistics(prob):
+        """Wanted position and the two ranks around it."""
+        pos = prob * (F.col("n") - 1)
         lo = F.floor(pos)
-        hi = F.least(lo + 1, F.col("n") - 1)
+        return pos, lo, F.least(lo + 1, F.col("n") - 1)
 
-        def holds(i):
-            return (F.col("below") <= i) & (i < F.col("below") + F.col("cnt"))
-        hit = vc.filter(holds(lo) | holds(hi))  # at most two rows per group and probability
-        g = hit.groupBy(*by).agg(
-            F.max(F.when(holds(lo), F.col("_q"))).alias("__q_lo"),
-            F.max(F.when(holds(hi), F.col("_q"))).alias("__q_hi"),
-            F.max(pos - lo).alias("__q_frac"))
-        outs.append(g.select(*by, F.lit(q).alias("prob"),
-                             (F.col("__q_lo") + F.col("__q_frac") * (F.col("__q_hi") - F.col("__q_lo"))).alias("quantile")))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out
+    # The ranked rows are read once: each names the probabilities it bears on, at
+    # most two rows per group and probability do.
+    wanted = []
+    for q in probs:
+        _, lo, hi = order_statistics(F.lit(float(q)))
+        wanted.append(F.when(holds(lo) | holds(hi), F.lit(float(q))))
+    hit = vc.select(*by, "_q", "cnt", "below", "n", F.explode(F.array_compact(F.array(*wanted))).alias("prob"))
+    pos, lo, hi = order_statistics(F.col("prob"))
+    return hit.groupBy(*by, "prob").agg(
+        F.max(F.when(holds(lo), F.col("_q"))).alias("__q_lo"),
+        F.max(F.when(holds(hi), F.col("_q"))).alias("__q_hi"),
+        F.max(pos - lo).alias("__q_frac")).select(
+        *by, "prob", (F.col("__q_lo") + F.col("__q_frac") * (F.col("__q_hi") - F.col("__q_lo"))).alias("quantile"))

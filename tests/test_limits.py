@@ -182,3 +182,20 @@ def test_study_contracts_hold_their_columns_and_types(spark):
     for table, df in _study_tables(spark, TABLE).items():
         meta = [r for r in STUDY_SUITES[table] if r.kind in quality.META_KINDS]
         assert len(meta) >= 6 and all(row[-1] for row in quality.check_metadata(df, table, meta))
+
+
+def test_quantiles_read_the_ranked_rows_once(spark, tmp_path):
+    import numpy as np
+    from paneldeck.operators.quantiles import exact_quantiles_by
+    path = str(tmp_path / "values")
+    values = [(i % 3, float(i * 7919 % 1013)) for i in range(3_000)] + [(5, 2.0), (6, None)]
+    spark.createDataFrame(values, "g long, v double").write.parquet(path)
+    probs = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+    made = lambda ps: exact_quantiles_by(spark.read.parquet(path), ["g"], "v", ps)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    one, all_ = plan(made([0.5])), plan(made(probs))
+    for node in ("FileScan", "Exchange"):
+        assert one.count(node) == all_.count(node)
+    got = {(r.g, r.prob): r.quantile for r in made(probs).collect()}
+    want = {(g, q): np.quantile([v for h, v in values if h == g], q) for g in (0, 1, 2, 5) for q in probs}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
