@@ -246,16 +246,18 @@ def compare_blocks(rows: DataFrame, bands: Bands) -> DataFrame:
             has = width == size
             drawn[size] = (np.where(has, np.cumsum(has) - 1, -1), np.frombuffer(
                 b"".join(x for x, h in zip(rows["sketch"], has) if h), dtype=np.uint64).reshape(has.sum(), -1))
-        heads = np.full((len(ids), FIRST), np.iinfo(np.int64).max)
-        for at, held in enumerate(rows["first"]):
-            heads[at, :len(held)] = held
+        heads = rows["first"].to_numpy()
 
         def seen(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             """Whether both rows name a signature before this one."""
-            before = np.where(heads[a] < sig[a][:, None], heads[a], np.iinfo(np.int64).max)
+            used, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+            named = np.full((len(used), FIRST), np.iinfo(np.int64).max)
+            for place, row in enumerate(used):
+                named[place, :len(heads[row])] = heads[row]
+            x, y, here = named[at[:len(a)]], named[at[len(a):]], sig[a][:, None]
             out = np.zeros(len(a), dtype=bool)
-            for at in range(FIRST):
-                out |= ((before[:, at, None] == heads[b]) & (before[:, at, None] < sig[a][:, None])).any(axis=1)
+            for i in range(FIRST):
+                out |= ((x[:, i, None] == y) & (x[:, i, None] < here)).any(axis=1)
             return out
 
         first, k, found, held = np.arange(len(ids)), 0, [], 0
@@ -276,6 +278,8 @@ def compare_blocks(rows: DataFrame, bands: Bands) -> DataFrame:
                     apart = np.bitwise_count(bits[place[a]] ^ bits[place[b]]).sum(axis=1)
                     near = apart <= bands.most_apart(n[a], n[b])
                     a, b = a[near], b[near]
+                    if not len(a):
+                        continue
                     new = ~seen(a, b)
                     found.append((ids[a[new]], ids[b[new]]))
                     held += len(found[-1][0])
@@ -300,19 +304,19 @@ def compare_blocks(rows: DataFrame, bands: Bands) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(scan, "a long, b long")
 
 
-def with_leaders(rows: DataFrame) -> DataFrame:
-    """sig, id, label, leader (turn, id, label) of the groups that span several
-    components.  ``rows``: sig, id, label, turn; the leader has the highest turn."""
-    leaders = rows.groupBy("sig").agg(F.max(F.struct("turn", "id", "label")).alias("leader"),
-                                      F.min("label").alias("x"), F.max("label").alias("y"))
-    return rows.select("sig", "id", "label").join(leaders.where("x <> y").select("sig", "leader"), "sig")
+def with_leaders(rows: DataFrame, turn: Column) -> DataFrame:
+    """sig, id, label, leader, leads of the groups that span several components:
+    the member with the highest ``turn`` and its label.  ``rows``: sig, id, label."""
+    leaders = rows.withColumn("turn", turn).groupBy("sig").agg(
+        F.max(F.struct("turn", "id", "label")).alias("top"), F.min("label").alias("x"), F.max("label").alias("y"))
+    return rows.select("sig", "id", "label").join(
+        leaders.where("x <> y").select("sig", F.col("top.id").alias("leader"), F.col("top.label").alias("leads")), "sig")
 
 
 def star_pairs(led: DataFrame) -> DataFrame:
     """a, b: each member of another component than its group's leader with the
     leader that it shares the most groups with; one pair for a member at most."""
-    shared = (led.where("label <> leader.label")
-              .groupBy("id", F.col("leader.id").alias("leader")).agg(F.count(F.lit(1)).alias("n")))
+    shared = led.where("label <> leads").groupBy("id", "leader").agg(F.count(F.lit(1)).alias("n"))
     best = shared.groupBy("id").agg(F.max(F.struct("n", "leader")).alias("best"))
     return write_stage(best.select(F.least("id", "best.leader").alias("a"), F.greatest("id", "best.leader").alias("b"))
                        .distinct(), "jaccard-stars")
@@ -397,21 +401,20 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # for; later rounds draw them anew for what is still apart.
     central = write_stage(members.groupBy("id").agg(F.count(F.lit(1)).alias("turn")), "jaccard-weights")
     links = None
-    labelled = write_stage(members.join(central, "id").select("sig", "id", F.col("id").alias("label"), "turn"),
-                           "jaccard-labelled")
+    labelled = write_stage(members.join(central, "id").select("sig", "id", "turn"),
+                           "jaccard-weighted").withColumn("label", F.col("id"))
     for turn in range(STAR_ROUNDS):
-        led = with_leaders(labelled)
+        led = with_leaders(labelled, F.xxhash64("id", F.lit(turn)) if turn else F.col("turn"))
         if turn:  # at first all groups are open
             led = labelled = write_stage(led, "jaccard-led")
         found = verified(near(star_pairs(led), sketches, bands), texts, width, bands)
         links = write_stage(found if links is None else links.unionByName(found), "jaccard-star-links")
         labels = write_stage(connected_components(links), "jaccard-labels")
         labelled = write_stage(labelled.select("sig", "id").join(labels.withColumnRenamed("v", "id"), "id", "left")
-                               .select("sig", "id", F.coalesce("label", "id").alias("label"),
-                                       F.xxhash64("id", F.lit(turn + 1)).alias("turn")), "jaccard-labelled")
+                               .select("sig", "id", F.coalesce("label", "id").alias("label")), "jaccard-labelled")
 
     # what the stars have left open: groups that span several components
-    dealt = dealt_blocks(labelled.select("sig", "id", "label"), sketches)
+    dealt = dealt_blocks(labelled, sketches)
     more = write_stage(compare_blocks(dealt, bands).distinct(), "jaccard-open-pairs")
     return rows, write_stage(links.unionByName(verified(more, texts, width, bands)), "jaccard-links")
 
