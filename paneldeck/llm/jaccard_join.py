@@ -5,10 +5,10 @@ size band that ends at the next power of two R, and to the next band as well if
 partner could lie there.  Two sets of a band with J >= threshold differ in at
 most (1 - t) / (1 + t) * (a + b) features.  In each band the feature domain is
 hashed into more partitions than that, so at least one partition is left
-untouched: both sets hold the same features in it and share its signature.  Each
-set checks for itself that it has more non-empty partitions than a partner can
-touch; one that does not (small or unlucky) also emits its empty partitions, so
-no link is lost.
+untouched: both sets hold the same features in it and share its signature.  A set
+emits its non-empty partitions in one common order, one more than a partner can
+touch; a set with fewer (small or unlucky) also emits its empty partitions, so no
+link is lost.
 
 Candidates are never all pairs of a group.  First members are paired with a
 leader of their group only; verified links give components, and groups that lie
@@ -24,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,32 +49,54 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
 MULTIPLIERS = mixed(np.arange(64, dtype=np.uint64), 11) | np.uint64(1)
 
 
-class WordHashes(dict):
-    """Word -> 64-bit hash; at most ``room`` words are kept."""
-
-    room = 1 << 17
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.room:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= 64:
-            self[word] = value
-        return value
-
-
-def shingle_set(text: str, hashes: WordHashes, width: int = 5) -> np.ndarray:
+# A random value for each byte at each of 64 places in a word, and the bytes that words have.
+BYTES = mixed(np.arange(64 * 256, dtype=np.uint64), 12)
+IN_WORD = np.ones(256, dtype=bool)
+IN_WORD[[9, 10, 11, 12, 13, 32]] = False
+STRETCH = 1 << 18
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hash of each word: the sum of its bytes' values by place.  Long texts are
+    read in stretches; a word that goes on in the next one is summed over both."""
+    out, held = [], 0  # held: bytes of a word that is still open
+    for start in range(0, len(data), STRETCH):
+        part = np.frombuffer(data, np.uint8, min(STRETCH, len(data) - start), start)
+        at = np.flatnonzero(IN_WORD[part])
+        if not len(at):
+            held = 0
+            continue
+        heads = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1] + 1]))
+        lengths = np.diff(heads, append=len(at))
+        place = np.arange(len(at)) - np.repeat(heads, lengths)
+        before = held if at[0] == 0 else 0
+        place[:lengths[0]] += before
+        values = BYTES[(place & 63) << 8 | part[at]]
+        far = np.flatnonzero(place > 63)
+        if len(far):
+            values[far] *= mixed((place[far] >> 6).astype(np.uint64), 13) | np.uint64(1)
+        sums = np.add.reduceat(values, heads)
+        held = 0 if at[-1] < len(part) - 1 else int(lengths[-1]) + (before if len(heads) == 1 else 0)
+        if before:
+            out[-1][-1:] += sums[:1]
+            sums = sums[1:]
+        if len(sums):
+            out.append(sums)
+    return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
+
+
+def shingle_set(text: str, width: int = 5) -> np.ndarray:
     """Sorted distinct hashes of the word shingles; a shorter text is one shingle."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()  # ASCII case and white space only
-    n = len(words)
+    w = word_hashes(text.encode("utf-8", "surrogatepass").lower())  # lower() of bytes: ASCII only
+    n = len(w)
     if n == 0:
-        return np.empty(0, dtype=np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=n)
+        return w
     span = min(n, width)
     made = np.full(n - span + 1, span, dtype=np.uint64)
     for i in range(span):
         made += w[i:n - span + 1 + i] * MULTIPLIERS[i]
-    return np.unique(mixed(made))
+    made = np.sort(mixed(made))
+    return made[np.concatenate([[True], made[1:] != made[:-1]])]
 
 
 class Bands:
@@ -99,18 +120,24 @@ class Bands:
 
     def signatures(self, features: np.ndarray, level: int, drawn: tuple | None = None) -> np.ndarray:
         """Of a set in a band; the lowest bit is that of the band's exponent.
-        ``drawn``: two hashes of the features, where they are at hand."""
+        ``drawn``: two hashes of the features, where they are at hand.
+
+        A partner touches ``touched`` partitions at most.  Of the non-empty ones that two
+        linked sets share, each set has fewer than that many and one before the first in
+        the common order, so the first ``touched`` + 1 of each set suffice."""
         place, value = drawn or (mixed(features, 1) >> np.uint64(32), mixed(features, 2))
         n = self.partitions(level)
         at = (place * np.uint64(n)) >> np.uint64(32)
         order = np.argsort(at.astype(np.uint16) if n <= 1 << 16 else at, kind="stable")
         at = at[order]
         starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        sums = np.add.reduceat(value[order], starts)
-        where = at[starts] + np.uint64(level << 40)
-        found = mixed(sums ^ mixed(where, 3), 4)
         size = len(features)
         touched = self.most_apart(size, min(1 << level, 100 * size // self.percent))
+        first = starts[:touched + 1]
+        end = starts[touched + 1] if len(starts) > touched + 1 else size
+        sums = np.add.reduceat(value[order[:end]], first)
+        where = at[first] + np.uint64(level << 40)
+        found = mixed(sums ^ mixed(where, 3), 4)
         if len(starts) <= touched:
             empty = np.setdiff1d(np.arange(n, dtype=np.uint64), at[starts]) + np.uint64(level << 40)
             found = np.concatenate([found, mixed(mixed(empty, 3), 5)])
@@ -144,11 +171,10 @@ def shingle_keys(docs: DataFrame, id_col: str, text_col: str, width: int, bands:
     """id, n, k1, k2, own, next: size and 128-bit key of each document's set, and
     its sketches in its bands."""
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                s = shingle_set(text, hashes, width)
+                s = shingle_set(text, width)
                 rows.append((len(s), s.sum(dtype=np.uint64), mixed(s, 9).sum(dtype=np.uint64), *bands.sketches(s),
                              None, None))
             column = lambda i: [r[i] for r in rows]
@@ -162,13 +188,12 @@ def shingle_keys(docs: DataFrame, id_col: str, text_col: str, width: int, bands:
 def set_signatures(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
     """id, sig: a row for each signature of each document's set."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in batches:
             for start in range(0, len(batch), 64):
                 part = batch.iloc[start:start + 64]
                 ids, sigs = [], []
                 for doc, text in zip(part["id"], part["text"]):
-                    features = shingle_set(text, hashes, width)
+                    features = shingle_set(text, width)
                     if len(features):
                         sigs.append(bands.all_signatures(features))
                         ids.append(np.full(len(sigs[-1]), doc, dtype=np.int64))
@@ -181,12 +206,11 @@ def set_signatures(docs: DataFrame, width: int, bands: Bands) -> DataFrame:
 def set_features(docs: DataFrame, width: int) -> DataFrame:
     """id, features: the sets themselves."""
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in batches:
             for start in range(0, len(batch), 64):
                 part = batch.iloc[start:start + 64]
                 yield pd.DataFrame({"id": part["id"].to_numpy(), "features": [
-                    shingle_set(t, hashes, width).view(np.int64) for t in part["text"]]})
+                    shingle_set(t, width).view(np.int64) for t in part["text"]]})
 
     return docs.mapInPandas(rows, "id long, features array<long>")
 

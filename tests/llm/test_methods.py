@@ -359,6 +359,32 @@ def test_open_groups_give_a_pair_mostly_once(spark):
     assert {tuple(r) for r in found.collect()} == {(a, b) for a in reps for b in reps if a < b and linked(a, b)}
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "ba", "\u0000", "\u00a0x", "y" * 63, "y" * 64, "y" * 130, "z" * 300]), max_size=12),
+       st.sampled_from([" ", "\n", "\t  ", "\x0b\r"]), st.integers(1, 70))
+def test_word_hashes_tell_words_apart_in_any_stretches(words, gap, stretch):
+    from paneldeck.llm import jaccard_join as j
+    data = (gap + gap.join(words)).encode()
+    whole, held = j.word_hashes(data).tolist(), j.STRETCH
+    try:
+        j.STRETCH = stretch
+        assert j.word_hashes(data).tolist() == whole
+    finally:
+        j.STRETCH = held
+    assert len(whole) == len(words) and len(set(whole)) == len(set(words)) == len(set(zip(words, whole)))
+
+
+def test_a_set_gives_no_more_signatures_than_a_partner_can_touch():
+    import numpy as np
+    bands, rng = Bands(75), random.Random(3)
+    for size in (40, 64, 65, 100, 128, 500, 1000):
+        features = np.sort(np.array([rng.getrandbits(64) for _ in range(size)], dtype=np.uint64))
+        for level in bands.levels(size):
+            partner = min(1 << level, 100 * size // 75)
+            most = max(bands.most_apart(size, partner) + 1, bands.partitions(level) if size < 100 else 0)
+            assert len(bands.signatures(features, level)) <= most
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(1, 300), st.integers(0, 10**6))
 def test_linked_sets_share_a_signature(size, seed):
