@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from paneldeck.operators import diff, margins, temporal
+from paneldeck.operators import diff, margins, semistructured, temporal
 from paneldeck.operators.incremental import TrajectoryStore
 from paneldeck.plans import bindings as B
 from paneldeck.plans import oracle as O
@@ -252,3 +252,45 @@ def q_delivery_except(spark, d):
     named = lambda df, side: df.select(F.lit(side).alias("side"), "*")
     return (named(diff.except_all(v1, v2), "gone").unionByName(named(diff.except_all(v2, v1), "new"))
             .unionByName(named(diff.intersect_all(v1, v2), "kept")))
+
+
+# A nested JSON text for each event: some cut off, some missing, some of another shape.
+MESSY_JSON = """CASE event_id % 40 WHEN 0 THEN '{"props": ' || CAST(user_id AS STRING) WHEN 1 THEN NULL
+  WHEN 2 THEN '{"who": {"id": "n' || CAST(user_id AS STRING) || '"}, "props": null}'
+  ELSE '{"who": {"id": ' || CAST(user_id AS STRING) || ', "tags": ["' || event_type || '", ' || CAST(event_id % 3 AS STRING)
+    || ', ' || CAST(CAST(event_id % 7 AS DECIMAL(6, 2)) AS STRING) || ']}, "props": ' || props || '}' END"""
+MESSY_CTE = f"""raws AS (SELECT event_id, {MESSY_JSON} AS raw FROM events),
+docs AS (SELECT event_id, raw, CASE WHEN json_valid(raw) THEN CAST(raw AS JSON) END AS doc FROM raws)"""
+
+
+def _messy(spark, d):
+    return B.read_table(spark, d, "events").select("event_id", F.expr(MESSY_JSON).alias("raw"))
+
+
+@register("q_json_paths", f"""WITH {MESSY_CTE}, found AS (
+  SELECT '$' AS path, CASE WHEN raw IS NULL THEN 'missing' WHEN doc IS NULL THEN 'bad' ELSE json_type(doc) END AS t FROM docs
+  UNION ALL SELECT '$.who', json_type(doc, '$.who') FROM docs
+  UNION ALL SELECT '$.who.id', json_type(doc, '$.who.id') FROM docs
+  UNION ALL SELECT '$.who.tags', json_type(doc, '$.who.tags') FROM docs
+  UNION ALL SELECT '$.who.tags[*]', json_type(tag) FROM (SELECT unnest(json_extract(doc, '$.who.tags[*]')) AS tag FROM docs)
+  UNION ALL SELECT '$.props', json_type(doc, '$.props') FROM docs
+  UNION ALL SELECT '$.props.k', json_type(doc, '$.props.k') FROM docs)
+SELECT path, CASE t WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' WHEN 'DOUBLE' THEN 'number'
+  WHEN 'VARCHAR' THEN 'string' ELSE lower(t) END AS kind, count(*) AS n
+FROM found WHERE t IS NOT NULL GROUP BY 1, 2""")
+def q_json_paths(spark, d):
+    """Paths and kinds found in a JSON column, texts that do not parse counted."""
+    return semistructured.path_table(_messy(spark, d), "raw")
+
+
+@register("q_json_shred", f"""WITH {MESSY_CTE}
+SELECT event_id, TRY_CAST(doc ->> '$.who.id' AS BIGINT) AS who, doc ->> '$.who.tags[0]' AS tag,
+  CAST(doc ->> '$.who.tags[2]' AS DOUBLE) AS weekday, CAST(doc ->> '$.props.k' AS BIGINT) AS k,
+  CASE WHEN raw IS NULL THEN 'missing' WHEN doc IS NULL THEN 'bad' ELSE 'ok' END AS json_state,
+  CASE WHEN event_id % 40 = 2 THEN 1 ELSE 0 END AS misfits
+FROM docs""")
+def q_json_shred(spark, d):
+    """A JSON column as typed columns, with its state and misfits row by row."""
+    return semistructured.shred(_messy(spark, d), "raw", {
+        "who": ("$.who.id", "bigint"), "tag": ("$.who.tags[0]", "string"), "weekday": ("$.who.tags[2]", "double"),
+        "k": ("$.props.k", "bigint")}).drop("raw")

@@ -2,12 +2,15 @@
 store, margins, sketches and delivery differences against brute force."""
 
 import datetime as dt
+import json
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from paneldeck.operators import diff, margins, temporal
+from paneldeck.operators import diff, margins, semistructured, temporal
 from paneldeck.operators.incremental import TrajectoryStore
 from paneldeck.operators.panel import weight_trajectories_wide
 from paneldeck.session import stage_path
@@ -217,3 +220,52 @@ def test_delivery_differences_count_repeats(spark):
     assert out == {1: (2, 1, "repeated"), 2: (1, 1, "changed"), 3: (1, 1, "same"), 4: (1, 0, "removed"), 5: (0, 1, "added"),
                    None: (1, 1, "same"), 6: (2, 2, "same")}
     assert diff.change_classes(old.limit(0), new.limit(0), ["k"]).count() == 0
+
+
+def test_path_table_equals_a_walk_of_the_parsed_texts(spark):
+    rng = random.Random(5)
+
+    def made(depth):
+        pick = rng.randrange(9 if depth else 7)
+        if pick == 7:
+            return {rng.choice(["a", "b", "a b", "x.y"]): made(depth - 1) for _ in range(rng.randrange(4))}
+        if pick == 8:
+            return [made(depth - 1) for _ in range(rng.randrange(4))]
+        return [None, True, rng.randrange(10**12), -3, 2.5, "", "text"][pick]
+
+    texts = [json.dumps({"a": made(3), "c": made(2)}) for _ in range(200)]
+    texts += [None, None, "", "{", '{"a": 1, "a": 2}', "[]", "7", "null"] + ['{"a": {"b": 1}}'] * 300  # a hot text
+    want = Counter()
+
+    def walk(path, value):
+        kinds = {type(None): "null", bool: "boolean", int: "integer", float: "number", str: "string", dict: "object", list: "array"}
+        want[path, kinds[type(value)]] += 1
+        if isinstance(value, dict):
+            for key, inner in value.items():
+                walk(path + ("." + key if re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", key) else f"['{key}']"), inner)
+        elif isinstance(value, list):
+            for inner in value:
+                walk(path + "[*]", inner)
+
+    for text in texts:
+        if text is None:
+            want["$", "missing"] += 1
+        elif text in ("", "{", '{"a": 1, "a": 2}'):
+            want["$", "bad"] += 1
+        else:
+            walk("$", json.loads(text))
+    rows = spark.createDataFrame([(t, "x") for t in texts], "raw string, value string")
+    assert {(r.path, r.kind): r.n for r in semistructured.path_table(rows, "raw").collect()} == dict(want)
+    assert semistructured.path_table(rows.limit(0), "raw").count() == 0
+
+
+def test_shred_keeps_every_row_and_counts_what_does_not_fit(spark):
+    rows = spark.createDataFrame([(1, '{"a": {"n": 5}, "s": "x"}'), (2, '{"a": {"n": "no"}, "s": null}'), (3, None),
+                                  (4, "{"), (5, '{"a": 1}'), (5, '{"a": 1}'), (6, "")], "id long, raw string")
+    out = semistructured.shred(rows, "raw", {"n": ("$.a.n", "bigint"), "s": ("$.s", "string")})
+    assert sorted((r.id, r.n, r.s, r.json_state, r.misfits) for r in out.collect()) == [
+        (1, 5, "x", "ok", 0), (2, None, None, "ok", 1), (3, None, None, "missing", 0), (4, None, None, "bad", 0),
+        (5, None, None, "ok", 0), (5, None, None, "ok", 0), (6, None, None, "bad", 0)]
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError):
+        semistructured.shred(rows, "raw", {"ID": ("$.a", "string")})
