@@ -82,14 +82,23 @@ def parse_mixed_date(c) -> Column:
     number = s.try_cast("double")
     serial = F.when(F.abs(number) < SERIAL_DATE_LIMIT, number)  # neither NaN nor infinite
     as_serial = F.date_add(F.lit(SERIAL_DATE_EPOCH).cast("date"), F.floor(serial).cast("int"))
-    as_text = F.coalesce(*[F.try_to_timestamp(s, F.lit(p)) for p in DATE_PATTERNS]).cast("date")
-    return F.when(serial.isNotNull(), as_serial).otherwise(as_text)
+    return F.when(serial.isNotNull(), as_serial).otherwise(parse_text_date(s))
+
+
+def parse_text_date(c) -> Column:
+    """A date written as text in one of ``DATE_PATTERNS``, else NULL."""
+    s = F.trim(_c(c).cast("string"))
+    return F.coalesce(*[F.try_to_timestamp(s, F.lit(p)) for p in DATE_PATTERNS]).cast("date")
+
+
+def says_something(c) -> Column:
+    """A text that is there and is none of the words for a missing value."""
+    return F.coalesce(~F.lower(F.trim(_c(c).cast("string"))).isin(MISSING_TOKENS), F.lit(False))
 
 
 def date_rejected(c) -> Column:
     """A cell that says something, but no date that ``parse_mixed_date`` knows."""
-    s = F.trim(_c(c).cast("string"))
-    return F.coalesce(~F.lower(s).isin(MISSING_TOKENS), F.lit(False)) & parse_mixed_date(c).isNull()
+    return says_something(c) & parse_mixed_date(c).isNull()
 
 
 def resolve_fiber(insoluble, soluble, generic, generic_raw=None) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneldeck.functions.dictionaries import PART_KEYWORDS
-from paneldeck.operators import keywords, panel
+from paneldeck.operators import assemble, keywords, panel
 from paneldeck.plans import bindings as B
 from paneldeck.plans import oracle as O
 from paneldeck.plans import panels as P
@@ -1070,6 +1070,34 @@ def q_sink_roundtrip(spark, d):
     return finalize(back, DAILY_SCALES)
 
 
+@register("q_food_rows_load", f"""WITH {O.FOOD_ROWS},
+loaded AS (SELECT *, line_no % 4 = 3 AND order_key % 10 = 0 AS off FROM fr)
+SELECT CAST(subject_id AS VARCHAR) AS subject_id, CASE WHEN NOT off THEN date END AS date, count(*) AS n_rows,
+  count(food) AS n_foods, {O.r('sum(fiber_g)', 2)} AS fiber_g, {O.r('sum(calories_kcal)', 2)} AS calories_kcal,
+  CAST(sum(CASE WHEN off THEN 1 ELSE 0 END) AS BIGINT) AS n_rejected
+FROM loaded GROUP BY 1, 2""")
+def q_food_rows_load(spark, d):
+    """All food rows as CSV, their dates written in four ways and some
+    that are none, loaded through the typed scan and added up by subject and day;
+    rejected dates are counted; the optional side table is absent, so the left join
+    leaves the days as they are."""
+    rows, path = B.food_rows(spark, d), _scratch(spark, "food_rows")
+    day, way = F.col("date"), F.col("line_no") % 4
+    text = (F.when(way == 1, F.date_format(day, "M/d/yyyy")).when(way == 2, F.date_format(day, "MMM d, yyyy"))
+            .when((way == 3) & (F.col("order_key") % 10 == 0), F.lit("some day in spring"))
+            .when(way == 3, F.date_format(day, "yyyy-MM-dd HH:mm:ss")).otherwise(F.date_format(day, "yyyy-MM-dd")))
+    names = SC.NUTRITION_ROWS_LONG.fieldNames()
+    written = rows.withColumn("date", text)
+    FS.save_table(written.select(*[(F.col(c) if c in written.columns else F.lit(None).cast("string")).alias(c) for c in names]),
+                  csv_path=path + "/rows")
+    back = FS.read_typed_csv(spark, path + "/rows", SC.NUTRITION_ROWS_LONG, date_cols=("date",), reject_col="rejected")
+    days = back.groupBy("subject_id", "date").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("food").alias("n_foods"), F.sum("fiber_g").alias("fiber_g"),
+        F.sum("calories_kcal").alias("calories_kcal"), F.sum(F.col("rejected").cast("long")).alias("n_rejected"))
+    side = FS.first_existing(spark, [(path + "/phases.csv", SC.DAILY_LONG)])
+    return finalize(assemble.left_join_or_self(days, side, ["subject_id", "date"]), {"fiber_g": 2, "calories_kcal": 2})
+
+
 @register("q_glob_provenance", """SELECT 'event_type=' || event_type AS folder, count(*) AS n_rows,
   count(DISTINCT user_id) AS n_participants FROM events GROUP BY event_type""")
 def q_glob_provenance(spark, d):

@@ -8,10 +8,14 @@ not only on a local disk.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paneldeck.functions.clean import parse_text_date, says_something
+
 CORRUPT = "_corrupt"
 
 
@@ -27,20 +31,28 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType, date_cols: tuple[str, ...] = (),
-                   keep_corrupt: bool = False) -> DataFrame:
+                   keep_corrupt: bool = False, reject_col: str | None = None) -> DataFrame:
     """Typed CSV scan.  A missing path yields an empty typed frame
     (never an error); malformed lines are kept with NULL fields (PERMISSIVE)
     and, on request, their raw text in ``_corrupt``; ``date_cols`` are read as
-    text and coerced leniently (bad date -> NULL)."""
+    text and coerced leniently, in any of the common ways of writing a date (bad
+    date -> NULL).  ``reject_col`` names a boolean column that is true where a date
+    column said something that is no date, so that such rows can be counted."""
     if not _fs_exists(spark, path):
-        return empty(spark, schema)
+        extra = [T.StructField(CORRUPT, T.StringType())] * keep_corrupt
+        extra += [T.StructField(reject_col, T.BooleanType())] if reject_col else []
+        return empty(spark, T.StructType(schema.fields + extra))
     read_schema = T.StructType([T.StructField(f.name, T.StringType() if f.name in date_cols else f.dataType, True)
                                 for f in schema.fields] + [T.StructField(CORRUPT, T.StringType(), True)])
     df = (spark.read.schema(read_schema).option("header", True).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-    for c in date_cols:
-        df = df.withColumn(c, F.coalesce(F.try_to_timestamp(F.col(c)), F.try_to_timestamp(F.col(c), F.lit("yyyy-MM-dd")))
-                           .cast("date"))
+    # The first also takes fractions of seconds and zones; a number alone is no year of five figures.
+    dates = {c: F.coalesce(F.when(F.col(c).rlike(r"^\s*\d{4}(\D|$)"), F.try_to_timestamp(F.col(c))).cast("date"),
+                           parse_text_date(c)) for c in date_cols}
+    if reject_col:
+        off = [says_something(c) & d.isNull() for c, d in dates.items()]
+        df = df.withColumn(reject_col, reduce(lambda x, y: x | y, off, F.lit(False)))
+    df = df.withColumns(dates) if dates else df
     return df if keep_corrupt else df.drop(CORRUPT)
 
 

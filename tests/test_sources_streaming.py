@@ -27,6 +27,20 @@ def test_typed_csv_missing_and_corrupt(spark, tmp_path):
     assert any(r["_corrupt"] for r in df.collect())  # the malformed line is kept, not fatal
 
 
+def test_typed_csv_reads_dates_in_common_forms_and_marks_rejects(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("d", T.DateType())])
+    day = ["2023-01-05", "1/5/2023", "\"Jan 5, 2023\"", "2023-01-05 10:11:12", "2023-01-05T10:11:12.250", "5 Jan 2023", "1-5-2023"]
+    none = ["", "NaN", "none"]
+    bad = ["spring", "13/45/2023", "44000", "2023-02-30"]
+    p = tmp_path / "dates.csv"
+    p.write_text("id,d\n" + "".join(f"{i},{t}\n" for i, t in enumerate(day + none + bad)))
+    rows = sorted(FS.read_typed_csv(spark, str(p), schema, date_cols=("d",), reject_col="off").collect())
+    assert [str(r.d) for r in rows] == ["2023-01-05"] * len(day) + ["None"] * (len(none) + len(bad))
+    assert [r.off for r in rows] == [False] * (len(day) + len(none)) + [True] * len(bad)
+    gone = FS.read_typed_csv(spark, _tmp(tmp_path, "nope"), schema, date_cols=("d",), reject_col="off")
+    assert gone.columns == ["id", "d", "off"] and gone.count() == 0
+
+
 def test_strict_soft_and_first_existing(spark, tmp_path):
     schema = T.StructType([T.StructField("a", T.LongType())])
     p = tmp_path / "a.csv"
