@@ -60,3 +60,50 @@ def test_segmented_lead_sorts_once_a_segment(spark):
     assert "SortAggregate" not in _plan(out, "sparkPlan")
     assert {(r.s, r.w, r.k): r.nxt for r in out.collect()} == {
         (1, 1, 1): None, (1, 1, 2): 7.0, (1, 3, 1): None, (2, None, 1): None}
+
+
+def test_row_statistics_are_hashed(spark):
+    cells = spark.createDataFrame([("p", "s", 0, 0, "x"), ("p", "s", 0, 1, "x"), ("p", "s", 1, 0, "a"), ("p", "s", 1, 1, "b"),
+                                   ("p", "s", 2, 0, None)], "source_path string, sheet_name string, row_no int, col_no int, value string")
+    stats = S._row_stats(cells)
+    assert "SortAggregate" not in _plan(stats, "sparkPlan")
+    assert {r.row_no: r.differ for r in stats.collect()} == {0: False, 1: True, 2: None}
+
+
+def test_packed_sheets_hold_the_same_cells(spark, tmp_path):
+    d = _tables(spark, tmp_path / "t")
+    cells = SB.food_log_cells(spark, d)
+    assert _plan(cells).count("Join Inner") == 2  # one pass: no branch for the headers
+    got = sorted(tuple(r) for r in cells.where("sheet_name = 'order_1'").collect())
+    head = [("logs/customer_7.xlsx", "order_1", 1, i, v) for i, v in enumerate(SB.FOOD_HEADER)]
+    data = ["45293", "a widget", "3 g", "~9", "7g/day", "7"]
+    assert got == sorted([("logs/customer_7.xlsx", "order_1", 0, 0, "Daily food log"), *head,
+                          *[("logs/customer_7.xlsx", "order_1", 2, i, v) for i, v in enumerate(data)]])
+    assert cells.where("sheet_name = 'order_2'").count() == 18
+    measures = sorted((r.row_no, r.col_no, r.value) for r in SB.label_cells(spark, d).where("source_path like '%_8.xlsx'").collect())
+    assert measures == [(0, 0, "Label"), (0, 1, "Timepoint 1"), (1, 0, "Subject ID"), (1, 1, "8"), (2, 0, "Starting Weight"),
+                        (2, 1, "20.0"), (3, 0, "Starting Energy"), (3, 1, "1"), (4, 0, "Starting Mood"), (4, 1, "0")]
+    std = {(r.sheet_name, r.row_no): (r.food, r.subject_id) for r in catalog.q_standardize(spark, d).collect()}
+    assert std == {("order_1", 2): ("a widget", "7"), ("order_2", 1): ("a widget", "8"), ("order_2", 2): ("a gear", None)}
+
+
+def test_dates_try_only_patterns_that_can_match(spark, tmp_path):
+    texts = ["2023-05-07", "2023-05-07T10:00", "2023-05-07t10:00:00Z", "5/7/2023 10:00:01", "5/7/23", "2023/5/7", "5-7-2023",
+             "May 7, 2023", "may 7 2023", "7 May 2023", "7-May-2023"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", C.parse_text_date("t").alias("now"), F.coalesce(*[F.try_to_timestamp("t", F.lit(p)) for p in C.DATE_PATTERNS])
+        .cast("date").alias("all")).collect()
+    assert all(r.now == r["all"] for r in got) and [r.now for r in got].count(dt.date(2023, 5, 7)) >= 9
+    assert C._fixed_characters("yyyy-MM-dd'T'HH:mm") == "%-%-%t%:%"
+    d = _tables(spark, tmp_path / "t")
+    assert catalog.q_serial_date(spark, d).rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+
+
+def test_numbers_are_cast_only_from_their_forms(spark):
+    texts = ["1", "-1.5", "+.5", "5.", "1e5", "1E-5", "1d", "2.5F", "0x1p3", "NaN", "-Infinity", "inf", " 7 ", "7\t\n", "", ".", "e5", "3 g",
+             "2024-01-05", "7g/day", "~9", "1e", "--1", "text", "0x", "1_0", "1,0", None, "1" * 400, "infinit", "+nan", "\u00a07"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select("t", C.to_double("t").alias("now"), F.col("t").try_cast("double").alias("all"), F.col("t").rlike(C.NUMBER_FORM).alias("tried"))
+    for r in got.collect():
+        assert str(r.now) == str(r["all"]), r
+        assert not (r.tried and r.t in ("3 g", "2024-01-05", "7g/day", "~9", "text")), r
