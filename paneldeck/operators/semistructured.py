@@ -8,16 +8,24 @@ from pyspark.sql import functions as F
 from paneldeck.session import write_stage
 
 NESTED = ("object", "array")
+# Heads of Spark's type names -> kinds.
+KINDS = {"VOID": "null", "OBJECT": "object", "ARRAY": "array", "BOOLEAN": "boolean", "STRING": "string",
+         "BIGINT": "integer", "INT": "integer", "SMALLINT": "integer", "TINYINT": "integer",
+         "DECIMAL": "number", "DOUBLE": "number", "FLOAT": "number"}
 
 
 def kind_of(value: Column) -> Column:
     """null, boolean, integer, number, string, object, array or other, of a variant."""
-    named = F.schema_of_variant(value)
-    starts = lambda *heads: named.rlike("^(" + "|".join(heads) + ")")
-    return (F.when(starts("VOID"), "null").when(starts("OBJECT"), "object").when(starts("ARRAY"), "array")
-            .when(starts("BOOLEAN"), "boolean").when(starts("STRING"), "string")
-            .when(starts("BIGINT", "INT", "SMALLINT", "TINYINT"), "integer")
-            .when(starts("DECIMAL", "DOUBLE", "FLOAT"), "number").otherwise("other"))
+    head = F.regexp_extract(F.schema_of_variant(value), "^(" + "|".join(KINDS) + ")", 1)
+    kinds = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
+    return F.coalesce(F.try_element_at(kinds, head), F.lit("other"))
+
+
+def once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with only these columns, each value computed once however often
+    later steps name it: as elements of an array they are not inlined there."""
+    made = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
+    return rows.select(F.explode(made).alias("_made")).select("_made.*")
 
 
 def path_table(rows: DataFrame, json_col: str) -> DataFrame:
@@ -31,9 +39,9 @@ def path_table(rows: DataFrame, json_col: str) -> DataFrame:
     An empty table gives no rows.
     """
     spark = rows.sparkSession
-    level = (rows.select(F.col(json_col).alias("raw")).withColumn("value", F.try_parse_json("raw"))
-             .select(F.lit("$").alias("path"), "value", F.when(F.col("raw").isNull(), "missing").when(
-                 F.col("value").isNull(), "bad").otherwise(kind_of(F.col("value"))).alias("kind")))
+    parsed = once(rows, given=F.col(json_col).isNotNull(), value=F.try_parse_json(F.col(json_col)))
+    level = once(parsed, path=F.lit("$"), value=F.col("value"), kind=F.when(~F.col("given"), "missing").when(
+        F.col("value").isNull(), "bad").otherwise(kind_of(F.col("value"))))
     found = None
     while True:
         counts = write_stage(level.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n")), "json-paths")
@@ -44,9 +52,9 @@ def path_table(rows: DataFrame, json_col: str) -> DataFrame:
             F.col("path").alias("above"), F.col("kind").alias("held"), F.col("value").alias("whole"))
         key = F.when(F.col("key").rlike("^[A-Za-z_][A-Za-z0-9_]*$"), F.concat(F.lit("."), "key")).otherwise(
             F.concat(F.lit("['"), "key", F.lit("']")))
-        level = (parents.lateralJoin(spark.tvf.variant_explode(F.col("whole").outer()))
-                 .select(F.concat("above", F.when(F.col("held") == "array", "[*]").otherwise(key)).alias("path"),
-                         "value", kind_of(F.col("value")).alias("kind")))
+        held = parents.lateralJoin(spark.tvf.variant_explode(F.col("whole").outer()))
+        level = once(held, path=F.concat("above", F.when(F.col("held") == "array", "[*]").otherwise(key)),
+                     value=F.col("value"), kind=kind_of(F.col("value")))
 
 
 def shred(rows: DataFrame, json_col: str, fields: dict[str, tuple[str, str]], state: str = "json_state",

@@ -107,3 +107,11 @@ def test_numbers_are_cast_only_from_their_forms(spark):
     for r in got.collect():
         assert str(r.now) == str(r["all"]), r
         assert not (r.tried and r.t in ("3 g", "2024-01-05", "7g/day", "~9", "text")), r
+
+
+def test_json_is_parsed_once_a_level(spark):
+    rows = spark.createDataFrame([('{"a": 1}',)], "raw string")
+    made = semistructured.once(rows, value=F.try_parse_json("raw"))
+    assert _plan(made.where("value is not null").select("value", F.schema_of_variant("value"))).count("parse_json") <= 1
+    kind = _plan(rows.select(semistructured.kind_of(F.try_parse_json("raw"))))
+    assert kind.count("schema_of_variant") <= 1
