@@ -13,7 +13,7 @@ from paneldeck.plans import bindings as B
 from paneldeck.plans import oracle as O
 from paneldeck.plans.catalog import WIDE_TRAJ_SCALES, _scratch, register
 from paneldeck.plans.finalize import finalize
-from paneldeck.session import cut_lineage
+from paneldeck.session import cut_lineage, spread
 
 # Moves exact decimal ties, which engines round either way, to one side.
 OFF_TIE = 1e-9
@@ -79,7 +79,8 @@ def q_overlap_shipments(spark, d):
     were under way at the same time, and for how many days."""
     lines = B.read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag")
     orders = B.read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    spans = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # written once: the overlap join reads each side to count its bins and to pair it
+    spans = cut_lineage(lines.where(F.col("l_returnflag").isin("R", "A")).join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
     side = lambda flag, x: spans.where(F.col("l_returnflag") == flag).select(
         "o_custkey", F.col("l_orderkey").alias(f"key_{x}"), F.col("l_linenumber").alias(f"line_{x}"),
         F.col("o_orderdate").alias(f"s_{x}"), F.col("l_shipdate").alias(f"t_{x}"))
@@ -280,7 +281,7 @@ SELECT path, CASE t WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer' W
 FROM found WHERE t IS NOT NULL GROUP BY 1, 2""")
 def q_json_paths(spark, d):
     """Paths and kinds found in a JSON column, texts that do not parse counted."""
-    return semistructured.path_table(_messy(spark, d), "raw")
+    return semistructured.path_table(spread(_messy(spark, d), "event_id"), "raw")
 
 
 @register("q_json_shred", f"""WITH {MESSY_CTE}

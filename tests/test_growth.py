@@ -115,3 +115,10 @@ def test_json_is_parsed_once_a_level(spark):
     assert _plan(made.where("value is not null").select("value", F.schema_of_variant("value"))).count("parse_json") <= 1
     kind = _plan(rows.select(semistructured.kind_of(F.try_parse_json("raw"))))
     assert kind.count("schema_of_variant") <= 1
+
+
+def test_overlap_reads_its_spans_from_a_stage(spark, tmp_path):
+    d = _tables(spark, tmp_path / "t")
+    out = extras.q_overlap_shipments(spark, d)
+    assert all("paneldeck-stages" in f for f in out.inputFiles())
+    assert [tuple(r) for r in out.collect()] == [(8, 1, 12)]
