@@ -147,14 +147,25 @@ OTHER_SPACE = re.compile(b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 WINDOW = 1 << 17  # pieces looked up at once
+TOGETHER = 64  # pieces in one text of the library
+LETTER, MARK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+LETTER[[*range(65, 91), *range(97, 123)]] = True
+MARK[33:127] = True
+MARK[48:58] = False
+MARK &= ~LETTER
+# Second bytes of the letters that UTF-8 writes with 0xC3 (Latin-1's, without its signs).
+LATIN = np.zeros(256, dtype=bool)
+LATIN[0x80:0xC0] = True
+LATIN[[0x97, 0xB7]] = False
 
 
 class PieceEncoder:
     """Ids of whole texts.  A byte-level tokenizer with the usual pattern never
     joins a character to ASCII white space behind it, so texts are cut there and
     the library encodes each distinct piece once, many in one call.  Pieces of up
-    to KEY bytes are remembered by their exact bytes, at most ``room`` of them.
-    Longer pieces, texts with other white space and any other tokenizer's texts go
+    to KEY bytes are remembered by their exact bytes, at most ``room`` of them.  The
+    pattern ends a token between a letter and a mark, so the marks that end a new
+    piece are looked up apart, and the word before them is often known.  Longer pieces, texts with other white space and any other tokenizer's texts go
     to the library whole.
     """
 
@@ -180,6 +191,8 @@ class PieceEncoder:
                 self.size[i] = len(token)
             for a in added:
                 self.size[a["id"]] = len(a["content"].encode())
+        self.mark = MARK.copy()  # those of an added token stay with their word
+        self.mark[list("".join(a["content"] for a in added).encode())] = False
         self.memo, self.store = ByteMemo(room), IdStore(np.array([end_id], dtype=kind))
 
     def whole(self, texts: list[bytes]) -> list[np.ndarray]:
@@ -187,12 +200,12 @@ class PieceEncoder:
                 for e in self.library.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
 
     def together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces encoded in one text, and where each one's ids end: a line
-        end, a token of its own, parts a piece that begins without white space
-        from the one before."""
+        """Ids of pieces encoded in texts of TOGETHER pieces (the library's time for a
+        piece grows with its text), and where each one's ids end: a line end, a token
+        of its own, parts a piece that begins without white space from the one before."""
         parts = np.array([not SPACE[p[0]] for p in pieces], dtype=np.int64)
-        text = b"".join(b"\n" + p if q else p for p, q in zip(pieces, parts.tolist()))
-        ids = self.whole([text])[0]
+        parted = [b"\n" + p if q else p for p, q in zip(pieces, parts.tolist())]
+        ids = np.concatenate(self.whole([b"".join(parted[i:i + TOGETHER]) for i in range(0, len(parted), TOGETHER)]))
         ends = np.concatenate([[0], np.cumsum(self.size[ids])])
         stop = np.cumsum(np.array([len(p) for p in pieces]) + parts)
         start = np.concatenate([[0], stop[:-1]]) + parts
@@ -204,14 +217,41 @@ class PieceEncoder:
         own[low[parts > 0] - 1] = False
         return ids[own], high - np.cumsum(parts)
 
-    def look_up(self, blob: bytes, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def word_ends(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Where the marks begin that end a piece and follow a letter; its end if there are none."""
+        cut = stop.copy()
+        more = np.arange(len(cut))
+        while len(more := more[(cut[more] > start[more]) & self.mark[data[cut[more] - 1]]]):
+            cut[more] -= 1
+        last, before = data[np.maximum(cut - 1, 0)], data[np.maximum(cut - 2, 0)]
+        letter = ((cut > start) & LETTER[last]) | ((cut > start + 1) & (before == 0xC3) & LATIN[last])
+        return np.where(letter, cut, stop)
+
+    def look_up(self, blob: bytes, data: np.ndarray, start: np.ndarray, stop: np.ndarray,
+                apart: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a window of pieces, and where each one's ids end; an empty piece
-        stands for the end id."""
+        stands for the end id.  ``apart``: marks at the end of new pieces are looked up apart."""
         def learn(new: np.ndarray) -> np.ndarray:
             useful = ~SPACE[data[stop[new] - 1]]
-            if useful.any():
-                ids, ends = self.together([blob[a:b] for a, b in zip(start[new[useful]].tolist(), stop[new[useful]].tolist())])
-                self.store.add(ids, np.diff(ends, prepend=0))
+            low, high = start[new[useful]], stop[new[useful]]
+            cut = self.word_ends(data, low, high) if apart else high
+            two = np.flatnonzero(cut < high)
+            if len(two):
+                ids, ends = self.look_up(blob, data, np.stack([low[two], cut[two]], axis=1).reshape(-1),
+                                         np.stack([cut[two], high[two]], axis=1).reshape(-1), apart=False)
+            one = np.flatnonzero(cut == high)
+            if len(one):
+                alone, upto = self.together([blob[a:b] for a, b in zip(low[one].tolist(), high[one].tolist())])
+            if len(two) and len(one):  # in the order of the pieces again
+                count = np.zeros(len(cut), dtype=np.int64)
+                place = np.zeros(len(cut), dtype=np.int64)
+                count[two], count[one] = np.diff(ends[1::2], prepend=0), np.diff(upto, prepend=0)
+                place[two], place[one] = ends[1::2] - count[two], len(ids) + upto - count[one]
+                self.store.add(np.concatenate([ids, alone])[gathered(place, count)], count)
+            elif len(two):
+                self.store.add(ids, np.diff(ends[1::2], prepend=0))
+            elif len(one):
+                self.store.add(alone, np.diff(upto, prepend=0))
             return useful
 
         row = self.memo.rows(data, start, stop, learn)
