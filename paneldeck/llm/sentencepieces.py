@@ -35,10 +35,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneldeck.llm.memo import ByteMemo, IdStore, gathered
-from paneldeck.llm.text import bound_batches, fresh, whole
+from paneldeck.llm.text import bound_batches, fresh, give_back, whole
 
 SPACE = "▁"
 LITERAL = "\0" + SPACE  # a segment of its own: U+2581 as it stands in a text
+BATCH = "2m"  # texts that a worker holds at once; with all that is made of them it takes about 60 times as much
 
 
 def spread(x: np.ndarray, salt: int) -> np.ndarray:
@@ -470,13 +471,14 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", n_best: int
     length are encoded whole.  Repeated rows are encoded like any.  An empty table
     gives an empty result.  Columns of ``docs`` with these names are replaced.
     """
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, BATCH)
     model = _broadcast(docs.sparkSession, model_path)
     kind = ("ids array<int>, scores array<double>" + ", n_best_ids array<array<int>>" * full + ", n_best_hash long" * digest
             + ", round_trip boolean" * check)
 
     @F.pandas_udf(kind)
     def segment(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        give_back()  # what earlier stages left in this worker
         lattice = compiled(model.value, scores)
         for batch in texts:
             made = list(lattice.encode_all(batch, n_best))
@@ -488,6 +490,8 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", n_best: int
             if check:
                 out["round_trip"] = [lattice.decode(m[0].tolist()) == text for m, text in zip(made, batch)]
             yield out
+            del made, out, batch
+            give_back()
 
     added = ["ids", "scores"] + ["n_best_ids"] * full + ["n_best_hash"] * digest + ["round_trip"] * check
     rest = docs.drop(*added)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,3 +66,14 @@ def bound_batches(spark: SparkSession, size: str = "8m") -> None:
     holds is then bounded however long the documents are.  Set on the session,
     as the plans are made when they run."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; others give memory back by themselves
+
+
+def give_back() -> None:
+    """Return the freed memory of a Python worker to the machine.  Workers are kept
+    from stage to stage, and what a batch's arrays took would stay with them."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
