@@ -3,11 +3,12 @@
 import datetime as dt
 import os
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from paneldeck import session
 from paneldeck.functions import clean as C
-from paneldeck.operators import panel, semistructured
+from paneldeck.operators import panel, ranks, semistructured
 from paneldeck.operators import sheets as S
 from paneldeck.plans import catalog, extras
 from paneldeck.plans import sheet_bindings as SB
@@ -122,3 +123,17 @@ def test_overlap_reads_its_spans_from_a_stage(spark, tmp_path):
     out = extras.q_overlap_shipments(spark, d)
     assert all("paneldeck-stages" in f for f in out.inputFiles())
     assert [tuple(r) for r in out.collect()] == [(8, 1, 12)]
+
+
+def test_rank_buckets_follow_the_input(spark, monkeypatch):
+    kept, real, cuts = spark.conf.get(session.INITIAL_PARTITIONS, None), ranks.value_rank_table, []
+    monkeypatch.setattr(ranks, "value_rank_table", lambda *a, **k: cuts.append(k["cuts"]) or real(*a, **k))
+    rows = pd.DataFrame({"x": [float(i * 37 % 1009 % 700) for i in range(1000)], "y": [float(i * i % 997) for i in range(1000)]})
+    count = max(40, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        spark.conf.set(session.INITIAL_PARTITIONS, str(count))
+        got = ranks.spearman(spark.createDataFrame(rows), "x", "y").first()
+    finally:
+        spark.conf.unset(session.INITIAL_PARTITIONS) if kept is None else spark.conf.set(session.INITIAL_PARTITIONS, kept)
+    assert [len(set(c)) > 0.9 * count for c in cuts] == [True, True]  # before: as many as the submitter's partitions
+    assert got.n == 1000 and abs(got.rho - rows["x"].rank().corr(rows["y"].rank())) < 1e-9
