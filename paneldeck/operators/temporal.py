@@ -10,7 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paneldeck.session import INITIAL_PARTITIONS
+
 MICROS = 1_000_000
+STRETCH = 16  # bins of an overlap join whose rows are dealt together
 
 
 def segment_of(time: Column, seconds: int) -> Column:
@@ -72,29 +75,44 @@ def overlap_join(left: DataFrame, right: DataFrame, by: list[str], left_span: tu
 
     Spans are copied to every bin of time that they touch, and rows meet by (by,
     bin).  A pair that meets in several bins belongs to the one in which the later
-    of the two starts lies.  Bins with more than ``most`` left rows are split:
-    left rows are dealt over the pieces and right rows copied to each, so no pair
-    is lost or doubled.  Spans that are empty, reversed or null, and null keys,
-    match nothing.
+    of the two starts lies.  Rows are dealt by stretches of ``STRETCH`` bins, few of
+    which a span touches, and copied to a stretch's bins only where they then lie.
+    Stretches with more than ``most`` left rows are split: left rows are dealt over
+    the pieces and right rows copied to each, so no pair is lost or doubled.  Spans
+    that are empty, reversed or null, and null keys, match nothing.
     """
-    def binned(df: DataFrame, span: tuple[str, str], name: str) -> DataFrame:
+    width = bin_seconds * MICROS
+    spark = left.sparkSession
+    count = 2 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(spark.conf.get(INITIAL_PARTITIONS, None) or 1))
+
+    def bins(name: str, wide: int) -> tuple[Column, Column]:
+        return F.floor(F.col(f"_{name}0") / wide).cast("long"), F.floor((F.col(f"_{name}1") - 1) / wide).cast("long")
+
+    def stretched(df: DataFrame, span: tuple[str, str], name: str) -> DataFrame:
         start, stop = (F.unix_micros(F.col(c).cast("timestamp")) for c in span)
         whole = df.where(start < stop).withColumns({f"_{name}0": start, f"_{name}1": stop})
-        width = bin_seconds * MICROS
-        return whole.withColumn("_bin", F.explode(F.sequence(
-            F.floor(F.col(f"_{name}0") / width).cast("long"), F.floor((F.col(f"_{name}1") - 1) / width).cast("long"))))
+        return whole.withColumn("_stretch", F.explode(F.sequence(*bins(name, STRETCH * width))))
+
+    def binned(df: DataFrame, name: str) -> DataFrame:
+        first, last = bins(name, width)
+        begin = F.col("_stretch") * STRETCH
+        return df.repartition(count, *keys, "_piece").withColumn("_bin", F.explode(F.sequence(
+            F.greatest(first, begin), F.least(last, begin + (STRETCH - 1)))))
 
-    keys = [*by, "_bin"]
-    a, b = binned(left, left_span, "a"), binned(right, right_span, "b")
+    keys = [*by, "_stretch"]
+    a, b = stretched(left, left_span, "a"), stretched(right, right_span, "b")
     pieces = split_bins(a, keys, most)
-    count = F.coalesce("_pieces", F.lit(1))
+    parts = F.coalesce("_pieces", F.lit(1))
     row = F.xxhash64(*[F.col(c) for c in left.columns if c not in by])
-    a = a.join(pieces, keys, "left").withColumn("_piece", F.pmod(row, count).cast("int")).drop("_pieces")
-    b = b.join(pieces, keys, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), count - 1))).drop("_pieces")
-    later = F.floor(F.greatest("_a0", "_b0") / (bin_seconds * MICROS)).cast("long")
-    return (a.join(b, [*keys, "_piece"])
+    # one row for each ``most`` left rows and more: small enough to broadcast, which
+    # saves both sides a shuffle
+    pieces = F.broadcast(pieces)
+    a = a.join(pieces, keys, "left").withColumn("_piece", F.pmod(row, parts).cast("int")).drop("_pieces")
+    b = b.join(pieces, keys, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_pieces")
+    later = F.floor(F.greatest("_a0", "_b0") / width).cast("long")
+    return (binned(a, "a").join(binned(b, "b"), [*keys, "_piece", "_bin"])
             .where((F.col("_a0") < F.col("_b1")) & (F.col("_b0") < F.col("_a1")) & (F.col("_bin") == later))
-            .drop("_bin", "_piece", "_a0", "_a1", "_b0", "_b1"))
+            .drop("_stretch", "_bin", "_piece", "_a0", "_a1", "_b0", "_b1"))
 
 
 def interval_join(points: DataFrame, spans: DataFrame, by: list[str], time: str, span: tuple[str, str],

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from paneldeck import session
 from paneldeck.functions import clean as C
-from paneldeck.operators import panel, ranks, semistructured
+from paneldeck.functions.dictionaries import PART_KEYWORDS
+from paneldeck.operators import keywords, panel, ranks, semistructured, temporal
 from paneldeck.operators import sheets as S
+from paneldeck.plans import bindings as B
 from paneldeck.plans import catalog, extras
 from paneldeck.plans import sheet_bindings as SB
 
@@ -137,3 +139,19 @@ def test_rank_buckets_follow_the_input(spark, monkeypatch):
         spark.conf.unset(session.INITIAL_PARTITIONS) if kept is None else spark.conf.set(session.INITIAL_PARTITIONS, kept)
     assert [len(set(c)) > 0.9 * count for c in cuts] == [True, True]  # before: as many as the submitter's partitions
     assert got.n == 1000 and abs(got.rho - rows["x"].rank().corr(rows["y"].rank())) < 1e-9
+
+
+def test_overlap_copies_spans_to_bins_only_where_they_lie(spark):
+    hour = lambda n: dt.datetime(1970, 1, 1) + dt.timedelta(hours=n)
+    left = [(i % 2, i, hour(i * 7 - 90), hour(i * 7 - 90 + i * 5)) for i in range(30)]
+    right = [(i % 2, i, hour(i * 11 - 130), hour(i * 11 - 130 + 3 + i * 2)) for i in range(30)]
+    a = spark.createDataFrame(left, "k int, a int, s_a timestamp_ntz, t_a timestamp_ntz")
+    b = spark.createDataFrame(right, "k int, b int, s_b timestamp_ntz, t_b timestamp_ntz")
+    for most in (2, 1000):
+        out = temporal.overlap_join(a, b, ["k"], ("s_a", "t_a"), ("s_b", "t_b"), 3600, most)
+        want = {(x[1], y[1]) for x in left for y in right if x[0] == y[0] and x[2] < y[3] and y[2] < x[3] and x[2] < x[3]}
+        got = [(r.a, r.b) for r in out.collect()]
+        assert len(got) == len(want) and set(got) == want
+    plan = _plan(out, "sparkPlan")
+    side = plan[plan.index("SortMergeJoin"):] if "SortMergeJoin" in plan else plan
+    assert 0 < side.index("[_bin#") < side.index("REPARTITION_BY_NUM")
