@@ -141,6 +141,45 @@ def test_rank_buckets_follow_the_input(spark, monkeypatch):
     assert got.n == 1000 and abs(got.rho - rows["x"].rank().corr(rows["y"].rank())) < 1e-9
 
 
+def _with(spark, conf, made):
+    """``made()`` under other settings of the session."""
+    kept = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return made()
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_table_is_not_broadcast_for_its_file_size(spark, tmp_path):
+    d = _tables(spark, tmp_path / "t")
+    stored = sum(n for _, n, _ in session.input_listing(spark, f"{d}/part.parquet"))
+    plan = lambda limit: _with(spark, {"spark.sql.autoBroadcastJoinThreshold": str(limit)}, lambda: _plan(
+        B.food_rows(spark, d).select("subject_id", "food", "fat_g"), "sparkPlan"))
+    assert plan(100 * stored).count("BroadcastHashJoin") == 2  # small as rows, too
+    few = plan(4 * stored)  # the file fits, its rows may not
+    assert few.count("SortMergeJoin") >= 1 and few.count("BroadcastHashJoin") <= 1
+    assert plan(-1).count("SortMergeJoin") == 2
+
+
+def test_daily_flags_match_each_part_once_and_group_by_order(spark, tmp_path):
+    d = _tables(spark, tmp_path / "t")
+    made = lambda: keywords.daily_totals_and_flags(B.food_rows(spark, d, bits=True), ["subject_id", "date"], B.NUTRIENTS, "food",
+                                                   PART_KEYWORDS, bits="kw_bits")
+    plan = _with(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}, lambda: _plan(made(), "sparkPlan"))
+    assert "l_orderkey" in plan.split("SortMergeJoin")[1][:60]  # the last join: a day's lines meet before they are summed
+    assert "p_name" not in plan.split("SortMergeJoin")[1]  # matched below the joins
+    got = {r.subject_id: (r.n_entries, r.kw_widget, r.kw_gear) for r in made().collect()}
+    assert got == {7: (1, 1, 0), 8: (2, 1, 1)}
+    rows = spark.createDataFrame([(1, "d", "Old Widget", 1.0), (1, "d", None, 2.0), (2, "d", None, None), (None, "d", "gear", 1.0)],
+                                 "s int, t string, food string, v double")
+    flags = keywords.daily_totals_and_flags(rows, ["s", "t"], {"v": "v_total"}, "food", PART_KEYWORDS)
+    assert {r.s: (r.v_total, r.n_entries, r.kw_widget, r.kw_age, r.kw_gear) for r in flags.collect()} == {1: (3.0, 2, 1, 1, 0), 2: (0.0, 1, 0, 0, 0)}
+    assert flags.schema["kw_age"].dataType.simpleString() == "int"
+
+
 def test_overlap_copies_spans_to_bins_only_where_they_lie(spark):
     hour = lambda n: dt.datetime(1970, 1, 1) + dt.timedelta(hours=n)
     left = [(i % 2, i, hour(i * 7 - 90), hour(i * 7 - 90 + i * 5)) for i in range(30)]
