@@ -180,6 +180,24 @@ def test_daily_flags_match_each_part_once_and_group_by_order(spark, tmp_path):
     assert flags.schema["kw_age"].dataType.simpleString() == "int"
 
 
+def test_sheets_are_shuffled_once_before_they_have_cells(spark, tmp_path):
+    d = _tables(spark, tmp_path / "t")
+    no_broadcast = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+    def plans():
+        cells, hr, h = catalog._sheet_stage(spark, d)
+        rows = SB.food_log_rows(spark, d, 4)
+        return [_plan(x, "executedPlan") for x in (S.label_sheets(cells, hr), S.nutrition_sheets(h), S.normalized_headers(cells, hr),
+                                                   catalog._cells_of(spark, d, h.select(*S.SHEET)), S.resolve_columns(h),
+                                                   S.choose_header_row(SB.unpack(rows)))]
+    *later, dealt = _with(spark, no_broadcast, plans)
+    assert [p.count("Exchange") for p in later] == [0] * 5
+    by_sheet = next(x for x in dealt.splitlines() if "REPARTITION_BY_NUM" in x)
+    assert dealt.count("REPARTITION_BY_NUM") == 1 and "Dietary Fiber" not in dealt[dealt.index(by_sheet):]
+    kinds = {(r.sheet_name, r.is_nutrition, r.is_label) for r in catalog.q_sheet_kind(spark, d).collect()}
+    assert {k for k in kinds if k[0] != "measures"} == {("order_1", True, False), ("order_2", True, False)}
+
+
 def test_overlap_copies_spans_to_bins_only_where_they_lie(spark):
     hour = lambda n: dt.datetime(1970, 1, 1) + dt.timedelta(hours=n)
     left = [(i % 2, i, hour(i * 7 - 90), hour(i * 7 - 90 + i * 5)) for i in range(30)]
