@@ -194,6 +194,13 @@ def test_sheets_are_shuffled_once_before_they_have_cells(spark, tmp_path):
     assert [p.count("Exchange") for p in later] == [0] * 5
     by_sheet = next(x for x in dealt.splitlines() if "REPARTITION_BY_NUM" in x)
     assert dealt.count("REPARTITION_BY_NUM") == 1 and "Dietary Fiber" not in dealt[dealt.index(by_sheet):]
+    cells, hr, h = catalog._sheet_stage(spark, d)
+    books = spark.createDataFrame([("logs/customer_8.xlsx", "book")], "source_path string, workbook_subject_id string")
+    std = S.standardize_nutrition(cells, hr, S.resolve_columns(h), books)
+    plan = _with(spark, {**no_broadcast, "spark.sql.shuffle.partitions": "4", session.INITIAL_PARTITIONS: "4"}, lambda: _plan(std, "sparkPlan"))
+    assert "LeftOuter" not in "".join(x for x in plan.splitlines() if "Join [source_path" in x and "sheet_name" not in x)  # by sheet
+    assert {(r.sheet_name, r.row_no): r.subject_id for r in std.where("sheet_name <> 'measures'").collect()} == {
+        ("order_1", 2): "7", ("order_2", 1): "8", ("order_2", 2): "book"}
     kinds = {(r.sheet_name, r.is_nutrition, r.is_label) for r in catalog.q_sheet_kind(spark, d).collect()}
     assert {k for k in kinds if k[0] != "measures"} == {("order_1", True, False), ("order_2", True, False)}
 
